@@ -37,7 +37,8 @@ def price_stats(sales: DataFrame, communes: DataFrame, as_of: str, months: int =
         F.min(r).alias("prix_m2_min"),
         F.max(r).alias("prix_m2_max"),
         F.stddev_samp(r).alias("prix_m2_stddev"),
-        F.avg("valeur_fonciere").alias("prix_moyen"),
+        # Money is DECIMAL(12,2) in the warehouse: average it exactly.
+        F.avg(F.col("valeur_fonciere").cast("decimal(18,2)")).alias("prix_moyen"),
         F.max("date_mutation").alias("derniere_vente"),
     ))
 
@@ -51,5 +52,5 @@ def monthly_trends(sales: DataFrame, communes: DataFrame, ratio_col: str = "prix
     return j.groupBy("mois", "departement", "nom_commune", "type_local").agg(
         F.count(F.lit(1)).alias("nb_ventes"),
         F.avg(ratio_col).alias("prix_m2_moyen"),
-        F.sum("valeur_fonciere").alias("volume_total_euros"),
+        F.sum(F.col("valeur_fonciere").cast("decimal(18,2)")).alias("volume_total_euros"),
     )

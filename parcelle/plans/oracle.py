@@ -113,8 +113,8 @@ raw_sales AS (
          CASE WHEN id % 5 = 0
               THEN ' ' || replace(CAST(CAST(valeur_fonciere AS DECIMAL(14,2)) AS VARCHAR), '.', ',')
               ELSE replace(CAST(CAST(valeur_fonciere AS DECIMAL(14,2)) AS VARCHAR), '.', ',') END AS valeur_fonciere,
-         CASE WHEN id % 3 = 0 THEN CAST(commune_id % 5 + 1 AS VARCHAR) || '.0'
-              ELSE CAST(commune_id % 5 + 1 AS VARCHAR) END AS code_departement,
+         CASE WHEN id % 3 = 0 THEN CAST(CAST(substr(code_commune, 1, 2) AS INTEGER) AS VARCHAR) || '.0'
+              ELSE CAST(CAST(substr(code_commune, 1, 2) AS INTEGER) AS VARCHAR) END AS code_departement,
          CASE WHEN id % 3 = 0 THEN CAST(commune_id AS VARCHAR) || '.0'
               ELSE CAST(commune_id AS VARCHAR) END AS code_commune,
          CASE WHEN id % 3 = 1 THEN code_postal || '.0' ELSE code_postal END AS code_postal,

@@ -32,7 +32,7 @@ SELECT c.code_commune, c.nom_commune, c.departement, c.region, s.type_local,
        {r('MIN(s.prix_m2)')} AS prix_m2_min,
        {r('MAX(s.prix_m2)')} AS prix_m2_max,
        {r('STDDEV_SAMP(s.prix_m2)')} AS prix_m2_stddev,
-       {r('AVG(s.valeur_fonciere)')} AS prix_moyen,
+       {r('AVG(CAST(s.valeur_fonciere AS DECIMAL(18,2)))')} AS prix_moyen,
        MAX(s.date_mutation) AS derniere_vente
 FROM sales s JOIN communes c ON s.commune_id = c.id
 WHERE s.date_mutation >= DATE '{AS_OF}' - INTERVAL 12 MONTH
@@ -50,7 +50,7 @@ def q_price_stats(spark: SparkSession, sf: str) -> DataFrame:
 SELECT CAST(date_trunc('month', s.date_mutation) AS DATE) AS mois, c.departement, c.nom_commune, s.type_local,
        COUNT(*) AS nb_ventes,
        {r('AVG(s.prix_m2)')} AS prix_m2_moyen,
-       {r('SUM(s.valeur_fonciere)')} AS volume_total_euros
+       {r('SUM(CAST(s.valeur_fonciere AS DECIMAL(18,2)))')} AS volume_total_euros
 FROM sales s JOIN communes c ON s.commune_id = c.id
 WHERE s.prix_m2 IS NOT NULL
 GROUP BY 1, 2, 3, 4

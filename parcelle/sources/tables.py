@@ -179,7 +179,7 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = sales(spark, sf_dir)
     key = F.col("id")
     price_txt = F.regexp_replace(F.col("valeur_fonciere").cast("decimal(14,2)").cast("string"), r"\.", ",")
-    dept = (F.col("commune_id") % 5 + 1).cast("string")
+    dept = F.substring("code_commune", 1, 2).cast("int").cast("string")
     num = F.col("commune_id").cast("string")
     dotted = key % 3 == 0
     return s.select(
