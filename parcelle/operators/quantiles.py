@@ -23,3 +23,23 @@ def exact_percentile(col: str | Column, p: float | Sequence[float]) -> Column:
 
 def median(col: str | Column) -> Column:
     return exact_percentile(col, 0.5)
+
+
+def group_quantiles(df, keys, value_col: str, probs: dict[str, float]):
+    """Exact (interpolated) quantiles of ``value_col`` per group of ``keys``
+    (all rows when ``keys`` is empty): one output column per entry of
+    ``probs``.  NULL values are ignored; a group with no value gets NULL."""
+    keys = list(keys)
+    names = list(probs)
+    v = F.col(value_col).cast("double")
+    arr = exact_percentile(v, [float(probs[n]) for n in names])
+    g = df.groupBy(*keys) if keys else df
+    out = g.agg(arr.alias("_q"))
+    return out.select(*keys, *[F.get(F.col("_q"), i).alias(n) for i, n in enumerate(names)])
+
+
+def with_one_row(df, one_row):
+    """Attach the columns of a one-row DataFrame to every row of ``df`` as a
+    single scalar subquery (run once, inlined; no join)."""
+    packed = one_row.select(F.struct(*one_row.columns).alias("_s")).scalar()
+    return df.withColumns({c: packed[c] for c in one_row.columns})
