@@ -11,4 +11,5 @@ def rnd(col: "str | Column", d: int = 2) -> Column:
     gives bit-identical values."""
     c = F.col(col) if isinstance(col, str) else col
     scale = float(10 ** d)
-    return F.round(c.cast("double") * F.lit(scale)) / F.lit(scale)
+    v = F.round(c.cast("double") * F.lit(scale)) / F.lit(scale)
+    return F.when(v == 0, F.lit(0.0)).otherwise(v)

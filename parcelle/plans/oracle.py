@@ -12,7 +12,9 @@ def r(expr: str, d: int = 2) -> str:
     does in Spark: scale, round half away from zero to an integer, unscale.
     Both engines then perform the same IEEE operations on the same double."""
     scale = f"CAST(1e{d} AS DOUBLE)"
-    return f"(ROUND(CAST(({expr}) AS DOUBLE) * {scale}) / {scale})"
+    v = f"(ROUND(CAST(({expr}) AS DOUBLE) * {scale}) / {scale})"
+    # -0.0 -> 0.0 (Spark's rounding never yields a negative zero)
+    return f"(CASE WHEN {v} = 0 THEN CAST(0.0 AS DOUBLE) ELSE {v} END)"
 
 
 ADAPTER = """
