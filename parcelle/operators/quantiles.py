@@ -1,20 +1,47 @@
-"""Exact quantiles.
+"""Exact quantiles that stay exact and bounded at any group size.
 
-``exact_percentile`` is Spark's exact, linearly interpolated ``percentile``
-aggregate (the same definition as SQL ``PERCENTILE_CONT``).  It is partially
-aggregated map-side as value -> count maps, so memory per group is bounded by
-the number of *distinct* values of the group, not its row count.
+Definition (as SQL ``PERCENTILE_CONT`` and Spark's ``percentile``): for ``n``
+values of a group and a fraction ``p``, ``pos = p * (n - 1)``; the result is
+the value of rank ``floor(pos)`` interpolated towards the value of rank
+``ceil(pos)``.
+
+Two physical strategies, chosen per call from one cheap aggregate
+(count/min/max per group):
+
+* every group holds at most ``map_limit`` values: Spark's ``percentile``
+  aggregate, which combines value -> count maps map-side; one pass.
+* some group is larger (a hot key may hold a third of all rows): distributed
+  selection.  Each pass buckets the values of every still-open rank window
+  into ``buckets`` equal-width buckets with a partial aggregate
+  (count/min/max per group, rank and bucket), keeps the one bucket that holds
+  the target rank, and narrows the window to that bucket's [min, max].
+  Windows shrink about ``buckets``-fold per pass (and at most ~6 passes
+  exhaust double precision); once a window holds at most ``band`` values they
+  are ranked with a window function over that bounded band.  No task ever
+  holds more than ``band`` values of one group, and nothing but the small
+  per-(group, rank) state reaches the driver.  The state is checkpointed to
+  the shared checkpoint folder after each pass, so lineage stays short and
+  survives executor loss.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelle.plans.sizing import broadcast_if_small
+
+MAP_LIMIT = 2_000_000
+BUCKETS = 4096
+BAND = 50_000
+MAX_PASSES = 12
+
 
 def exact_percentile(col: str | Column, p: float | Sequence[float]) -> Column:
+    """Spark's exact interpolated ``percentile`` aggregate (use for groups of
+    bounded size; ``group_quantiles`` picks it when that holds)."""
     c = F.col(col) if isinstance(col, str) else col
     if isinstance(p, (list, tuple)):
         return F.percentile(c, F.array(*[F.lit(float(x)) for x in p]))
@@ -25,20 +52,107 @@ def median(col: str | Column) -> Column:
     return exact_percentile(col, 0.5)
 
 
-def group_quantiles(df, keys, value_col: str, probs: dict[str, float]):
-    """Exact (interpolated) quantiles of ``value_col`` per group of ``keys``
-    (all rows when ``keys`` is empty): one output column per entry of
-    ``probs``.  NULL values are ignored; a group with no value gets NULL."""
+def _checkpoint(df: DataFrame) -> DataFrame:
+    from parcelle.session import cut_lineage
+    return cut_lineage(df)
+
+
+def group_quantiles(df: DataFrame, keys: Sequence[str], value_col: str, probs: dict[str, float],
+                    map_limit: int = MAP_LIMIT, buckets: int = BUCKETS, band: int = BAND) -> DataFrame:
+    """Exact quantiles of ``value_col`` per group of ``keys`` (one row for the
+    whole frame when ``keys`` is empty), one output column per ``probs``
+    entry.  NULL values are ignored; groups without values are absent."""
     keys = list(keys)
+    gkeys = keys or ["_g"]
     names = list(probs)
-    v = F.col(value_col).cast("double")
-    arr = exact_percentile(v, [float(probs[n]) for n in names])
-    g = df.groupBy(*keys) if keys else df
-    out = g.agg(arr.alias("_q"))
-    return out.select(*keys, *[F.get(F.col("_q"), i).alias(n) for i, n in enumerate(names)])
+    data = df.select(*[F.col(k) for k in keys], F.col(value_col).cast("double").alias("_v")) \
+             .where(F.col("_v").isNotNull())
+    if not keys:
+        data = data.withColumn("_g", F.lit(0))
+    stats = data.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"),
+                                     F.max("_v").alias("_hi"))
+    largest = stats.agg(F.max("_n")).first()[0]
+    if largest is None or largest <= map_limit:
+        g = data.groupBy(*gkeys).agg(exact_percentile("_v", [float(probs[n]) for n in names]).alias("_q"))
+        out = g.select(*gkeys, *[F.get(F.col("_q"), i).alias(n) for i, n in enumerate(names)])
+        return out.drop("_g") if not keys else out
+    qs = F.array(*[F.struct(F.lit(n).alias("q"), F.lit(float(p)).alias("p")) for n, p in probs.items()])
+    t = stats.select(*gkeys, "_n", "_lo", "_hi", F.explode(qs).alias("_qp"))
+    t = t.select(*gkeys, "_n", "_lo", "_hi", F.col("_qp.q").alias("_q"),
+                 (F.col("_qp.p") * (F.col("_n") - 1)).alias("_pos"))
+    vals = _select_ranks(data, t, gkeys, buckets, band)
+    out = vals.groupBy(*gkeys).pivot("_q", names).agg(F.first("_value"))
+    return out.drop("_g") if not keys else out
+
+
+def _select_ranks(data: DataFrame, t: DataFrame, gkeys: list[str], buckets: int, band: int) -> DataFrame:
+    """Distributed selection.  ``t`` has (gkeys, _n, _lo, _hi, _q, _pos): group
+    size and value range, and the fractional rank ``_pos`` wanted for each
+    output ``_q``.  Returns (gkeys, _q, _value)."""
+    t = t.withColumns({"_klo": F.floor("_pos"), "_khi": F.ceil("_pos")})
+    # One state row per (group, quantile, side) rank to find.
+    side = F.explode(F.array(F.struct(F.lit(0).alias("w"), F.col("_klo").alias("k")),
+                             F.struct(F.lit(1).alias("w"), F.col("_khi").alias("k"))))
+    state = t.select(*gkeys, "_q", "_lo", "_hi", "_n", side.alias("_s")).select(
+        *gkeys, "_q", F.col("_s.w").alias("_w"), F.col("_s.k").alias("_k"), "_lo", "_hi",
+        F.lit(0).cast("long").alias("_below"), F.col("_n").alias("_cnt"),
+        F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).alias("_val"))
+    state = _checkpoint(state)
+    sk = [*gkeys, "_q", "_w"]
+    for _ in range(MAX_PASSES):
+        open_ = state.where(F.col("_val").isNull() & (F.col("_cnt") > band))
+        if open_.isEmpty():
+            break
+        width = (F.col("_hi") - F.col("_lo")) / buckets
+        j = data.join(broadcast_if_small(open_.select(*sk, "_lo", "_hi")), gkeys, "inner") \
+                .where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        b = F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(buckets - 1)).cast("int")
+        h = j.groupBy(*sk, b.alias("_b")).agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"),
+                                              F.max("_v").alias("_bmax"))
+        w = Window.partitionBy(*sk).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        h = h.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
+        pick = (h.join(open_.select(*sk, "_k", "_below"), sk, "inner")
+                 .where((F.col("_k") - F.col("_below") >= F.col("_before"))
+                        & (F.col("_k") - F.col("_below") < F.col("_before") + F.col("_c"))))
+        moved = pick.select(*sk, "_k", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"),
+                            (F.col("_below") + F.col("_before")).alias("_below"), F.col("_c").alias("_cnt"),
+                            F.when(F.col("_bmin") == F.col("_bmax"), F.col("_bmin")).alias("_val"))
+        rest = state.join(open_.select(*sk), sk, "left_anti")
+        state = _checkpoint(rest.unionByName(moved))
+    # Rank the remaining bounded bands exactly.
+    open_ = state.where(F.col("_val").isNull())
+    j = data.join(broadcast_if_small(open_.select(*sk, "_k", "_lo", "_hi", "_below")), gkeys, "inner") \
+            .where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+    rn = F.row_number().over(Window.partitionBy(*sk).orderBy("_v")) - 1
+    picked = (j.withColumn("_r", rn).where(F.col("_r") == F.col("_k") - F.col("_below"))
+               .select(*sk, F.col("_v").alias("_val")))
+    done = state.where(F.col("_val").isNotNull()).select(*sk, "_val").unionByName(picked)
+    pos = t.select(*gkeys, "_q", "_pos", "_klo", "_khi")
+    lo = done.where(F.col("_w") == 0).select(*gkeys, "_q", F.col("_val").alias("_vlo"))
+    hi = done.where(F.col("_w") == 1).select(*gkeys, "_q", F.col("_val").alias("_vhi"))
+    m = pos.join(lo, [*gkeys, "_q"]).join(hi, [*gkeys, "_q"])
+    interp = (F.col("_khi") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_klo")) * F.col("_vhi")
+    value = F.when((F.col("_klo") == F.col("_khi")) | (F.col("_vlo") == F.col("_vhi")), F.col("_vlo")).otherwise(interp)
+    return m.select(*gkeys, "_q", value.alias("_value"))
+
+
+def order_statistics(df: DataFrame, value_col: str, ranks: Sequence[int], buckets: int = BUCKETS,
+                     band: int = BAND) -> dict[int, float]:
+    """Exact values at 0-based ``ranks`` of the non-null values (ascending),
+    by the same distributed selection; only the answers reach the driver."""
+    data = df.select(F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull()) \
+             .withColumn("_g", F.lit(0))
+    stats = data.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    want = F.array(*[F.struct(F.lit(f"r{k}").alias("q"), F.lit(float(k)).alias("pos")) for k in ranks])
+    t = stats.select("_g", "_n", "_lo", "_hi", F.explode(want).alias("_w")) \
+             .select("_g", "_n", "_lo", "_hi", F.col("_w.q").alias("_q"), F.col("_w.pos").alias("_pos")) \
+             .where(F.col("_pos") < F.col("_n"))
+    vals = _select_ranks(data, t, ["_g"], buckets, band).collect()
+    by_name = {row["_q"]: row["_value"] for row in vals}
+    return {k: by_name.get(f"r{k}") for k in ranks}
 
 
-def with_one_row(df, one_row):
+def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row DataFrame to every row of ``df`` as a
     single scalar subquery (run once, inlined; no join)."""
     packed = one_row.select(F.struct(*one_row.columns).alias("_s")).scalar()
