@@ -157,3 +157,14 @@ def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     single scalar subquery (run once, inlined; no join)."""
     packed = one_row.select(F.struct(*one_row.columns).alias("_s")).scalar()
     return df.withColumns({c: packed[c] for c in one_row.columns})
+
+
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join two per-group results on their group keys, NULL keys matching
+    (a NULL category is a group of its own)."""
+    keys = list(keys)
+    if not keys:
+        return with_one_row(left, right)
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys]
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelle.functions import derive as D
-from parcelle.operators.quantiles import group_quantiles, with_one_row
+from parcelle.operators.quantiles import group_quantiles, join_groups, with_one_row
 
 
 def count_by(df: DataFrame, col: str, out: str = "nb") -> DataFrame:
@@ -73,7 +73,7 @@ def group_stats(df: DataFrame, keys: Sequence[str], measures: Sequence[str], med
     out = base
     for m in measures:
         q = group_quantiles(df, keys, m, {f"{m}_median": 0.5})
-        out = out.join(q, list(keys), "left") if keys else with_one_row(out, q)
+        out = join_groups(out, q, keys)
     return out
 
 
@@ -83,14 +83,14 @@ def ordered_groups(df: DataFrame, col: str, order: Sequence[str], measure: str)
     spark = df.sparkSession
     labels = spark.createDataFrame([(i, v) for i, v in enumerate(order)], f"_pos int, {col} string")
     med = group_quantiles(df.where(F.col(col).isNotNull()), [col], measure, {f"{measure}_median": 0.5})
-    return labels.join(med, col, "left").orderBy("_pos").drop("_pos")
+    return join_groups(labels, med, [col]).orderBy("_pos").drop("_pos")
 
 
 def top_by_median(df: DataFrame, key: Sequence[str], measure: str, min_count: int = 10, n: int = 20) -> DataFrame:
     """Groups with at least ``min_count`` rows, highest median first."""
     counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("nb"))
     med = group_quantiles(df, key, measure, {"median": 0.5})
-    j = counts.where(F.col("nb") >= min_count).join(med, list(key), "inner")
+    j = join_groups(counts.where(F.col("nb") >= min_count), med, key, "inner")
     return j.orderBy(F.desc("median"), *key).limit(n)
 
 
@@ -140,7 +140,7 @@ def boxplot(df: DataFrame, key: str, col: str) -> DataFrame:
     agg = j.groupBy(key).agg(
         F.min(F.when(inside, v)).alias("whisker_low"), F.max(F.when(inside, v)).alias("whisker_high"),
         F.count_if(~inside).alias("n_outliers"))
-    return q.join(agg, key, "left")
+    return join_groups(q, agg, [key])
 
 
 def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
