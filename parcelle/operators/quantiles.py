@@ -168,3 +168,17 @@ def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     cond = [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys]
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def column_quantiles(df: DataFrame, cols: Sequence[str], p: float = 0.5, map_limit: int = MAP_LIMIT) -> DataFrame:
+    """One-row frame with the exact ``p`` quantile of each column.  When the
+    frame is small enough for the percentile aggregate, all columns are done
+    in a single pass; otherwise each column goes through the selection path."""
+    n = df.count()
+    if n <= map_limit:
+        return df.agg(*[exact_percentile(F.col(c).cast("double"), p).alias(c) for c in cols])
+    out = None
+    for c in cols:
+        q = group_quantiles(df, [], c, {c: p}, map_limit=map_limit)
+        out = q if out is None else with_one_row(out, q)
+    return out
