@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelle.functions.derive import trailing_months_start
-from parcelle.operators.quantiles import group_quantiles, join_groups
+from parcelle.operators.quantiles import group_quantiles, groups_fit, join_groups, quantile_columns
 from parcelle.plans.sizing import broadcast_if_small
 
 PRICE_STATS_KEYS = ["code_commune", "nom_commune", "departement", "region", "type_local"]
@@ -30,8 +30,7 @@ def price_stats(sales: DataFrame, communes: DataFrame, as_of: str, months: int =
               .select("commune_id", "type_local", "date_mutation", "valeur_fonciere", ratio_col))
     c = broadcast_if_small(communes.select(F.col("id").alias("commune_id"), *PRICE_STATS_KEYS[:-1]))
     j = s.join(c, "commune_id", "inner")
-    med = group_quantiles(j, PRICE_STATS_KEYS, ratio_col, {"prix_m2_median": 0.5})
-    agg = (j.groupBy(*PRICE_STATS_KEYS).agg(
+    aggs = [
         F.count(F.lit(1)).alias("nb_ventes"),
         F.avg(r).alias("prix_m2_moyen"),
         F.min(r).alias("prix_m2_min"),
@@ -40,9 +39,14 @@ def price_stats(sales: DataFrame, communes: DataFrame, as_of: str, months: int =
         # Money is DECIMAL(12,2) in the warehouse: average it exactly.
         F.avg(F.col("valeur_fonciere").cast("decimal(18,2)")).alias("prix_moyen"),
         F.max("date_mutation").alias("derniere_vente"),
-    ))
+    ]
+    probs = {"prix_m2_median": 0.5}
+    if groups_fit(j, PRICE_STATS_KEYS):
+        # Every group is small enough for the percentile aggregate: one pass.
+        return j.groupBy(*PRICE_STATS_KEYS).agg(*aggs, *quantile_columns(ratio_col, probs))
+    med = group_quantiles(j, PRICE_STATS_KEYS, ratio_col, probs, fits=False)
     # Both sides are one row per group: a small join on the group keys.
-    return join_groups(agg, med, PRICE_STATS_KEYS)
+    return join_groups(j.groupBy(*PRICE_STATS_KEYS).agg(*aggs), med, PRICE_STATS_KEYS)
 
 
 def monthly_trends(sales: DataFrame, communes: DataFrame, ratio_col: str = "prix_m2") -> DataFrame:

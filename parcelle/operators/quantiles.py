@@ -57,11 +57,34 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def groups_fit(df: DataFrame, keys: Sequence[str], map_limit: int | None = None) -> bool:
+    """True when no group of ``keys`` has more than ``map_limit`` rows, i.e.
+    the percentile aggregate may hold any group's values.  One aggregate whose
+    result is a single number; reuse the answer for every quantile over the
+    same frame and keys."""
+    keys = list(keys)
+    map_limit = MAP_LIMIT if map_limit is None else map_limit
+    if keys:
+        largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    else:
+        largest = df.count()
+    return largest is None or largest <= map_limit
+
+
+def quantile_columns(value_col: str, probs: dict[str, float]) -> list[Column]:
+    """Aggregate expressions for the bounded-group path, to put in the same
+    ``agg`` as the other measures (one pass)."""
+    arr = exact_percentile(F.col(value_col).cast("double"), [float(p) for p in probs.values()])
+    return [F.get(arr, i).alias(n) for i, n in enumerate(probs)]
+
+
 def group_quantiles(df: DataFrame, keys: Sequence[str], value_col: str, probs: dict[str, float],
-                    map_limit: int = MAP_LIMIT, buckets: int = BUCKETS, band: int = BAND) -> DataFrame:
+                    map_limit: int | None = None, buckets: int | None = None, band: int | None = None,
+                    fits: bool | None = None) -> DataFrame:
     """Exact quantiles of ``value_col`` per group of ``keys`` (one row for the
     whole frame when ``keys`` is empty), one output column per ``probs``
-    entry.  NULL values are ignored; groups without values are absent."""
+    entry.  NULL values are ignored; groups without values are absent.
+    ``fits`` may pass a known answer of ``groups_fit`` to skip the check."""
     keys = list(keys)
     gkeys = keys or ["_g"]
     names = list(probs)
@@ -71,8 +94,13 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value_col: str, probs: d
         data = data.withColumn("_g", F.lit(0))
     stats = data.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"),
                                      F.max("_v").alias("_hi"))
-    largest = stats.agg(F.max("_n")).first()[0]
-    if largest is None or largest <= map_limit:
+    map_limit = MAP_LIMIT if map_limit is None else map_limit
+    buckets = BUCKETS if buckets is None else buckets
+    band = BAND if band is None else band
+    if fits is None:
+        largest = stats.agg(F.max("_n")).first()[0]
+        fits = largest is None or largest <= map_limit
+    if fits:
         g = data.groupBy(*gkeys).agg(exact_percentile("_v", [float(probs[n]) for n in names]).alias("_q"))
         out = g.select(*gkeys, *[F.get(F.col("_q"), i).alias(n) for i, n in enumerate(names)])
         return out.drop("_g") if not keys else out
@@ -80,6 +108,8 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value_col: str, probs: d
     t = stats.select(*gkeys, "_n", "_lo", "_hi", F.explode(qs).alias("_qp"))
     t = t.select(*gkeys, "_n", "_lo", "_hi", F.col("_qp.q").alias("_q"),
                  (F.col("_qp.p") * (F.col("_n") - 1)).alias("_pos"))
+    from pyspark import StorageLevel
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)  # several passes over the narrow projection
     vals = _select_ranks(data, t, gkeys, buckets, band)
     out = vals.groupBy(*gkeys).pivot("_q", names).agg(F.first("_value"))
     return out.drop("_g") if not keys else out
@@ -136,10 +166,12 @@ def _select_ranks(data: DataFrame, t: DataFrame, gkeys: list[str], buckets: int,
     return m.select(*gkeys, "_q", value.alias("_value"))
 
 
-def order_statistics(df: DataFrame, value_col: str, ranks: Sequence[int], buckets: int = BUCKETS,
-                     band: int = BAND) -> dict[int, float]:
+def order_statistics(df: DataFrame, value_col: str, ranks: Sequence[int], buckets: int | None = None,
+                     band: int | None = None) -> dict[int, float]:
     """Exact values at 0-based ``ranks`` of the non-null values (ascending),
     by the same distributed selection; only the answers reach the driver."""
+    buckets = BUCKETS if buckets is None else buckets
+    band = BAND if band is None else band
     data = df.select(F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull()) \
              .withColumn("_g", F.lit(0))
     stats = data.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
@@ -170,10 +202,11 @@ def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def column_quantiles(df: DataFrame, cols: Sequence[str], p: float = 0.5, map_limit: int = MAP_LIMIT) -> DataFrame:
+def column_quantiles(df: DataFrame, cols: Sequence[str], p: float = 0.5, map_limit: int | None = None) -> DataFrame:
     """One-row frame with the exact ``p`` quantile of each column.  When the
     frame is small enough for the percentile aggregate, all columns are done
     in a single pass; otherwise each column goes through the selection path."""
+    map_limit = MAP_LIMIT if map_limit is None else map_limit
     n = df.count()
     if n <= map_limit:
         return df.agg(*[exact_percentile(F.col(c).cast("double"), p).alias(c) for c in cols])

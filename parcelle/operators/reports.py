@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelle.functions import derive as D
-from parcelle.operators.quantiles import group_quantiles, join_groups, with_one_row
+from parcelle.operators.quantiles import group_quantiles, groups_fit, join_groups, quantile_columns, with_one_row
 
 
 def count_by(df: DataFrame, col: str, out: str = "nb") -> DataFrame:
@@ -66,14 +66,15 @@ def group_stats(df: DataFrame, keys: Sequence[str], measures: Sequence[str], med
                 count_name: str = "nb") -> DataFrame:
     """Count, mean and exact median per measure and group,
     flat ``<measure>_mean`` / ``<measure>_median`` names."""
-    base = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name),
-                                 *[F.avg(m).alias(f"{m}_mean") for m in measures])
+    aggs = [F.count(F.lit(1)).alias(count_name), *[F.avg(m).alias(f"{m}_mean") for m in measures]]
+    g = df.groupBy(*keys) if keys else df
     if not medians:
-        return base
-    out = base
+        return g.agg(*aggs)
+    if groups_fit(df, keys):
+        return g.agg(*aggs, *[c for m in measures for c in quantile_columns(m, {f"{m}_median": 0.5})])
+    out = g.agg(*aggs)
     for m in measures:
-        q = group_quantiles(df, keys, m, {f"{m}_median": 0.5})
-        out = join_groups(out, q, keys)
+        out = join_groups(out, group_quantiles(df, keys, m, {f"{m}_median": 0.5}, fits=False), keys)
     return out
 
 
@@ -106,14 +107,27 @@ def limit_per_group(df: DataFrame, group_col: str, n: int, order_cols: Sequence[
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, sample std, min, exact quartiles, max per column
     (one row per column)."""
-    rows = None
-    for c in cols:
-        stats = df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-                       F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"))
-        q = group_quantiles(df, [], c, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-        one = with_one_row(stats, q).select(F.lit(c).alias("column"), "*")
-        rows = one if rows is None else rows.unionByName(one)
-    return rows
+    probs = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+
+    def stats(c: str) -> list[Column]:
+        return [F.count(c).alias(f"{c}__count"), F.avg(c).alias(f"{c}__mean"), F.stddev_samp(c).alias(f"{c}__std"),
+                F.min(c).cast("double").alias(f"{c}__min"), F.max(c).cast("double").alias(f"{c}__max")]
+
+    names = ["count", "mean", "std", "min", "max", *probs]
+    if groups_fit(df, []):
+        # One pass for every column, then one row per column.
+        one = df.agg(*[x for c in cols for x in stats(c)],
+                     *[F.get(F.percentile(F.col(c).cast("double"), [float(p) for p in probs.values()]), i)
+                       .alias(f"{c}__{n}") for c in cols for i, n in enumerate(probs)])
+    else:
+        one = None
+        for c in cols:
+            part = with_one_row(df.agg(*stats(c)),
+                                group_quantiles(df, [], c, {f"{c}__{n}": p for n, p in probs.items()}, fits=False))
+            one = part if one is None else with_one_row(one, part)
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), *[F.col(f"{c}__{n}").alias(n) for n in names])
+                               for c in cols]))
+    return one.select(rows.alias("_r")).select("_r.*")
 
 
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:

@@ -28,3 +28,18 @@ def test_global_and_order_statistics(spark):
     b = Q.group_quantiles(df, [], "v", {"m": 0.5, "q": 0.33}, map_limit=0, buckets=8, band=5)
     assert a.collect() == b.collect()
     assert Q.order_statistics(df, "v", [0, 10, 999], buckets=8, band=5) == {0: 0.0, 10: 10.0, 999: 999.0}
+
+
+def test_queries_same_on_both_paths(spark, monkeypatch):
+    """Registered queries give identical rows whether medians come from the
+    percentile aggregate or from the distributed selection."""
+    from parcelle.plans.catalog import load_all
+    from tests.conftest import SF_SMALL
+    qs = load_all()
+    names = ["price_stats", "type_stats", "describe", "season_medians", "boxplot", "error_stats"]
+    before = {n: sorted(map(tuple, qs[n].fn(spark, SF_SMALL).collect()), key=repr) for n in names}
+    monkeypatch.setattr(Q, "MAP_LIMIT", 0)
+    monkeypatch.setattr(Q, "BAND", 7)
+    monkeypatch.setattr(Q, "BUCKETS", 5)
+    after = {n: sorted(map(tuple, qs[n].fn(spark, SF_SMALL).collect()), key=repr) for n in names}
+    assert before == after
