@@ -26,39 +26,28 @@ def _dup_key_cols(date_col="date_mutation", price_col="valeur_fonciere", code_co
             F.coalesce(F.col(type_col), F.lit("")).alias("_k_type")]
 
 
-def _first_ids(df: DataFrame, id_col: str, **names) -> DataFrame:
-    """Lowest id per duplicate key, for keys whose SQL-equality parts are non-null.
-
-    A plain aggregate: partially combined map-side, so a key holding a third of
-    all rows does not land whole in one task."""
-    k = _dup_key_cols(**names)
-    notnull = F.col(names.get("date_col", "date_mutation")).isNotNull() & \
-        F.col(names.get("price_col", "valeur_fonciere")).isNotNull() & \
-        F.col(names.get("code_col", "code_commune")).isNotNull()
-    return (df.where(notnull).select(F.col(id_col), *k)
-              .groupBy("_k_date", "_k_price", "_k_code", "_k_area", "_k_type")
-              .agg(F.min(id_col).alias(id_col))
-              .select(id_col))
-
-
-def flag_duplicates(df: DataFrame, id_col: str = "id", flag: str = "is_duplicate", **names) -> DataFrame:
-    """W1 as a flag: True for every row that a lower id with the same key makes
-    redundant.  Rows with a NULL date, price or commune are never duplicates
-    (SQL equality never matches NULL)."""
-    firsts = _first_ids(df, id_col, **names).withColumn("_first", F.lit(True))
-    code = names.get("code_col", "code_commune")
-    date = names.get("date_col", "date_mutation")
-    price = names.get("price_col", "valeur_fonciere")
-    keyed = F.col(date).isNotNull() & F.col(price).isNotNull() & F.col(code).isNotNull()
-    # Joined on the unique id: the shuffle is spread evenly whatever the key skew.
-    return (df.join(firsts, id_col, "left")
-              .withColumn(flag, keyed & F.col("_first").isNull())
-              .drop("_first"))
+def _dedup_groups(df: DataFrame, id_col: str = "id", date_col="date_mutation", price_col="valeur_fonciere",
+                  code_col="code_commune", area_col="surface_reelle_bati", type_col="type_local") -> DataFrame:
+    """W1 as ONE aggregate: per duplicate key, the row with the lowest id
+    (``min`` of a struct led by the id) and the group size ``_gsize``.
+
+    Rows whose date, price or commune is NULL can never be duplicates (SQL
+    equality never matches NULL), so their own id joins the grouping key and
+    each stays a group of one.  The aggregate is combined map-side, so a key
+    holding a third of all rows sends one row per partition to the shuffle,
+    and no second pass over the input (join back) is needed."""
+    keyed = F.col(date_col).isNotNull() & F.col(price_col).isNotNull() & F.col(code_col).isNotNull()
+    others = [c for c in df.columns if c != id_col]
+    g = df.groupBy(*_dup_key_cols(date_col, price_col, code_col, area_col, type_col),
+                   F.when(~keyed, F.col(id_col)).alias("_k_single"))
+    row = F.min(F.struct(F.col(id_col), *[F.col(c) for c in others])).alias("_row")
+    out = g.agg(row, F.count(F.lit(1)).alias("_gsize"))
+    return out.select(*[F.col(f"_row.{c}").alias(c) for c in df.columns], "_gsize")
 
 
 def remove_duplicates(df: DataFrame, id_col: str = "id", **names) -> DataFrame:
     """Keep the lowest id per (date, price, commune, area or 0, type or '')."""
-    return flag_duplicates(df, id_col, "_dup", **names).where(~F.col("_dup")).drop("_dup")
+    return _dedup_groups(df, id_col, **names).drop("_gsize")
 
 
 def filter_price(df: DataFrame, col: str = "valeur_fonciere", lo: float = D.MIN_PRICE,
@@ -107,7 +96,8 @@ def clean(df: DataFrame, price=(D.MIN_PRICE, D.MAX_PRICE), area=(D.MIN_SURFACE,
 def audit_counts(df: DataFrame, price=(D.MIN_PRICE, D.MAX_PRICE), area=(D.MIN_SURFACE, D.MAX_SURFACE),
                  ratio=(D.MIN_PRICE_M2, D.MAX_PRICE_M2)) -> DataFrame:
     """rows removed by each cleaning step, in step order, from one aggregate."""
-    f = flag_duplicates(df, flag="_dup")
+    # Survivors of W1 carry their group size: the duplicates are the rest.
+    f = _dedup_groups(df)
     p, a = F.col("valeur_fonciere"), F.col("surface_reelle_bati")
     raw_ratio = F.when(a > 0, D.price_per_area("valeur_fonciere", "surface_reelle_bati"))
     low = F.coalesce(p < price[0], F.lit(False))
@@ -115,14 +105,13 @@ def audit_counts(df: DataFrame, price=(D.MIN_PRICE, D.MAX_PRICE), area=(D.MIN_SU
     small = a.isNotNull() & (a < area[0])
     big = a.isNotNull() & (a > area[1])
     bad_ratio = raw_ratio.isNotNull() & ((raw_ratio < ratio[0]) | (raw_ratio > ratio[1]))
-    alive1 = ~F.col("_dup")
-    alive2 = alive1 & ~low & ~high
+    alive2 = ~low & ~high
     alive3 = alive2 & ~small & ~big
     return f.agg(
-        F.count(F.lit(1)).alias("rows_before"),
-        F.count_if(F.col("_dup")).alias("removed_duplicates"),
-        F.count_if(alive1 & low).alias("removed_price_low"),
-        F.count_if(alive1 & high).alias("removed_price_high"),
+        F.sum("_gsize").alias("rows_before"),
+        F.sum(F.col("_gsize") - 1).alias("removed_duplicates"),
+        F.count_if(low).alias("removed_price_low"),
+        F.count_if(high).alias("removed_price_high"),
         F.count_if(alive2 & small).alias("removed_area_small"),
         F.count_if(alive2 & big).alias("removed_area_big"),
         F.count_if(alive3 & bad_ratio).alias("removed_ratio"),
