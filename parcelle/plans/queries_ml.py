@@ -117,7 +117,7 @@ def q_feature_medians(spark, sf):
     return med.select(*[rnd(c, 4).alias(c) for c in cols])
 
 
-@register("split_summary", "M1 M3 M4")
+@register("split_summary", "M1 M2 M3 M4 F1 F2 P34")
 def q_split_summary(spark, sf):
     data, _ = prepared(spark, sf)
     return M.split_summary(M.hash_split(data))
