@@ -9,8 +9,13 @@ in an equi-join, then the exact predicate filters the candidates:
   axes (valid up to ``max_abs_lat`` and away from the +-180 degree line);
 * polygons: each polygon is copied into the cells its bounding box covers.
 
-Hot cells (one cell may hold a third of all points) are split by an optional
-salt: points get ``pmod(xxhash64(id), salt_buckets)``, the (smaller) place or
+When the place / polygon side passes the broadcast size check it is grouped
+into one candidate list per cell and broadcast; each point looks up its own
+cell and filters the list with higher-order functions, so the (large) point
+side is neither shuffled nor re-aggregated: a map-only stage.
+
+Otherwise both sides are shuffled on the cell.  Hot cells (one cell may hold a
+third of all points) are then split by an optional salt: points get ``pmod(xxhash64(id), salt_buckets)``, the (smaller) place or
 polygon side is copied once per salt value.  After the join, rows of one point
 share (cell, salt), so the per-point aggregate reuses the join's hash
 partitioning instead of shuffling again.
@@ -25,11 +30,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelle.functions import geo as G
-from parcelle.plans.sizing import broadcast_if_small
+from parcelle.plans.sizing import DEFAULT_MAX_BROADCAST_BYTES, broadcast_if_small, estimated_bytes
 
 _NEIGHBOURS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
 
 
+def _fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    size = estimated_bytes(df)
+    return size is not None and size <= max_bytes
+
+
 def radius_cells(radius_m: float, max_abs_lat: float = 75.0, margin: float = 1.02) -> tuple[float, float]:
     """(lat_cell, lon_cell) in degrees, each at least the radius wide."""
     lat_cell = radius_m / G.METRES_PER_DEGREE * margin
@@ -59,7 +69,8 @@ def count_within_radius(points: DataFrame, places: DataFrame, radius_m: float, *
                         lat: str = "latitude", lon: str = "longitude", place_lat: str = "latitude",
                         place_lon: str = "longitude", type_col: str | None = None,
                         types: Sequence[str] = (), out_prefix: str = "nb_", salt_buckets: int = 1,
-                        max_abs_lat: float = 75.0) -> DataFrame:
+                        max_abs_lat: float = 75.0,
+                        max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """For every point, the number of places within ``radius_m``
     metres (haversine), in total and per listed type, in one join.
     Points without coordinates or without places nearby get 0."""
@@ -77,7 +88,23 @@ def count_within_radius(points: DataFrame, places: DataFrame, radius_m: float, *
                .withColumns({"_cx": F.floor(F.col("_plon") / lon_cell) + F.col("_o.dx"),
                              "_cy": F.floor(F.col("_plat") / lat_cell) + F.col("_o.dy")})
                .drop("_o"))
-    q = broadcast_if_small(_copy_per_salt(q, salt_buckets))
+    if _fits_broadcast(q, max_broadcast_bytes):
+        # Small place side: one row per cell holding that cell's candidates,
+        # broadcast; each point reads its own cell.  Map-only: the points are
+        # never shuffled and no per-point aggregate is needed.
+        fields = [F.col("_plat").alias("lat"), F.col("_plon").alias("lon")]
+        if type_col:
+            fields.append(F.col("_ptype").alias("t"))
+        cells = q.groupBy("_cx", "_cy").agg(F.collect_list(F.struct(*fields)).alias("_cands"))
+        j = points.withColumns({"_cx": F.floor(F.col(lon) / lon_cell), "_cy": F.floor(F.col(lat) / lat_cell)}) \
+                  .join(F.broadcast(cells), ["_cx", "_cy"], "left")
+        hits = F.filter(F.coalesce(F.col("_cands"), F.array().cast(cells.schema["_cands"].dataType)),
+                        lambda c: G.haversine_km(F.col(lat), F.col(lon), c["lat"], c["lon"]) * 1000.0 <= radius_m)
+        cols = {f"{out_prefix}total": F.size(hits).cast("long")}
+        for t in types:
+            cols[f"{out_prefix}{t}"] = F.size(F.filter(hits, lambda c, t=t: c["t"] == t)).cast("long")
+        return j.withColumns(cols).drop("_cx", "_cy", "_cands")
+    q = _copy_per_salt(q, salt_buckets)
     near = G.haversine_km(F.col(lat), F.col(lon), F.col("_plat"), F.col("_plon")) * 1000.0 <= radius_m
     cond = [p["_cx"] == q["_cx"], p["_cy"] == q["_cy"], p["_salt"] == q["_salt"], near]
     j = p.join(q, cond, "left").select(p["*"], q["_plat"], *([q["_ptype"]] if type_col else []))
@@ -98,7 +125,8 @@ def polygon_cells(polygons: DataFrame, ring_col: str, cell_deg: float, pad_lat:
 
 def locate_in_polygons(points: DataFrame, polygons: DataFrame, *, id_col: str = "id", lat: str = "latitude",
                        lon: str = "longitude", poly_id: str = "id", ring_col: str = "ring",
-                       out_col: str = "quartier_id", cell_deg: float = 0.1, salt_buckets: int = 1) -> DataFrame:
+                       out_col: str = "quartier_id", cell_deg: float = 0.1, salt_buckets: int = 1,
+                       max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Attach the least id of the polygons strictly containing each
     point (NULL when none)."""
     pcols = points.columns
@@ -106,7 +134,17 @@ def locate_in_polygons(points: DataFrame, polygons: DataFrame, *, id_col: str =
                             "_salt": _salt(id_col, salt_buckets)})
     q = polygon_cells(polygons.select(F.col(poly_id).alias("_qid"), F.col(ring_col).alias("_ring")),
                       "_ring", cell_deg)
-    q = broadcast_if_small(_copy_per_salt(q, salt_buckets))
+    if _fits_broadcast(q, max_broadcast_bytes):
+        # Small polygon side: per-cell candidate lists, broadcast, map-only probe.
+        cells = q.groupBy("_cx", "_cy").agg(F.collect_list(F.struct(F.col("_qid").alias("id"),
+                                                                     F.col("_ring").alias("ring"))).alias("_cands"))
+        j = points.withColumns({"_cx": F.floor(F.col(lon) / cell_deg), "_cy": F.floor(F.col(lat) / cell_deg)}) \
+                  .join(F.broadcast(cells), ["_cx", "_cy"], "left")
+        inside = F.filter(F.coalesce(F.col("_cands"), F.array().cast(cells.schema["_cands"].dataType)),
+                          lambda c: G.ring_contains(c["ring"], F.col(lon), F.col(lat)))
+        return j.withColumn(out_col, F.array_min(F.transform(inside, lambda c: c["id"]))) \
+                .drop("_cx", "_cy", "_cands")
+    q = _copy_per_salt(q, salt_buckets)
     cond = [p["_cx"] == q["_cx"], p["_cy"] == q["_cy"], p["_salt"] == q["_salt"],
             G.ring_contains(q["_ring"], p[lon], p[lat])]
     j = p.join(q, cond, "left").select(p["*"], q["_qid"])

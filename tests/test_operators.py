@@ -95,10 +95,12 @@ def test_point_in_polygon_concave_overlap_edge(spark):
                                   "id long, ring array<struct<lon:double,lat:double>>")
     pts = spark.createDataFrame([(1, 0.75, 1.5), (2, 2.0, 2.0), (3, 1.5, 0.5), (4, 2.0, 4.0), (5, 9.0, 9.0),
                                  (6, None, None)], "id long, latitude double, longitude double")
-    out = {r.id: r.quartier_id for r in spatial.locate_in_polygons(pts, polys, cell_deg=0.7, salt_buckets=3).collect()}
     # 1: inside both -> least id 3; 2: in the concave notch (outside concave), inside square -> 3;
     # 3: inside concave only; 4: on the concave's edge -> not contained; 5, 6: nowhere
-    assert out == {1: 3, 2: 3, 3: 7, 4: None, 5: None, 6: None}
+    for max_bytes in (0, 1 << 26):  # shuffled (salted) grid join, then broadcast per-cell lists
+        out = {r.id: r.quartier_id for r in spatial.locate_in_polygons(
+            pts, polys, cell_deg=0.7, salt_buckets=3, max_broadcast_bytes=max_bytes).collect()}
+        assert out == {1: 3, 2: 3, 3: 7, 4: None, 5: None, 6: None}
 
 
 def test_radius_count_equals_brute_force(spark):
@@ -107,14 +109,15 @@ def test_radius_count_equals_brute_force(spark):
     places = spark.range(80).select(F.col("id").alias("pid"), (45 + (F.col("id") * 41 % 200) / 1000.0).alias("latitude"),
                                     (2 + (F.col("id") * 29 % 300) / 1000.0).alias("longitude"),
                                     F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("t"))
-    got = {r.id: (r.nb_total, r.nb_a) for r in spatial.count_within_radius(
-        pts, places, 2000.0, type_col="t", types=["a"], salt_buckets=3).collect()}
     p = pts.alias("p").crossJoin(places.alias("q"))
     d = G.haversine_km(F.col("p.latitude"), F.col("p.longitude"), F.col("q.latitude"), F.col("q.longitude")) * 1000
     brute = p.where(d <= 2000).groupBy("p.id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("t") == "a").alias("na"))
     exp = {r.id: (r.n, r.na) for r in brute.collect()}
-    assert {k: v for k, v in got.items() if v[0] > 0} == exp
-    assert len(got) == 300
+    for max_bytes in (0, 1 << 26):
+        got = {r.id: (r.nb_total, r.nb_a) for r in spatial.count_within_radius(
+            pts, places, 2000.0, type_col="t", types=["a"], salt_buckets=3, max_broadcast_bytes=max_bytes).collect()}
+        assert {k: v for k, v in got.items() if v[0] > 0} == exp
+        assert len(got) == 300
 
 
 def test_distances():
