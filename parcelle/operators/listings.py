@@ -6,16 +6,54 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelle.functions import derive as D
+from parcelle.plans.sizing import broadcast_if_small
+
+
+MAX_GROUP = 1_000_000
+
+
+def previous_value(df: DataFrame, key: str, ts_col: str, tie_col: str, value_col: str, out_col: str,
+                   max_group: int | None = None) -> DataFrame:
+    """``lag(value)`` over (key ordered by ts, tie) that never sorts a hot key
+    in one task.
+
+    Keys with more than ``max_group`` rows are cut into time chunks at
+    approximate percentiles of their timestamps (a small broadcast table of
+    boundaries); the window runs per (key, chunk), and the first row of a
+    chunk takes the last value of the previous non-empty chunk from a
+    per-(key, chunk) aggregate.  The answer is exact: chunks follow the time
+    order, only their sizes are approximate.  Without hot keys this is the
+    plain window."""
+    max_group = MAX_GROUP if max_group is None else max_group
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") > max_group)
+    w_key = Window.partitionBy(key).orderBy(ts_col, tie_col)
+    if hot.isEmpty():
+        return df.withColumn(out_col, F.lag(value_col).over(w_key))
+    largest = hot.agg(F.max("_n")).first()[0]
+    k = -(-largest // max_group)
+    probs = [i / k for i in range(1, k)]
+    t = F.col(ts_col).cast("timestamp").cast("double")
+    bounds = (df.join(F.broadcast(hot.select(key)), key, "left_semi")
+                .groupBy(key).agg(F.percentile_approx(t, probs, 10000).alias("_bounds")))
+    chunked = df.join(broadcast_if_small(bounds), key, "left").withColumn(
+        "_chunk", F.coalesce(F.size(F.filter("_bounds", lambda b: b < t)), F.lit(0))).drop("_bounds")
+    w = Window.partitionBy(key, "_chunk").orderBy(ts_col, tie_col)
+    local = chunked.withColumns({"_prev": F.lag(value_col).over(w), "_rn": F.row_number().over(w)})
+    lasts = chunked.groupBy(key, "_chunk").agg(
+        F.max_by(value_col, F.struct(ts_col, tie_col)).alias("_last"))
+    lasts = lasts.withColumn("_carry", F.lag("_last").over(Window.partitionBy(key).orderBy("_chunk")))
+    out = local.join(lasts.select(key, "_chunk", "_carry"), [key, "_chunk"], "left")
+    return out.withColumn(out_col, F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_prev"))) \
+              .drop("_chunk", "_prev", "_rn", "_carry")
 
 
 def price_variation(history: DataFrame, listing_col: str = "listing_id", ts_col: str = "date_observation",
-                    price_col: str = "prix", tie_col: str = "id") -> DataFrame:
+                    price_col: str = "prix", tie_col: str = "id", max_group: int | None = None) -> DataFrame:
     """Percent change from the previous observed price of the same listing
     (NULL for the first observation)."""
-    w = Window.partitionBy(listing_col).orderBy(ts_col, tie_col)
-    prev = F.lag(price_col).over(w)
-    return history.withColumns({"prix_precedent": prev,
-                                "variation_pct": D.percent_diff(F.col(price_col), prev)})
+    out = previous_value(history, listing_col, ts_col, tie_col, price_col, "prix_precedent", max_group)
+    return out.withColumn("variation_pct", D.percent_diff(F.col(price_col), F.col("prix_precedent")))
 
 
 def price_history_json(history: DataFrame, listing_col: str = "listing_id", ts_col: str = "date_observation",

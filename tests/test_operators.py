@@ -131,3 +131,14 @@ def test_upsert_overwrites_with_null(spark):
     i = spark.createDataFrame([("b", None, 5), ("c", "z", 3)], "k string, name string, pop int")
     out = {r.k: (r.name, r.pop, r.row_source) for r in L.upsert(t, i, "k", ["name", "pop"]).collect()}
     assert out == {"a": ("x", 1, "kept"), "b": (None, 5, "updated"), "c": ("z", 3, "inserted")}
+
+
+def test_price_variation_chunked_equals_window(spark):
+    from parcelle.operators import listings as LS
+    h = spark.range(3000).select(F.col("id"), (F.col("id") % 3).alias("listing_id"),
+                                 F.timestamp_seconds((F.col("id") * 7919) % 100000).cast("timestamp_ntz").alias("date_observation"),
+                                 ((F.col("id") * 13) % 97 + 1).cast("double").alias("prix"))
+    a = {r.id: (r.prix_precedent, r.variation_pct) for r in LS.price_variation(h).collect()}
+    b = {r.id: (r.prix_precedent, r.variation_pct) for r in LS.price_variation(h, max_group=100).collect()}
+    assert a == b
+    assert sum(1 for v in a.values() if v[0] is None) == 3
