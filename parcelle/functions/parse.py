@@ -117,15 +117,56 @@ def truncate_widths(df: DataFrame, widths: dict[str, int] | None = None) -> Data
     return df.withColumns({c: F.substring(c, 1, n) for c, n in widths.items() if c in df.columns})
 
 
-def content_id(date: str | Column, code: str | Column, price: str | Column, order_by: Sequence[str]) -> Column:
-    """P9 (+ T2): yyyyMMdd_commune_integer-price_occurrence.  The occurrence
-    number counts identical content, so reloading the same rows in any order
-    gives the same ids."""
+MAX_GROUP = 1_000_000
+EXPAND_PIECE = 100_000
+
+
+def with_content_id(df: DataFrame, date: str, code: str, price: str, order_by: Sequence[str],
+                    out_col: str = "dvf_id", max_group: int | None = None) -> DataFrame:
+    """P9 (+ T2): ``yyyyMMdd_commune_integer-price_occurrence``.  The
+    occurrence numbers 0..k-1 the rows of identical content in ``order_by``
+    order (then the remaining columns), so reloading the same rows in any
+    order gives the same ids.
+
+    Skew-safe without losing rows: identical rows are first collapsed into
+    (row, count) by an aggregate combined map-side; distinct rows of a hot
+    content key are spread over hash chunks, numbered per chunk, and shifted
+    by the sizes of the earlier chunks (a small per-(key, chunk) table); each
+    (row, count) is then cut into pieces of at most ``EXPAND_PIECE`` numbers
+    that are redistributed before being expanded back into rows."""
     from pyspark.sql import Window
-    base = F.concat_ws("_", F.date_format(_c(date), "yyyyMMdd"), _c(code),
-                       _c(price).cast("long").cast("string"))
-    occ = F.row_number().over(Window.partitionBy(base).orderBy(*order_by)) - 1
-    return F.concat_ws("_", base, occ.cast("string"))
+    max_group = MAX_GROUP if max_group is None else max_group
+    cols = list(df.columns)
+    order = list(order_by) + [c for c in cols if c not in order_by]
+    base = F.concat_ws("_", F.date_format(F.col(date), "yyyyMMdd"), F.col(code),
+                       F.col(price).cast("long").cast("string"))
+    d = df.withColumn("_key", base).groupBy("_key", *cols).agg(F.count(F.lit(1)).alias("_c"))
+    nd = d.groupBy("_key").agg(F.count(F.lit(1)).alias("_nd"))
+    largest = nd.agg(F.max("_nd")).first()[0] or 0
+    if largest > max_group:
+        k = -(-largest // max_group)
+        hot = nd.where(F.col("_nd") > max_group).select("_key", F.lit(True).alias("_hot"))
+        from parcelle.plans.sizing import broadcast_if_small
+        d = d.join(broadcast_if_small(hot), "_key", "left").withColumn(
+            "_chunk", F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(k)))
+                       .otherwise(F.lit(0))).drop("_hot")
+    else:
+        d = d.withColumn("_chunk", F.lit(0).cast("long"))
+    w = Window.partitionBy("_key", "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("_cum", F.sum("_c").over(w))
+    tot = d.groupBy("_key", "_chunk").agg(F.sum("_c").alias("_tc"))
+    before = Window.partitionBy("_key").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.withColumn("_off", F.coalesce(F.sum("_tc").over(before), F.lit(0)))
+    d = d.join(tot.select("_key", "_chunk", "_off"), ["_key", "_chunk"]) \
+         .withColumn("_start", F.col("_off") + F.col("_cum") - F.col("_c"))
+    pieces = d.withColumn("_p", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("_c") / EXPAND_PIECE) - 1)))
+    pieces = pieces.withColumns({"_ps": F.col("_start") + F.col("_p") * EXPAND_PIECE,
+                                 "_pl": F.least(F.lit(EXPAND_PIECE).cast("long"), F.col("_c") - F.col("_p") * EXPAND_PIECE)})
+    if largest > max_group:
+        pieces = pieces.repartition("_key", "_ps")
+    occ = F.explode(F.sequence(F.col("_ps"), F.col("_ps") + F.col("_pl") - 1))
+    out = pieces.select(*cols, "_key", occ.alias("_occ"))
+    return out.withColumn(out_col, F.concat_ws("_", F.col("_key"), F.col("_occ").cast("string"))).drop("_key", "_occ")
 
 
 def clean_raw_sales(raw: DataFrame) -> DataFrame:

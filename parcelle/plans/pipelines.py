@@ -39,8 +39,8 @@ def load_sales_file(spark: SparkSession, path: str, target: DataFrame, communes:
         raw = raw.limit(max_rows)  # S3 test mode
     df = P.truncate_widths(P.clean_raw_sales(raw))
     df = L.link_by_code(df, communes)
-    df = df.withColumn("dvf_id", P.content_id("date_mutation", "code_commune", "valeur_fonciere",
-                                              order_by=["valeur_fonciere", "surface_reelle_bati", "nb_pieces"]))
+    df = P.with_content_id(df, "date_mutation", "code_commune", "valeur_fonciere",
+                           order_by=["valeur_fonciere", "surface_reelle_bati", "nb_pieces"])
     df = D.derive_sales(df)
     ok, bad = C.split_valid(df, C.sales_rules(land=None, score=None))
     new = L.insert_new(target, ok, "dvf_id", order_col="dvf_id")

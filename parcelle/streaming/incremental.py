@@ -40,8 +40,8 @@ def incremental_load(spark: SparkSession, landing_dir: str, target_path: str, ch
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         df = D.derive_sales(P.clean_raw_sales(batch))
-        df = df.withColumn("dvf_id", P.content_id("date_mutation", "code_commune", "valeur_fonciere",
-                                                  order_by=["valeur_fonciere", "surface_reelle_bati"]))
+        df = P.with_content_id(df, "date_mutation", "code_commune", "valeur_fonciere",
+                               order_by=["valeur_fonciere", "surface_reelle_bati"])
         new = L.insert_new(_target_ids(batch.sparkSession, target_path), df, "dvf_id", order_col="dvf_id")
         new.withColumn("load_epoch", F.lit(epoch_id)).write.mode("append").parquet(target_path)
 

@@ -63,3 +63,17 @@ def test_view_and_model_sinks(spark):
     from pyspark.ml import PipelineModel
     again = PipelineModel.load(os.path.join(base, "model", "model"))
     assert again.transform(df).count() == 200
+
+
+def test_content_id_hot_identical_rows(spark):
+    from parcelle.functions import parse as P
+    rows = [("2020-01-01", "75056", 1000.0, 1.0)] * 2500 + [("2020-01-01", "75056", 1000.0, float(i)) for i in range(40)] \
+        + [("2021-01-01", "69123", 5.5, 2.0)]
+    df = spark.createDataFrame(rows, "d string, code string, price double, extra double").withColumn("d", F.to_date("d"))
+    a = P.with_content_id(df, "d", "code", "price", order_by=["extra"])
+    b = P.with_content_id(df, "d", "code", "price", order_by=["extra"], max_group=5)
+    ida = sorted(r.dvf_id for r in a.collect())
+    idb = sorted(r.dvf_id for r in b.collect())
+    assert len(ida) == len(rows) and len(set(ida)) == len(rows)
+    assert len(idb) == len(rows) and len(set(idb)) == len(rows)
+    assert "20200101_75056_1000_2539" in ida and "20210101_69123_5_0" in ida
