@@ -140,7 +140,13 @@ def with_content_id(df: DataFrame, date: str, code: str, price: str, order_by: S
     order = list(order_by) + [c for c in cols if c not in order_by]
     base = F.concat_ws("_", F.date_format(F.col(date), "yyyyMMdd"), F.col(code),
                        F.col(price).cast("long").cast("string"))
-    d = df.withColumn("_key", base).groupBy("_key", *cols).agg(F.count(F.lit(1)).alias("_c"))
+    keyed = df.withColumn("_key", base)
+    rows_largest = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+    if rows_largest <= max_group:
+        # No hot key: a plain window numbers each content group.
+        occ = F.row_number().over(Window.partitionBy("_key").orderBy(*order)) - 1
+        return keyed.withColumn(out_col, F.concat_ws("_", F.col("_key"), occ.cast("string"))).drop("_key")
+    d = keyed.groupBy("_key", *cols).agg(F.count(F.lit(1)).alias("_c"))
     nd = d.groupBy("_key").agg(F.count(F.lit(1)).alias("_nd"))
     largest = nd.agg(F.max("_nd")).first()[0] or 0
     if largest > max_group:
@@ -162,8 +168,7 @@ def with_content_id(df: DataFrame, date: str, code: str, price: str, order_by: S
     pieces = d.withColumn("_p", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("_c") / EXPAND_PIECE) - 1)))
     pieces = pieces.withColumns({"_ps": F.col("_start") + F.col("_p") * EXPAND_PIECE,
                                  "_pl": F.least(F.lit(EXPAND_PIECE).cast("long"), F.col("_c") - F.col("_p") * EXPAND_PIECE)})
-    if largest > max_group:
-        pieces = pieces.repartition("_key", "_ps")
+    pieces = pieces.repartition("_key", "_ps")
     occ = F.explode(F.sequence(F.col("_ps"), F.col("_ps") + F.col("_pl") - 1))
     out = pieces.select(*cols, "_key", occ.alias("_occ"))
     return out.withColumn(out_col, F.concat_ws("_", F.col("_key"), F.col("_occ").cast("string"))).drop("_key", "_occ")
