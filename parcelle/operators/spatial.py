@@ -35,9 +35,21 @@ from parcelle.plans.sizing import DEFAULT_MAX_BROADCAST_BYTES, broadcast_if_smal
 _NEIGHBOURS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
 
 
-def _fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+def _fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+                   row_bytes: Column | None = None, max_rows: int = 2_000_000) -> bool:
+    """Size check for the broadcast path.  The optimizer's estimate is used
+    first; estimates of derived tables (aggregates, explodes) are often far
+    above the truth, so when it is too large and ``row_bytes`` is given the
+    side is measured: a bounded job over at most ``max_rows + 1`` rows."""
+    if max_bytes <= 0:
+        return False
     size = estimated_bytes(df)
-    return size is not None and size <= max_bytes
+    if size is not None and size <= max_bytes:
+        return True
+    if row_bytes is None:
+        return False
+    m = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).alias("b")).first()
+    return m["n"] <= max_rows and (m["b"] or 0) <= max_bytes
 
 
 def radius_cells(radius_m: float, max_abs_lat: float = 75.0, margin: float = 1.02) -> tuple[float, float]:
@@ -88,7 +100,7 @@ def count_within_radius(points: DataFrame, places: DataFrame, radius_m: float, *
                .withColumns({"_cx": F.floor(F.col("_plon") / lon_cell) + F.col("_o.dx"),
                              "_cy": F.floor(F.col("_plat") / lat_cell) + F.col("_o.dy")})
                .drop("_o"))
-    if _fits_broadcast(q, max_broadcast_bytes):
+    if _fits_broadcast(q, max_broadcast_bytes, row_bytes=F.lit(48)):
         # Small place side: one row per cell holding that cell's candidates,
         # broadcast; each point reads its own cell.  Map-only: the points are
         # never shuffled and no per-point aggregate is needed.
@@ -101,8 +113,11 @@ def count_within_radius(points: DataFrame, places: DataFrame, radius_m: float, *
         hits = F.filter(F.coalesce(F.col("_cands"), F.array().cast(cells.schema["_cands"].dataType)),
                         lambda c: G.haversine_km(F.col(lat), F.col(lon), c["lat"], c["lon"]) * 1000.0 <= radius_m)
         cols = {f"{out_prefix}total": F.size(hits).cast("long")}
+        def of_type(t: str):
+            return lambda c: c["t"] == F.lit(t)
+
         for t in types:
-            cols[f"{out_prefix}{t}"] = F.size(F.filter(hits, lambda c, t=t: c["t"] == t)).cast("long")
+            cols[f"{out_prefix}{t}"] = F.size(F.filter(hits, of_type(t))).cast("long")
         return j.withColumns(cols).drop("_cx", "_cy", "_cands")
     q = _copy_per_salt(q, salt_buckets)
     near = G.haversine_km(F.col(lat), F.col(lon), F.col("_plat"), F.col("_plon")) * 1000.0 <= radius_m
@@ -134,7 +149,7 @@ def locate_in_polygons(points: DataFrame, polygons: DataFrame, *, id_col: str =
                             "_salt": _salt(id_col, salt_buckets)})
     q = polygon_cells(polygons.select(F.col(poly_id).alias("_qid"), F.col(ring_col).alias("_ring")),
                       "_ring", cell_deg)
-    if _fits_broadcast(q, max_broadcast_bytes):
+    if _fits_broadcast(q, max_broadcast_bytes, row_bytes=F.size("_ring") * 16 + 32):
         # Small polygon side: per-cell candidate lists, broadcast, map-only probe.
         cells = q.groupBy("_cx", "_cy").agg(F.collect_list(F.struct(F.col("_qid").alias("id"),
                                                                      F.col("_ring").alias("ring"))).alias("_cands"))
