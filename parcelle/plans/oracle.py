@@ -48,10 +48,10 @@ sales AS (
          CASE WHEN surface_reelle_bati > 0
                AND valeur_fonciere / surface_reelle_bati BETWEEN 500 AND 20000
               THEN valeur_fonciere / surface_reelle_bati END AS prix_m2,
-         year(date_mutation) AS annee,
-         month(date_mutation) AS mois,
-         quarter(date_mutation) AS trimestre,
-         dayofweek(date_mutation) AS jour_semaine
+         CAST(year(date_mutation) AS INTEGER) AS annee,
+         CAST(month(date_mutation) AS INTEGER) AS mois,
+         CAST(quarter(date_mutation) AS INTEGER) AS trimestre,
+         CAST(dayofweek(date_mutation) AS INTEGER) AS jour_semaine
   FROM sales_base
 ),
 communes AS (

@@ -49,7 +49,7 @@ feat AS (
          CASE WHEN s.mois IN (12, 1, 2) THEN 'Hiver' WHEN s.mois IN (3, 4, 5) THEN 'Printemps'
               WHEN s.mois IN (6, 7, 8) THEN 'Été' WHEN s.mois IN (9, 10, 11) THEN 'Automne' END AS saison,
          s.jour_semaine IN (0, 6) AS is_weekend,
-         dayofyear(s.date_mutation) AS jour_annee,
+         CAST(dayofyear(s.date_mutation) AS INTEGER) AS jour_annee,
          CASE WHEN s.nb_pieces > 0 THEN s.valeur_fonciere / s.nb_pieces END AS prix_par_piece,
          CASE WHEN s.nb_pieces > 0 AND s.surface_reelle_bati > 0 THEN s.surface_reelle_bati / s.nb_pieces END
            AS m2_par_piece,
