@@ -30,24 +30,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelle.functions import geo as G
-from parcelle.plans.sizing import DEFAULT_MAX_BROADCAST_BYTES, broadcast_if_small, estimated_bytes
+from parcelle.plans.sizing import DEFAULT_MAX_BROADCAST_BYTES, estimated_bytes
 
 _NEIGHBOURS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
 
 
 def _fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
                    row_bytes: Column | None = None, max_rows: int = 2_000_000) -> bool:
-    """Size check for the broadcast path.  The optimizer's estimate is used
-    first; estimates of derived tables (aggregates, explodes) are often far
-    above the truth, so when it is too large and ``row_bytes`` is given the
-    side is measured: a bounded job over at most ``max_rows + 1`` rows."""
+    """Size check for the broadcast path.  The candidate sides here are made
+    by ``explode`` (cells per place / per polygon), whose optimizer estimate
+    does not grow with the number of generated rows, so they are measured: a
+    bounded job over at most ``max_rows + 1`` rows that sums ``row_bytes``.
+    Without ``row_bytes`` the optimizer's estimate decides."""
     if max_bytes <= 0:
         return False
-    size = estimated_bytes(df)
-    if size is not None and size <= max_bytes:
-        return True
     if row_bytes is None:
-        return False
+        size = estimated_bytes(df)
+        return size is not None and size <= max_bytes
     m = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).alias("b")).first()
     return m["n"] <= max_rows and (m["b"] or 0) <= max_bytes
 
@@ -180,7 +179,8 @@ def count_near_polygons(polygons: DataFrame, places: DataFrame, radius_m: float,
                .select(F.col(place_lat).alias("_plat"), F.col(place_lon).alias("_plon"),
                        F.col(type_col).alias("_ptype"))
                .withColumns({"_cx": F.floor(F.col("_plon") / cell_deg), "_cy": F.floor(F.col("_plat") / cell_deg)}))
-    j = (p.join(broadcast_if_small(q), ["_cx", "_cy"], "inner")
+    q = F.broadcast(q) if _fits_broadcast(q, row_bytes=F.size("_ring") * 16 + 32) else q
+    j = (p.join(q, ["_cx", "_cy"], "inner")
           .where(G.ring_distance_m(F.col("_ring"), F.col("_plon"), F.col("_plat")) <= radius_m))
     counts = j.groupBy("_qid").agg(*[F.count_if(F.col("_ptype") == t).alias(f"{out_prefix}{t}") for t in types])
     base = polygons.select(F.col(poly_id).alias("_qid"))
