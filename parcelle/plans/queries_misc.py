@@ -191,8 +191,8 @@ def q_page_details(spark, sf):
     return PG.page_details(T.read(spark, sf, "pages"))
 
 
-@register("page_listings", "H7 E11")
-def q_page_listings(spark, sf):
+@register("page_extract", "H1 H2 H3 H4 H5 H6 H7 E11")
+def q_page_extract(spark, sf):
     pages = T.read(spark, sf, "pages")
     return PG.merge_cards_details(PG.listing_cards(pages), PG.page_details(pages))
 

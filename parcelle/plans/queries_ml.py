@@ -123,8 +123,8 @@ def q_split_summary(spark, sf):
     return M.split_summary(M.hash_split(data))
 
 
-@register("model_comparison", "M5 M6 M7 M8 M9 K7")
-def q_model_comparison(spark, sf):
+@register("regression_metrics", "M5 M6 M7 M8 M9 K7")
+def q_regression_metrics(spark, sf):
     data, feats = prepared(spark, sf)
     data = M.hash_split(data).cache()
     train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
