@@ -65,3 +65,20 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     loss, unlike a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings sized from the input volume: about ``target_partition_bytes``
+    per scan split and per shuffle partition before AQE coalescing, with the
+    skew-join split on.  E.g. 100 TB -> ~400k shuffle partitions, which AQE
+    coalesces where stages shrink (aggregates) and splits where a key is hot."""
+    parts = max(200, int(input_bytes // target_partition_bytes))
+    size = f"{target_partition_bytes // (1024 * 1024)}m"
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": size,
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
