@@ -70,9 +70,11 @@ def fill_coordinates(sales: DataFrame, communes: DataFrame, id_col: str = "commu
 
 
 def distance_to_commune(sales: DataFrame, communes: DataFrame, id_col: str = "commune_id",
-                        method: str = "cosine", out_col: str = "distance_centre_ville") -> DataFrame:
-    """Distance in km from each row to its commune centre (G2 law of
-    cosines by default, G1 haversine on request); only where still NULL."""
+                        method: str = "haversine", out_col: str = "distance_centre_ville") -> DataFrame:
+    """Distance in km from each row to its commune centre; only where
+    still NULL.  ``method="haversine"`` (G1, default) stands for the geodesic
+    distance the warehouse computes whenever both points have coordinates;
+    ``method="cosine"`` is its law-of-cosines fallback (G2)."""
     dim = communes.select(F.col("id").alias("_dc_id"), F.col("latitude").alias("_dc_lat"),
                           F.col("longitude").alias("_dc_lon"))
     j = sales.join(broadcast_if_small(dim), F.col(id_col) == F.col("_dc_id"), "left")

@@ -106,9 +106,9 @@ def enriched(spark, sf) -> DataFrame:
     return PL.enrich_sales(s, T.communes(spark, sf))
 
 
-@register("enrich_pipeline", "E8 J3 J4 J5 J6 J7 J17 G2", with_ctes(SQL_UNLINKED, SQL_ENRICHED, body=f"""
+@register("enrich_pipeline", "E8 J3 J4 J5 J6 J7 J17 G1", with_ctes(SQL_UNLINKED, SQL_ENRICHED, body=f"""
 SELECT id, commune_id, match_method, {r('latitude', 6)} AS latitude, {r('longitude', 6)} AS longitude, coord_source,
-       {r(G.sql_cosine_law_km('latitude', 'longitude', 'clat', 'clon'), 3)} AS distance_centre_ville
+       {r(G.sql_haversine_km('latitude', 'longitude', 'clat', 'clon'), 3)} AS distance_centre_ville
 FROM enriched
 """))
 def q_enrich_pipeline(spark, sf):
@@ -123,7 +123,7 @@ SELECT COUNT(*) AS total, COUNT(commune_id) AS with_commune,
        COUNT(*) FILTER (WHERE commune_id IS NULL) AS without_commune,
        COUNT(latitude) AS with_coords, {r('COUNT(latitude) * 100.0 / COUNT(*)', 1)} AS pct_coords,
        COUNT(*) FILTER (WHERE coord_source = 'commune') AS coords_from_commune,
-       {r('AVG(' + G.sql_cosine_law_km('latitude', 'longitude', 'clat', 'clon') + ')', 3)} AS distance_moyenne,
+       {r('AVG(' + G.sql_haversine_km('latitude', 'longitude', 'clat', 'clon') + ')', 3)} AS distance_moyenne,
        COUNT(DISTINCT commune_id) AS nb_communes, COUNT(DISTINCT match_method) AS nb_methods
 FROM enriched
 """))
