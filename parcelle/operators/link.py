@@ -74,11 +74,12 @@ def distance_to_commune(sales: DataFrame, communes: DataFrame, id_col: str = "co
     """Distance in km from each row to its commune centre; only where
     still NULL.  ``method="haversine"`` (G1, default) stands for the geodesic
     distance the warehouse computes whenever both points have coordinates;
-    ``method="cosine"`` is its law-of-cosines fallback (G2)."""
+    ``method="cosine"`` is its law-of-cosines fallback (G2); ``method="geodesic"``
+    measures on the WGS84 ellipsoid (Vincenty)."""
     dim = communes.select(F.col("id").alias("_dc_id"), F.col("latitude").alias("_dc_lat"),
                           F.col("longitude").alias("_dc_lon"))
     j = sales.join(broadcast_if_small(dim), F.col(id_col) == F.col("_dc_id"), "left")
-    fn = G.cosine_law_km if method == "cosine" else G.haversine_km
+    fn = {"cosine": G.cosine_law_km, "haversine": G.haversine_km, "geodesic": G.geodesic_km}[method]
     d = fn(F.col("latitude"), F.col("longitude"), F.col("_dc_lat"), F.col("_dc_lon"))
     if out_col in sales.columns:
         d = F.coalesce(F.col(out_col), d)

@@ -120,10 +120,19 @@ def test_radius_count_equals_brute_force(spark):
         assert len(got) == 300
 
 
-def test_distances():
+def test_distances(spark):
     import math as m
     # one degree of latitude on the 6371 km sphere
     assert m.isclose(G.METRES_PER_DEGREE, 111194.93, rel_tol=1e-6)
+    df = spark.createDataFrame([(0.0, 0.0, 0.0, 1.0), (48.8566, 2.3522, 45.7640, 4.8357), (10.0, 10.0, 10.0, 10.0)],
+                               "a double, b double, c double, d double")
+    rows = df.select(G.geodesic_km("a", "b", "c", "d").alias("g"), G.haversine_km("a", "b", "c", "d").alias("h"),
+                     G.cosine_law_km("a", "b", "c", "d").alias("k")).collect()
+    assert m.isclose(rows[0].g, 111.319491, rel_tol=1e-6)      # one degree of longitude on the WGS84 equator
+    assert m.isclose(rows[0].h, 111.194927, rel_tol=1e-6)
+    assert abs(rows[1].g - rows[1].h) / rows[1].g < 0.005       # sphere vs ellipsoid within 0.5 %
+    assert m.isclose(rows[1].h, rows[1].k, rel_tol=1e-9)
+    assert rows[2].g == 0.0 and rows[2].h == 0.0
 
 
 def test_upsert_overwrites_with_null(spark):
