@@ -130,3 +130,8 @@ raw_sales AS (
 
 def with_adapter(body: str) -> str:
     return "WITH " + ADAPTER.strip() + "\n" + body.strip()
+
+
+def with_ctes(*ctes: str, body: str) -> str:
+    """Adapter CTEs, then extra named CTEs, then the query body."""
+    return with_adapter("").rstrip() + ",\n" + ",\n".join(c.strip() for c in ctes) + "\n" + body.strip()

@@ -13,7 +13,7 @@ from parcelle.functions import rnd
 from parcelle.operators import reports as R
 from parcelle.plans import pipelines as PL
 from parcelle.plans.catalog import register
-from parcelle.plans.oracle import r, with_adapter
+from parcelle.plans.oracle import r, with_adapter, with_ctes
 from parcelle.plans.queries_clean import (RELOAD_OFFSET, SQL_DATE, SQL_INT, SQL_NUM, sql_commune_code,
                                           sql_postal)
 from parcelle.plans.queries_geo import SQL_UNLINKED, unlinked_sales
@@ -54,10 +54,6 @@ dd AS (
 )"""
 
 
-def with_ctes(*ctes: str, body: str) -> str:
-    return with_adapter("").rstrip() + ",\n" + ",\n".join(c.strip() for c in ctes) + "\n" + body.strip()
-
-
 @register("clean_pipeline", "E7 W1 F6 F7 F8 P27 P28 S14", with_ctes(SQL_FULL_FEED, body=f"""
 SELECT id,
        CASE WHEN type_local = 'Local industriel. commercial ou assimilé' THEN 'Local commercial' ELSE type_local END

@@ -9,7 +9,7 @@ from parcelle.functions import derive as D
 from parcelle.functions import rnd
 from parcelle.operators import reports as R
 from parcelle.plans.catalog import register
-from parcelle.plans.oracle import r, with_adapter
+from parcelle.plans.oracle import r, with_adapter, with_ctes
 from parcelle.plans.sizing import broadcast_if_small
 from parcelle.sources import tables as T
 
@@ -73,7 +73,7 @@ banded AS (
 
 
 def with_feat(body: str) -> str:
-    return with_adapter("").rstrip() + ",\n" + SQL_FEAT.strip() + "\n" + body.strip()
+    return with_ctes(SQL_FEAT, body=body)
 
 
 def banded(spark, sf) -> DataFrame:
