@@ -80,11 +80,12 @@ def count_within_radius(points: DataFrame, places: DataFrame, radius_m: float, *
                         lat: str = "latitude", lon: str = "longitude", place_lat: str = "latitude",
                         place_lon: str = "longitude", type_col: str | None = None,
                         types: Sequence[str] = (), out_prefix: str = "nb_", salt_buckets: int = 1,
-                        max_abs_lat: float = 75.0,
+                        max_abs_lat: float = 75.0, mean_km_col: str | None = None,
                         max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """For every point, the number of places within ``radius_m``
     metres (haversine), in total and per listed type, in one join.
-    Points without coordinates or without places nearby get 0."""
+    Points without coordinates or without places nearby get 0.  With
+    ``mean_km_col`` also the mean distance in km to those places (NULL if none)."""
     lat_cell, lon_cell = radius_cells(radius_m, max_abs_lat)
     pcols = points.columns
     p = points.withColumns({
@@ -117,6 +118,9 @@ def count_within_radius(points: DataFrame, places: DataFrame, radius_m: float, *
 
         for t in types:
             cols[f"{out_prefix}{t}"] = F.size(F.filter(hits, of_type(t))).cast("long")
+        if mean_km_col:
+            d = F.transform(hits, lambda c: G.haversine_km(F.col(lat), F.col(lon), c["lat"], c["lon"]))
+            cols[mean_km_col] = F.when(F.size(hits) > 0, F.aggregate(d, F.lit(0.0), lambda a, x: a + x) / F.size(hits))
         return j.withColumns(cols).drop("_cx", "_cy", "_cands")
     q = _copy_per_salt(q, salt_buckets)
     near = G.haversine_km(F.col(lat), F.col(lon), F.col("_plat"), F.col("_plon")) * 1000.0 <= radius_m
@@ -125,6 +129,8 @@ def count_within_radius(points: DataFrame, places: DataFrame, radius_m: float, *
     aggs = [F.count("_plat").alias(f"{out_prefix}total")]
     for t in types:
         aggs.append(F.count_if(F.col("_ptype") == t).alias(f"{out_prefix}{t}"))
+    if mean_km_col:
+        aggs.append(F.avg(G.haversine_km(F.col(lat), F.col(lon), F.col("_plat"), F.col("_plon"))).alias(mean_km_col))
     return _per_point(j, pcols, id_col, aggs)
 
 
@@ -188,3 +194,33 @@ def count_near_polygons(polygons: DataFrame, places: DataFrame, radius_m: float,
     return out.select(F.col("_qid").alias(poly_id),
                       *[F.coalesce(F.col(f"{out_prefix}{t}"), F.lit(0)).cast("long").alias(f"{out_prefix}{t}")
                         for t in types])
+
+
+def ring_centre(ring_col: str) -> dict[str, Column]:
+    """Mean of the ring's vertices (closing vertex excluded)."""
+    open_ring = F.slice(F.col(ring_col), 1, F.size(ring_col) - 1)
+    n = F.size(open_ring)
+    return {"lon": F.aggregate(open_ring, F.lit(0.0), lambda a, v: a + v["lon"]) / n,
+            "lat": F.aggregate(open_ring, F.lit(0.0), lambda a, v: a + v["lat"]) / n}
+
+
+# Declared district columns filled from place types.
+DISTRICT_TYPE_COLUMNS = {"commerce": "nb_commerces", "ecole": "nb_ecoles", "parc": "nb_parcs"}
+
+
+def district_attributes(quartiers: DataFrame, places: DataFrame, radius_m: float = 500.0,
+                        transport_radius_m: float = 1000.0, type_col: str = "type_poi",
+                        transport_type: str = "transport", type_columns: dict | None = None) -> DataFrame:
+    """Declared district columns (never computed by the warehouse code):
+    place counts by type within ``radius_m`` of the district polygon, and
+    ``proximite_transports`` = mean distance (km) from the district centre to
+    the transport places within ``transport_radius_m``."""
+    type_columns = DISTRICT_TYPE_COLUMNS if type_columns is None else type_columns
+    counts = count_near_polygons(quartiers, places, radius_m, type_col=type_col, types=list(type_columns),
+                                 out_prefix="_n_")
+    counts = counts.select("id", *[F.col(f"_n_{t}").alias(c) for t, c in type_columns.items()])
+    c = ring_centre("ring")
+    centres = quartiers.select("id", c["lat"].alias("latitude"), c["lon"].alias("longitude"))
+    transports = places.where(F.col(type_col) == transport_type)
+    prox = count_within_radius(centres, transports, transport_radius_m, mean_km_col="proximite_transports")
+    return counts.join(prox.select("id", "proximite_transports"), "id", "left")
