@@ -79,3 +79,31 @@ def price_summary(listings: DataFrame, price_col: str = "prix_affiche") -> DataF
     p = F.col(price_col)
     return listings.agg(F.count(p).alias("nb"), F.avg(p).alias("prix_moyen"),
                         F.min(p).alias("prix_min"), F.max(p).alias("prix_max"))
+
+
+# Energy labels allowed by the listings table.
+ENERGY_CLASSES = ["A", "B", "C", "D", "E", "F", "G"]
+
+
+def listing_rules(min_year: int = D.MIN_YEAR, max_year: int = D.MAX_YEAR) -> list[tuple[str, "F.Column"]]:
+    """S15/F10 for listings: the table's CHECK constraints plus the configured
+    build-year range (declared in the settings, applied here)."""
+    def energy(c: str):
+        return F.col(c).isNotNull() & ~F.col(c).isin(*ENERGY_CLASSES)
+
+    return [
+        ("url_missing", F.col("url").isNull()),
+        ("price_missing", F.col("prix_affiche").isNull()),
+        ("price_not_positive", F.col("prix_affiche") <= 0),
+        ("area_not_positive", F.col("surface_habitable") <= 0),
+        ("build_year_out_of_range", (F.col("annee_construction") < min_year) | (F.col("annee_construction") > max_year)),
+        ("dpe_invalid", energy("dpe_classe")),
+        ("ges_invalid", energy("ges_classe")),
+        ("quality_out_of_range", (F.col("data_quality_score") < 0) | (F.col("data_quality_score") > 100)),
+    ]
+
+
+def with_photo_count(listings: DataFrame, urls_col: str = "photos_urls", out_col: str = "nb_photos") -> DataFrame:
+    """Declared ``nb_photos`` from the photo URL list when not already known."""
+    n = F.when(F.col(urls_col).isNotNull(), F.size(urls_col))
+    return listings.withColumn(out_col, F.coalesce(F.col(out_col), n) if out_col in listings.columns else n)

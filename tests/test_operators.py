@@ -151,3 +151,20 @@ def test_price_variation_chunked_equals_window(spark):
     b = {r.id: (r.prix_precedent, r.variation_pct) for r in LS.price_variation(h, max_group=100).collect()}
     assert a == b
     assert sum(1 for v in a.values() if v[0] is None) == 3
+
+
+def test_listing_rules_and_photos(spark):
+    from parcelle.operators import listings as LS
+    rows = [("u1", 200000.0, 50.0, 1990, "C", None, 80, ["a", "b"], None),
+            ("u2", 0.0, None, 1700, "H", "B", 120, None, None),
+            (None, 150000.0, 40.0, 2030, None, "Z", 50, [], 3)]
+    df = spark.createDataFrame(rows, "url string, prix_affiche double, surface_habitable double, "
+                                     "annee_construction int, dpe_classe string, ges_classe string, "
+                                     "data_quality_score int, photos_urls array<string>, nb_photos int")
+    ok, bad = C.split_valid(df, LS.listing_rules())
+    assert [r.url for r in ok.collect()] == ["u1"]
+    reasons = {r.url: list(r.reject_reasons) for r in bad.collect()}
+    assert reasons["u2"] == ["price_not_positive", "build_year_out_of_range", "dpe_invalid", "quality_out_of_range"]
+    assert reasons[None] == ["url_missing", "build_year_out_of_range", "ges_invalid"]
+    photos = [r.nb_photos for r in LS.with_photo_count(df).collect()]
+    assert photos == [2, None, 3]

@@ -63,6 +63,17 @@ def test_view_and_model_sinks(spark):
     from pyspark.ml import PipelineModel
     again = PipelineModel.load(os.path.join(base, "model", "model"))
     assert again.transform(df).count() == 200
+    # Scored rows appended with their features as JSON
+    meds = M.scoring_medians(df, ["x"])
+    props = spark.createDataFrame([(1, 10.0), (2, None)], "id long, x double")
+    scored = M.score(again, props, ["x"], meds, rmse=0.0, area_col="x")
+    M.persist_predictions(scored, os.path.join(base, "predictions"), ["x"])
+    M.persist_predictions(scored, os.path.join(base, "predictions"), ["x"])
+    saved = spark.read.parquet(os.path.join(base, "predictions"))
+    assert saved.count() == 4
+    got = {r.id: (r.prix_predit, r.features_json) for r in saved.collect()}
+    assert got[1] == (21.0, '{"x":10.0}')     # y = 2x + 1
+    assert got[2] == (401.0, '{"x":200.0}')   # missing feature -> exact training median (199 + 201) / 2
 
 
 def test_content_id_hot_identical_rows(spark):
