@@ -97,3 +97,18 @@ def flatten_communes(raw: DataFrame, json_col: str = "payload") -> DataFrame:
 def attach_dimension(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Attach dimension attributes (left join, dimension broadcast when small)."""
     return fact.join(broadcast_if_small(dim), key, "left")
+
+
+# Defaults of the department extract.
+DEFAULT_START_DATE = "2022-01-01"
+DEFAULT_END_DATE = "2024-12-31"
+DEFAULT_TYPES = ["Appartement", "Maison"]
+DEFAULT_DEPARTMENTS = [("75", "Paris"), ("69", "Lyon"), ("13", "Marseille"), ("33", "Bordeaux"), ("59", "Lille")]
+
+
+def by_department(sales: DataFrame, departement: str, date_debut: str | None = None, date_fin: str | None = None,
+                  max_records: int = 10000, dept_col: str = "code_departement") -> DataFrame:
+    """One department, default date range and property types."""
+    return sales_extract(sales, departement=departement, date_debut=date_debut or DEFAULT_START_DATE,
+                         date_fin=date_fin or DEFAULT_END_DATE, types=DEFAULT_TYPES, max_records=max_records,
+                         dept_col=dept_col)

@@ -168,3 +168,13 @@ def test_listing_rules_and_photos(spark):
     assert reasons[None] == ["url_missing", "build_year_out_of_range", "ges_invalid"]
     photos = [r.nb_photos for r in LS.with_photo_count(df).collect()]
     assert photos == [2, None, 3]
+
+
+def test_department_extract_defaults(spark):
+    from parcelle.operators import extract as X
+    rows = [(1, dt.date(2023, 5, 1), " 75", "Appartement"), (2, dt.date(2021, 5, 1), "75", "Maison"),
+            (3, dt.date(2023, 6, 1), "75", "Dépendance"), (4, dt.date(2024, 1, 1), "69", "Maison"),
+            (5, dt.date(2022, 1, 1), "75", "Maison")]
+    df = spark.createDataFrame(rows, "id long, date_mutation date, code_departement string, type_local string")
+    assert [r.id for r in X.by_department(df, "75").collect()] == [5, 1]
+    assert [r.id for r in X.by_department(df, "75", max_records=1).collect()] == [5]
