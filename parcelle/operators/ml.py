@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelle.functions import derive as D
@@ -157,7 +157,7 @@ def cross_validate(df: DataFrame, features: Sequence[str], spec: ModelSpec, orde
 
 def feature_importance(model: PipelineModel, features: Sequence[str], top: int = 10) -> DataFrame:
     """Importances of a tree model, largest first (one row per feature)."""
-    spark = __import__("pyspark.sql", fromlist=["SparkSession"]).SparkSession.getActiveSession()
+    spark = SparkSession.active()
     last = model.stages[-1]
     if not hasattr(last, "featureImportances"):
         return spark.createDataFrame([], "feature string, importance double")
