@@ -80,12 +80,21 @@ def quantile_columns(value_col: str, probs: dict[str, float]) -> list[Column]:
 
 def group_quantiles(df: DataFrame, keys: Sequence[str], value_col: str, probs: dict[str, float],
                     map_limit: int | None = None, buckets: int | None = None, band: int | None = None,
-                    fits: bool | None = None) -> DataFrame:
+                    fits: bool | None = None, approx_accuracy: int | None = None) -> DataFrame:
     """Exact quantiles of ``value_col`` per group of ``keys`` (one row for the
     whole frame when ``keys`` is empty), one output column per ``probs``
     entry.  NULL values are ignored; groups without values are absent.
-    ``fits`` may pass a known answer of ``groups_fit`` to skip the check."""
+    ``fits`` may pass a known answer of ``groups_fit`` to skip the check.
+
+    ``approx_accuracy`` (off by default) switches to ``percentile_approx``:
+    one pass with a bounded sketch per group, rank error at most
+    n / accuracy; the result is then a value of the group, not interpolated."""
     keys = list(keys)
+    if approx_accuracy is not None:
+        v = F.col(value_col).cast("double")
+        arr = F.percentile_approx(v, [float(p) for p in probs.values()], approx_accuracy)
+        g = df.groupBy(*keys) if keys else df
+        return g.agg(arr.alias("_q")).select(*keys, *[F.get(F.col("_q"), i).alias(n) for i, n in enumerate(probs)])
     gkeys = keys or ["_g"]
     names = list(probs)
     data = df.select(*[F.col(k) for k in keys], F.col(value_col).cast("double").alias("_v")) \
