@@ -12,3 +12,18 @@ def test_every_query_has_callable():
     qs = E.queries()
     sqls = E.oracle_sql()
     assert set(sqls) <= set(qs)
+
+
+def test_model_queries_finite(spark):
+    import math
+    from tests.conftest import SF_SMALL
+    qs = E.queries()
+    rows = qs["regression_metrics"](spark, SF_SMALL).collect()
+    assert len(rows) == 4 and sum(r.is_best for r in rows) == 1
+    for r in rows:
+        assert all(math.isfinite(x) for x in (r.r2, r.mae, r.rmse)) and r.n > 0
+    cv = qs["cv_scores"](spark, SF_SMALL).collect()
+    assert sorted(r.fold for r in cv) == [0, 1, 2, 3, 4]
+    assert all(math.isfinite(r.r2) for r in cv) and len({r.cv_r2_mean for r in cv}) == 1
+    scored = qs["score_properties"](spark, SF_SMALL).collect()
+    assert scored and all(r.prix_min <= r.prix_predit <= r.prix_max and r.prix_min >= 0 for r in scored)
