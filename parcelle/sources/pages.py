@@ -1,8 +1,9 @@
 """Listing pages -> listing rows (S12, H1-H7) as a Spark job over a table of
 pages ``(page_id, url, html)``.
 
-Only the DOM walk runs in Python (``mapInPandas``, Arrow batches, one page at
-a time inside the task, stdlib ``html.parser``); it emits raw text fields.
+Only the DOM walk runs in Python (``mapInPandas``, Arrow batches capped by
+``spark.sql.execution.arrow.maxBytesPerBatch``, one page at a time inside the
+task, stdlib ``html.parser``); it emits raw text fields.
 Numbers, property types, the energy class and the amenity flags are then
 derived JVM-side with built-in functions.
 """
