@@ -209,3 +209,30 @@ FROM pages
 """))
 def q_page_amenities(spark, sf):
     return PG.page_amenities(T.read(spark, sf, "pages"))
+
+
+# Original headers of a sale file for the columns the raw adapter renders.
+_FILE_HEADERS = {"date_mutation": "Date mutation", "valeur_fonciere": "Valeur fonciere",
+                 "code_departement": "Code departement", "code_commune": "Code commune",
+                 "code_postal": "Code postal", "surface_reelle_bati": "Surface reelle bati",
+                 "nb_pieces": "Nombre pieces principales", "type_local": "Type local"}
+
+
+@register("newest_sale_file", "S1 S2 S4 P1 P2 S6", with_adapter(f"""
+SELECT id, {SQL_DATE.format(c='date_mutation')} AS date_mutation, {SQL_NUM.format(c='valeur_fonciere')} AS valeur_fonciere
+FROM raw_sales
+WHERE year({SQL_DATE.format(c='date_mutation')}) = (SELECT MAX(year(CAST(o_orderdate AS DATE))) FROM orders)
+"""))
+def q_newest_sale_file(spark, sf):
+    """Write one pipe-delimited file per year with the original headers, pick
+    the newest file by name (S4), read it with an all-string schema, rename
+    the headers (P1) and resolve the id column among candidates (P2)."""
+    raw = T.raw_sales(spark, sf).withColumn("annee", F.year(P.parse_date("date_mutation")))
+    raw = raw.withColumnsRenamed(_FILE_HEADERS).withColumnRenamed("id", "Identifiant")
+    path = FS.scratch_path(spark, "year_files")
+    FS.write_by(raw.repartition("annee"), path, ["annee"], fmt="csv", sep="|", header=True)
+    newest = FS.newest_file(spark, [f"{path}/annee=*/*.zip", f"{path}/annee=*/*.csv"])
+    df = P.standardize_columns(FS.read_delimited(spark, newest, sep="|"))
+    id_col = P.resolve_column(df, ["id", "Identifiant", "identifiant"])
+    return df.select(F.col(id_col).cast("long").alias("id"), P.parse_date("date_mutation").alias("date_mutation"),
+                     P.parse_number("valeur_fonciere").alias("valeur_fonciere"))
