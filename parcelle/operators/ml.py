@@ -128,14 +128,20 @@ def contiguous_folds(df: DataFrame, order_col: str, k: int = 5) -> DataFrame:
     """M11 folds like an unshuffled K-fold: contiguous blocks of the rows in
     ``order_col`` order, the first ``n % k`` blocks one row larger.  Block
     boundaries are exact order statistics (distributed selection), so no
-    global window or single partition is needed."""
-    n = df.where(F.col(order_col).isNotNull()).count()
-    sizes = [n // k + (1 if i < n % k else 0) for i in range(k)]
-    starts, acc = [], 0
-    for s in sizes[:-1]:
-        acc += s
-        starts.append(acc)
-    cut = order_statistics(df, order_col, starts)
+    global window or single partition is needed.  The selection's passes read
+    a persisted one-column projection, released once the cut values are known."""
+    from pyspark import StorageLevel
+    keys = df.select(order_col).where(F.col(order_col).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = keys.count()
+        sizes = [n // k + (1 if i < n % k else 0) for i in range(k)]
+        starts, acc = [], 0
+        for s in sizes[:-1]:
+            acc += s
+            starts.append(acc)
+        cut = order_statistics(keys, order_col, starts) if starts else {}
+    finally:
+        keys.unpersist()
     fold = sum((F.col(order_col) >= F.lit(cut[s])).cast("int") for s in starts) if starts else F.lit(0)
     return df.withColumn("fold", fold)
 
