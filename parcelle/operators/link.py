@@ -107,8 +107,10 @@ def commune_features(sales: DataFrame, communes: DataFrame, id_col: str = "commu
                                        F.count(F.lit(1)).cast("int").alias("commune_nb_ventes")))
     dim = communes.select(F.col("id").alias(id_col), F.col("population").alias("commune_population"),
                           F.col("densite_pop").alias("commune_densite"))
-    out = (sales.join(broadcast_if_small(stats), id_col, "left")
-                .join(broadcast_if_small(dim), id_col, "left"))
+    # The attributes are (re)computed: earlier values are replaced, as an UPDATE would.
+    base = sales.drop("commune_prix_m2_moyen", "commune_nb_ventes", "commune_population", "commune_densite")
+    out = (base.join(broadcast_if_small(stats), id_col, "left")
+               .join(broadcast_if_small(dim), id_col, "left"))
     if "distance_centre_ville" in out.columns:
         out = out.withColumn("proche_centre", D.near_centre("distance_centre_ville", near_km))
     return out

@@ -87,12 +87,17 @@ def ordered_groups(df: DataFrame, col: str, order: Sequence[str], measure: str)
     return join_groups(labels, med, [col]).orderBy("_pos").drop("_pos")
 
 
-def top_by_median(df: DataFrame, key: Sequence[str], measure: str, min_count: int = 10, n: int = 20) -> DataFrame:
-    """Groups with at least ``min_count`` rows, highest median first."""
+def top_by_median(df: DataFrame, key: Sequence[str], measure: str, min_count: int = 10, n: int = 20,
+                  extra: dict[str, str] | None = None) -> DataFrame:
+    """Groups with at least ``min_count`` rows (all rows counted),
+    highest median of ``measure`` first (groups without a value last);
+    ``extra`` adds medians of other columns (name -> column)."""
     counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("nb"))
-    med = group_quantiles(df, key, measure, {"median": 0.5})
-    j = join_groups(counts.where(F.col("nb") >= min_count), med, key, "inner")
-    return j.orderBy(F.desc("median"), *key).limit(n)
+    j = join_groups(counts.where(F.col("nb") >= min_count), group_quantiles(df, key, measure, {"median": 0.5}),
+                    key, "left")
+    for name, col in (extra or {}).items():
+        j = join_groups(j, group_quantiles(df, key, col, {name: 0.5}), key, "left")
+    return j.orderBy(F.desc_nulls_last("median"), *key).limit(n)
 
 
 def limit_per_group(df: DataFrame, group_col: str, n: int, order_cols: Sequence[str | Column]) -> DataFrame:

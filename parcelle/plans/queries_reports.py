@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelle.functions import derive as D
+from parcelle.functions import geo as G
 from parcelle.functions import rnd
 from parcelle.operators import reports as R
+from parcelle.operators.quantiles import column_quantiles, with_one_row
 from parcelle.plans.catalog import register
 from parcelle.plans.oracle import r, with_adapter, with_ctes
 from parcelle.plans.sizing import broadcast_if_small
@@ -25,7 +27,8 @@ PRIORITY_TYPES = {
 FEATURE_COLS = ["annee", "mois", "trimestre", "jour_semaine", "saison", "is_weekend", "jour_annee",
                 "prix_par_piece", "m2_par_piece", "grande_surface", "prix_m2", "surface_reelle_bati",
                 "nb_pieces", "latitude", "longitude", "taille_categorie"]
-CORR_COLS = ["valeur_fonciere", "surface_reelle_bati", "nb_pieces", "prix_m2", "annee", "mois"]
+CORR_COLS = ["valeur_fonciere", "prix_m2", "surface_reelle_bati", "nb_pieces", "distance_centre_ville",
+             "commune_population", "commune_densite"]
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:
@@ -38,14 +41,30 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
         "grande_surface": D.large_area("surface_reelle_bati"),
         "taille_categorie": D.size_band("surface_reelle_bati"),
     })
-    c = broadcast_if_small(T.communes(spark, sf).select(F.col("id").alias("commune_id"), "departement",
-                                                        "nom_commune"))
-    return s.join(c, "commune_id", "left")
+    c = broadcast_if_small(T.communes(spark, sf).select(
+        F.col("id").alias("commune_id"), "departement", "nom_commune",
+        F.col("population").alias("commune_population"), F.col("densite_pop").alias("commune_densite"),
+        F.col("latitude").alias("_clat"), F.col("longitude").alias("_clon")))
+    out = s.join(c, "commune_id", "left")
+    return out.withColumns({
+        "distance_centre_ville": G.haversine_km("latitude", "longitude", "_clat", "_clon"),
+        "type_prop": D.canonical_type(D.canonical_type("type_local", PRIORITY_TYPES)),
+    }).drop("_clat", "_clon")
 
 
-SQL_FEAT = """
+def _sql_type_map(col: str) -> str:
+    cases = " ".join(f"WHEN {col} = '{k}' THEN '{v}'" for k, v in PRIORITY_TYPES.items())
+    return f"(CASE {cases} ELSE {col} END)"
+
+
+SQL_CANON = ("(CASE WHEN {c} = 'Local industriel. commercial ou assimilé' THEN 'Local commercial' ELSE {c} END)")
+
+
+SQL_FEAT = f"""
 feat AS (
-  SELECT s.*, c.departement, c.nom_commune,
+  SELECT s.*, c.departement, c.nom_commune, c.population AS commune_population, c.densite_pop AS commune_densite,
+         {G.sql_haversine_km('s.latitude', 's.longitude', 'c.latitude', 'c.longitude')} AS distance_centre_ville,
+         {SQL_CANON.format(c=_sql_type_map('s.type_local'))} AS type_prop,
          CASE WHEN s.mois IN (12, 1, 2) THEN 'Hiver' WHEN s.mois IN (3, 4, 5) THEN 'Printemps'
               WHEN s.mois IN (6, 7, 8) THEN 'Été' WHEN s.mois IN (9, 10, 11) THEN 'Automne' END AS saison,
          s.jour_semaine IN (0, 6) AS is_weekend,
@@ -72,6 +91,16 @@ banded AS (
 )"""
 
 
+# Quality score over the feature table (its distance column is filled, +2).
+SQL_SCORE_FEAT = ("(50 + CASE WHEN type_local IS NOT NULL THEN 5 ELSE 0 END"
+                  " + CASE WHEN surface_reelle_bati IS NOT NULL THEN 10 ELSE 0 END"
+                  " + CASE WHEN nb_pieces IS NOT NULL THEN 5 ELSE 0 END + CASE WHEN code_postal IS NOT NULL THEN 3 ELSE 0 END"
+                  " + CASE WHEN commune_id IS NOT NULL THEN 5 ELSE 0 END + CASE WHEN latitude IS NOT NULL THEN 7 ELSE 0 END"
+                  " + CASE WHEN prix_m2 IS NOT NULL THEN 10 ELSE 0 END"
+                  " + CASE WHEN adresse_nom_voie IS NOT NULL THEN 3 ELSE 0 END"
+                  " + CASE WHEN distance_centre_ville IS NOT NULL THEN 2 ELSE 0 END)")
+
+
 def with_feat(body: str) -> str:
     return with_ctes(SQL_FEAT, body=body)
 
@@ -143,14 +172,6 @@ def q_weekend_stats(spark, sf):
     return f.groupBy("is_weekend").agg(F.count(F.lit(1)).alias("nb"), rnd(F.avg("prix_m2"), 0).alias("prix_m2_moyen"))
 
 
-def _sql_type_map(col: str) -> str:
-    cases = " ".join(f"WHEN {col} = '{k}' THEN '{v}'" for k, v in PRIORITY_TYPES.items())
-    return f"(CASE {cases} ELSE {col} END)"
-
-
-SQL_CANON = ("(CASE WHEN {c} = 'Local industriel. commercial ou assimilé' THEN 'Local commercial' ELSE {c} END)")
-
-
 @register("type_codes", "P24 P27", with_adapter(f"""
 SELECT id, type_local,
        CASE type_local WHEN 'Appartement' THEN 1 WHEN 'Maison' THEN 2 WHEN 'Local commercial' THEN 3
@@ -164,48 +185,50 @@ def q_type_codes(spark, sf):
 
 
 # ------------------------------------------------------------ A19-A24 ------
-@register("type_stats", "A19 A5", with_feat(f"""
-SELECT type_local, COUNT(*) AS nb,
+@register("type_stats", "A19 A5 F5", with_feat(f"""
+SELECT type_prop AS type_local, COUNT(*) AS nb,
        {r('AVG(CAST(valeur_fonciere AS DECIMAL(18,2)))')} AS valeur_fonciere_mean,
        {r('quantile_cont(valeur_fonciere, 0.5)', 3)} AS valeur_fonciere_median,
        {r('AVG(prix_m2)')} AS prix_m2_mean, {r('quantile_cont(prix_m2, 0.5)')} AS prix_m2_median,
        {r('AVG(surface_reelle_bati)')} AS surface_reelle_bati_mean,
        {r('quantile_cont(surface_reelle_bati, 0.5)')} AS surface_reelle_bati_median
-FROM feat GROUP BY 1
+FROM feat WHERE type_prop IN ('Appartement', 'Maison') GROUP BY 1
 """))
 def q_type_stats(spark, sf):
-    f = features(spark, sf).withColumn("valeur_fonciere", F.col("valeur_fonciere").cast("decimal(18,2)"))
-    out = R.group_stats(f, ["type_local"], ["valeur_fonciere", "prix_m2", "surface_reelle_bati"])
-    return out.select("type_local", "nb", rnd("valeur_fonciere_mean").alias("valeur_fonciere_mean"),
+    f = features(spark, sf).where(F.col("type_prop").isin("Appartement", "Maison"))
+    f = f.withColumn("valeur_fonciere", F.col("valeur_fonciere").cast("decimal(18,2)"))
+    out = R.group_stats(f, ["type_prop"], ["valeur_fonciere", "prix_m2", "surface_reelle_bati"])
+    return out.select(F.col("type_prop").alias("type_local"), "nb",
+                      rnd("valeur_fonciere_mean").alias("valeur_fonciere_mean"),
                       rnd("valeur_fonciere_median", 3).alias("valeur_fonciere_median"),
                       *[rnd(c).alias(c) for c in ["prix_m2_mean", "prix_m2_median", "surface_reelle_bati_mean",
                                                  "surface_reelle_bati_median"]])
 
 
-@register("dept_stats", "A20 A15 J2", with_feat(f"""
-SELECT departement, COUNT(*) AS nb, {r('AVG(prix_m2)')} AS prix_m2_mean, {r('quantile_cont(prix_m2, 0.5)')} AS prix_m2_median,
-       {r('AVG(CAST(valeur_fonciere AS DECIMAL(18,2)))')} AS prix_moyen
-FROM feat WHERE prix_m2 IS NOT NULL AND departement IS NOT NULL GROUP BY 1
+@register("dept_stats", "A20 K5", with_feat(f"""
+SELECT departement, COUNT(*) AS nb_ventes, {r('quantile_cont(prix_m2, 0.5)')} AS prix_m2_median,
+       {r('quantile_cont(valeur_fonciere, 0.5)', 3)} AS valeur_fonciere_median
+FROM feat WHERE departement IS NOT NULL GROUP BY 1
 """))
 def q_dept_stats(spark, sf):
-    f = features(spark, sf).where(F.col("prix_m2").isNotNull() & F.col("departement").isNotNull())
-    out = R.group_stats(f, ["departement"], ["prix_m2"])
-    money = f.groupBy("departement").agg(F.avg(F.col("valeur_fonciere").cast("decimal(18,2)")).alias("prix_moyen"))
-    out = out.join(money, "departement").orderBy("prix_m2_median")
-    return out.select("departement", "nb", rnd("prix_m2_mean").alias("prix_m2_mean"),
-                      rnd("prix_m2_median").alias("prix_m2_median"), rnd("prix_moyen").alias("prix_moyen"))
+    f = features(spark, sf).where(F.col("departement").isNotNull())
+    out = R.group_stats(f, ["departement"], ["prix_m2", "valeur_fonciere"], count_name="nb_ventes")
+    return out.orderBy("prix_m2_median").select(
+        "departement", "nb_ventes", rnd("prix_m2_median").alias("prix_m2_median"),
+        rnd("valeur_fonciere_median", 3).alias("valeur_fonciere_median"))
 
 
 @register("monthly_medians", "A21 P32", with_feat(f"""
-SELECT strftime(date_mutation, '%Y-%m') AS mois_cle, COUNT(*) AS nb, {r('AVG(prix_m2)')} AS prix_m2_mean,
-       {r('quantile_cont(prix_m2, 0.5)')} AS prix_m2_median
+SELECT strftime(date_mutation, '%Y-%m') AS mois_str, COUNT(*) AS nb_ventes,
+       {r('quantile_cont(prix_m2, 0.5)')} AS prix_m2_median,
+       {r('quantile_cont(valeur_fonciere, 0.5)', 3)} AS valeur_fonciere_median
 FROM feat GROUP BY 1
 """))
 def q_monthly_medians(spark, sf):
-    f = features(spark, sf).withColumn("mois_cle", D.month_key("date_mutation"))
-    out = R.group_stats(f, ["mois_cle"], ["prix_m2"])
-    return out.select("mois_cle", "nb", rnd("prix_m2_mean").alias("prix_m2_mean"),
-                      rnd("prix_m2_median").alias("prix_m2_median"))
+    f = features(spark, sf).withColumn("mois_str", D.month_key("date_mutation"))
+    out = R.group_stats(f, ["mois_str"], ["prix_m2", "valeur_fonciere"], count_name="nb_ventes")
+    return out.select("mois_str", "nb_ventes", rnd("prix_m2_median").alias("prix_m2_median"),
+                      rnd("valeur_fonciere_median", 3).alias("valeur_fonciere_median"))
 
 
 @register("season_medians", "A22", with_feat(f"""
@@ -221,13 +244,15 @@ def q_season_medians(spark, sf):
 
 @register("price_band_medians", "A23", with_feat(f"""
 SELECT categorie_prix, COUNT(*) AS nb, {r('quantile_cont(valeur_fonciere, 0.5)', 3)} AS valeur_fonciere_median,
-       {r('quantile_cont(prix_m2, 0.5)')} AS prix_m2_median
+       {r('quantile_cont(prix_m2, 0.5)')} AS prix_m2_median,
+       {r('quantile_cont(surface_reelle_bati, 0.5)')} AS surface_reelle_bati_median
 FROM banded GROUP BY 1
 """))
 def q_price_band_medians(spark, sf):
-    out = R.group_stats(banded(spark, sf), ["categorie_prix"], ["valeur_fonciere", "prix_m2"])
+    out = R.group_stats(banded(spark, sf), ["categorie_prix"], ["valeur_fonciere", "prix_m2", "surface_reelle_bati"])
     return out.select("categorie_prix", "nb", rnd("valeur_fonciere_median", 3).alias("valeur_fonciere_median"),
-                      rnd("prix_m2_median").alias("prix_m2_median"))
+                      rnd("prix_m2_median").alias("prix_m2_median"),
+                      rnd("surface_reelle_bati_median").alias("surface_reelle_bati_median"))
 
 
 @register("category_share", "A24", with_feat(f"""
@@ -282,7 +307,7 @@ def q_feature_gate(spark, sf):
 
 
 # ------------------------------------------------------------ D1-D7 --------
-DESCRIBE_COLS = ["valeur_fonciere", "prix_m2", "surface_reelle_bati"]
+DESCRIBE_COLS = ["valeur_fonciere", "prix_m2", "surface_reelle_bati", "nb_pieces"]
 
 
 def _sql_describe(c: str) -> str:
@@ -346,8 +371,9 @@ def q_correlations(spark, sf):
 
 @register("sample_rows", "D5 D6 F1 F5")
 def q_sample_rows(spark, sf):
-    f = features(spark, sf).where(F.col("prix_m2").isNotNull() & F.col("surface_reelle_bati").isNotNull())
-    return R.sample_rows(f, "id", 5000).select("id", "surface_reelle_bati", "prix_m2", "type_local")
+    f = features(spark, sf).dropna(subset=["surface_reelle_bati", "valeur_fonciere", "type_prop"])
+    f = f.where(F.col("type_prop").isin("Appartement", "Maison"))
+    return R.sample_rows(f, "id", 5000).select("id", "surface_reelle_bati", "valeur_fonciere", "prix_m2", "type_prop")
 
 
 @register("run_report", "A11 A27 D7 A26", with_feat(f"""
@@ -366,14 +392,16 @@ def q_run_report(spark, sf):
 
 # ------------------------------------------------------------ K3, W2 -------
 @register("top_by_median", "K3 F12", with_feat(f"""
-SELECT nom_commune, COUNT(*) AS nb, {r('quantile_cont(prix_m2, 0.5)')} AS median FROM feat
-WHERE prix_m2 IS NOT NULL AND nom_commune IS NOT NULL GROUP BY 1 HAVING COUNT(*) >= 10
-ORDER BY quantile_cont(prix_m2, 0.5) DESC, nom_commune LIMIT 20
+SELECT nom_commune, COUNT(*) AS nb_ventes, {r('quantile_cont(prix_m2, 0.5)')} AS prix_m2_median,
+       {r('quantile_cont(valeur_fonciere, 0.5)', 3)} AS valeur_fonciere_median
+FROM feat WHERE nom_commune IS NOT NULL GROUP BY 1 HAVING COUNT(*) >= 10
+ORDER BY quantile_cont(prix_m2, 0.5) DESC NULLS LAST, nom_commune LIMIT 20
 """))
 def q_top_by_median(spark, sf):
-    f = features(spark, sf).where(F.col("prix_m2").isNotNull() & F.col("nom_commune").isNotNull())
-    out = R.top_by_median(f, ["nom_commune"], "prix_m2", 10, 20)
-    return out.select("nom_commune", "nb", rnd("median").alias("median"))
+    f = features(spark, sf).where(F.col("nom_commune").isNotNull())
+    out = R.top_by_median(f, ["nom_commune"], "prix_m2", 10, 20, extra={"valeur_fonciere_median": "valeur_fonciere"})
+    return out.select("nom_commune", F.col("nb").alias("nb_ventes"), rnd("median").alias("prix_m2_median"),
+                      rnd("valeur_fonciere_median", 3).alias("valeur_fonciere_median"))
 
 
 PER_DEPT = 100
@@ -387,3 +415,37 @@ WHERE rk <= {PER_DEPT}
 def q_per_dept_limit(spark, sf):
     out = R.limit_per_group(features(spark, sf), "departement", PER_DEPT, ["date_mutation", "id"])
     return out.select("id", "departement")
+
+
+@register("eda_summary", "D7 A5 A6 A11 A14 A27", with_feat(f"""
+SELECT COUNT(*) AS total, MIN(date_mutation) AS date_min, MAX(date_mutation) AS date_max,
+       COUNT(DISTINCT type_prop) AS nb_types,
+       {r('quantile_cont(valeur_fonciere, 0.5)', 3)} AS prix_median,
+       {r('quantile_cont(prix_m2, 0.5)')} AS prix_m2_median,
+       {r('quantile_cont(surface_reelle_bati, 0.5)')} AS surface_median,
+       COUNT(*) FILTER (WHERE type_prop = 'Appartement') AS nb_appartements,
+       {r("COUNT(*) FILTER (WHERE type_prop = 'Appartement') * 100.0 / COUNT(*)")} AS pct_appartements,
+       COUNT(*) FILTER (WHERE type_prop = 'Maison') AS nb_maisons,
+       {r("COUNT(*) FILTER (WHERE type_prop = 'Maison') * 100.0 / COUNT(*)")} AS pct_maisons,
+       COUNT(DISTINCT nom_commune) AS nb_communes, COUNT(DISTINCT departement) AS nb_departements,
+       {r('AVG(' + SQL_SCORE_FEAT + ')')} AS score_moyen,
+       {r('COUNT(latitude) * 100.0 / COUNT(*)')} AS taux_geocodage
+FROM feat
+"""))
+def q_eda_summary(spark, sf):
+    f = features(spark, sf).withColumn("_score", D.quality_score())
+    t = F.col("type_prop")
+    one = f.agg(
+        F.count(F.lit(1)).alias("total"), F.min("date_mutation").alias("date_min"),
+        F.max("date_mutation").alias("date_max"), F.count_distinct(t).alias("nb_types"),
+        F.count_if(t == "Appartement").alias("nb_appartements"),
+        rnd(F.count_if(t == "Appartement") * 100.0 / F.count(F.lit(1))).alias("pct_appartements"),
+        F.count_if(t == "Maison").alias("nb_maisons"),
+        rnd(F.count_if(t == "Maison") * 100.0 / F.count(F.lit(1))).alias("pct_maisons"),
+        F.count_distinct("nom_commune").alias("nb_communes"), F.count_distinct("departement").alias("nb_departements"),
+        rnd(F.avg("_score")).alias("score_moyen"),
+        rnd(F.count("latitude") * 100.0 / F.count(F.lit(1))).alias("taux_geocodage"))
+    med = column_quantiles(f, ["valeur_fonciere", "prix_m2", "surface_reelle_bati"], 0.5)
+    med = med.select(rnd("valeur_fonciere", 3).alias("prix_median"), rnd("prix_m2").alias("prix_m2_median"),
+                     rnd("surface_reelle_bati").alias("surface_median"))
+    return with_one_row(one, med)
