@@ -48,6 +48,12 @@ def exact_percentile(col: str | Column, p: float | Sequence[float]) -> Column:
     return F.percentile(c, F.lit(float(p)))
 
 
+def finite_or_null(col: str | Column) -> Column:
+    """The value as a double, NaN turned into NULL (ignored like NULL)."""
+    v = (F.col(col) if isinstance(col, str) else col).cast("double")
+    return F.when(~F.isnan(v), v)
+
+
 def median(col: str | Column) -> Column:
     return exact_percentile(col, 0.5)
 
@@ -74,7 +80,7 @@ def groups_fit(df: DataFrame, keys: Sequence[str], map_limit: int | None = None)
 def quantile_columns(value_col: str, probs: dict[str, float]) -> list[Column]:
     """Aggregate expressions for the bounded-group path, to put in the same
     ``agg`` as the other measures (one pass)."""
-    arr = exact_percentile(F.col(value_col).cast("double"), [float(p) for p in probs.values()])
+    arr = exact_percentile(finite_or_null(value_col), [float(p) for p in probs.values()])
     return [F.get(arr, i).alias(n) for i, n in enumerate(probs)]
 
 
@@ -83,7 +89,7 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value_col: str, probs: d
                     fits: bool | None = None, approx_accuracy: int | None = None) -> DataFrame:
     """Exact quantiles of ``value_col`` per group of ``keys`` (one row for the
     whole frame when ``keys`` is empty), one output column per ``probs``
-    entry.  NULL values are ignored; groups without values are absent.
+    entry.  NULL and NaN values are ignored; groups without values are absent.
     ``fits`` may pass a known answer of ``groups_fit`` to skip the check.
 
     ``approx_accuracy`` (off by default) switches to ``percentile_approx``:
@@ -98,7 +104,7 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value_col: str, probs: d
     gkeys = keys or ["_g"]
     names = list(probs)
     data = df.select(*[F.col(k) for k in keys], F.col(value_col).cast("double").alias("_v")) \
-             .where(F.col("_v").isNotNull())
+             .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     if not keys:
         data = data.withColumn("_g", F.lit(0))
     stats = data.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"),
@@ -181,7 +187,7 @@ def order_statistics(df: DataFrame, value_col: str, ranks: Sequence[int], bucket
     by the same distributed selection; only the answers reach the driver."""
     buckets = BUCKETS if buckets is None else buckets
     band = BAND if band is None else band
-    data = df.select(F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull()) \
+    data = df.select(F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v")) \
              .withColumn("_g", F.lit(0))
     stats = data.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     want = F.array(*[F.struct(F.lit(f"r{k}").alias("q"), F.lit(float(k)).alias("pos")) for k in ranks])
@@ -218,7 +224,7 @@ def column_quantiles(df: DataFrame, cols: Sequence[str], p: float = 0.5, map_lim
     map_limit = MAP_LIMIT if map_limit is None else map_limit
     n = df.count()
     if n <= map_limit:
-        return df.agg(*[exact_percentile(F.col(c).cast("double"), p).alias(c) for c in cols])
+        return df.agg(*[exact_percentile(finite_or_null(c), p).alias(c) for c in cols])
     out = None
     for c in cols:
         q = group_quantiles(df, [], c, {c: p}, map_limit=map_limit)

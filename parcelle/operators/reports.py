@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelle.functions import derive as D
-from parcelle.operators.quantiles import group_quantiles, groups_fit, join_groups, quantile_columns, with_one_row
+from parcelle.operators.quantiles import (finite_or_null, group_quantiles, groups_fit, join_groups,
+                                          quantile_columns, with_one_row)
 
 
 def count_by(df: DataFrame, col: str, out: str = "nb") -> DataFrame:
@@ -122,7 +123,7 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     if groups_fit(df, []):
         # One pass for every column, then one row per column.
         one = df.agg(*[x for c in cols for x in stats(c)],
-                     *[F.get(F.percentile(F.col(c).cast("double"), [float(p) for p in probs.values()]), i)
+                     *[F.get(F.percentile(finite_or_null(c), [float(p) for p in probs.values()]), i)
                        .alias(f"{c}__{n}") for c in cols for i, n in enumerate(probs)])
     else:
         one = None
