@@ -88,3 +88,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/scratch/{name}-{uuid.uuid4().hex}"
+
+
+def save_bucketed(df: DataFrame, table: str, key: str | Sequence[str], buckets: int, path: str | None = None,
+                  mode: str = "overwrite") -> None:
+    """A table bucketed and sorted on ``key``: later joins on that key (e.g.
+    the insert-new anti-join, S8) read it already partitioned and shuffle only
+    the other side.  ``path`` makes it an external table in a shared folder."""
+    keys = [key] if isinstance(key, str) else list(key)
+    w = df.write.mode(mode).format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    if path is not None:
+        w = w.option("path", path)
+    w.saveAsTable(table)

@@ -57,3 +57,25 @@ def test_spatial_probe_is_map_only(spark):
     shuffled = _plan(spatial.count_within_radius(pts, T.poi(spark, SF_SMALL), 5000.0, max_broadcast_bytes=0))
     per_point = re.compile(r"HashAggregate\(keys=\[_cx[^\]]*, id")
     assert per_point.search(shuffled) and not per_point.search(plan)
+
+
+def test_bucketed_target_is_not_shuffled(spark, tmp_path):
+    from parcelle.operators import link as L
+    from parcelle.sources import files as FS
+    sales = T.sales(spark, SF_SMALL).select("id", "valeur_fonciere")
+    FS.save_bucketed(sales, "parcelle_sales_target", "id", 8, path=str(tmp_path / "target"))
+    target = spark.table("parcelle_sales_target")
+    incoming = T.sales(spark, SF_SMALL).select("id", "valeur_fonciere").withColumn("load_seq", F.lit(0))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = L.insert_new(target, incoming, "id", order_col="load_seq")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS parcelle_sales_target")
+    # the bucketed side is read as is: no exchange directly above its scan
+    assert "Bucketed: true" in plan
+    assert not re.search(r"Exchange hashpartitioning\(id#\d+L, 8\)[^\n]*\n\s*\+- (\*\(\d+\) )?(ColumnarToRow\n\s*\+- )?FileScan parquet spark_catalog\.default\.parcelle_sales_target", plan)
