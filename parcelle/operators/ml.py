@@ -211,3 +211,21 @@ def persist_predictions(scored: DataFrame, path: str, features: Sequence[str]) -
     """Append predictions with the features as JSON."""
     out = scored.withColumn("features_json", F.to_json(F.struct(*features)))
     out.write.mode("append").parquet(path)
+
+
+def prediction_context(props: DataFrame, quartiers: DataFrame, sales: DataFrame, places: DataFrame,
+                       radius_m: float = 500.0, transport_type: str = "transport",
+                       ratio_col: str = "prix_m2") -> DataFrame:
+    """Declared prediction columns: the property's district (G4), the mean
+    sale ratio of that district (J8 by district) and the transport places
+    within ``radius_m`` (G3)."""
+    from parcelle.operators import spatial
+    from parcelle.plans.sizing import broadcast_if_small
+    located = spatial.locate_in_polygons(props, quartiers)
+    sold = spatial.locate_in_polygons(sales.select("id", "latitude", "longitude", ratio_col), quartiers)
+    per_district = (sold.where(F.col("quartier_id").isNotNull() & F.col(ratio_col).isNotNull())
+                        .groupBy("quartier_id").agg(F.avg(ratio_col).alias("prix_m2_moyen_quartier")))
+    out = located.join(broadcast_if_small(per_district), "quartier_id", "left")
+    transports = places.where(F.col("type_poi") == transport_type)
+    return spatial.count_within_radius(out, transports, radius_m, out_prefix="_tr_").withColumnRenamed(
+        "_tr_total", f"nb_transports_{int(radius_m)}m")
