@@ -37,10 +37,10 @@ RENAME_MAP = {
     "Latitude": "latitude",
 }
 
-# Column widths of the sales table (P10).
+# String widths applied when sales are loaded (P10).
 STRING_WIDTHS = {
-    "nature_mutation": 50, "adresse_numero": 10, "adresse_suffixe": 5, "adresse_nom_voie": 500,
-    "code_postal": 5, "code_commune": 10, "type_local": 50,
+    "dvf_id": 50, "nature_mutation": 50, "type_local": 50, "code_commune": 5, "adresse_numero": 10,
+    "adresse_suffixe": 10, "adresse_nom_voie": 500, "code_postal": 5,
 }
 
 
@@ -106,9 +106,10 @@ def postal_code(c: str | Column) -> Column:
 
 
 def to_int(c: str | Column) -> Column:
-    """Integer or NULL (accepts '3' and '3.0')."""
+    """Lenient number, then integer by truncation toward zero ('3', '3.0'
+    and '3.7' give 3); bad text, NaN and out-of-range values give NULL."""
     v = _c(c).try_cast("double")
-    return F.when(~F.isnan(v) & (v == F.floor(v)), v.cast("long")).cast("int")
+    return F.when(~F.isnan(v), v).try_cast("int")
 
 
 def truncate_widths(df: DataFrame, widths: dict[str, int] | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from parcelle.operators import spatial
 
 
 def test_parse_dates_numbers_codes(spark):
-    rows = [("05/01/2023", "250000,50", "75", "117", "75011.0", "45,5", "3"),
+    rows = [("05/01/2023", "250000,50", "75", "117", "75011.0", "45,5", "3.7"),
             ("25/01/2023", "1 250 000,00", "1", "4.0", "1000", "45", "3.0"),
             ("2023-01-05", "nan", "2A", "1", None, "0", "x"),
             ("31/02/2023", "abc", "971", "101", "", None, None),
