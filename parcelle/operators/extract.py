@@ -47,12 +47,22 @@ def sales_extract(sales: DataFrame, departement: str | None = None, commune: str
     return df
 
 
-def multi_department(sales: DataFrame, departements: Sequence[str], per_dept: int, tag_col: str = "dept_recherche",
-                     dept_col: str = "departement", order: Sequence[str] = ("date_mutation", "id")) -> DataFrame:
-    """One pass over the sales for several departments, at most
-    ``per_dept`` rows each, tagged with the searched department (P35)."""
-    df = sales.where(F.trim(F.col(dept_col)).isin(*departements)).withColumn(tag_col, F.trim(F.col(dept_col)))
-    return limit_per_group(df, tag_col, per_dept, list(order))
+def multi_department(sales: DataFrame, departements: Sequence[tuple[str, str]], per_dept: int,
+                     dept_col: str = "departement", order: Sequence[str] = ("date_mutation", "id"),
+                     out_path: str | None = None) -> DataFrame:
+    """One pass over the sales for several (department, city) searches,
+    at most ``per_dept`` rows each, tagged with the searched department and
+    city (P35, a literal map as long as the search list); with ``out_path``
+    also written as one folder per department (S7)."""
+    codes = [d for d, _ in departements]
+    city = F.create_map(*[F.lit(x) for pair in departements for x in pair])
+    dept = F.trim(F.col(dept_col))
+    df = sales.where(dept.isin(*codes)).withColumns({"dept_recherche": dept,
+                                                     "ville_recherche": F.element_at(city, dept)})
+    out = limit_per_group(df, "dept_recherche", per_dept, list(order))
+    if out_path is not None:
+        out.write.mode("overwrite").partitionBy("dept_recherche").parquet(out_path)
+    return out
 
 
 def recent(sales: DataFrame, as_of: str, months: int = 6) -> DataFrame:

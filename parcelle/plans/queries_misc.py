@@ -135,16 +135,20 @@ def q_sales_extract(spark, sf):
     return out.select("id", "date_mutation", "departement", "type_local")
 
 
+SEARCHES = [("AMERICA", "Americas"), ("ASIA", "Asian cities"), ("EUROPE", "European cities")]
+
+
 @register("multi_dept_extract", "E3 W2 P35 S7", with_feat("""
-SELECT id, dept_recherche FROM (
+SELECT id, dept_recherche, CASE dept_recherche WHEN 'AMERICA' THEN 'Americas' WHEN 'ASIA' THEN 'Asian cities'
+                                                WHEN 'EUROPE' THEN 'European cities' END AS ville_recherche FROM (
   SELECT id, trim(departement) AS dept_recherche,
          row_number() OVER (PARTITION BY trim(departement) ORDER BY date_mutation, id) AS rk
   FROM feat WHERE trim(departement) IN ('AMERICA', 'ASIA', 'EUROPE'))
 WHERE rk <= 200
 """))
 def q_multi_dept_extract(spark, sf):
-    out = X.multi_department(features(spark, sf), ["AMERICA", "ASIA", "EUROPE"], 200)
-    return out.select("id", "dept_recherche")
+    out = X.multi_department(features(spark, sf), SEARCHES, 200)
+    return out.select("id", "dept_recherche", "ville_recherche")
 
 
 @register("recent_sales", "E4 P36", with_feat(f"""
