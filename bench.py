@@ -25,8 +25,11 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     only = [a for a in sys.argv[1:] if not a.startswith("-")]
-    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
-                      extra={"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m"})
+    extra = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m"}
+    eventlog = os.environ.get("BENCH_EVENTLOG_DIR")  # e.g. a fresh `mktemp -d` folder
+    if eventlog:
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": eventlog})
+    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2, extra=extra)
     spark.range(1000).selectExpr("sum(id)").collect()  # JVM warm-up
     timings: dict[str, float] = {}
     failed: dict[str, str] = {}
@@ -34,6 +37,7 @@ def main() -> None:
         if (only and name not in only) or (not only and name in SKIP):
             continue
         t0 = time.perf_counter()
+        spark.sparkContext.setJobGroup(name, name)
         try:
             q.fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             timings[name] = round(time.perf_counter() - t0, 3)
