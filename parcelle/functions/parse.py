@@ -63,14 +63,22 @@ def resolve_column(df: DataFrame, candidates: Sequence[str]) -> str | None:
 
 
 def parse_date(c: str | Column, formats: Sequence[str] = ("dd/MM/yyyy", "yyyy-MM-dd")) -> Column:
-    """Each format explicitly, first that parses wins; invalid -> NULL."""
+    """Each format explicitly, first that parses wins; invalid -> NULL.
+
+    For the default pair the separator position picks the one format that
+    can match, so a row is parsed once instead of failing one format first
+    (a failed parse costs an exception inside the JVM)."""
     s = F.trim(_c(c))
+    if tuple(formats) == ("dd/MM/yyyy", "yyyy-MM-dd"):
+        return (F.when(s.substr(3, 1) == "/", F.try_to_date(s, "dd/MM/yyyy"))
+                 .when(s.substr(5, 1) == "-", F.try_to_date(s, "yyyy-MM-dd")))
     return F.coalesce(*[F.try_to_date(s, f) for f in formats])
 
 
 def parse_number(c: str | Column) -> Column:
-    """Decimal comma -> dot, spaces dropped, lenient cast; NaN -> NULL."""
-    s = F.regexp_replace(F.regexp_replace(_c(c), ",", "."), r"\s", "")
+    """Decimal comma -> dot, spaces dropped, lenient cast; NaN -> NULL.
+    Plain string replacement (no regular expression)."""
+    s = F.replace(F.replace(_c(c), F.lit(","), F.lit(".")), F.lit(" "), F.lit(""))
     v = s.try_cast("double")
     return F.when(~F.isnan(v), v)
 
@@ -82,8 +90,9 @@ def to_double(c: str | Column) -> Column:
 
 
 def strip_code(c: str | Column) -> Column:
-    """Trim and drop a trailing '.0'."""
-    return F.regexp_replace(F.trim(_c(c)), r"\.0$", "")
+    """Trim and drop a trailing '.0' (string functions, no regular expression)."""
+    t = F.trim(_c(c))
+    return F.when(t.endswith(".0"), t.substr(F.lit(1), F.length(t) - 2)).otherwise(t)
 
 
 def pad_left(c: Column, n: int) -> Column:
