@@ -164,15 +164,18 @@ def boxplot(df: DataFrame, key: str, col: str) -> DataFrame:
 
 
 def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson correlation of every ordered pair, from
-    one aggregate, as (x, y, corr).  NaN is turned into NULL first."""
+    """Pairwise-complete Pearson correlation of every ordered pair as
+    (x, y, corr): each unordered pair is aggregated once (one pass for all)
+    and mirrored; NaN is turned into NULL first."""
     clean = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c)
                         for c in cols])
-    pairs = [(a, b) for a in cols for b in cols]
-    one = clean.agg(*[(F.lit(1.0) if a == b else F.corr(a, b)).alias(f"{a}__{b}") for a, b in pairs])
-    stack = F.explode(F.array(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"),
-                                         F.col(f"{a}__{b}").alias("corr")) for a, b in pairs]))
-    return one.select(stack.alias("s")).select("s.*")
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    one = clean.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs]) if pairs else clean.limit(1)
+    cells = [F.struct(F.lit(a).alias("x"), F.lit(a).alias("y"), F.lit(1.0).alias("corr")) for a in cols]
+    for a, b in pairs:
+        cells.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"{a}__{b}").alias("corr")))
+        cells.append(F.struct(F.lit(b).alias("x"), F.lit(a).alias("y"), F.col(f"{a}__{b}").alias("corr")))
+    return one.select(F.explode(F.array(*cells)).alias("s")).select("s.*")
 
 
 def sample_rows(df: DataFrame, id_col: str, n: int = 5000, seed: int = 42) -> DataFrame:
