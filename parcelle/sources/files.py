@@ -79,9 +79,13 @@ def read_years(spark: SparkSession, path: str, first_year: int, last_year: int,
     return df.where(F.col(year_col).between(first_year, last_year))
 
 
-def save_view(df: DataFrame, table: str, fmt: str = "parquet") -> None:
-    """Materialized view refresh = recompute and overwrite the table."""
-    df.write.mode("overwrite").format(fmt).saveAsTable(table)
+def save_view(df: DataFrame, table: str, fmt: str = "parquet", path: str | None = None) -> None:
+    """Materialized view refresh = recompute and overwrite the table
+    (``path`` places it in a shared folder as an external table)."""
+    w = df.write.mode("overwrite").format(fmt)
+    if path is not None:
+        w = w.option("path", path)
+    w.saveAsTable(table)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

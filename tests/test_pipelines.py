@@ -75,6 +75,13 @@ def test_refresh_communes_views_and_summary(spark):
                                T.poi(spark, SF_SMALL), AS_OF)
     assert set(views) == {"vw_price_stats", "vw_monthly_trends", "vw_quartier_analysis"}
     assert views["vw_quartier_analysis"].count() == 25
+    base = tempfile.mkdtemp(prefix="parcelle-views-")
+    for name, df in views.items():  # S13: refresh = recompute and overwrite
+        FS.save_view(df, name, path=os.path.join(base, name))
+        FS.save_view(df, name, path=os.path.join(base, name))
+    assert spark.table("vw_price_stats").count() == views["vw_price_stats"].count()
+    for name in views:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     enriched = PL.enrich_sales(sales.withColumn("commune_id", F.lit(None).cast("long")), communes)
     summary = {r.state: r for r in PL.run_summary(sales, enriched).collect()}
     assert summary["before"].total == summary["after"].total
