@@ -182,7 +182,7 @@ def score(model: PipelineModel, props: DataFrame, features: Sequence[str], media
           area_col: str = "surface_reelle_bati") -> DataFrame:
     """Fill missing features (given > default month/quarter/day >
     training median > 0), predict, band +-1.96 * RMSE * 0.5 floored at 0,
-    price per area; all rounded to units."""
+    price per area; all rounded to units half-to-even, as numpy rounds."""
     filled = with_one_row(props, medians.select(*[F.col(f).alias(f"_med_{f}") for f in features]))
     fill: dict[str, Column] = {}
     for f in features:
@@ -194,10 +194,10 @@ def score(model: PipelineModel, props: DataFrame, features: Sequence[str], media
     half = 1.96 * rmse * 0.5
     p = F.col("prediction")
     return pred.withColumns({
-        "prix_predit": F.round(p, 0),
-        "prix_min": F.round(F.greatest(F.lit(0.0), p - half), 0),
-        "prix_max": F.round(p + half, 0),
-        "prix_m2_estime": F.round(p / F.col(area_col), 0),
+        "prix_predit": F.bround(p, 0),
+        "prix_min": F.bround(F.greatest(F.lit(0.0), p - half), 0),
+        "prix_max": F.bround(p + half, 0),
+        "prix_m2_estime": F.bround(p / F.col(area_col), 0),
     }).drop("features")
 
 
