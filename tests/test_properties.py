@@ -49,3 +49,30 @@ def test_commune_code_model(spark, pairs):
     got = {r.i: r.v for r in df.select("i", P.commune_code("d", "c").alias("v")).collect()}
     for i, (a, b) in enumerate(pairs):
         assert got[i] == _code_model(a, b), (a, b, got[i])
+
+
+def _contains_model(ring, x, y):
+    inside = False
+    for (ax, ay), (bx, by) in zip(ring, ring[1:]):
+        if (ay > y) != (by > y) and x < (bx - ax) * (y - ay) / (by - ay) + ax:
+            inside = not inside
+        cross = (bx - ax) * (y - ay) - (by - ay) * (x - ax)
+        if cross == 0 and min(ax, bx) <= x <= max(ax, bx) and min(ay, by) <= y <= max(ay, by):
+            return False
+    return inside
+
+
+COORD = st.integers(min_value=0, max_value=40).map(lambda v: v / 4.0)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(COORD, COORD), min_size=3, max_size=7),
+       st.lists(st.tuples(COORD, COORD), min_size=30, max_size=60))
+def test_ring_contains_model(spark, vertices, points):
+    from parcelle.functions import geo as G
+    ring = vertices + [vertices[0]]
+    rows = [(i, [{"lon": a, "lat": b} for a, b in ring], x, y) for i, (x, y) in enumerate(points)]
+    df = spark.createDataFrame(rows, "i int, ring array<struct<lon:double,lat:double>>, x double, y double")
+    got = {r.i: r.c for r in df.select("i", G.ring_contains("ring", "x", "y").alias("c")).collect()}
+    for i, (x, y) in enumerate(points):
+        assert got[i] == _contains_model(ring, x, y), (ring, x, y)
