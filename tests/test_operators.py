@@ -178,3 +178,17 @@ def test_department_extract_defaults(spark):
     df = spark.createDataFrame(rows, "id long, date_mutation date, code_departement string, type_local string")
     assert [r.id for r in X.by_department(df, "75").collect()] == [5, 1]
     assert [r.id for r in X.by_department(df, "75", max_records=1).collect()] == [5]
+
+
+def test_density_and_variation_edges(spark):
+    from parcelle.operators import listings as LS
+    c = spark.createDataFrame([(1000, 0.0), (1000, 4.0), (None, 2.0)], "p int, a double")
+    assert [r.d for r in c.select(D.density("p", "a").alias("d")).collect()] == [None, 250.0, None]
+    h = spark.createDataFrame([(1, 10, dt.datetime(2024, 1, 1), 100.0),              # single observation
+                               (2, 20, dt.datetime(2024, 1, 1), 50.0), (3, 20, dt.datetime(2024, 1, 2), 50.0),
+                               (4, 30, dt.datetime(2024, 1, 1), 0.0), (5, 30, dt.datetime(2024, 1, 1), 80.0)],
+                              "id long, listing_id long, date_observation timestamp_ntz, prix double")
+    out = {r.id: (r.prix_precedent, r.variation_pct) for r in LS.price_variation(h).collect()}
+    assert out[1] == (None, None)
+    assert out[3] == (50.0, 0.0)          # equal prices
+    assert out[5] == (0.0, None)          # previous price 0: NULLIF guard, same timestamp ordered by id
