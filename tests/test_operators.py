@@ -192,3 +192,11 @@ def test_density_and_variation_edges(spark):
     assert out[1] == (None, None)
     assert out[3] == (50.0, 0.0)          # equal prices
     assert out[5] == (0.0, None)          # previous price 0: NULLIF guard, same timestamp ordered by id
+
+
+def test_truncate_widths(spark):
+    df = spark.createDataFrame([("x" * 600, "750110", "Vente" * 20, None)],
+                               "adresse_nom_voie string, code_postal string, nature_mutation string, other string")
+    r = P.truncate_widths(df).first()
+    assert len(r.adresse_nom_voie) == 500 and r.code_postal == "75011" and len(r.nature_mutation) == 50
+    assert r.other is None
