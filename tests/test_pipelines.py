@@ -86,3 +86,12 @@ def test_refresh_communes_views_and_summary(spark):
     summary = {r.state: r for r in PL.run_summary(sales, enriched).collect()}
     assert summary["before"].total == summary["after"].total
     assert summary["after"].with_commune >= summary["before"].with_commune - summary["before"].total
+
+
+def test_bad_bytes_replaced(spark):
+    d = tempfile.mkdtemp(prefix="parcelle-bytes-")
+    path = os.path.join(d, "ventes.txt")
+    with open(path, "wb") as f:
+        f.write("Commune|Valeur fonciere\n".encode("utf-8") + b"Saint-\xe9tienne|1000,5\n")
+    r = FS.read_delimited(spark, path).first()
+    assert r["Commune"] == "Saint-�tienne" and r["Valeur fonciere"] == "1000,5"
