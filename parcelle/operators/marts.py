@@ -25,9 +25,12 @@ def price_stats(sales: DataFrame, communes: DataFrame, as_of: str, months: int =
     ``sales`` carries ``commune_id, type_local, date_mutation, valeur_fonciere``
     and the ratio column; ``communes`` carries ``id`` and the label columns."""
     r = F.col(ratio_col)
-    s = (sales.where((F.col("date_mutation") >= trailing_months_start(as_of, months))
-                     & r.isNotNull() & (r > 0))
-              .select("commune_id", "type_local", "date_mutation", "valeur_fonciere", ratio_col))
+    start = trailing_months_start(as_of, months)
+    keep = (F.col("date_mutation") >= start) & r.isNotNull() & (r > 0)
+    if "annee" in sales.columns:
+        # Implied by the date bound; lets a year-partitioned table skip old years.
+        keep = keep & (F.col("annee") >= F.year(start))
+    s = sales.where(keep).select("commune_id", "type_local", "date_mutation", "valeur_fonciere", ratio_col)
     c = broadcast_if_small(communes.select(F.col("id").alias("commune_id"), *PRICE_STATS_KEYS[:-1]))
     j = s.join(c, "commune_id", "inner")
     aggs = [

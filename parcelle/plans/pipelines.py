@@ -114,3 +114,27 @@ def run_summary(before: DataFrame, after: DataFrame) -> DataFrame:
                       F.count("commune_id").alias("with_commune"), F.count("latitude").alias("with_coords"),
                       F.count_if(F.col("commune_id").isNull()).alias("without_commune"))
     return counters(before, "before").unionByName(counters(after, "after"))
+
+
+WAREHOUSE_TABLES = ("sales", "communes", "quartiers", "poi", "listings", "price_history")
+
+
+def build_warehouse(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, str]:
+    """Write the domain tables once (sales with their derived columns,
+    partitioned by year) so that views and reports read them instead of
+    re-deriving them from the source tables each time."""
+    from parcelle.sources import tables as T
+    paths = {}
+    for name in WAREHOUSE_TABLES:
+        df = getattr(T, name)(spark, sf_dir)
+        path = f"{out_dir.rstrip('/')}/{name}"
+        if name == "sales":
+            FS.write_by(D.derive_sales(df), path, ["annee"])
+        else:
+            df.write.mode("overwrite").parquet(path)
+        paths[name] = path
+    return paths
+
+
+def read_warehouse(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    return {name: spark.read.parquet(f"{out_dir.rstrip('/')}/{name}") for name in WAREHOUSE_TABLES}

@@ -95,3 +95,21 @@ def test_bad_bytes_replaced(spark):
         f.write("Commune|Valeur fonciere\n".encode("utf-8") + b"Saint-\xe9tienne|1000,5\n")
     r = FS.read_delimited(spark, path).first()
     assert r["Commune"] == "Saint-�tienne" and r["Valeur fonciere"] == "1000,5"
+
+
+def test_warehouse_written_once_and_pruned(spark):
+    from parcelle.functions import derive as D
+    from parcelle.operators import marts
+    from parcelle.plans.queries_core import AS_OF
+    from parcelle.sources import tables as T
+    from tests.conftest import SF_SMALL
+    out = tempfile.mkdtemp(prefix="parcelle-wh-")
+    PL.build_warehouse(spark, SF_SMALL, out)
+    wh = PL.read_warehouse(spark, out)
+    a = marts.price_stats(wh["sales"], wh["communes"], AS_OF)
+    b = marts.price_stats(D.derive_sales(T.sales(spark, SF_SMALL)), T.communes(spark, SF_SMALL), AS_OF)
+    key = lambda r: (r.code_commune, r.type_local)
+    ra, rb = sorted(a.collect(), key=key), sorted(b.collect(), key=key)
+    assert len(ra) == len(rb) and all(x.nb_ventes == y.nb_ventes for x, y in zip(ra, rb))
+    plan = a._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(annee" in plan and "(annee#" in plan
