@@ -123,25 +123,35 @@ def q_split_summary(spark, sf):
     return M.split_summary(M.hash_split(data))
 
 
-@register("regression_metrics", "M5 M6 M7 M8 M9 K7")
-def q_regression_metrics(spark, sf):
-    data, feats = prepared(spark, sf)
-    data = M.hash_split(data).cache()
-    train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
+def compare_models(data: DataFrame, feats: list[str]) -> DataFrame:
+    """M5-M9: fit every model on the train split, metrics on the test split."""
+    split = M.hash_split(data)
+    train, test = split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
     out = None
     for spec in QUERY_MODELS:
         model = M.fit(train, feats, spec)
         m = M.regression_metrics(model.transform(test)).select(F.lit(spec.name).alias("model"), "n", "r2", "mae", "rmse")
         out = m if out is None else out.unionByName(m)
+    return out
+
+
+@register("regression_metrics", "M5 M6 M7 M8 M9 K7")
+def q_regression_metrics(spark, sf):
+    data, feats = prepared(spark, sf)
+    out = compare_models(data, feats)
     best = out.agg(F.max_by("model", "r2").alias("_best"))
     from parcelle.operators.quantiles import with_one_row
     return with_one_row(out, best).withColumn("is_best", F.col("model") == F.col("_best")).drop("_best")
 
 
-@register("cv_scores", "M11")
+@register("cv_scores", "M11 K7")
 def q_cv_scores(spark, sf):
+    """5-fold cross-validation of the best model (K7), as the notebook does."""
     data, feats = prepared(spark, sf)
-    return M.cross_validate(data, feats, QUERY_MODELS[0], order_col="id", k=5)
+    metrics = compare_models(data, feats).orderBy(F.desc("r2"), "model").limit(1).collect()
+    spec = next(s for s in QUERY_MODELS if s.name == metrics[0]["model"])
+    out = M.cross_validate(data, feats, spec, order_col="id", k=5)
+    return out.withColumn("model", F.lit(spec.name))
 
 
 @register("feature_importance", "M14 K6")
