@@ -88,3 +88,14 @@ def test_content_id_hot_identical_rows(spark):
     assert len(ida) == len(rows) and len(set(ida)) == len(rows)
     assert len(idb) == len(rows) and len(set(idb)) == len(rows)
     assert "20200101_75056_1000_2539" in ida and "20210101_69123_5_0" in ida
+
+
+def test_feature_importance_tree_model(spark):
+    df = spark.range(400).select(F.col("id").cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("b"),
+                                 (F.col("id") * 3.0 + 1).alias("y"))
+    spec = M.ModelSpec("rf", "forest", {"numTrees": 5, "maxDepth": 4, "seed": 42, "featureSubsetStrategy": "all"})
+    model = M.fit(df, ["a", "b"], spec, label="y")
+    imp = M.feature_importance(model, ["a", "b"], 10).collect()
+    assert [r.feature for r in imp][0] == "a" and abs(sum(r.importance for r in imp) - 1.0) < 1e-9
+    lin = M.fit(df, ["a", "b"], M.ModelSpec("lr", "linear", {}), label="y")
+    assert M.feature_importance(lin, ["a", "b"]).count() == 0
