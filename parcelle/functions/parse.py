@@ -140,8 +140,10 @@ def with_content_id(df: DataFrame, date: str, code: str, price: str, order_by: S
 
     Skew-safe without losing rows: identical rows are first collapsed into
     (row, count) by an aggregate combined map-side; distinct rows of a hot
-    content key are spread over hash chunks, numbered per chunk, and shifted
-    by the sizes of the earlier chunks (a small per-(key, chunk) table); each
+    content key are spread over chunks (ranges of a numeric leading order
+    column, so the numbering equals the plain window's; hash chunks
+    otherwise), numbered per chunk, and shifted by the sizes of the earlier
+    chunks (a small per-(key, chunk) table); each
     (row, count) is then cut into pieces of at most ``EXPAND_PIECE`` numbers
     that are redistributed before being expanded back into rows."""
     from pyspark.sql import Window
@@ -161,11 +163,24 @@ def with_content_id(df: DataFrame, date: str, code: str, price: str, order_by: S
     largest = nd.agg(F.max("_nd")).first()[0] or 0
     if largest > max_group:
         k = -(-largest // max_group)
-        hot = nd.where(F.col("_nd") > max_group).select("_key", F.lit(True).alias("_hot"))
         from parcelle.plans.sizing import broadcast_if_small
-        d = d.join(broadcast_if_small(hot), "_key", "left").withColumn(
-            "_chunk", F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(k)))
-                       .otherwise(F.lit(0))).drop("_hot")
+        first = order[0]
+        numeric = dict(df.dtypes)[first] in ("tinyint", "smallint", "int", "bigint", "float", "double") or \
+            dict(df.dtypes)[first].startswith("decimal")
+        if numeric:
+            # Range chunks on the leading order column: the chunk grows with it,
+            # so (chunk, order) is the same order as the plain window's and the
+            # ids do not depend on which path ran.
+            v = F.col(first).cast("double")
+            hot = (d.join(F.broadcast(nd.where(F.col("_nd") > max_group).select("_key")), "_key", "left_semi")
+                    .groupBy("_key").agg(F.percentile_approx(v, [i / k for i in range(1, k)], 10000).alias("_b")))
+            d = d.join(broadcast_if_small(hot), "_key", "left").withColumn(
+                "_chunk", F.coalesce(F.size(F.filter("_b", lambda b: b < v)), F.lit(0)).cast("long")).drop("_b")
+        else:
+            hot = nd.where(F.col("_nd") > max_group).select("_key", F.lit(True).alias("_hot"))
+            d = d.join(broadcast_if_small(hot), "_key", "left").withColumn(
+                "_chunk", F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(k)))
+                           .otherwise(F.lit(0))).drop("_hot")
     else:
         d = d.withColumn("_chunk", F.lit(0).cast("long"))
     w = Window.partitionBy("_key", "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

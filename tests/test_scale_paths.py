@@ -99,3 +99,14 @@ def test_feature_importance_tree_model(spark):
     assert [r.feature for r in imp][0] == "a" and abs(sum(r.importance for r in imp) - 1.0) < 1e-9
     lin = M.fit(df, ["a", "b"], M.ModelSpec("lr", "linear", {}), label="y")
     assert M.feature_importance(lin, ["a", "b"]).count() == 0
+
+
+def test_content_id_paths_agree_on_numeric_order(spark):
+    from parcelle.functions import parse as P
+    rows = [(i, "2020-01-01", "75056", 1000.0, float(i % 13)) for i in range(3000)] + \
+           [(3000 + i, "2021-01-01", "69123", 5.5, 2.0) for i in range(3)]
+    df = spark.createDataFrame(rows, "id long, d string, code string, price double, extra double") \
+              .withColumn("d", F.to_date("d"))
+    a = {r.id: r.dvf_id for r in P.with_content_id(df, "d", "code", "price", order_by=["id"]).collect()}
+    b = {r.id: r.dvf_id for r in P.with_content_id(df, "d", "code", "price", order_by=["id"], max_group=50).collect()}
+    assert a == b and len(set(a.values())) == len(rows)
