@@ -107,3 +107,30 @@ def with_photo_count(listings: DataFrame, urls_col: str = "photos_urls", out_col
     """Declared ``nb_photos`` from the photo URL list when not already known."""
     n = F.when(F.col(urls_col).isNotNull(), F.size(urls_col))
     return listings.withColumn(out_col, F.coalesce(F.col(out_col), n) if out_col in listings.columns else n)
+
+
+def price_history_pages(history: DataFrame, listing_col: str = "listing_id", ts_col: str = "date_observation",
+                        price_col: str = "prix", tie_col: str = "id", max_group: int | None = None) -> DataFrame:
+    """``evolution_prix`` in pages for listings whose history is too long for
+    one value: listings up to ``max_group`` observations get one page; longer
+    ones are cut into time chunks at approximate percentiles (as for the
+    price variation), one JSON array per (listing, page), pages in time order.
+    No page holds more than about ``max_group`` observations."""
+    max_group = MAX_GROUP if max_group is None else max_group
+    counts = history.groupBy(listing_col).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") > max_group)
+    t = F.col(ts_col).cast("timestamp").cast("double")
+    if hot.isEmpty():
+        paged = history.withColumn("page", F.lit(0))
+    else:
+        k = -(-hot.agg(F.max("_n")).first()[0] // max_group)
+        bounds = (history.join(F.broadcast(hot.select(listing_col)), listing_col, "left_semi")
+                         .groupBy(listing_col).agg(F.percentile_approx(t, [i / k for i in range(1, k)], 10000)
+                                                   .alias("_bounds")))
+        paged = history.join(broadcast_if_small(bounds), listing_col, "left").withColumn(
+            "page", F.coalesce(F.size(F.filter("_bounds", lambda b: b < t)), F.lit(0))).drop("_bounds")
+    obs = F.struct(F.col(ts_col).alias("date"), F.col(tie_col).alias("_tie"), F.col(price_col).alias("prix"))
+    g = paged.groupBy(listing_col, "page").agg(F.array_sort(F.collect_list(obs)).alias("_obs"))
+    out = F.transform("_obs", lambda o: F.struct(F.date_format(o["date"], "yyyy-MM-dd'T'HH:mm:ss").alias("date"),
+                                                 o["prix"].alias("prix")))
+    return g.select(listing_col, "page", F.to_json(out).alias("evolution_prix"), F.size("_obs").alias("nb_observations"))

@@ -200,3 +200,17 @@ def test_truncate_widths(spark):
     r = P.truncate_widths(df).first()
     assert len(r.adresse_nom_voie) == 500 and r.code_postal == "75011" and len(r.nature_mutation) == 50
     assert r.other is None
+
+
+def test_price_history_pages_concatenate_to_whole(spark):
+    import json
+    from parcelle.operators import listings as LS
+    h = spark.range(600).select(F.col("id"), (F.col("id") % 2).alias("listing_id"),
+                                F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz").alias("date_observation"),
+                                (F.col("id") * 1.5).alias("prix"))
+    whole = {r.listing_id: json.loads(r.evolution_prix) for r in LS.price_history_json(h).collect()}
+    pages = sorted(LS.price_history_pages(h, max_group=40).collect(), key=lambda r: (r.listing_id, r.page))
+    joined = {}
+    for r in pages:
+        joined.setdefault(r.listing_id, []).extend(json.loads(r.evolution_prix))
+    assert joined == whole and max(r.nb_observations for r in pages) < 300
