@@ -240,3 +240,16 @@ def q_newest_sale_file(spark, sf):
     id_col = P.resolve_column(df, ["id", "Identifiant", "identifiant"])
     return df.select(F.col(id_col).cast("long").alias("id"), P.parse_date("date_mutation").alias("date_mutation"),
                      P.parse_number("valeur_fonciere").alias("valeur_fonciere"))
+
+
+@register("price_history_pages", "§2.16 evolution_prix", with_adapter("""
+SELECT listing_id, 0 AS page,
+       '[' || string_agg('{"date":"' || strftime(date_observation, '%Y-%m-%dT%H:%M:%S') || '","prix":'
+                         || CAST(prix AS VARCHAR) || '}', ',' ORDER BY date_observation, id) || ']' AS evolution_prix,
+       COUNT(*) AS nb_observations
+FROM price_history GROUP BY listing_id
+"""))
+def q_price_history_pages(spark, sf):
+    """Paged price histories (one page per listing unless a listing exceeds the page bound)."""
+    out = LS.price_history_pages(T.price_history(spark, sf))
+    return out.withColumn("nb_observations", F.col("nb_observations").cast("long"))
