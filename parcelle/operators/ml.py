@@ -229,3 +229,18 @@ def prediction_context(props: DataFrame, quartiers: DataFrame, sales: DataFrame,
     transports = places.where(F.col("type_poi") == transport_type)
     return spatial.count_within_radius(out, transports, radius_m, out_prefix="_tr_").withColumnRenamed(
         "_tr_total", f"nb_transports_{int(radius_m)}m")
+
+
+def predict_price(model: PipelineModel, features: Sequence[str], medians: DataFrame, rmse: float,
+                  surface: float, nb_pieces: int, type_bien: str = "Appartement", **kwargs) -> dict:
+    """X6 for one property, as a call: the same scoring as ``score`` on a
+    one-row frame (type code 1 for an apartment, 2 otherwise; other features
+    from ``kwargs``, else the defaults and training medians)."""
+    spark = SparkSession.active()
+    row = {"surface_reelle_bati": float(surface), "nb_pieces": int(nb_pieces),
+           "type_local_encoded": 1 if type_bien == "Appartement" else 2}
+    row.update({k: v for k, v in kwargs.items() if k in features})
+    cols = [c for c in features if c in row]
+    props = spark.createDataFrame([tuple(float(row[c]) for c in cols)], ", ".join(f"{c} double" for c in cols))
+    out = score(model, props, features, medians, rmse).first()
+    return {k: out[k] for k in ("prix_predit", "prix_min", "prix_max", "prix_m2_estime")}

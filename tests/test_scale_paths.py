@@ -110,3 +110,16 @@ def test_content_id_paths_agree_on_numeric_order(spark):
     a = {r.id: r.dvf_id for r in P.with_content_id(df, "d", "code", "price", order_by=["id"]).collect()}
     b = {r.id: r.dvf_id for r in P.with_content_id(df, "d", "code", "price", order_by=["id"], max_group=50).collect()}
     assert a == b and len(set(a.values())) == len(rows)
+
+
+def test_predict_price_call(spark):
+    df = spark.range(300).select((F.col("id") % 100 + 10).cast("double").alias("surface_reelle_bati"),
+                                 (F.col("id") % 5 + 1).cast("double").alias("nb_pieces"),
+                                 (F.col("id") % 2 + 1).cast("double").alias("type_local_encoded"),
+                                 (F.col("id") % 12 + 1).cast("double").alias("mois"))
+    df = df.withColumn("valeur_fonciere", F.col("surface_reelle_bati") * 3000 + F.col("nb_pieces") * 1000)
+    feats = ["surface_reelle_bati", "nb_pieces", "type_local_encoded", "mois"]
+    model = M.fit(df, feats, M.ModelSpec("lr", "linear", {}))
+    out = M.predict_price(model, feats, M.scoring_medians(df, feats), rmse=1000.0, surface=50, nb_pieces=2)
+    assert out["prix_predit"] == 152000.0 and out["prix_min"] == 151020.0 and out["prix_max"] == 152980.0
+    assert out["prix_m2_estime"] == 3040.0
