@@ -122,3 +122,10 @@ def by_department(sales: DataFrame, departement: str, date_debut: str | None = N
     return sales_extract(sales, departement=departement, date_debut=date_debut or DEFAULT_START_DATE,
                          date_fin=date_fin or DEFAULT_END_DATE, types=DEFAULT_TYPES, max_records=max_records,
                          dept_col=dept_col)
+
+
+def recent_departments(sales: DataFrame, as_of: str, months: int = 6,
+                       departements: Sequence[tuple[str, str]] = tuple(DEFAULT_DEPARTMENTS),
+                       per_dept: int = 10000, dept_col: str = "code_departement") -> DataFrame:
+    """The last ``months`` x 30 days of several department searches (E3 + P36)."""
+    return multi_department(recent(sales, as_of, months), list(departements), per_dept, dept_col=dept_col)

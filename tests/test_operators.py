@@ -214,3 +214,12 @@ def test_price_history_pages_concatenate_to_whole(spark):
     for r in pages:
         joined.setdefault(r.listing_id, []).extend(json.loads(r.evolution_prix))
     assert joined == whole and max(r.nb_observations for r in pages) < 300
+
+
+def test_recent_departments(spark):
+    from parcelle.operators import extract as X
+    rows = [(1, dt.date(2024, 6, 1), "75"), (2, dt.date(2023, 1, 1), "75"), (3, dt.date(2024, 5, 1), "69"),
+            (4, dt.date(2024, 6, 2), "01")]
+    df = spark.createDataFrame(rows, "id long, date_mutation date, code_departement string")
+    out = {r.id: (r.dept_recherche, r.ville_recherche) for r in X.recent_departments(df, "2024-06-30", 6).collect()}
+    assert out == {1: ("75", "Paris"), 3: ("69", "Lyon")}
