@@ -18,7 +18,7 @@ from parcelle.session import get_spark  # noqa: E402
 
 # Model fits are timed separately by their own jobs; the bench covers the
 # query operators (scans, joins, aggregates, windows, spatial joins, parsing).
-SKIP = {"regression_metrics", "cv_scores", "feature_importance", "score_properties", "split_summary"}
+SKIP = {"regression_metrics", "cv_scores", "feature_importance", "score_properties"}
 
 
 def main() -> None:
