@@ -27,3 +27,11 @@ def test_model_queries_finite(spark):
     assert all(math.isfinite(r.r2) for r in cv) and len({r.cv_r2_mean for r in cv}) == 1
     scored = qs["score_properties"](spark, SF_SMALL).collect()
     assert scored and all(r.prix_min <= r.prix_predit <= r.prix_max and r.prix_min >= 0 for r in scored)
+
+
+def test_scale_conf_sizes_partitions():
+    from parcelle.session import scale_conf
+    c = scale_conf(100 * 1024 ** 4)
+    assert c["spark.sql.shuffle.partitions"] == str(100 * 1024 ** 4 // (256 * 1024 ** 2))
+    assert c["spark.sql.files.maxPartitionBytes"] == "256m"
+    assert scale_conf(1024)["spark.sql.shuffle.partitions"] == "200"
