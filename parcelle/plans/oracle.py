@@ -122,7 +122,8 @@ raw_sales AS (
          CASE WHEN id % 3 = 1 THEN code_postal || '.0' ELSE code_postal END AS code_postal,
          CAST(surface_reelle_bati AS VARCHAR) AS surface_reelle_bati,
          CAST(nb_pieces AS VARCHAR) AS nb_pieces,
-         type_local
+         type_local,
+         nature_mutation
   FROM sales_base
 )
 """

@@ -26,8 +26,7 @@ def full_feed(spark: SparkSession, sf: str) -> DataFrame:
     """All sales plus the finished orders delivered again as raw text (new ids,
     only the columns a sale file carries)."""
     base = T.sales(spark, sf)
-    status = T.read(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), "o_orderstatus")
-    raw = T.raw_sales(spark, sf).join(status, "id").where(F.col("o_orderstatus") == "F").drop("o_orderstatus")
+    raw = T.raw_sales(spark, sf).where(F.col("nature_mutation") == "F")
     again = P.clean_raw_sales(raw).withColumn("id", F.col("id") + RELOAD_OFFSET)
     return base.unionByName(again, allowMissingColumns=True)
 
@@ -41,8 +40,8 @@ feedfull AS (
   SELECT r.id + {RELOAD_OFFSET}, {SQL_DATE.format(c='r.date_mutation')}, {SQL_NUM.format(c='r.valeur_fonciere')},
          {sql_commune_code('r.code_departement', 'r.code_commune')}, TRY_CAST(r.surface_reelle_bati AS DOUBLE),
          r.type_local, {SQL_INT.format(c='r.nb_pieces')}, {sql_postal('r.code_postal')}, NULL, NULL, NULL
-  FROM raw_sales r JOIN orders o ON r.id = o.o_orderkey
-  WHERE o.o_orderstatus = 'F' AND {SQL_DATE.format(c='r.date_mutation')} IS NOT NULL
+  FROM raw_sales r
+  WHERE r.nature_mutation = 'F' AND {SQL_DATE.format(c='r.date_mutation')} IS NOT NULL
     AND {SQL_NUM.format(c='r.valeur_fonciere')} > 0
 ),
 dd AS (

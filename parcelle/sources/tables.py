@@ -194,4 +194,5 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("surface_reelle_bati").cast("string").alias("surface_reelle_bati"),
         F.col("nb_pieces").cast("string").alias("nb_pieces"),
         F.col("type_local"),
+        F.col("nature_mutation"),
     )
