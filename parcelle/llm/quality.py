@@ -156,7 +156,10 @@ def cascade(docs: DataFrame, plan: list[dict], text: str = "text", out: str = "r
 def keep_good(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
     """The documents that no rule rejects, columns as they were."""
     marked = cascade(docs, plan_cascade(docs, rules, text), text, _P + "verdict")
-    return marked.where(F.col(_P + "verdict").isNull()).drop(_P + "verdict")
+    # a filter would be pushed below the measures, which would then be computed
+    # anew wherever the verdict names them; a generator stays where it is
+    stay = F.array_repeat(F.lit(1), F.when(F.col(_P + "verdict").isNull(), 1).otherwise(0))
+    return marked.withColumn(_P + "stay", F.explode(stay)).drop(_P + "verdict", _P + "stay")
 
 
 def quality_report(docs: DataFrame) -> DataFrame:
