@@ -36,6 +36,17 @@ def spill(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hash_sample(df: DataFrame, rows: int, total: int, *by: str) -> DataFrame:
+    """At most ``rows`` rows of ``df``, those with the smallest hashes of ``by``.
+    A cutoff lets about four times as many through, so what is sorted does not
+    grow with the table or its partitions."""
+    share = min(1.0, 4.0 * rows / max(1, total))
+    h = F.xxhash64(*by)
+    if share < 1.0:
+        df = df.where(h < F.lit(int(-(1 << 63) + share * float(1 << 64))).cast("long"))
+    return df.orderBy(h, *by).limit(rows)
+
+
 # ---------------------------------------------------------------------------
 # words as 64-bit hashes, whole buffers at a time
 

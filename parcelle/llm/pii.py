@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelle.llm.common import spill
+from parcelle.llm.common import hash_sample, spill
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 200
@@ -446,11 +446,12 @@ def scan_base(docs: DataFrame, text: str = "text") -> DataFrame:
 def _fit(scanned: DataFrame, docs: int) -> dict[str, np.ndarray] | None:
     few = scanned.where(F.size("regions") > 0).select("doc_id", "base", F.slice("regions", 1, SAMPLE_REGIONS).alias("regions"))
     few = few.withColumn("regions", F.transform("regions", lambda r: F.struct(r["start"].alias("start"), F.substring(r["text"], 1, 4 * WINDOW).alias("text"))))
-    order = F.xxhash64("doc_id")
-    rows = few.where(F.size("base") > 0).orderBy(order, "doc_id", F.to_json("regions")).limit(docs).collect()
-    if not rows:
+    few = few.withColumn("key", F.to_json("regions"))
+    n, n1 = few.agg(F.count("*"), F.sum((F.size("base") > 0).cast("int"))).first()
+    if not n1:
         return None
-    rows += few.where(F.size("base") == 0).orderBy(order, "doc_id", F.to_json("regions")).limit(docs).collect()
+    rows = hash_sample(few.where(F.size("base") > 0), docs, n1, "doc_id", "key").collect()
+    rows += hash_sample(few.where(F.size("base") == 0), docs, n - n1, "doc_id", "key").collect()
     return train([labelled([tuple(x) for x in r.regions]) for r in rows])
 
 

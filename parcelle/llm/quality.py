@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelle.llm.common import WS_CLASS, spill
+from parcelle.llm.common import WS_CLASS, hash_sample, spill
 
 #: Rows of the sample on which costs and selectivities are measured.
 SAMPLE_ROWS = 400
@@ -111,7 +111,7 @@ def plan_cascade(docs: DataFrame, rules=RULES, text: str = "text", key: str = "d
     """Measure the rules on at most ``sample_rows`` documents with the smallest
     key hashes and return them in cascade order: rejected share per second first."""
     narrow = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("text"))
-    sample = spill(narrow.orderBy(F.xxhash64("k")).limit(sample_rows).coalesce(1), "quality-sample")
+    sample = spill(hash_sample(narrow, sample_rows, narrow.count(), "k").coalesce(1), "quality-sample")
 
     def timed(rule: Rule | None) -> tuple[float, float]:
         if rule is None:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelle.llm.common import in_chunks, spill, word_hashes
+from parcelle.llm.common import hash_sample, in_chunks, spill, word_hashes
 
 SAMPLE_PER_CLASS = 2500
 MAX_FEATURES = 50_000
@@ -141,7 +141,7 @@ def graded_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PE
     one = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
     one = spill(one, "labels")
     n, n1 = one.agg(F.count("*"), F.sum(F.col("toxic").cast("int"))).first()
-    picked = [one.where(c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in ("toxic", "NOT toxic")]
+    picked = [hash_sample(one.where(c), per_class, k, "doc_id") for c, k in (("toxic", n1 or 0), ("NOT toxic", n - (n1 or 0)))]
     few = F.broadcast(picked[0].union(picked[1]))       # at most 2 per_class ids
 
     def run(batches):
