@@ -10,12 +10,13 @@ connected components of the links.
    share one of their first n - ceil(t n) + 1 shingles, so only those enter the
    index lists.  A member's position says how much overlap is still possible:
    pairs, and in long lists whole blocks, that cannot reach it are skipped.
-3. Answers by relation.  In a list of three or more, every member is first
-   compared with one pivot only (linear in the list).  The answers for the rest
-   are derived from the pivot's: members linked to it are connected already and
-   need no comparison; as Jaccard distance is a metric, members whose distances
-   to the pivot differ by more than 1 - t cannot link.  What is left is compared
-   exactly in a second round.
+3. Answers by relation.  In a long list the members are compared with a few
+   pivots at a time, those first that stand in most lists (linear in the list).
+   The answers for the rest are derived from the pivots': members in one component
+   are connected already and need no comparison; as Jaccard distance is a metric,
+   members whose distances to a pivot differ by more than 1 - t cannot link.
+   Rounds go on with new pivots until what is left is linear in the list (or
+   ``ROUNDS`` are over) and is compared pair by pair.
 4. Links are verified on whole sets; components are computed in Spark.
 
 The result is exact: cells and positions steer the order, never what links
@@ -48,6 +49,9 @@ _CHUNK_BITS = 16
 BUCKET_ROWS = 400_000   # index entries a bucket, about
 _FLUSH = 2_000_000      # index entries a task holds before it deals them out
 _BLOCK = 64             # members of a list that are skipped together
+ROUNDS = 8              # rounds by pivots before all open pairs are compared
+PIVOTS = 2              # new pivots of a list in a round
+_OPEN_EACH = 4          # open pairs a member that are compared one by one
 BLOOM_BITS = 25
 
 _STEP = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
@@ -205,7 +209,7 @@ def _can_link(nx, px, ny, py, t: int):
 
 def _walk_bucket(t: int):
     """Lists of one bucket -> pairs to compare (a, b) and lists of three or more
-    members (list_id, pivot, members); equal lists of a bucket once."""
+    members (list_id, members); equal lists of a bucket once."""
 
     def run(table: pa.Table) -> pa.Table:
         cols = [np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(c)])
@@ -219,7 +223,7 @@ def _walk_bucket(t: int):
         two = start[size == 2]
         two = two[_can_link(n[two], pos[two], n[two + 1], pos[two + 1], t)]
         pairs = [np.stack((lab[two], lab[two + 1]), 1)]
-        lists: dict[bytes, tuple[int, bytes]] = {}
+        lists: dict[bytes, bytes] = {}
         for a, m in zip(start[size > 2], size[size > 2]):
             members = _linkable(n[a:a + m], pos[a:a + m], t)
             if not len(members):
@@ -231,18 +235,15 @@ def _walk_bucket(t: int):
             key = own.tobytes()
             name = hashlib.blake2b(key, digest_size=16).digest()
             if name not in lists:
-                lists[name] = (int(own[0]), key)
-                nn = n[a + members]
-                near = 100 * np.minimum(nn[1:], nn[0]) >= t * np.maximum(nn[1:], nn[0])
-                pairs.append(np.stack((np.full(int(near.sum()), own[0]), own[1:][near]), 1))
+                lists[name] = key
         two_cols = np.unique(np.concatenate(pairs), axis=0).view(np.int64)
         k, m = len(two_cols), len(lists)
         got = list(lists.items())
         return pa.table({
-            "a": pa.array(np.concatenate((two_cols[:, 0], np.array([x[1][0] for x in got], np.uint64).view(np.int64)))),
+            "a": pa.concat_arrays([pa.array(two_cols[:, 0]), pa.nulls(m, pa.int64())]),
             "b": pa.concat_arrays([pa.array(two_cols[:, 1]), pa.nulls(m, pa.int64())]),
             "list_id": pa.concat_arrays([pa.nulls(k, pa.binary()), pa.array([x[0] for x in got], pa.binary())]),
-            "members": pa.concat_arrays([pa.nulls(k, pa.binary()), pa.array([x[1][1] for x in got], pa.binary())])})
+            "members": pa.concat_arrays([pa.nulls(k, pa.binary()), pa.array([x[1] for x in got], pa.binary())])})
 
     return run
 
@@ -274,34 +275,64 @@ def _linkable(n: np.ndarray, pos: np.ndarray, t: int) -> np.ndarray:
     return np.sort(order[hit])
 
 
-def _second_round(t: int):
-    """Pairs of a list that neither a common component nor the distances to the
-    pivot decide."""
-
-    def run(table: pa.Table) -> pa.Table:
-        comp = table.column("comp").to_numpy()
-        label = table.column("label").to_numpy()
-        d = table.column("d").to_numpy(zero_copy_only=False).astype(np.float64)     # null: unknown
-        n = table.column("n").to_numpy(zero_copy_only=False).astype(np.float64)
-        out = []
-        if len(np.unique(comp)) > 1:
-            for x in range(0, len(label), _BLOCK):
-                s = slice(x, x + _BLOCK)
-                for y in range(x, len(label), 4096):
-                    r = slice(y, y + 4096)
-                    ok = comp[s, None] != comp[None, r]
-                    if not ok.any():
-                        continue
-                    # a shade of slack for the rounding of the two distances
-                    far = np.abs(d[s, None] - d[None, r]) > (100 - t) / 100 + 1e-9
-                    off = 100 * np.minimum(n[s, None], n[None, r]) < t * np.maximum(n[s, None], n[None, r])
-                    later = np.arange(x, x + ok.shape[0])[:, None] < np.arange(y, y + ok.shape[1])
-                    i, j = np.nonzero(ok & ~far & ~off & later)
-                    out.append(np.stack((label[s][i], label[r][j]), 1))
-        p = np.concatenate(out) if out else np.empty((0, 2), np.int64)
-        lo = np.minimum(p[:, 0].view(np.uint64), p[:, 1].view(np.uint64)).view(np.int64)
-        hi = np.maximum(p[:, 0].view(np.uint64), p[:, 1].view(np.uint64)).view(np.int64)
-        return pa.table({"a": pa.array(lo), "b": pa.array(hi)})
+def _next_pairs(t: int, last: bool):
+    """Members of a list with their components, and the comparisons made in it so
+    far -> the pairs to compare next (list_id, a, b, more)."""
+
+    def run(members: pa.Table, known: pa.Table) -> pa.Table:
+        order = np.lexsort((members.column("label").to_numpy(), -members.column("score").to_numpy()))
+        label = members.column("label").to_numpy()[order]
+        comp, n = members.column("comp").to_numpy()[order], members.column("n").to_numpy()[order]
+        size = len(label)
+        place = {x: i for i, x in enumerate(label.tolist())}
+        dist: dict[int, np.ndarray] = {}
+        for a, b, d in zip(known.column("a").to_pylist(), known.column("b").to_pylist(), known.column("d").to_pylist()):
+            for x, y in ((place[a], place[b]), (place[b], place[a])):
+                dist.setdefault(x, np.full(size, np.nan))[y] = d
+                dist[x][x] = 0.0
+        # only members with many comparisons say something about the others
+        pivots = [v for v in dist.values() if np.isfinite(v).sum() * 4 >= size]
+
+        def open_pairs(x: int, y: np.ndarray) -> np.ndarray:
+            """Which of the members y is member x still to be compared with?"""
+            ok = (comp[y] != comp[x]) & (100 * np.minimum(n[y], n[x]) >= t * np.maximum(n[y], n[x]))
+            if x in dist:
+                ok &= np.isnan(dist[x][y])
+            for v in pivots:
+                if np.isfinite(v[x]):       # a shade of slack for the rounding of the distances
+                    ok &= ~(np.abs(v[y] - v[x]) > (100 - t) / 100 + 1e-9)
+            return ok
+
+        names, counts = np.unique(comp, return_counts=True)
+        out, more = [], False
+        if len(names) > 1:
+            # every open pair has a member outside the largest component
+            small = np.flatnonzero(comp != names[counts.argmax()])
+            inside, limit, got = np.zeros(size, bool), _OPEN_EACH * size, 0
+            everyone = np.arange(size)
+            for x in small:
+                y = everyone[open_pairs(x, everyone) & ~inside]
+                inside[x] = True            # a pair of two outsiders is met once
+                out.append(np.stack((np.full(len(y), x), y), 1))
+                got += len(y)
+                if got > limit and size > 2 * _OPEN_EACH and not last:
+                    more = True
+                    break
+            if more:
+                out, fresh = [], [x for x in range(size) if x not in dist or np.isnan(dist[x]).sum() * 4 > 3 * size][:PIVOTS]
+                for x in fresh:
+                    y = everyone[open_pairs(x, everyone)]
+                    out.append(np.stack((np.full(len(y), x), y), 1))
+                if not sum(map(len, out)):  # these pivots have nothing open: take the outsiders'
+                    for x in small[:PIVOTS * 4]:
+                        y = everyone[open_pairs(x, everyone)]
+                        out.append(np.stack((np.full(len(y), x), y), 1))
+        p = label[np.concatenate(out)] if out else np.empty((0, 2), np.int64)
+        lo = np.minimum(p[:, 0].view(np.uint64) if len(p) else p[:, 0], p[:, 1].view(np.uint64) if len(p) else p[:, 1]).view(np.int64)
+        hi = np.maximum(p[:, 0].view(np.uint64) if len(p) else p[:, 0], p[:, 1].view(np.uint64) if len(p) else p[:, 1]).view(np.int64)
+        list_id = members.column("list_id")[0].as_py() if size else b""
+        return pa.table({"list_id": pa.array([list_id] * len(lo), pa.binary()), "a": pa.array(lo), "b": pa.array(hi),
+                         "more": pa.array([more] * len(lo), pa.bool_())})
 
     return run
 
@@ -387,35 +418,50 @@ def similar_components(docs: DataFrame, words: int = WORDS, threshold: int = THR
     walked = spill(index.groupBy("bucket").applyInArrow(_walk_bucket(threshold), "a long, b long, list_id binary, members binary"), "lists")
     pairs = spill(walked.where("b IS NOT NULL").select("a", "b").distinct(), "pairs")
     classes = sets.where("n > 0").groupBy("fa", "fb").agg(F.min("doc_id").alias("rep")).withColumnRenamed("fa", "label").where("rep IS NOT NULL")
-    # every label of a list is in a star pair or fails on size against the pivot,
-    # so the labels of both are looked up once
-    lists = walked.where("b IS NULL").select("list_id", F.col("a").alias("pivot"), "members").dropDuplicates(["list_id"])
+    lists = walked.where("b IS NULL").select("list_id", "members").dropDuplicates(["list_id"])
 
     def unpack(batches):
         for b in batches:
             for i in range(b.num_rows):
-                own = np.frombuffer(b.column(2)[i].as_buffer(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([b.column(0)[i].as_py()] * len(own), pa.binary()),
-                                                  pa.array(np.full(len(own), b.column(1)[i].as_py(), np.int64)), pa.array(own)],
-                                                 names=["list_id", "pivot", "label"])
+                own = np.frombuffer(b.column(1)[i].as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([b.column(0)[i].as_py()] * len(own), pa.binary()), pa.array(own)],
+                                                 names=["list_id", "label"])
 
-    members = spill(lists.mapInArrow(unpack, "list_id binary, pivot long, label long"), "members")
+    members = spill(lists.mapInArrow(unpack, "list_id binary, label long"), "members")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("label")).union(members.select("label")).distinct()
     own = spill(classes.join(wanted, "label", "left_semi"), "classes")
     contents = spill(_contents(rows, own, words), "contents")
-    first = spill(_compare(pairs, contents), "compared")
+    compared = spill(_compare(pairs, contents), "compared")
     link = F.expr(f"100 * both >= {threshold} * (na + nb - both)")
-    comp = spill(components(first.where(link).select(F.col("ra").alias("u"), F.col("rb").alias("v")), "cc1"), "comp1")
-    size = contents.select("label", "rep", (F.length("tokens") / 8).cast("long").alias("n"))
-    size = size.join(comp, size["rep"] == comp["node"], "left").select("label", F.coalesce("component", "rep").alias("comp"), "n")
-    dist = first.select(F.col("a").alias("pivot"), F.col("b").alias("label"), (1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("d"))
-    known = members.join(dist, ["pivot", "label"], "left").withColumn("d", F.when(F.col("pivot") == F.col("label"), F.lit(0.0)).otherwise(F.col("d")))
-    known = known.join(size, "label")
-    rest = known.select("list_id", "label", "comp", "d", "n").groupBy("list_id").applyInArrow(_second_round(threshold), "a long, b long").distinct()
-    rest = spill(rest.join(pairs, ["a", "b"], "left_anti"), "pairs2")
-    second = spill(_compare(rest, contents), "compared2")
-    links = first.where(link).union(second.where(link)).select(F.col("ra").alias("u"), F.col("rb").alias("v"))
-    final = spill(components(links, "cc2"), "comp2")
+    ends = [F.col("ra").alias("u"), F.col("rb").alias("v")]
+    links = compared.where(link).select(*ends)
+    final = spill(components(links, "cc"), "comp")
+    score = members.groupBy("label").agg(F.count("*").alias("score"))
+    size = spill(contents.select("label", "rep", (F.length("tokens") / 8).cast("long").alias("n")).join(score, "label"), "sizes")
+    active, asked, done = members, None, compared
+    for turn in range(ROUNDS):
+        state = size.join(final, size["rep"] == final["node"], "left").select("label", F.coalesce("component", "rep").alias("comp"), "n", "score")
+        state = active.join(state, "label").select("list_id", "label", "comp", "n", "score")
+        if asked is None:
+            known = spark.createDataFrame([], "list_id binary, a long, b long, d double")
+        else:
+            d = done.select("a", "b", (1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("d"))
+            known = asked.join(d, ["a", "b"]).select("list_id", "a", "b", "d")
+        step = _next_pairs(threshold, turn == ROUNDS - 1)
+        new = spill(state.groupBy("list_id").cogroup(known.groupBy("list_id")).applyInArrow(step, "list_id binary, a long, b long, more boolean"), "asked")
+        fresh = spill(new.select("a", "b").distinct().join(done.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        if not new.take(1):
+            break
+        got = spill(_compare(fresh, contents), "compared")
+        links = links.union(got.where(link).select(*ends))
+        final = spill(components(final.select(F.col("node").alias("u"), F.col("component").alias("v")).union(got.where(link).select(*ends)), "cc"), "comp")
+        done = spill(done.union(got), "compared")
+        going = new.where("more").select("list_id").distinct()
+        if not going.take(1):
+            break
+        active = spill(active.join(going, "list_id", "left_semi"), "members")
+        asked = new.select("list_id", "a", "b") if asked is None else asked.union(new.select("list_id", "a", "b"))
+        asked = spill(asked.join(going, "list_id", "left_semi").distinct(), "asked")
     degree = links.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     reps = sets.where("n > 0").join(classes.withColumnRenamed("label", "fa"), ["fa", "fb"], "left")
     reps = reps.join(final, reps["rep"] == final["node"], "left").drop("node").join(degree, reps["rep"] == degree["node"], "left")
