@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,19 @@ def spill(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """Arrow batches of at most ``rows`` rows for the jobs that run inside: rows
+    that carry whole token sets are long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def hash_sample(df: DataFrame, rows: int, total: int, *by: str) -> DataFrame:
     """At most ``rows`` rows of ``df``, those with the smallest hashes of ``by``.
     A cutoff lets about four times as many through, so what is sorted does not
@@ -106,17 +120,15 @@ def word_hashes(texts: list[bytes], letters_only: bool = False) -> tuple[np.ndar
         return np.empty(0, np.uint64), offsets
     length = ends - starts
     keep = np.flatnonzero(~blank)
-    word_of = np.repeat(np.arange(len(starts)), length)
     rel = keep - np.repeat(starts, length)
     longest = int(length.max())
     pw = _POW if longest <= len(_POW) else _powers(longest)
     terms = (buf[keep].astype(np.uint64) + np.uint64(1)) * pw[rel]
     first = np.concatenate(([0], np.cumsum(length)[:-1]))
-    del word_of
     return mix64(np.add.reduceat(terms, first) + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), offsets
 
 
-def in_chunks(texts: list, limit: int = 1 << 21):
+def in_chunks(texts: list, limit: int = 1 << 19):
     """Slices of a list of byte strings holding about ``limit`` bytes each (one
     longer text is a slice of its own), so that work arrays stay small."""
     lo, total = 0, 0
@@ -129,6 +141,19 @@ def in_chunks(texts: list, limit: int = 1 << 21):
         yield lo, len(texts)
 
 
+def slices(batch, column: int, limit: int = 1 << 22):
+    """Slices of a record batch whose texts hold about ``limit`` bytes, so that
+    only these become Python objects at a time."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    size = pc.fill_null(pc.binary_length(batch.column(column).cast(pa.binary())), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(size) // limit
+    cut = np.concatenate(([0], np.flatnonzero(part[1:] != part[:-1]) + 1, [batch.num_rows])) if batch.num_rows else np.zeros(1, int)
+    for lo, hi in zip(cut[:-1], cut[1:]):
+        yield batch.slice(int(lo), int(hi - lo))
+
+
 # ---------------------------------------------------------------------------
 # connected components, distributed
 

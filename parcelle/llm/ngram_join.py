@@ -40,19 +40,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelle.llm.common import components, in_chunks, mix64, spill, word_hashes
+from parcelle.llm.common import components, in_chunks, mix64, slices, small_batches, spill, word_hashes
 
 WORDS = 5
 THRESHOLD = 80          # percent
 CELL_BITS = 22
 _CHUNK_BITS = 16
 BUCKET_ROWS = 400_000   # index entries a bucket, about
-_FLUSH = 2_000_000      # index entries a task holds before it deals them out
+_FLUSH = 800_000      # index entries a task holds before it deals them out
 _BLOCK = 64             # members of a list that are skipped together
 ROUNDS = 8              # rounds by pivots before all open pairs are compared
 PIVOTS = 2              # new pivots of a list in a round
 _OPEN_EACH = 4          # open pairs a member that are compared one by one
-BLOOM_BITS = 25
+BLOOM_BITS = 23
 
 _STEP = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 
@@ -115,7 +115,7 @@ def _set_table(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches):
         counts = np.zeros(1 << CELL_BITS, np.uint32)
-        for b in batches:
+        for b in (x for whole in batches for x in slices(whole, 1)):
             ids, texts = b.column(0).to_pylist(), _texts(b)
             for lo, hi in in_chunks(texts):
                 tokens, at = shingle_sets(texts[lo:hi], words)
@@ -176,7 +176,7 @@ def _index(docs: DataFrame, levels, buckets: int, words: int, t: int) -> DataFra
                     + [pa.array([col[x:y].tobytes() for x, y in parts], pa.binary()) for col in (tok, lab, n, pos)],
                     names=["bucket", "token", "label", "n", "pos"])
 
-        for batch in batches:
+        for batch in (x for whole in batches for x in slices(whole, 1)):
             texts = _texts(batch)
             for lo, hi in in_chunks(texts):
                 tokens, at = shingle_sets(texts[lo:hi], words)
@@ -338,7 +338,7 @@ def _next_pairs(t: int, last: bool):
 
 
 def _bloom(ids: DataFrame):
-    """A bitmap of fixed size (4 MB) that holds every id; it only spares work."""
+    """A bitmap of fixed size (1 MB) that holds every id; it only spares work."""
     def bits(rows):
         m = np.zeros(1 << BLOOM_BITS, bool)
         x = np.array([r[0] for r in rows], np.int64).view(np.uint64)
@@ -358,7 +358,7 @@ def _contents(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
 
     def run(batches):
         m = np.unpackbits(np.frombuffer(bits.value, np.uint8)).astype(bool) if bits.value else None
-        for b in batches:
+        for b in (x for whole in batches for x in slices(whole, 1)):
             if m is None:
                 continue
             ids = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -379,7 +379,7 @@ def _contents(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
                     names=["rep", "label", "fb", "tokens"])
 
     got = docs.where("doc_id IS NOT NULL").mapInArrow(run, "rep long, label long, fb long, tokens binary")
-    return got.join(classes.select("label", "fb", "rep"), ["label", "fb", "rep"], "left_semi").dropDuplicates(["label", "fb", "rep"]).drop("fb")
+    return got.join(classes.select("label", "fb", "rep").hint("merge"), ["label", "fb", "rep"], "left_semi").dropDuplicates(["label", "fb", "rep"]).drop("fb")
 
 
 def _compare(pairs: DataFrame, contents: DataFrame) -> DataFrame:
@@ -400,13 +400,18 @@ def _compare(pairs: DataFrame, contents: DataFrame) -> DataFrame:
             na, nb, both = (pa.array([o[i] for o in out], pa.int64()) for i in range(3))
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(4)] + [na, nb, both], names=["a", "b", "ra", "rb", "na", "nb", "both"])
 
-    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "ra", "rb", "ta", "tb")
+    joined = pairs.hint("merge").join(one, "a").join(two.hint("merge"), "b").select("a", "b", "ra", "rb", "ta", "tb")
     return joined.mapInArrow(run, "a long, b long, ra long, rb long, na long, nb long, both long")
 
 
 def similar_components(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD, text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) for every row of ``docs``;
     ``n_links`` counts links of the row's class with other sets that were compared."""
+    with small_batches(docs.sparkSession):      # every job with Python ends inside
+        return _components_of(docs, words, threshold, text)
+
+
+def _components_of(docs: DataFrame, words: int, threshold: int, text: str) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     table = spill(_set_table(rows, words), "sets")
@@ -452,7 +457,9 @@ def similar_components(docs: DataFrame, words: int = WORDS, threshold: int = THR
         fresh = spill(new.select("a", "b").distinct().join(done.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
         if not new.take(1):
             break
-        got = spill(_compare(fresh, contents), "compared")
+        # few sets are met again: only their contents are dealt out
+        again = fresh.select(F.explode(F.array("a", "b")).alias("label")).distinct()
+        got = spill(_compare(fresh, contents.join(again, "label", "left_semi")), "compared")
         links = links.union(got.where(link).select(*ends))
         final = spill(components(final.select(F.col("node").alias("u"), F.col("component").alias("v")).union(got.where(link).select(*ends)), "cc"), "comp")
         done = spill(done.union(got), "compared")
@@ -475,7 +482,8 @@ def keep_one(docs: DataFrame, **how) -> DataFrame:
     as they were; of rows with the same id one stays; rows without an id stay."""
     found = spill(similar_components(docs, **how).where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("__k_n")), "kept")
     found = found.withColumnRenamed("doc_id", "__k_id")
-    got = docs.join(found, docs["doc_id"] == found["__k_id"])
+    # neither side has a proven bound: dealt out at every size, never broadcast
+    got = docs.join(found.hint("merge"), docs["doc_id"] == found["__k_id"])
     once = got.where("__k_n = 1").drop("__k_id", "__k_n")
     more = got.where("__k_n > 1").drop("__k_id", "__k_n").dropDuplicates(["doc_id"])
     return once.unionAll(more).unionAll(docs.where("doc_id IS NULL"))
