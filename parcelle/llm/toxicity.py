@@ -31,6 +31,7 @@ from parcelle.llm.common import hash_sample, in_chunks, spill, word_hashes
 SAMPLE_PER_CLASS = 2500
 MAX_FEATURES = 50_000
 MIN_Z = 4.0          # significance of a word's difference in share
+MIN_DOCS = 3         # sample documents that hold it
 ITERATIONS = 200
 L2 = 1e-3
 FLAG_AT = 0.5        # P(grade >= 1)
@@ -54,7 +55,7 @@ def word_statistics(docs: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarr
     c0 = np.bincount(inv[~owner], minlength=len(words))
     p1, p0, p = c1 / n1, c0 / n0, (c1 + c0) / (n1 + n0)
     z = (p1 - p0) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n1 + 1 / n0))
-    keep = np.flatnonzero((np.abs(z) >= MIN_Z) & (c1 + c0 >= 5))
+    keep = np.flatnonzero((np.abs(z) >= MIN_Z) & (c1 + c0 >= MIN_DOCS))
     keep = np.sort(keep[np.argsort(-np.abs(z[keep]), kind="stable")][:MAX_FEATURES])
     odds = np.log((c1 + 0.5) / (n1 - c1 + 0.5)) - np.log((c0 + 0.5) / (n0 - c0 + 0.5))
     return words[keep], odds[keep]
