@@ -15,12 +15,12 @@ DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of ``df`` (no job is run); None if unknown."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
-    except Exception:  # pragma: no cover - e.g. Spark Connect
+    """Optimizer size estimate of ``df`` (no job is run); None where the session
+    has no JVM plan to ask (Spark Connect)."""
+    plan = getattr(df, "_jdf", None)
+    if plan is None:
         return None
+    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
