@@ -117,13 +117,13 @@ def commune_features(sales: DataFrame, communes: DataFrame, id_col: str = "commu
 
 
 def insert_new(target: DataFrame, incoming: DataFrame, key: str | list[str], order_col: str) -> DataFrame:
-    """Incoming rows whose key is not in the target, first per key
-    within the batch by ``order_col`` (the first insert wins on conflict),
-    ready to append.  Counting after the anti-join gives the true number
+    """Incoming rows whose key is not in the target, exactly one per key:
+    the first by ``order_col`` (nulls last), ties by all columns, ready to append.  Counting after the anti-join gives the true number
     inserted (T16)."""
     keys = [key] if isinstance(key, str) else list(key)
-    first = incoming.groupBy(*keys).agg(F.min(order_col).alias(order_col))
-    batch = incoming.join(first, [*keys, order_col], "left_semi")
+    place = F.struct(F.col(order_col).isNull().alias("_late"), F.col(order_col).alias("_order"), *incoming.columns)
+    first = incoming.groupBy(*keys).agg(F.min(place).alias("_row"))
+    batch = first.select(*[F.col("_row")[c].alias(c) for c in incoming.columns])
     return batch.join(target.select(*keys), keys, "left_anti")
 
 

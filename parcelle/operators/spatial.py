@@ -125,12 +125,13 @@ def count_within_radius(points: DataFrame, places: DataFrame, radius_m: float, *
     q = _copy_per_salt(q, salt_buckets)
     near = G.haversine_km(F.col(lat), F.col(lon), F.col("_plat"), F.col("_plon")) * 1000.0 <= radius_m
     cond = [p["_cx"] == q["_cx"], p["_cy"] == q["_cy"], p["_salt"] == q["_salt"], near]
-    j = p.join(q, cond, "left").select(p["*"], q["_plat"], *([q["_ptype"]] if type_col else []))
+    j = p.join(q, cond, "left").select(p["*"], q["_plat"], q["_plon"], *([q["_ptype"]] if type_col else []))
     aggs = [F.count("_plat").alias(f"{out_prefix}total")]
     for t in types:
         aggs.append(F.count_if(F.col("_ptype") == t).alias(f"{out_prefix}{t}"))
     if mean_km_col:
-        aggs.append(F.avg(G.haversine_km(F.col(lat), F.col(lon), F.col("_plat"), F.col("_plon"))).alias(mean_km_col))
+        km = F.when(F.col("_plat").isNotNull(), G.haversine_km(F.col(lat), F.col(lon), F.col("_plat"), F.col("_plon")))
+        aggs.append(F.avg(km).alias(mean_km_col))
     return _per_point(j, pcols, id_col, aggs)
 
 
