@@ -127,82 +127,80 @@ def truncate_widths(df: DataFrame, widths: dict[str, int] | None = None) -> Data
     return df.withColumns({c: F.substring(c, 1, n) for c, n in widths.items() if c in df.columns})
 
 
-MAX_GROUP = 1_000_000
 EXPAND_PIECE = 100_000
 
-
-def with_content_id(df: DataFrame, date: str, code: str, price: str, order_by: Sequence[str],
-                    out_col: str = "dvf_id", max_group: int | None = None) -> DataFrame:
-    """P9 (+ T2): ``yyyyMMdd_commune_integer-price_occurrence``.  The
-    occurrence numbers 0..k-1 the rows of identical content in ``order_by``
-    order (then the remaining columns), so reloading the same rows in any
-    order gives the same ids.
-
-    Skew-safe without losing rows: identical rows are first collapsed into
-    (row, count) by an aggregate combined map-side; distinct rows of a hot
-    content key are spread over chunks (ranges of a numeric leading order
-    column, so the numbering equals the plain window's; hash chunks
-    otherwise), numbered per chunk, and shifted by the sizes of the earlier
-    chunks (a small per-(key, chunk) table); each
-    (row, count) is then cut into pieces of at most ``EXPAND_PIECE`` numbers
-    that are redistributed before being expanded back into rows."""
+#: Business columns that make up a sale's content.
+SALE_CONTENT = (
+    "date_mutation", "nature_mutation", "valeur_fonciere", "adresse_numero", "adresse_suffixe", "type_voie", "code_voie",
+    "adresse_nom_voie", "code_postal", "commune_nom", "code_departement", "code_commune", "section", "no_plan",
+    "nombre_lots", "code_type_local", "type_local", "surface_reelle_bati", "nb_pieces", "surface_terrain",
+)
+
+
+def content_hash(df: DataFrame, content: Sequence[str]) -> Column:
+    """16 hex digits over the columns of ``content`` that ``df`` has, in that order.
+
+    A value is written as name=length:text, so no two contents share a text; NULL
+    values are left out, as if the column were missing.  Fractional numbers count
+    to four decimals, which makes the text the same in every engine."""
+    parts = []
+    for c in content:
+        if c not in df.columns:
+            continue
+        v = F.col(c)
+        if df.schema[c].dataType.typeName() in ("float", "double", "decimal"):
+            v = v.try_cast("decimal(38,4)")
+        v = v.cast("string")
+        parts.append(F.concat(F.lit(c + "="), F.length(v).cast("string"), F.lit(":"), v))
+    return F.substring(F.md5(F.concat_ws("|", *parts).cast("binary")), 1, 16)
+
+
+def with_content_id(df: DataFrame, date: str, code: str, price: str, content: Sequence[str] | None = None,
+                    out_col: str = "dvf_id") -> DataFrame:
+    """P9 (+ T2): ``yyyyMMdd_commune_integer-price_content-hash_occurrence``.
+
+    The hash covers the columns of ``content`` (all, if not given); the
+    occurrence numbers rows that are identical in every column from 0.  An id
+    depends on the row alone and on how often it occurs, never on other sales of
+    the load, so a re-delivered file in any order gives the same ids and a new
+    sale never takes a known id.  Where rows share a content but differ in
+    columns outside ``content``, the occurrence goes through these columns in
+    their order.
+
+    Identical rows become (row, count) in an aggregate combined map-side, so a row
+    that makes up a third of the load never meets in one task; counts are cut
+    into pieces of ``EXPAND_PIECE``, and the pieces of rows with more than one
+    are dealt out before they are expanded."""
     from pyspark.sql import Window
-    max_group = MAX_GROUP if max_group is None else max_group
     cols = list(df.columns)
-    order = list(order_by) + [c for c in cols if c not in order_by]
+    content = cols if content is None else [c for c in content if c in cols]
     base = F.concat_ws("_", F.date_format(F.col(date), "yyyyMMdd"), F.col(code),
-                       F.col(price).cast("long").cast("string"))
-    keyed = df.withColumn("_key", base)
-    rows_largest = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
-    if rows_largest <= max_group:
-        # No hot key: a plain window numbers each content group.
-        occ = F.row_number().over(Window.partitionBy("_key").orderBy(*order)) - 1
-        return keyed.withColumn(out_col, F.concat_ws("_", F.col("_key"), occ.cast("string"))).drop("_key")
-    d = keyed.groupBy("_key", *cols).agg(F.count(F.lit(1)).alias("_c"))
-    nd = d.groupBy("_key").agg(F.count(F.lit(1)).alias("_nd"))
-    largest = nd.agg(F.max("_nd")).first()[0] or 0
-    if largest > max_group:
-        k = -(-largest // max_group)
-        from parcelle.plans.sizing import broadcast_if_small
-        first = order[0]
-        numeric = dict(df.dtypes)[first] in ("tinyint", "smallint", "int", "bigint", "float", "double") or \
-            dict(df.dtypes)[first].startswith("decimal")
-        if numeric:
-            # Range chunks on the leading order column: the chunk grows with it,
-            # so (chunk, order) is the same order as the plain window's and the
-            # ids do not depend on which path ran.
-            v = F.col(first).cast("double")
-            hot = (d.join(F.broadcast(nd.where(F.col("_nd") > max_group).select("_key")), "_key", "left_semi")
-                    .groupBy("_key").agg(F.percentile_approx(v, [i / k for i in range(1, k)], 10000).alias("_b")))
-            d = d.join(broadcast_if_small(hot), "_key", "left").withColumn(
-                "_chunk", F.coalesce(F.size(F.filter("_b", lambda b: b < v)), F.lit(0)).cast("long")).drop("_b")
-        else:
-            hot = nd.where(F.col("_nd") > max_group).select("_key", F.lit(True).alias("_hot"))
-            d = d.join(broadcast_if_small(hot), "_key", "left").withColumn(
-                "_chunk", F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(k)))
-                           .otherwise(F.lit(0))).drop("_hot")
+                       F.col(price).cast("long").cast("string"), content_hash(df, content))
+    d = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c")).withColumn("_key", base)
+    rest = [c for c in cols if c not in content]
+    if rest:
+        w = Window.partitionBy("_key").orderBy(*rest).rowsBetween(Window.unboundedPreceding, -1)
+        d = d.withColumn("_from", F.coalesce(F.sum("_c").over(w), F.lit(0)))
     else:
-        d = d.withColumn("_chunk", F.lit(0).cast("long"))
-    w = Window.partitionBy("_key", "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("_cum", F.sum("_c").over(w))
-    tot = d.groupBy("_key", "_chunk").agg(F.sum("_c").alias("_tc"))
-    before = Window.partitionBy("_key").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.withColumn("_off", F.coalesce(F.sum("_tc").over(before), F.lit(0)))
-    d = d.join(tot.select("_key", "_chunk", "_off"), ["_key", "_chunk"]) \
-         .withColumn("_start", F.col("_off") + F.col("_cum") - F.col("_c"))
-    pieces = d.withColumn("_p", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("_c") / EXPAND_PIECE) - 1)))
-    pieces = pieces.withColumns({"_ps": F.col("_start") + F.col("_p") * EXPAND_PIECE,
-                                 "_pl": F.least(F.lit(EXPAND_PIECE).cast("long"), F.col("_c") - F.col("_p") * EXPAND_PIECE)})
-    pieces = pieces.repartition("_key", "_ps")
-    occ = F.explode(F.sequence(F.col("_ps"), F.col("_ps") + F.col("_pl") - 1))
-    out = pieces.select(*cols, "_key", occ.alias("_occ"))
+        d = d.withColumn("_from", F.lit(0).cast("long"))
+    few = d.where(F.col("_c") <= EXPAND_PIECE).withColumns({"_ps": F.col("_from"), "_pl": F.col("_c")})
+    many = (d.where(F.col("_c") > EXPAND_PIECE)
+             .withColumn("_p", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("_c") / EXPAND_PIECE) - 1)))
+             .withColumns({"_ps": F.col("_from") + F.col("_p") * EXPAND_PIECE,
+                           "_pl": F.least(F.lit(EXPAND_PIECE).cast("long"), F.col("_c") - F.col("_p") * EXPAND_PIECE)})
+             .drop("_p").repartition("_key", "_ps"))
+    pieces = few.unionByName(many)
+    out = pieces.select(*cols, "_key", F.explode(F.sequence(F.col("_ps"), F.col("_ps") + F.col("_pl") - 1)).alias("_occ"))
     return out.withColumn(out_col, F.concat_ws("_", F.col("_key"), F.col("_occ").cast("string"))).drop("_key", "_occ")
 
 
 def clean_raw_sales(raw: DataFrame) -> DataFrame:
     """E6 cleaning of a raw (all-string) sale frame: types, codes, NULL rules
-    (F1/F2: rows without a date or a positive price are dropped)."""
+    (F1/F2: rows without a date or a positive price are dropped).  Land area and
+    number of lots become numbers where the file has them."""
     df = standardize_columns(raw)
+    more = {"surface_terrain": to_double("surface_terrain"), "nombre_lots": to_int("nombre_lots")}
+    df = df.withColumns({c: v for c, v in more.items() if c in df.columns})
     out = df.withColumns({
         "date_mutation": parse_date("date_mutation"),
         "valeur_fonciere": parse_number("valeur_fonciere"),

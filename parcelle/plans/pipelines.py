@@ -30,21 +30,24 @@ class LoadResult:
     rejected: DataFrame   # rows failing a constraint, with reasons
 
 
+def load_sales(raw: DataFrame, target: DataFrame, communes: DataFrame) -> LoadResult:
+    """Normalize raw sale rows, link communes, check constraints and keep
+    only sales whose content id is not yet in ``target``."""
+    df = P.truncate_widths(P.clean_raw_sales(raw))
+    df = P.with_content_id(df, "date_mutation", "code_commune", "valeur_fonciere", P.SALE_CONTENT)
+    df = D.derive_sales(L.link_by_code(df, communes))
+    land = "surface_terrain" if "surface_terrain" in df.columns else None
+    ok, bad = C.split_valid(df, C.sales_rules(land=land, score=None))
+    return LoadResult(L.insert_new(target, ok, "dvf_id", order_col="dvf_id"), bad)
+
+
 def load_sales_file(spark: SparkSession, path: str, target: DataFrame, communes: DataFrame,
                     columns: list[str] | None = None, sep: str = "|", max_rows: int | None = None) -> LoadResult:
-    """Scan a raw sale file, normalize, link communes, check constraints
-    and keep only sales whose content id is not yet in ``target``."""
+    """``load_sales`` of a raw sale file."""
     raw = FS.read_delimited(spark, path, columns, sep=sep)
     if max_rows is not None:
         raw = raw.limit(max_rows)  # S3 test mode
-    df = P.truncate_widths(P.clean_raw_sales(raw))
-    df = L.link_by_code(df, communes)
-    df = P.with_content_id(df, "date_mutation", "code_commune", "valeur_fonciere",
-                           order_by=["valeur_fonciere", "surface_reelle_bati", "nb_pieces"])
-    df = D.derive_sales(df)
-    ok, bad = C.split_valid(df, C.sales_rules(land=None, score=None))
-    new = L.insert_new(target, ok, "dvf_id", order_col="dvf_id")
-    return LoadResult(new, bad)
+    return load_sales(raw, target, communes)
 
 
 def clean_sales(sales: DataFrame, **thresholds) -> tuple[DataFrame, DataFrame]:

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +27,10 @@ from parcelle.sources.files import raw_schema
 def _target_ids(spark: SparkSession, target_path: str) -> DataFrame:
     try:
         return spark.read.parquet(target_path).select("dvf_id")
-    except Exception:  # first run: nothing loaded yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # first run: nothing loaded yet
         return spark.createDataFrame([], "dvf_id string")
 
 
@@ -39,9 +43,8 @@ def incremental_load(spark: SparkSession, landing_dir: str, target_path: str, ch
               .csv(landing_dir))
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        df = D.derive_sales(P.clean_raw_sales(batch))
-        df = P.with_content_id(df, "date_mutation", "code_commune", "valeur_fonciere",
-                               order_by=["valeur_fonciere", "surface_reelle_bati"])
+        df = P.with_content_id(P.clean_raw_sales(batch), "date_mutation", "code_commune", "valeur_fonciere", P.SALE_CONTENT)
+        df = D.derive_sales(df)
         new = L.insert_new(_target_ids(batch.sparkSession, target_path), df, "dvf_id", order_col="dvf_id")
         new.withColumn("load_epoch", F.lit(epoch_id)).write.mode("append").parquet(target_path)
 

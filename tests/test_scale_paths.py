@@ -76,18 +76,34 @@ def test_view_and_model_sinks(spark):
     assert got[2] == (401.0, '{"x":200.0}')   # missing feature -> exact training median (199 + 201) / 2
 
 
-def test_content_id_hot_identical_rows(spark):
+def test_content_id_hot_identical_rows(spark, monkeypatch):
     from parcelle.functions import parse as P
     rows = [("2020-01-01", "75056", 1000.0, 1.0)] * 2500 + [("2020-01-01", "75056", 1000.0, float(i)) for i in range(40)] \
-        + [("2021-01-01", "69123", 5.5, 2.0)]
+        + [("2021-01-01", "69123", 5.5, None)] * 2
     df = spark.createDataFrame(rows, "d string, code string, price double, extra double").withColumn("d", F.to_date("d"))
-    a = P.with_content_id(df, "d", "code", "price", order_by=["extra"])
-    b = P.with_content_id(df, "d", "code", "price", order_by=["extra"], max_group=5)
-    ida = sorted(r.dvf_id for r in a.collect())
-    idb = sorted(r.dvf_id for r in b.collect())
-    assert len(ida) == len(rows) and len(set(ida)) == len(rows)
-    assert len(idb) == len(rows) and len(set(idb)) == len(rows)
-    assert "20200101_75056_1000_2539" in ida and "20210101_69123_5_0" in ida
+    a = sorted(r.dvf_id for r in P.with_content_id(df, "d", "code", "price").collect())
+    monkeypatch.setattr(P, "EXPAND_PIECE", 7)
+    b = sorted(r.dvf_id for r in P.with_content_id(df, "d", "code", "price").collect())
+    assert a == b and len(a) == len(rows) and len(set(a)) == len(rows)
+    assert sum(x.startswith("20200101_75056_1000_") and x.endswith("_2500") for x in a) == 1
+    assert sum(x.startswith("20210101_69123_5_") for x in a) == 2 and max(map(len, a)) <= 50
+
+
+def test_content_ids_survive_new_sales_and_order(spark):
+    from parcelle.functions import parse as P
+    schema = "d date, code string, price double, area double, note string"
+    import datetime
+    day = datetime.date(2024, 1, 5)
+
+    def ids(rows):
+        return {(r.area, r.dvf_id.rsplit("_", 1)[1]): r.dvf_id
+                for r in P.with_content_id(spark.createDataFrame(rows, schema), "d", "code", "price").collect()}
+
+    old = ids([(day, "75056", 200000.0, 50.0, "a|b"), (day, "75056", 200000.0, 80.0, None)])
+    new = ids([(day, "75056", 200000.0, 30.0, None), (day, "75056", 200000.0, 80.0, None),
+               (day, "75056", 200000.0, 50.0, "a|b"), (day, "75056", 200000.0, 50.0, "a|b")])
+    assert all(new[k] == v for k, v in old.items()) and len(set(new.values())) == 4
+    assert ids([]) == {}
 
 
 def test_feature_importance_tree_model(spark):
@@ -101,17 +117,6 @@ def test_feature_importance_tree_model(spark):
     assert M.feature_importance(lin, ["a", "b"]).count() == 0
 
 
-def test_content_id_paths_agree_on_numeric_order(spark):
-    from parcelle.functions import parse as P
-    rows = [(i, "2020-01-01", "75056", 1000.0, float(i % 13)) for i in range(3000)] + \
-           [(3000 + i, "2021-01-01", "69123", 5.5, 2.0) for i in range(3)]
-    df = spark.createDataFrame(rows, "id long, d string, code string, price double, extra double") \
-              .withColumn("d", F.to_date("d"))
-    a = {r.id: r.dvf_id for r in P.with_content_id(df, "d", "code", "price", order_by=["id"]).collect()}
-    b = {r.id: r.dvf_id for r in P.with_content_id(df, "d", "code", "price", order_by=["id"], max_group=50).collect()}
-    assert a == b and len(set(a.values())) == len(rows)
-
-
 def test_predict_price_call(spark):
     df = spark.range(300).select((F.col("id") % 100 + 10).cast("double").alias("surface_reelle_bati"),
                                  (F.col("id") % 5 + 1).cast("double").alias("nb_pieces"),
