@@ -8,7 +8,7 @@ aggregation) and joined back, instead of a correlated update per row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelle.functions import derive as D
@@ -130,17 +130,25 @@ def insert_new(target: DataFrame, incoming: DataFrame, key: str | list[str], ord
 def upsert(target: DataFrame, incoming: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Insert or overwrite by key.  Incoming values replace the stored
     ones, NULL included (no coalesce); ``row_source`` is 'updated', 'inserted'
-    or 'kept', which also gives the insert/update counts (T15)."""
-    t = target.select(F.col(key), *[F.col(c).alias(f"_t_{c}") for c in columns]).withColumn("_t", F.lit(True))
+    or 'kept', which also gives the insert/update counts (T15).  The target's
+    other columns stay (NULL on inserted rows), and a kept row keeps its
+    ``updated_at``."""
+    stored = [c for c in target.columns if c != key]
+    t = target.select(F.col(key), *[F.col(c).alias(f"_t_{c}") for c in stored]).withColumn("_t", F.lit(True))
     i = incoming.select(F.col(key), *[F.col(c).alias(f"_i_{c}") for c in columns]).withColumn("_i", F.lit(True))
     j = t.join(i, key, "full_outer")
     from_in = F.col("_i").isNotNull()
     src = (F.when(from_in & F.col("_t").isNotNull(), F.lit("updated"))
             .when(from_in, F.lit("inserted")).otherwise(F.lit("kept")))
-    return j.select(F.col(key), *[F.when(from_in, F.col(f"_i_{c}")).otherwise(F.col(f"_t_{c}")).alias(c)
-                                  for c in columns],
-                    src.alias("row_source"),
-                    F.when(from_in, F.current_timestamp()).alias("updated_at"))
+
+    def value(c: str) -> Column:
+        old = F.col(f"_t_{c}") if c in stored else F.lit(None)
+        return F.when(from_in, F.col(f"_i_{c}")).otherwise(old).alias(c)
+
+    before = F.col("_t_updated_at") if "updated_at" in stored else F.lit(None).cast("timestamp")
+    others = [F.col(f"_t_{c}").alias(c) for c in stored if c not in columns and c not in ("updated_at", "row_source")]
+    return j.select(F.col(key), *others, *[value(c) for c in columns], src.alias("row_source"),
+                    F.when(from_in, F.current_timestamp()).otherwise(before).alias("updated_at"))
 
 
 def insert_seed(target: DataFrame, seed: DataFrame, key: str) -> DataFrame:

@@ -142,6 +142,16 @@ def test_upsert_overwrites_with_null(spark):
     assert out == {"a": ("x", 1, "kept"), "b": (None, 5, "updated"), "c": ("z", 3, "inserted")}
 
 
+def test_upsert_keeps_other_columns_and_times(spark):
+    import datetime
+    at = datetime.datetime(2020, 1, 1)
+    t = spark.createDataFrame([(7, "a", 1, at), (8, "b", 2, at)], "id long, k string, pop int, updated_at timestamp")
+    i = spark.createDataFrame([("b", 5), ("c", 3)], "k string, pop int")
+    out = {r.k: r for r in L.upsert(t, i, "k", ["pop"]).collect()}
+    assert out["a"].id == 7 and out["a"].updated_at == at and out["a"].pop == 1
+    assert out["b"].id == 8 and out["b"].updated_at > at and out["c"].id is None
+
+
 def test_price_variation_chunked_equals_window(spark):
     from parcelle.operators import listings as LS
     h = spark.range(3000).select(F.col("id"), (F.col("id") % 3).alias("listing_id"),

@@ -68,6 +68,8 @@ def test_refresh_communes_views_and_summary(spark):
     assert rows["00001"].row_source == "updated" and rows["00001"].population is None
     assert rows["00001"].superficie_km2 == 2.5 and rows["00001"].densite_pop is None
     assert len(rows) == communes.count() + 1
+    ids = {r.code_commune: r.id for r in communes.collect()}
+    assert rows["99999"].id == max(ids.values()) + 1 and all(rows[c].id == i for c, i in ids.items())
     sales = T.sales(spark, SF_SMALL)
     from parcelle.functions import derive as D
     lst = T.listings(spark, SF_SMALL).withColumn("prix_m2", D.listing_price_m2("prix_affiche", "surface_habitable"))

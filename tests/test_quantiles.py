@@ -45,8 +45,6 @@ def test_queries_same_on_both_paths(spark, monkeypatch):
     assert before == after
 
 
-def test_approx_option_within_rank_error(spark):
+def test_median_of_an_even_count(spark):
     df = spark.range(10000).withColumn("v", F.col("id").cast("double"))
-    exact = Q.group_quantiles(df, [], "v", {"m": 0.5}).first().m
-    approx = Q.group_quantiles(df, [], "v", {"m": 0.5}, approx_accuracy=1000).first().m
-    assert exact == 4999.5 and abs(approx - exact) <= 10000 / 1000
+    assert Q.group_quantiles(df, [], "v", {"m": 0.5}).first().m == 4999.5
