@@ -304,7 +304,7 @@ def _next_pairs(t: int, last: bool):
             return ok
 
         names, counts = np.unique(comp, return_counts=True)
-        out, more = [], False
+        out, opened, more = [], [], False
         if len(names) > 1:
             # every open pair has a member outside the largest component
             small = np.flatnonzero(comp != names[counts.argmax()])
@@ -313,18 +313,27 @@ def _next_pairs(t: int, last: bool):
             for x in small:
                 y = everyone[open_pairs(x, everyone) & ~inside]
                 inside[x] = True            # a pair of two outsiders is met once
+                if len(y):
+                    opened.append(x)
                 out.append(np.stack((np.full(len(y), x), y), 1))
                 got += len(y)
                 if got > limit and size > 2 * _OPEN_EACH and not last:
                     more = True
                     break
             if more:
-                out, fresh = [], [x for x in range(size) if x not in dist or np.isnan(dist[x]).sum() * 4 > 3 * size][:PIVOTS]
-                for x in fresh:
-                    y = everyone[open_pairs(x, everyone)]
-                    out.append(np.stack((np.full(len(y), x), y), 1))
-                if not sum(map(len, out)):  # these pivots have nothing open: take the outsiders'
-                    for x in small[:PIVOTS * 4]:
+                # new pivots are members with open pairs: of those that few were compared
+                # with, else of the outsiders just met, so no list ends with pairs open
+                out, tried = [], 0
+                for x in range(size):
+                    if len(out) == PIVOTS or tried == PIVOTS * 8:
+                        break
+                    if x not in dist or np.isnan(dist[x]).sum() * 4 > 3 * size:
+                        tried += 1
+                        y = everyone[open_pairs(x, everyone)]
+                        if len(y):
+                            out.append(np.stack((np.full(len(y), x), y), 1))
+                if not out:
+                    for x in opened[:PIVOTS * 4]:
                         y = everyone[open_pairs(x, everyone)]
                         out.append(np.stack((np.full(len(y), x), y), 1))
         p = label[np.concatenate(out)] if out else np.empty((0, 2), np.int64)

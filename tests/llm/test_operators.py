@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from parcelle.llm import chat, mixing, ngram_join, packing, pii, quality, secret_scan, topk, toxicity, url_filters
@@ -115,6 +116,40 @@ def test_near_copies_in_one_long_list(spark):
     test_ngram_join(spark.createDataFrame(rows, "doc_id long, text string"))
 
 
+def rounds_of_one_list(sets, score, most=60):
+    """Components that the rounds find in one list of sets (no Spark); what each round asked."""
+    name, comp, known, asked = b"x" * 16, list(range(len(sets))), [], []
+    for turn in range(most):
+        state = pa.table({"list_id": [name] * len(sets), "label": pa.array(range(len(sets)), pa.int64()), "comp": pa.array(comp, pa.int64()),
+                          "n": pa.array(map(len, sets), pa.int64()), "score": pa.array(score, pa.int64())})
+        new = ngram_join._next_pairs(80, turn)(state, pa.table(
+            {"list_id": pa.array([name] * len(known), pa.binary()), "a": pa.array([k[0] for k in known], pa.int64()),
+             "b": pa.array([k[1] for k in known], pa.int64()), "d": pa.array([k[2] for k in known], pa.float64())})).to_pylist()
+        asked.append(new)
+        for r in new:
+            a, b = r["a"], r["b"]
+            d = None if b is None else 1 - len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+            if d is None or r.get("keep", True):
+                known.append((a, b, d))
+            if d is not None and d <= 0.2:
+                comp = [min(comp[a], comp[b]) if c in (comp[a], comp[b]) else c for c in comp]
+        if not any(r["more"] for r in new):
+            return comp, asked
+    raise AssertionError("the rounds do not end")
+
+
+def links_of(sets):
+    return [(x, y) for x in range(len(sets)) for y in range(x) if 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y])]
+
+
+def test_list_with_mixed_lengths_and_several_clusters_is_not_abandoned():
+    """The members of the best score have no partner by length; clusters of others follow."""
+    sets = [frozenset(range(-5, 200 * 2 ** i)) for i in range(10)]
+    sets += [frozenset(range(100 * c, 100 * c + 90)) | {f"{c} {i} {k}" for k in range(i % 8)} for c in range(12) for i in range(10)]
+    comp, _ = rounds_of_one_list(sets, [200 - i for i in range(len(sets))])
+    assert all(comp[x] == comp[y] for x, y in links_of(sets)) and len(set(comp)) == 22
+
+
 def test_secrets(docs):
     assign = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
     want = Counter()
