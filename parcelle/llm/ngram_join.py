@@ -15,8 +15,10 @@ connected components of the links.
    The answers for the rest are derived from the pivots': members in one component
    are connected already and need no comparison; as Jaccard distance is a metric,
    members whose distances to a pivot differ by more than 1 - t cannot link.
-   Rounds go on with new pivots until what is left is linear in the list (or
-   ``ROUNDS`` are over) and is compared pair by pair.
+   Rounds go on with new pivots, twice as many each time, until what is left is
+   linear in the list and is compared pair by pair.  What a round holds of a list
+   is linear in its members: distances to the pivots of the first ``_KEEP`` rounds
+   and, of the later pivots, only that all their open pairs were asked for.
 4. Links are verified on whole sets; components are computed in Spark.
 
 The result is exact: cells and positions steer the order, never what links
@@ -34,9 +36,11 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,8 +53,9 @@ _CHUNK_BITS = 16
 BUCKET_ROWS = 400_000   # index entries a bucket, about
 _FLUSH = 800_000      # index entries a task holds before it deals them out
 _BLOCK = 64             # members of a list that are skipped together
-ROUNDS = 8              # rounds by pivots before all open pairs are compared
-PIVOTS = 2              # new pivots of a list in a round
+PIVOTS = 2              # new pivots of a list in the first round; they double
+_KEEP = 4               # rounds whose pivots' distances are kept
+_ROUND_PAIRS = 1 << 21  # pairs of a list in a round, about (16 a member in longer lists)
 _OPEN_EACH = 4          # open pairs a member that are compared one by one
 BLOOM_BITS = 23
 
@@ -275,73 +280,74 @@ def _linkable(n: np.ndarray, pos: np.ndarray, t: int) -> np.ndarray:
     return np.sort(order[hit])
 
 
-def _next_pairs(t: int, last: bool):
+def _next_pairs(t: int, turn: int):
     """Members of a list with their components, and the comparisons made in it so
-    far -> the pairs to compare next (list_id, a, b, more)."""
+    far (b null: a was a pivot, all its open pairs were asked for) -> the pairs to
+    compare next and the new pivots (list_id, a, b, more)."""
 
     def run(members: pa.Table, known: pa.Table) -> pa.Table:
         order = np.lexsort((members.column("label").to_numpy(), -members.column("score").to_numpy()))
         label = members.column("label").to_numpy()[order]
         comp, n = members.column("comp").to_numpy()[order], members.column("n").to_numpy()[order]
         size = len(label)
-        place = {x: i for i, x in enumerate(label.tolist())}
-        dist: dict[int, np.ndarray] = {}
-        for a, b, d in zip(known.column("a").to_pylist(), known.column("b").to_pylist(), known.column("d").to_pylist()):
-            for x, y in ((place[a], place[b]), (place[b], place[a])):
-                dist.setdefault(x, np.full(size, np.nan))[y] = d
-                dist[x][x] = 0.0
-        # only members with many comparisons say something about the others
-        pivots = [v for v in dist.values() if np.isfinite(v).sum() * 4 >= size]
-
-        def open_pairs(x: int, y: np.ndarray) -> np.ndarray:
-            """Which of the members y is member x still to be compared with?"""
-            ok = (comp[y] != comp[x]) & (100 * np.minimum(n[y], n[x]) >= t * np.maximum(n[y], n[x]))
-            if x in dist:
-                ok &= np.isnan(dist[x][y])
+        by_label = np.argsort(label)
+
+        def places(column) -> np.ndarray:
+            return by_label[np.searchsorted(label, column.to_numpy(), sorter=by_label)]
+
+        done = np.zeros(size, bool)
+        done[places(known.filter(pc.is_null(known.column("b"))).column("a"))] = True
+        known = known.filter(pc.is_valid(known.column("d")))
+        ka, kb, kd = places(known.column("a")), places(known.column("b")), known.column("d").to_numpy()
+        # only members with many comparisons say something about the others: the
+        # pivots of the first rounds, so these vectors are few
+        pivots = []
+        for x in np.flatnonzero((np.bincount(ka, minlength=size) + np.bincount(kb, minlength=size)) * 4 >= size) if len(kd) else ():
+            v = np.full(size, np.nan)
+            v[kb[ka == x]], v[ka[kb == x]], v[x] = kd[ka == x], kd[kb == x], 0.0
+            pivots.append(v)
+
+        def open_pairs(x: int) -> np.ndarray:
+            """Which members is member x still to be compared with?"""
+            ok = (comp != comp[x]) & ~done & (100 * np.minimum(n, n[x]) >= t * np.maximum(n, n[x]))
             for v in pivots:
                 if np.isfinite(v[x]):       # a shade of slack for the rounding of the distances
-                    ok &= ~(np.abs(v[y] - v[x]) > (100 - t) / 100 + 1e-9)
-            return ok
+                    ok &= ~(np.abs(v - v[x]) > (100 - t) / 100 + 1e-9)
+            return np.flatnonzero(ok)
 
         names, counts = np.unique(comp, return_counts=True)
-        out, opened, more = [], [], False
+        out, asked, more = [], [], False
         if len(names) > 1:
             # every open pair has a member outside the largest component
-            small = np.flatnonzero(comp != names[counts.argmax()])
-            inside, limit, got = np.zeros(size, bool), _OPEN_EACH * size, 0
-            everyone = np.arange(size)
+            small = np.flatnonzero((comp != names[counts.argmax()]) & ~done)
+            before, limit, got = done.copy(), _OPEN_EACH * size, 0
             for x in small:
-                y = everyone[open_pairs(x, everyone) & ~inside]
-                inside[x] = True            # a pair of two outsiders is met once
-                if len(y):
-                    opened.append(x)
+                y = open_pairs(x)
+                done[x] = True              # a pair of two outsiders is met once
                 out.append(np.stack((np.full(len(y), x), y), 1))
                 got += len(y)
-                if got > limit and size > 2 * _OPEN_EACH and not last:
+                if got > limit and size > 2 * _OPEN_EACH:
                     more = True
                     break
             if more:
-                # new pivots are members with open pairs: of those that few were compared
-                # with, else of the outsiders just met, so no list ends with pairs open
-                out, tried = [], 0
-                for x in range(size):
-                    if len(out) == PIVOTS or tried == PIVOTS * 8:
+                # new pivots are members with open pairs, those of the best scores first,
+                # then the outsiders, so no list ends with pairs open
+                done, out, found, got = before, [], 0, 0
+                for x in np.concatenate((np.flatnonzero(~done)[:PIVOTS * 8], small)):
+                    if found == PIVOTS << min(turn, 30) or got > max(_ROUND_PAIRS, 16 * size):
                         break
-                    if x not in dist or np.isnan(dist[x]).sum() * 4 > 3 * size:
-                        tried += 1
-                        y = everyone[open_pairs(x, everyone)]
-                        if len(y):
-                            out.append(np.stack((np.full(len(y), x), y), 1))
-                if not out:
-                    for x in opened[:PIVOTS * 4]:
-                        y = everyone[open_pairs(x, everyone)]
-                        out.append(np.stack((np.full(len(y), x), y), 1))
-        p = label[np.concatenate(out)] if out else np.empty((0, 2), np.int64)
-        lo = np.minimum(p[:, 0].view(np.uint64) if len(p) else p[:, 0], p[:, 1].view(np.uint64) if len(p) else p[:, 1]).view(np.int64)
-        hi = np.maximum(p[:, 0].view(np.uint64) if len(p) else p[:, 0], p[:, 1].view(np.uint64) if len(p) else p[:, 1]).view(np.int64)
-        list_id = members.column("list_id")[0].as_py() if size else b""
-        return pa.table({"list_id": pa.array([list_id] * len(lo), pa.binary()), "a": pa.array(lo), "b": pa.array(hi),
-                         "more": pa.array([more] * len(lo), pa.bool_())})
+                    if done[x]:
+                        continue
+                    y = open_pairs(x)
+                    done[x] = True
+                    asked.append(x)
+                    out.append(np.stack((np.full(len(y), x), y), 1))
+                    found, got = found + (len(y) > 0), got + len(y)
+        p = label[np.concatenate(out)].view(np.uint64) if out else np.empty((0, 2), np.uint64)
+        lo, hi = p.min(1).view(np.int64), p.max(1).view(np.int64)
+        rows, list_id = len(lo) + len(asked), members.column("list_id")[0].as_py() if size else b""
+        return pa.table({"list_id": pa.array([list_id] * rows, pa.binary()), "a": pa.array(np.concatenate((lo, label[asked] if asked else lo[:0]))),
+                         "b": pa.concat_arrays([pa.array(hi), pa.nulls(len(asked), pa.int64())]), "more": pa.array([more] * rows, pa.bool_())})
 
     return run
 
@@ -453,17 +459,17 @@ def _components_of(docs: DataFrame, words: int, threshold: int, text: str) -> Da
     score = members.groupBy("label").agg(F.count("*").alias("score"))
     size = spill(contents.select("label", "rep", (F.length("tokens") / 8).cast("long").alias("n")).join(score, "label"), "sizes")
     active, asked, done = members, None, compared
-    for turn in range(ROUNDS):
+    for turn in count():
         state = size.join(final, size["rep"] == final["node"], "left").select("label", F.coalesce("component", "rep").alias("comp"), "n", "score")
         state = active.join(state, "label").select("list_id", "label", "comp", "n", "score")
         if asked is None:
             known = spark.createDataFrame([], "list_id binary, a long, b long, d double")
         else:
             d = done.select("a", "b", (1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("d"))
-            known = asked.join(d, ["a", "b"]).select("list_id", "a", "b", "d")
-        step = _next_pairs(threshold, turn == ROUNDS - 1)
+            known = asked.join(d, ["a", "b"], "left").select("list_id", "a", "b", "d")
+        step = _next_pairs(threshold, turn)
         new = spill(state.groupBy("list_id").cogroup(known.groupBy("list_id")).applyInArrow(step, "list_id binary, a long, b long, more boolean"), "asked")
-        fresh = spill(new.select("a", "b").distinct().join(done.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        fresh = spill(new.where("b IS NOT NULL").select("a", "b").distinct().join(done.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
         if not new.take(1):
             break
         # few sets are met again: only their contents are dealt out
@@ -476,7 +482,8 @@ def _components_of(docs: DataFrame, words: int, threshold: int, text: str) -> Da
         if not going.take(1):
             break
         active = spill(active.join(going, "list_id", "left_semi"), "members")
-        asked = new.select("list_id", "a", "b") if asked is None else asked.union(new.select("list_id", "a", "b"))
+        new = (new if turn < _KEEP else new.where("b IS NULL")).select("list_id", "a", "b")
+        asked = new if asked is None else asked.union(new)
         asked = spill(asked.join(going, "list_id", "left_semi").distinct(), "asked")
     degree = links.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     reps = sets.where("n > 0").join(classes.withColumnRenamed("label", "fa"), ["fa", "fb"], "left")

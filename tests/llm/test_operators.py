@@ -3,6 +3,7 @@ empty and long texts, ties, repeated rows, no rows, further columns."""
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -129,7 +130,7 @@ def rounds_of_one_list(sets, score, most=60):
         for r in new:
             a, b = r["a"], r["b"]
             d = None if b is None else 1 - len(sets[a] & sets[b]) / len(sets[a] | sets[b])
-            if d is None or r.get("keep", True):
+            if d is None or turn < ngram_join._KEEP:
                 known.append((a, b, d))
             if d is not None and d <= 0.2:
                 comp = [min(comp[a], comp[b]) if c in (comp[a], comp[b]) else c for c in comp]
@@ -150,6 +151,37 @@ def test_list_with_mixed_lengths_and_several_clusters_is_not_abandoned():
     assert all(comp[x] == comp[y] for x, y in links_of(sets)) and len(set(comp)) == 22
 
 
+def test_round_of_a_long_list_is_linear_in_its_members():
+    """Unlike sets of one length that share a shingle: all pairs stay open, round after round."""
+    sets = [frozenset([0] + [f"{i} {k}" for k in range(9)]) for i in range(300)] + [frozenset([0] + [f"7 {k}" for k in range(8)] + ["x"])]
+    before = ngram_join._ROUND_PAIRS
+    ngram_join._ROUND_PAIRS = 0
+    try:
+        comp, asked = rounds_of_one_list(sets, [1] * len(sets))
+    finally:
+        ngram_join._ROUND_PAIRS = before
+    assert comp[300] == comp[7] and len(set(comp)) == 300
+    assert max(map(len, asked)) <= 20 * len(sets)
+    pairs = [(r["a"], r["b"]) for x in asked for r in x if r["b"] is not None]
+    assert len(pairs) == len(set(pairs))
+
+
+def test_a_list_of_40000_members_holds_no_square():
+    """A pivot compared with every member once cost 8 bytes for each pair of members."""
+    m = 40_000
+    name = pa.array([b"x" * 16] * m, pa.binary())
+    at = pa.array(range(m), pa.int64())
+    state = pa.table({"list_id": name, "label": at, "comp": pa.array([0] * (m - 1) + [m], pa.int64()),
+                      "n": pa.array([100] * m, pa.int64()), "score": pa.array([1] * m, pa.int64())})
+    known = pa.table({"list_id": name, "a": pa.array([0] * m, pa.int64()), "b": pa.array([None] + list(range(1, m)), pa.int64()),
+                      "d": pa.array([None] + [0.3] * (m - 1), pa.float64())})
+    tracemalloc.start()
+    new = ngram_join._next_pairs(80, 1)(state, known)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert new.num_rows == m - 2 and peak < 2000 * m
+
+
 def test_secrets(docs):
     assign = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
     want = Counter()
