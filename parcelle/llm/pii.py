@@ -3,11 +3,11 @@
 Patterns give the base spans.  A small bidirectional LSTM over character classes
 with CRF transitions, trained here in numpy on spans labelled by the patterns,
 adds spans that the patterns miss (other separators, missing prefix).  It reads
-every neighbourhood of a digit or an ``@`` in every whole text: a personal-data
-span of these kinds holds one, so no text outside can hold a span.  The
+every neighbourhood of a digit or an ``@`` in every whole text, out to the ends of
+the runs of address characters (and dots between spaces) at its edges.  The
 neighbourhoods are cut into overlapping windows; the windows' decoded spans are
-reconciled over the whole neighbourhood (spans cut by a window's edge yield to
-the window that sees them whole, equal kinds that overlap are joined, and among
+reconciled over the whole neighbourhood (parts cut by a window's edge are joined
+with the next window's, an address goes out to the ends of its runs, equal kinds that overlap are joined, and among
 rivals the set with the largest total score is kept).
 
 An added span must also hold up as its kind (check digit, parts, digits), so
@@ -101,11 +101,55 @@ def _at_most(part: str, most: int) -> bool:
     return len(part) <= 3 and int(part or "0") <= most
 
 
+def _run_start(t: str, a: int, least: int = 0) -> int:
+    """Start of the run of address characters that ends before ``a``; a dot
+    between spaces does not end it."""
+    while a > least:
+        if t[a - 1] in _LOCAL:
+            a -= 1
+            continue
+        i = a
+        while i > least and t[i - 1] == " ":
+            i -= 1
+        if i == a or i == least or not (t[i - 1] == "." or t[a:a + 1] == ".") or t[i - 1] not in _LOCAL:
+            break
+        a = i - 1
+    return a
+
+
+def _run_end(t: str, b: int) -> int:
+    """End of the run of address characters from ``b`` on, likewise."""
+    while b < len(t):
+        if t[b] in _LOCAL:
+            b += 1
+            continue
+        i = b
+        while i < len(t) and t[i] == " ":
+            i += 1
+        if i == b or i == len(t) or not (t[i] == "." or (b and t[b - 1] == ".")) or t[i] not in _LOCAL:
+            break
+        b = i + 1
+    return b
+
+
+def whole_address(t: str, a: int, b: int) -> tuple[int, int]:
+    """A found address out to the ends of its local part and of its host's words."""
+    while a > 0 and t[a - 1] in _LOCAL and t[a] in _LOCAL:
+        a -= 1
+    while b < len(t) and (t[b].isascii() and t[b].isalnum() or t[b] == "-" or (
+            t[b] == "." and t[b + 1:b + 2].isascii() and t[b + 1:b + 2].isalnum())):
+        b += 1
+    return a, b
+
+
 def regions(t: str) -> list[tuple[int, str]]:
     """(start, text) of the merged neighbourhoods of all digits and ``@``."""
     out: list[list[int]] = []
     for m in _TRIGGER.finditer(t):
-        a, b = max(0, m.start() - CONTEXT), min(len(t), m.start() + 1 + CONTEXT)
+        if out and m.start() + 1 + CONTEXT <= out[-1][1]:
+            continue
+        a = _run_start(t, max(0, m.start() - CONTEXT), out[-1][1] if out else 0)
+        b = _run_end(t, min(len(t), m.start() + 1 + CONTEXT))
         if out and a <= out[-1][1]:
             out[-1][1] = b
         else:
@@ -355,10 +399,8 @@ def plausible(kind: int, s: str) -> bool:
     return 9 <= len(d) <= 15 and bool(re.match(r"\+|\(|00", s)) and not re.search("[A-Za-z]", s)
 
 
-def reconcile(cands: list[tuple[int, int, int, float]]) -> list[tuple[int, int, int]]:
-    """(kind, start, end, mean probability) of all windows -> spans that do not
-    overlap: equal kinds that overlap are joined, then the set of largest total
-    score (probability times length) is chosen."""
+def join_parts(cands: list[tuple[int, int, int, float]]) -> list[list]:
+    """Equal kinds that overlap become one span."""
     joined: list[list] = []
     for k in range(len(KINDS)):
         last = None
@@ -368,6 +410,14 @@ def reconcile(cands: list[tuple[int, int, int, float]]) -> list[tuple[int, int,
             else:
                 last = [k, a, b, s]
                 joined.append(last)
+    return joined
+
+
+def reconcile(cands: list[tuple[int, int, int, float]]) -> list[tuple[int, int, int]]:
+    """(kind, start, end, mean probability) of all windows -> spans that do not
+    overlap: equal kinds that overlap are joined, then the set of largest total
+    score (probability times length) is chosen."""
+    joined = join_parts(cands)
     joined.sort(key=lambda c: (c[2], c[1], c[0]))
     best: list[tuple[float, list]] = [(0.0, [])]
     ends = [0]
@@ -387,6 +437,7 @@ def model_spans(p, regs: list[list[tuple[int, str]]]) -> list[list[tuple[int, in
             c[d, r] = classes(text)
             jobs += [(d, r, w) for w in _windows(len(text))]
     found: dict[tuple[int, int], list] = {}
+    cut: set[tuple[int, int, int, int]] = set()     # window edges that cut a part: start, or -end
     for lo in range(0, len(jobs), 512):
         part = jobs[lo:lo + 512]
         ids, length = np.zeros((len(part), WINDOW), np.int64), np.zeros(len(part), np.int64)
@@ -409,16 +460,25 @@ def model_spans(p, regs: list[list[tuple[int, str]]]) -> list[list[tuple[int, in
                 t += 1
                 while t < stop and tag[t] == 2 + 2 * k:
                     t += 1
-                # a span at a window's inner edge may be cut: the next window sees it
-                if (a == 0 and w > 0) or (t == stop and w + t < size):
-                    continue
+                # a span at a window's inner edge may be cut: it is joined with the next window's part
                 mean = float(prob[i, a:t].mean())
                 if mean >= MIN_PROBABILITY:
+                    if a == 0 and w > 0:
+                        cut.add((d, r, int(k), w))
+                    if t == stop and w + t < size:
+                        cut.add((d, r, int(k), -(w + t)))
                     found.setdefault((d, r), []).append((int(k), w + a, w + t, mean))
     out: list[list[tuple[int, int, int]]] = [[] for _ in regs]
     for (d, r), cands in found.items():
         start, text = regs[d][r]
-        out[d] += [(k, start + a, start + b) for k, a, b in reconcile(cands) if plausible(k, text[a:b])]
+        whole = []
+        for k, a, b, score in join_parts(cands):
+            if k == 0 and "@" in text[a:b]:
+                a, b = whole_address(text, a, b)
+            elif (d, r, k, a) in cut or (d, r, k, -b) in cut:
+                continue
+            whole.append((k, a, b, score))
+        out[d] += [(k, start + a, start + b) for k, a, b in reconcile(whole) if plausible(k, text[a:b])]
     return out
 
 

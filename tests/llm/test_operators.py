@@ -268,6 +268,27 @@ def test_pii_model_gradient_and_held_out():
         assert abs((up - down) / 2e-5 / 3 - g[k][at]) < 1e-6
 
 
+def test_pii_spaced_addresses_are_whole_at_all_offsets(monkeypatch):
+    """A tagger that marks the 20 characters around each @ stands in for the model."""
+    longest = "anne-marie.vanderbilt-hollingsworth @ department.computer-science.example.edu"
+
+    def around(p, e, mask):
+        path = np.zeros(e.shape[:2], np.int64)
+        for row, at in zip(*np.nonzero(e[:, :, 0])):
+            path[row, max(0, at - 10):at + 10] = 2
+        return path * (mask > 0)
+
+    at_class = pii.classes("@")[0]
+    monkeypatch.setattr(pii, "emissions", lambda p, ids, n: ((ids == at_class)[:, :, None].repeat(pii.TAGS, 2), (np.arange(ids.shape[1]) < n[:, None]).astype(float)))
+    monkeypatch.setattr(pii, "forward_backward", lambda p, e, mask: (None, np.ones(e.shape), None, None))
+    monkeypatch.setattr(pii, "viterbi", around)
+    for address in (longest, "jane.doe-smith @ mail.example.org", "b" * 40 + " @ " + "c" * 30 + ".example"):
+        for offset in range(0, 130):
+            t = "write to, " * 13
+            t = t[:offset] + " " + address + " now"
+            assert pii.model_spans({}, [pii.regions(t)]) == [[(0, offset + 1, offset + 1 + len(address))]]
+
+
 def test_mixing(docs):
     got = mixing.mix_report(docs).collect()
     sizes, source = Counter(), {}
