@@ -14,17 +14,8 @@ from parcelle.plans.oracle import r
 from parcelle.plans.queries_reports import PRIORITY_TYPES, _sql_type_map, SQL_CANON, features, with_feat
 from parcelle.sources import tables as T
 
-# Model settings of the registered queries: the reference's estimators with
-# fewer / shallower trees so that a correctness run stays short.  The library
-# defaults (ml.REFERENCE_MODELS) keep the reference's settings.
-QUERY_MODELS = [
-    M.ModelSpec("Linear Regression", "linear", {}),
-    M.ModelSpec("Random Forest", "forest", {"numTrees": 20, "maxDepth": 8, "seed": 42,
-                                            "featureSubsetStrategy": "all"}),
-    M.ModelSpec("Gradient Boosting", "gbt", {"maxIter": 15, "maxDepth": 5, "stepSize": 0.1, "seed": 42}),
-    M.ModelSpec("XGBoost", "gbt", {"maxIter": 15, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8,
-                                   "featureSubsetStrategy": "0.8", "minInstancesPerNode": 5, "seed": 42}),
-]
+# Model settings of the registered queries: the reference's.
+QUERY_MODELS = M.REFERENCE_MODELS
 
 
 def ml_table(spark: SparkSession, sf: str) -> DataFrame:

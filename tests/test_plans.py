@@ -79,3 +79,9 @@ def test_bucketed_target_is_not_shuffled(spark, tmp_path):
     # the bucketed side is read as is: no exchange directly above its scan
     assert "Bucketed: true" in plan
     assert not re.search(r"Exchange hashpartitioning\(id#\d+L, 8\)[^\n]*\n\s*\+- (\*\(\d+\) )?(ColumnarToRow\n\s*\+- )?FileScan parquet spark_catalog\.default\.parcelle_sales_target", plan)
+
+
+def test_model_queries_use_the_reference_settings():
+    from parcelle.operators import ml
+    from parcelle.plans import queries_ml
+    assert queries_ml.QUERY_MODELS == ml.REFERENCE_MODELS
