@@ -11,7 +11,7 @@ says where the j-th item of a length goes.
 
 Defined results: null text counts as empty (one token, the end mark); an empty
 table gives no rows; repeated rows are items of their own; texts of any length
-are tokenized whole; special-token strings in a text are ordinary text; further
+are tokenized whole; the string of a special token in a text is that token; further
 columns are ignored.
 """
 
@@ -38,30 +38,32 @@ LONG_RUN = 2000
 BROADCAST_PLAN_ROWS = 500_000
 
 
-def make_encoder(vocabulary: str = VOCABULARY):
-    """text -> ids.  Two libraries read the same public vocabulary and give the
-    same ids (tests compare them); the faster one takes ordinary text."""
+def make_encoder(vocabulary: str = VOCABULARY, special: bool = True):
+    """text -> ids, as ``tokenizers`` gives them without adding special tokens.
+    Two libraries read the same public vocabulary and give the same ids (tests
+    compare them); the faster one takes ordinary text.  A text that holds the string
+    of a special token goes to ``tokenizers``, which gives that token's id where
+    ``special``; else such strings are ordinary text."""
     import base64
     import re
 
     import public_tokenizers
     import tiktoken
+    from tokenizers import Tokenizer
 
     with open(public_tokenizers.path(vocabulary + ".tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    long_run = re.compile(r"\S{%d}|\s{%d}" % (LONG_RUN, LONG_RUN))
-    slow = []
+    whole = Tokenizer.from_file(public_tokenizers.path(vocabulary + ".json"))
+    whole.encode_special_tokens = not special
+    added = [t.content for t in whole.get_added_tokens_decoder().values()] if special else []
+    slow = re.compile("|".join([r"\S{%d}|\s{%d}" % (LONG_RUN, LONG_RUN), *map(re.escape, added)]))
+    short = re.compile("|".join(map(re.escape, added)) or "(?!)")
 
     def encode(text: str) -> list[int]:
-        if len(text) < LONG_RUN or not long_run.search(text):
+        if not (short if len(text) < LONG_RUN else slow).search(text):
             return fast.encode_ordinary(text)
-        if not slow:
-            from tokenizers import Tokenizer
-            t = Tokenizer.from_file(public_tokenizers.path(vocabulary + ".json"))
-            t.encode_special_tokens = True
-            slow.append(t)
-        return slow[0].encode(text, add_special_tokens=False).ids
+        return whole.encode(text, add_special_tokens=False).ids
 
     return encode
 

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from parcelle.llm import chat, mixing, ngram_join, packing, pii, quality, secret_scan, topk, toxicity, url_filters
+from parcelle.llm import (
+    alignment, chat, mixing, ngram_join, packing, periodic, pii, quality, secret_scan, sharding, topk, toxicity, url_filters)
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,9 +65,22 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_read(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(periodic.find_runs(periodic.repeat_endings(_read(spark, sf_dir, "documents"))))
+
+
+def op12_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_report(_read(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_digests(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_ngram_join, op3_secret_scan, op4_best_fit_packing, op5_pii, op6_url_filters,
-    op7_chat_formatting, op8_exact_topk, op9_quality_rules, op10_source_mixing)}
+    op7_chat_formatting, op8_exact_topk, op9_quality_rules, op10_source_mixing,
+    op11_periodic_runs, op12_feistel_sharding, op13_token_alignment)}
 
 _WS = "[\\x20\\x09-\\x0D]+"
 _WORDS = "list_filter(string_split_regex({0}, '" + _WS + "'), lambda w: w <> '')"
