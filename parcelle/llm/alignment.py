@@ -8,11 +8,10 @@ at the last token of each group after as many steps as the logarithm of the long
 chain.  That token labels the group.
 
 Texts are handled in blocks of about ``BLOCK_BYTES`` (a longer text is a block of
-its own).  A block's token ids are written once, two bytes each where the
-vocabularies allow; its distinct linked id pairs are counted over the corpus, and
-the corpus-wide counts come back to the block by a join and a co-group on the
-block.  So no task holds more than a block, and a pair that every block holds costs
-one row a block.
+its own).  A block is one row: its texts' ids, compressed, and its distinct linked
+id pairs with their numbers of links.  These are summed over the corpus, and the
+sums come back to the block by a join and a co-group on the block.  So no task holds
+more than a block at a time, and a pair that every block holds costs one row a block.
 
 Defined results: texts that are null or empty, or that a tokenizer does not give
 back byte for byte, have no tokens and zeros; strings of special tokens are plain
@@ -22,6 +21,9 @@ further columns are ignored.
 
 from __future__ import annotations
 
+from array import array
+from hashlib import sha256
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -33,8 +35,9 @@ from parcelle.llm.packing import make_encoder
 
 VOCABULARY_A = "byte_bpe_50k"
 VOCABULARY_B = "piece_bpe_32k"
-BLOCK_BYTES = 1 << 22
-RESULT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string")
+BLOCK_BYTES = 1 << 21
+BLOCK = "block long, doc_id array<long>, n_a array<int>, n_b array<int>, ids binary, pair array<long>, n array<long>"
+RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
 
 
 def entry_bytes_a(vocabulary: str = VOCABULARY_A) -> list[bytes]:
@@ -43,15 +46,13 @@ def entry_bytes_a(vocabulary: str = VOCABULARY_A) -> list[bytes]:
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(public_tokenizers.path(vocabulary + ".json"))
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    moved = [b for b in range(256) if b not in set(plain)]
-    byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(moved)}
-    out = []
-    for i in range(t.get_vocab_size()):
-        piece = t.id_to_token(i)
-        known = piece is not None and all(c in byte for c in piece)
-        out.append(bytes(byte[c] for c in piece) if known else (piece or "").encode())
+    moved = sorted(set(range(256)) - set(plain))
+    byte = {b: b for b in plain} | {256 + i: b for i, b in enumerate(moved)}
+    vocab = Tokenizer.from_file(public_tokenizers.path(vocabulary + ".json")).get_vocab()
+    out = [b""] * (max(vocab.values()) + 1)
+    for piece, i in vocab.items():
+        out[i] = piece.translate(byte).encode("latin-1")
     return out
 
 
@@ -65,17 +66,22 @@ def load_b(vocabulary: str = VOCABULARY_B):
 def entry_bytes_b(vocabulary: str = VOCABULARY_B) -> list[bytes]:
     sp = load_b(vocabulary)
     return [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace("▁", " ").encode()
-            for i, p in ((i, sp.id_to_piece(i)) for i in range(sp.get_piece_size()))]
+            for i, p in enumerate(sp.id_to_piece(list(range(sp.get_piece_size()))))]
+
+
+class Lengths:
+    """Bytes of every id of both vocabularies, and what follows from their sizes."""
 
+    def __init__(self, a: list[bytes], b: list[bytes]):
+        self.a, self.b = (np.array([len(x) for x in v], dtype=np.int64) for v in (a, b))
+        self.code = "H" if max(len(a), len(b)) <= 1 << 16 else "I"
 
-class Entries:
-    """Token bytes' lengths and sizes of both vocabularies (one instance a task)."""
+    def ends(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.cumsum(self.a[x]), np.cumsum(self.b[y])
 
-    def __init__(self, a: str = VOCABULARY_A, b: str = VOCABULARY_B):
-        self.a, self.b = entry_bytes_a(a), entry_bytes_b(b)
-        self.a_len = np.array([len(x) for x in self.a], dtype=np.int64)
-        self.b_len = np.array([len(x) for x in self.b], dtype=np.int64)
-        self.type = np.dtype("<u2" if max(len(self.a), len(self.b)) <= 1 << 16 else "<u4")
+    def pairs(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """One number for each pair of an A and a B id."""
+        return x * len(self.b) + y
 
 
 def group_labels(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,55 +112,36 @@ def links_of(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def encode_blocks(docs: DataFrame, a: str = VOCABULARY_A, b: str = VOCABULARY_B, text: str = "text") -> DataFrame:
-    """(block, doc_id, a, b): ids of both tokenizers as little-endian bytes."""
+    """A row a block: ids of its documents, their numbers of tokens, all A ids and
+    all B ids (compressed), and how many links hold each linked id pair."""
 
     def run(batches):
-        entries, encode, sp = Entries(a, b), make_encoder(a, special=False), load_b(b)
+        bytes_a, bytes_b, encode, sp = entry_bytes_a(a), entry_bytes_b(b), make_encoder(a, special=False), load_b(b)
+        size = Lengths(bytes_a, bytes_b)
         block = TaskContext.get().partitionId() << 33
         for whole in batches:
             for part in slices(whole, 1, BLOCK_BYTES):
                 texts = [t or "" for t in part.column(1).to_pylist()]
-                ids: tuple[list, list] = ([], [])
+                n, ids = ([], []), (array(size.code), array(size.code))
                 for t, y in zip(texts, sp.encode(texts, num_threads=1)):
                     x, data = (encode(" " + t), (" " + t).encode()) if t else ([], b"")
-                    if b"".join(map(entries.b.__getitem__, y)) != data or b"".join(map(entries.a.__getitem__, x)) != data:
+                    if b"".join(map(bytes_b.__getitem__, y)) != data or b"".join(map(bytes_a.__getitem__, x)) != data:
                         x, y = [], []
-                    ids[0].append(np.array(x, entries.type).tobytes())
-                    ids[1].append(np.array(y, entries.type).tobytes())
+                    for side, more in enumerate((x, y)):
+                        ids[side].extend(more)
+                        n[side].append(len(more))
+                x, y = (np.frombuffer(v, size.code).astype(np.int64) for v in ids)
+                i, j = links_of(*size.ends(x, y))
+                pair, times = np.unique(size.pairs(x[i], y[j]), return_counts=True)
+                packed = pa.Codec("zstd", compression_level=3).compress(ids[0].tobytes() + ids[1].tobytes(), asbytes=True)
+                lists = [(part.column(0).to_pylist(), pa.int64()), (n[0], pa.int32()), (n[1], pa.int32())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(texts), block)), part.column(0), pa.array(ids[0], pa.binary()), pa.array(ids[1], pa.binary())],
-                    names=["block", "doc_id", "a", "b"])
+                    [pa.array([block]), *(pa.array([v], pa.list_(t)) for v, t in lists), pa.array([packed], pa.binary()),
+                     *(pa.array([v.astype(np.int64)], pa.list_(pa.int64())) for v in (pair, times))],
+                    names=["block", "doc_id", "n_a", "n_b", "ids", "pair", "n"])
                 block += 1
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("t")).mapInArrow(
-        run, "block long, doc_id long, a binary, b binary")
-
-
-def _tokens(column: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts in a row, and how many each text has."""
-    blobs = column.to_pylist()
-    return (np.frombuffer(b"".join(blobs), kind).astype(np.int64),
-            np.fromiter((len(x) // kind.itemsize for x in blobs), np.int64, len(blobs)))
-
-
-def block_pairs(blocks: DataFrame, a: str = VOCABULARY_A, b: str = VOCABULARY_B) -> DataFrame:
-    """(block, pair, n): how many links of a block hold an id pair (A id * size of
-    B's vocabulary + B id).  A block read in parts gives a row a part."""
-
-    def run(batches):
-        entries = Entries(a, b)
-        for whole in batches:
-            number = whole.column(0).to_numpy()
-            cut = [0, *(np.flatnonzero(number[1:] != number[:-1]) + 1), len(number)] if len(number) else [0]
-            for lo, hi in zip(cut[:-1], cut[1:]):
-                part = whole.slice(int(lo), int(hi - lo))
-                x, y = _tokens(part.column(1), entries.type)[0], _tokens(part.column(2), entries.type)[0]
-                i, j = links_of(np.cumsum(entries.a_len[x]), np.cumsum(entries.b_len[y]))
-                pair, n = np.unique(x[i] * len(entries.b) + y[j], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), number[lo])), pa.array(pair), pa.array(n.astype(np.int64))],
-                                                 names=["block", "pair", "n"])
-
-    return blocks.select("block", "a", "b").mapInArrow(run, "block long, pair long, n long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("t")).mapInArrow(run, BLOCK)
 
 
 def _ends_last(label: np.ndarray) -> np.ndarray:
@@ -167,53 +154,74 @@ def _sums(values: np.ndarray, upto: np.ndarray) -> np.ndarray:
     return np.diff(run, prepend=0)
 
 
-def align(docs: DataFrame, a: str = VOCABULARY_A, b: str = VOCABULARY_B, text: str = "text") -> DataFrame:
+class Writer:
+    """Groups of tokens as text, as arrays of bytes: a row of decimal digits and a
+    mark for each id and each mark that may follow it."""
+
+    def __init__(self, n_a: int, n_b: int):
+        self.n_a, self.n_b = n_a, n_b
+        said = [f"{i}{c}".encode() for c in ",|" for i in range(n_a)] + [f"{i}{c}".encode() for c in (",", ";", "") for i in range(n_b)]
+        self.width = np.array([len(x) for x in said])
+        wide = int(self.width.max())
+        self.bytes = np.frombuffer(b"".join(x.ljust(wide, b"\0") for x in said), np.uint8).reshape(-1, wide)
+        self.used = np.arange(wide) < self.width[:, None]
+
+    def write(self, x, y, la, lb, upto_x, upto_y) -> list[bytes]:
+        """A text's groups: in each the A ids, then the B ids."""
+        last = np.zeros(len(y), bool)
+        last[upto_y[np.diff(upto_y, prepend=0) > 0] - 1] = True
+        code = np.empty(len(x) + len(y), np.int64)
+        code[np.arange(len(x)) + np.searchsorted(lb, la)] = x + _ends_last(la) * self.n_a
+        code[np.arange(len(y)) + np.searchsorted(la, lb, side="right")] = y + 2 * self.n_a + np.where(last, 2, _ends_last(lb)) * self.n_b
+        text = self.bytes[code][self.used[code]].tobytes()
+        stop = np.concatenate(([0], np.cumsum(self.width[code])))[upto_x + upto_y].tolist()
+        return [text[lo:hi] for lo, hi in zip([0, *stop], stop)]
+
+
+def align(docs: DataFrame, a: str = VOCABULARY_A, b: str = VOCABULARY_B, text: str = "text", digest: bool = False) -> DataFrame:
     """Per document: token counts, groups, links, how many links hold their B id's
     most frequent pair, the sum of the links' corpus-wide counts, and the groups
-    themselves as text (`a1,a2|b1;a3|b2,b3`)."""
-    n_b = load_b(b).get_piece_size()
+    themselves as text (`a1,a2|b1;a3|b2,b3`; with ``digest`` its SHA-256, '' for
+    documents without tokens)."""
+    size = Lengths(entry_bytes_a(a), entry_bytes_b(b))
+    n_b = len(size.b)
     blocks = spill(encode_blocks(docs, a, b, text), "align-blocks")
-    pairs = spill(block_pairs(blocks, a, b), "align-pairs")
+    pairs = blocks.select("block", F.inline(F.arrays_zip("pair", "n")))
     counts = spill(pairs.groupBy("pair").agg(F.sum("n").alias("total")), "align-counts")
     most = counts.groupBy((F.col("pair") % n_b).alias("b_id")).agg(F.max("total").alias("most"))   # a row an id of B at most
     best = counts.join(F.broadcast(most), F.col("pair") % n_b == F.col("b_id")).select("pair", "total", (F.col("total") == F.col("most")).alias("best"))
     known = pairs.select("block", "pair").join(best, "pair").select("block", "pair", "total", "best")
-    names: list[list[str]] = []
-    tables: list[Entries] = []
-
-    def run(texts: pa.Table, seen: pa.Table) -> pa.Table:
-        if not tables:
-            tables.append(Entries(a, b))
-            names.append([f"{i}{c}" for c in ",|" for i in range(len(tables[0].a))] + [f"{i}{c}" for c in (",", ";", "") for i in range(n_b)])
-        entries, name = tables[0], names[0]
-        (x, n_x), (y, n_y) = (_tokens(texts.column(c).combine_chunks(), entries.type) for c in (2, 3))
-        a_end, b_end = np.cumsum(entries.a_len[x]), np.cumsum(entries.b_len[y])
-        upto_x, upto_y = np.cumsum(n_x), np.cumsum(n_y)
+    writers: list[Writer] = []
+
+    def run(block: pa.Table, seen: pa.Table) -> pa.Table:
+        if not writers:
+            writers.append(Writer(len(size.a), n_b))
+        doc, n_x, n_y = (block.column(c).combine_chunks().flatten() for c in ("doc_id", "n_a", "n_b"))
+        upto_x, upto_y = (np.cumsum(v.to_numpy(), dtype=np.int64) for v in (n_x, n_y))
+        n = int(upto_x[-1])
+        kind = np.dtype(size.code)
+        ids = pa.Codec("zstd").decompress(block.column("ids")[0].as_buffer(), (n + int(upto_y[-1])) * kind.itemsize)
+        ids = np.frombuffer(ids, kind).astype(np.int64)
+        x, y = ids[:n], ids[n:]
+        a_end, b_end = size.ends(x, y)
         la, lb = group_labels(a_end, b_end)
         i, j = links_of(a_end, b_end)
         upto_links = np.searchsorted(i, upto_x)
-        pair, at = np.unique(seen.column(1).to_numpy(), return_index=True)
-        at = at[np.searchsorted(pair, x[i] * n_b + y[j])]
-        total, best_of = seen.column(2).to_numpy()[at], seen.column(3).to_numpy()[at]
-        # the groups' text: A tokens of a group, then its B tokens
-        last_a, last_b = _ends_last(la), _ends_last(lb)
-        end_b = np.zeros(len(y), bool)
-        end_b[upto_y[n_y > 0] - 1] = True
-        code = np.empty(len(x) + len(y), np.int64)
-        code[np.arange(len(x)) + np.searchsorted(lb, la)] = x + last_a * len(entries.a)
-        code[np.arange(len(y)) + np.searchsorted(la, lb, side="right")] = y + 2 * len(entries.a) + np.where(end_b, 2, last_b) * n_b
-        said = list(map(name.__getitem__, code.tolist()))
-        stop = (upto_x + upto_y).tolist()
-        groups = ["".join(said[lo:hi]) for lo, hi in zip([0, *stop], stop)]
-        return pa.table([texts.column(1).cast(pa.int64()), *(pa.array(v, pa.int64()) for v in (
-            n_x, n_y, _sums(last_b, upto_y), np.diff(upto_links, prepend=0), _sums(best_of, upto_links), _sums(total, upto_links))),
-            pa.array(groups, pa.string())], names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])
+        pair = seen.column("pair").to_numpy()
+        order = np.argsort(pair)
+        at = order[np.searchsorted(pair[order], size.pairs(x[i], y[j]))]
+        total, best_of = seen.column("total").to_numpy()[at], seen.column("best").to_numpy()[at]
+        said = writers[0].write(x, y, la, lb, upto_x, upto_y)
+        said = [sha256(g).hexdigest() if g else "" for g in said] if digest else [g.decode() for g in said]
+        return pa.table([doc, *(pa.array(v, pa.int64()) for v in (
+            n_x.to_numpy(), n_y.to_numpy(), _sums(_ends_last(lb), upto_y), np.diff(upto_links, prepend=0),
+            _sums(best_of, upto_links), _sums(total, upto_links))), pa.array(said, pa.string())],
+            names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])
 
-    return blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, RESULT)
+    block = blocks.select("block", "doc_id", "n_a", "n_b", "ids")
+    return block.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, RESULT)
 
 
 def alignment_digests(docs: DataFrame) -> DataFrame:
-    """Contract columns; the groups' text hashed, '' without tokens."""
-    d = align(docs)
-    return d.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
-                    F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise(F.lit("")).alias("groups_sha256"))
+    """Contract columns."""
+    return align(docs, digest=True).withColumnRenamed("groups", "groups_sha256")
