@@ -190,7 +190,7 @@ def align(docs: DataFrame, a: str = VOCABULARY_A, b: str = VOCABULARY_B, text: s
     counts = spill(pairs.groupBy("pair").agg(F.sum("n").alias("total")), "align-counts")
     most = counts.groupBy((F.col("pair") % n_b).alias("b_id")).agg(F.max("total").alias("most"))   # a row an id of B at most
     best = counts.join(F.broadcast(most), F.col("pair") % n_b == F.col("b_id")).select("pair", "total", (F.col("total") == F.col("most")).alias("best"))
-    known = pairs.select("block", "pair").join(best, "pair").select("block", "pair", "total", "best")
+    known = pairs.select(F.col("block").alias("holder"), "pair").join(best, "pair").select("holder", "pair", "total", "best")
     writers: list[Writer] = []
 
     def run(block: pa.Table, seen: pa.Table) -> pa.Table:
@@ -219,7 +219,7 @@ def align(docs: DataFrame, a: str = VOCABULARY_A, b: str = VOCABULARY_B, text: s
             names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])
 
     block = blocks.select("block", "doc_id", "n_a", "n_b", "ids")
-    return block.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, RESULT)
+    return block.groupBy("block").cogroup(known.groupBy("holder")).applyInArrow(run, RESULT)
 
 
 def alignment_digests(docs: DataFrame) -> DataFrame:
