@@ -43,7 +43,7 @@ REFERENCE_MODELS = [
                                           "featureSubsetStrategy": "all"}),
     ModelSpec("Gradient Boosting", "gbt", {"maxIter": 100, "maxDepth": 10, "stepSize": 0.1, "seed": 42}),
     ModelSpec("XGBoost", "gbt", {"maxIter": 200, "maxDepth": 15, "stepSize": 0.05, "subsamplingRate": 0.8,
-                                 "featureSubsetStrategy": "0.8", "minInstancesPerNode": 5, "seed": 42}),
+                                 "featureSubsetStrategy": "0.8", "minInstancesPerNode": 5, "minInfoGain": 0.1, "seed": 42}),
 ]
 
 
@@ -70,9 +70,10 @@ def model_frame(df: DataFrame, features: Sequence[str], label: str = LABEL) -> D
 
 
 def hash_split(df: DataFrame, id_col: str = "id", train_pct: int = 80, seed: int = 42) -> DataFrame:
-    """M3: repeatable 80/20 split column from a hash of the id (independent of
-    partitioning, unlike ``randomSplit``)."""
-    bucket = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(100))
+    """M3: repeatable 80/20 split column from the MD5 of seed and id (independent of
+    partitioning, unlike ``randomSplit``, and the same in any SQL engine)."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")).cast("binary"))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100
     return df.withColumn("split", F.when(bucket < train_pct, F.lit("train")).otherwise(F.lit("test")))
 
 
@@ -157,8 +158,14 @@ def cross_validate(df: DataFrame, features: Sequence[str], spec: ModelSpec, orde
         m = regression_metrics(model.transform(folded.where(F.col("fold") == i)), label)
         m = m.select(F.lit(i).alias("fold"), "r2")
         out = m if out is None else out.unionByName(m)
-    summary = out.agg(F.avg("r2").alias("cv_r2_mean"), F.stddev_pop("r2").alias("cv_r2_std"))
-    return with_one_row(out, summary)
+    return with_one_row(out, fold_summary(out))
+
+
+def fold_summary(scores: DataFrame) -> DataFrame:
+    """Mean and population deviation of the folds' R2, and mean -+ 2 deviations."""
+    s = scores.agg(F.avg("r2").alias("cv_r2_mean"), F.stddev_pop("r2").alias("cv_r2_std"))
+    return s.withColumns({"cv_r2_low": F.col("cv_r2_mean") - 2 * F.col("cv_r2_std"),
+                          "cv_r2_high": F.col("cv_r2_mean") + 2 * F.col("cv_r2_std")})
 
 
 def feature_importance(model: PipelineModel, features: Sequence[str], top: int = 10) -> DataFrame:
@@ -201,12 +208,6 @@ def score(model: PipelineModel, props: DataFrame, features: Sequence[str], media
     }).drop("features")
 
 
-def save_model(model: PipelineModel, path: str, metrics: DataFrame) -> None:
-    """The fitted pipeline and its metrics table side by side."""
-    model.write().overwrite().save(f"{path}/model")
-    metrics.write.mode("overwrite").parquet(f"{path}/metrics")
-
-
 def persist_predictions(scored: DataFrame, path: str, features: Sequence[str]) -> None:
     """Append predictions with the features as JSON."""
     out = scored.withColumn("features_json", F.to_json(F.struct(*features)))

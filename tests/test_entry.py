@@ -15,20 +15,56 @@ def test_every_query_has_callable():
 
 
 def test_model_queries_finite(spark):
+    """The model queries' steps with small settings, given as arguments."""
     import math
+    from parcelle.operators import ml as M
+    from parcelle.plans import queries_ml as Q
     from tests.conftest import SF_SMALL
-    qs = E.queries()
-    rows = qs["regression_metrics"](spark, SF_SMALL).collect()
-    assert len(rows) == 4 and sum(r.is_best for r in rows) == 1
-    for r in rows:
-        assert all(math.isfinite(x) for x in (r.r2, r.mae, r.rmse)) and r.n > 0
-    cv = qs["cv_scores"](spark, SF_SMALL).collect()
+    small = M.ModelSpec("small forest", "forest", {"numTrees": 3, "maxDepth": 3, "seed": 1})
+    for spec in (small, M.ModelSpec("small boosting", "gbt", {"maxIter": 2, "maxDepth": 2, "seed": 1})):
+        r = Q.model_metrics(spark, SF_SMALL, spec).first()
+        assert r.model == spec.name and all(math.isfinite(x) for x in (r.r2, r.mae, r.rmse)) and r.n > 0
+    imp = Q.q_feature_importance(spark, SF_SMALL, small).collect()
+    assert len(imp) == 10 and [r.importance for r in imp] == sorted((r.importance for r in imp), reverse=True)
+    cv = E.queries()["cv_scores"](spark, SF_SMALL).collect()
     assert sorted(r.fold for r in cv) == [0, 1, 2, 3, 4]
-    assert all(math.isfinite(r.r2) for r in cv) and len({r.cv_r2_mean for r in cv}) == 1
-    scored = qs["score_properties"](spark, SF_SMALL).collect()
+    assert all(math.isfinite(r.r2) for r in cv) and len({(r.cv_r2_mean, r.cv_r2_low, r.cv_r2_high) for r in cv}) == 1
+    scored = Q.q_score_properties(spark, SF_SMALL, small).collect()
     assert scored and all(r.prix_min <= r.prix_predit <= r.prix_max and r.prix_min >= 0 for r in scored)
 
 
+def test_store_fits_once(spark, tmp_path, monkeypatch):
+    from parcelle.operators import ml as M
+    from parcelle.operators.model_store import ModelStore
+    df = spark.range(400).selectExpr("id", "cast(id * 3 + 7 as double) valeur_fonciere", "cast(id as double) x", "cast(id % 7 as double) z")
+    spec = M.ModelSpec("line", "linear", {})
+    fits = []
+    real = M.fit
+    monkeypatch.setattr(M, "fit", lambda *a: fits.append(1) or real(*a))
+    store = ModelStore(spark, str(tmp_path))
+    first = store.fitted(store.prepare(df, ["x", "z"]), spec)
+    again = ModelStore(spark, str(tmp_path)).fitted(store.prepare(df.repartition(3), ["x", "z"]), spec)    # the same rows anew
+    assert len(fits) == 1 and again.row == first.row and abs(again.row["r2"] - 1) < 1e-9
+    assert first.row["train_rows"] + first.row["n"] == 400 and first.row["medians"]["x"] == 199.5
+    store.fitted(store.prepare(df.where("id < 390"), ["x", "z"]), spec)                                    # other rows
+    store.fitted(store.prepare(df, ["x"]), spec)                                                           # other features
+    store.fitted(store.prepare(df, ["x", "z"]), M.ModelSpec("line", "linear", {"maxIter": 5}))             # other settings
+    assert len(fits) == 4 and store.metrics().count() == 4
+
+
+def test_store_folds_are_kept(spark, tmp_path, monkeypatch):
+    from parcelle.operators import ml as M
+    from parcelle.operators.model_store import ModelStore
+    df = spark.range(100).selectExpr("id", "cast(id + id % 5 as double) valeur_fonciere", "cast(id as double) x")
+    store = ModelStore(spark, str(tmp_path))
+    data = store.prepare(df, ["x"])
+    spec = M.ModelSpec("line", "linear", {})
+    want = sorted(map(tuple, store.folds(data, spec).collect()))
+    monkeypatch.setattr(M, "fit", None)                        # nothing is fitted again
+    assert sorted(map(tuple, store.folds(data, spec).collect())) == want
+    assert [tuple(r) for r in M.cross_validate.__globals__["contiguous_folds"](df, "id").groupBy("fold").count().orderBy("fold").collect()] == [(i, 20) for i in range(5)]
+
+
 def test_scale_conf_sizes_partitions():
     from parcelle.session import scale_conf
     c = scale_conf(100 * 1024 ** 4)

@@ -84,4 +84,4 @@ def test_bucketed_target_is_not_shuffled(spark, tmp_path):
 def test_model_queries_use_the_reference_settings():
     from parcelle.operators import ml
     from parcelle.plans import queries_ml
-    assert queries_ml.QUERY_MODELS == ml.REFERENCE_MODELS
+    assert all(queries_ml.model_named(s.name) is s for s in ml.REFERENCE_MODELS)

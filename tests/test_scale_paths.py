@@ -59,9 +59,9 @@ def test_view_and_model_sinks(spark):
     model = M.fit(df, ["x"], M.ModelSpec("lr", "linear", {}), label="y")
     metrics = M.regression_metrics(model.transform(df), label="y")
     assert metrics.first().r2 > 0.999
-    M.save_model(model, os.path.join(base, "model"), metrics)
+    model.write().save(os.path.join(base, "model"))
     from pyspark.ml import PipelineModel
-    again = PipelineModel.load(os.path.join(base, "model", "model"))
+    again = PipelineModel.load(os.path.join(base, "model"))
     assert again.transform(df).count() == 200
     # Scored rows appended with their features as JSON
     meds = M.scoring_medians(df, ["x"])
