@@ -132,7 +132,7 @@ def quality_bands(df: DataFrame, score_col: str = "data_quality_score") -> DataF
 def sales_rules(price="valeur_fonciere", area="surface_reelle_bati", land="surface_terrain",
                 rooms="nb_pieces", month="mois", quarter="trimestre", weekday="jour_semaine",
                 score="data_quality_score", date="date_mutation", type_col="type_local",
-                check_rooms: bool = False) -> list[tuple[str, Column]]:
+                check_rooms: bool = False, build_year: str | None = None) -> list[tuple[str, Column]]:
     """Constraint rules of the sales table as (reason, violation predicate).
 
     A violation predicate that is NULL counts as satisfied, as for SQL CHECK."""
@@ -159,6 +159,8 @@ def sales_rules(price="valeur_fonciere", area="surface_reelle_bati", land="surfa
             rules.append((f"{k}_out_of_range", checks[k](F.col(cname))))
     if check_rooms:
         rules.append(("rooms_out_of_range", (opt(rooms) < D.MIN_ROOMS) | (opt(rooms) > D.MAX_ROOMS)))
+    if build_year:
+        rules.append(("build_year_out_of_range", (opt(build_year) < D.MIN_YEAR) | (opt(build_year) > D.MAX_YEAR)))
     return rules
 
 

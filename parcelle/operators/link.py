@@ -127,12 +127,13 @@ def insert_new(target: DataFrame, incoming: DataFrame, key: str | list[str], ord
     return batch.join(target.select(*keys), keys, "left_anti")
 
 
-def upsert(target: DataFrame, incoming: DataFrame, key: str, columns: list[str]) -> DataFrame:
+def upsert(target: DataFrame, incoming: DataFrame, key: str, columns: list[str], now: Column | None = None) -> DataFrame:
     """Insert or overwrite by key.  Incoming values replace the stored
     ones, NULL included (no coalesce); ``row_source`` is 'updated', 'inserted'
     or 'kept', which also gives the insert/update counts (T15).  The target's
     other columns stay (NULL on inserted rows), and a kept row keeps its
-    ``updated_at``."""
+    ``updated_at``; others get ``now`` (default: the current time)."""
+    now = F.current_timestamp() if now is None else now
     stored = [c for c in target.columns if c != key]
     t = target.select(F.col(key), *[F.col(c).alias(f"_t_{c}") for c in stored]).withColumn("_t", F.lit(True))
     i = incoming.select(F.col(key), *[F.col(c).alias(f"_i_{c}") for c in columns]).withColumn("_i", F.lit(True))
@@ -148,7 +149,7 @@ def upsert(target: DataFrame, incoming: DataFrame, key: str, columns: list[str])
     before = F.col("_t_updated_at") if "updated_at" in stored else F.lit(None).cast("timestamp")
     others = [F.col(f"_t_{c}").alias(c) for c in stored if c not in columns and c not in ("updated_at", "row_source")]
     return j.select(F.col(key), *others, *[value(c) for c in columns], src.alias("row_source"),
-                    F.when(from_in, F.current_timestamp()).otherwise(before).alias("updated_at"))
+                    F.when(from_in, now).otherwise(before).alias("updated_at"))
 
 
 def insert_seed(target: DataFrame, seed: DataFrame, key: str) -> DataFrame:

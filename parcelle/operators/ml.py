@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelle.functions import derive as D
-from parcelle.operators.quantiles import column_quantiles, group_quantiles, order_statistics, with_one_row
+from parcelle.operators.quantiles import column_quantiles, group_quantiles, with_one_row
+from parcelle.operators.ranks import number_rows
 from parcelle.operators.reports import coverage
 
 # Feature lists of the price model.
@@ -127,24 +128,16 @@ def error_stats(pred: DataFrame, label: str = LABEL, prediction: str = "predicti
 
 def contiguous_folds(df: DataFrame, order_col: str, k: int = 5) -> DataFrame:
     """M11 folds like an unshuffled K-fold: contiguous blocks of the rows in
-    ``order_col`` order, the first ``n % k`` blocks one row larger.  Block
-    boundaries are exact order statistics (distributed selection), so no
-    global window or single partition is needed.  The selection's passes read
-    a persisted one-column projection, released once the cut values are known."""
-    from pyspark import StorageLevel
-    keys = df.select(order_col).where(F.col(order_col).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n = keys.count()
-        sizes = [n // k + (1 if i < n % k else 0) for i in range(k)]
-        starts, acc = [], 0
-        for s in sizes[:-1]:
-            acc += s
-            starts.append(acc)
-        cut = order_statistics(keys, order_col, starts) if starts else {}
-    finally:
-        keys.unpersist()
-    fold = sum((F.col(order_col) >= F.lit(cut[s])).cast("int") for s in starts) if starts else F.lit(0)
-    return df.withColumn("fold", fold)
+    ``order_col`` order, the first ``n % k`` blocks one row larger; rows without
+    ``order_col`` have no fold.  Ranks are exact row numbers (64-bit integers, no
+    global window), written once."""
+    numbered, n = number_rows(df, order_col, name="_rank")
+    empty = numbered.where(F.col(order_col).isNull()).count()      # nulls come first
+    size, more = divmod(n - empty, k)
+    rank = F.col("_rank") - F.lit(empty)
+    fold = F.when(rank < more * (size + 1), F.expr(f"(_rank - {empty}L) div {size + 1}L")).otherwise(
+        F.expr(f"{more}L + (_rank - {empty + more * (size + 1)}L) div {max(1, size)}L"))
+    return numbered.withColumn("fold", F.when(F.col(order_col).isNotNull(), fold).cast("int")).drop("_rank")
 
 
 def cross_validate(df: DataFrame, features: Sequence[str], spec: ModelSpec, order_col: str = "id",

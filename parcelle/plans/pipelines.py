@@ -11,12 +11,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from parcelle.functions import derive as D
 from parcelle.functions import parse as P
 from parcelle.operators import clean as C
-from parcelle.operators import extract as X
 from parcelle.operators import link as L
 from parcelle.operators import marts
 from parcelle.operators import reports as R
@@ -82,24 +80,6 @@ def feature_report(features: DataFrame, cols: list[str]) -> DataFrame:
     return R.coverage(features, cols)
 
 
-def refresh_communes(communes: DataFrame, payloads: DataFrame, json_col: str = "payload") -> DataFrame:
-    """Flatten API payloads (S11), upsert by code (S9), recompute density.
-
-    All columns of ``communes`` stay; inserted communes are numbered on from the
-    largest id in the order of their codes (a dimension: one row per commune)."""
-    incoming = X.flatten_communes(payloads, json_col)
-    cols = ["nom_commune", "code_postal", "departement", "region", "population", "superficie_km2",
-            "latitude", "longitude"]
-    up = L.upsert(communes, incoming, "code_commune", cols)
-    if "id" in communes.columns:
-        new = up.where("row_source = 'inserted'").select(
-            F.col("code_commune").alias("_code"), F.row_number().over(Window.orderBy("code_commune")).alias("_nth"))
-        top = F.coalesce(communes.agg(F.max("id")).scalar(), F.lit(0))
-        up = up.join(new, F.col("code_commune") == F.col("_code"), "left").withColumn(
-            "id", F.coalesce("id", top + F.col("_nth"))).drop("_code", "_nth")
-    return up.withColumn("densite_pop", D.density("population", "superficie_km2"))
-
-
 def listings_from_pages(pages: DataFrame, max_per_page: int = 100) -> DataFrame:
     """Cards of every search page (capped per page, W2) merged with the
     detail pages (H7), asking price per area (P14)."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,14 +47,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset
-    (local tests) fall back to a fresh scratch folder."""
+    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset and
+    all runs on this machine (tests) fall back to a fresh scratch folder."""
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         path = sc._jsc.sc().getCheckpointDir()
         path = path.get() if path.isDefined() else None
     if not path:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that all machines share")
         path = tempfile.mkdtemp(prefix="parcelle-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
@@ -67,6 +70,15 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def write_once(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared scratch folder and read it back: a cut
+    of the lineage that survives lost executors and fixes what ``df`` computes."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Settings sized from the input volume: about ``target_partition_bytes``
     per scan split and per shuffle partition before AQE coalescing, with the

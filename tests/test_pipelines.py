@@ -50,26 +50,12 @@ def test_load_sales_file(spark):
     assert limited.accepted.count() <= 2
 
 
-def test_refresh_communes_views_and_summary(spark):
-    import json
+def test_views_and_summary(spark):
     from pyspark.sql import functions as F
     from parcelle.sources import tables as T
     from parcelle.plans.queries_core import AS_OF
     from tests.conftest import SF_SMALL
     communes = T.communes(spark, SF_SMALL)
-    payload = json.dumps([{"nom": "Nouvelle", "code": "99999", "codesPostaux": [], "population": 10, "surface": 0,
-                           "centre": {"coordinates": [2.0, 48.0]}},
-                          {"nom": "Renommee", "code": "00001", "codesPostaux": ["01000"], "population": None,
-                           "surface": 250.0}])
-    out = PL.refresh_communes(communes, spark.createDataFrame([(payload,)], "payload string"))
-    rows = {r.code_commune: r for r in out.collect()}
-    assert rows["99999"].row_source == "inserted" and rows["99999"].code_postal is None
-    assert rows["99999"].superficie_km2 is None and rows["99999"].latitude == 48.0
-    assert rows["00001"].row_source == "updated" and rows["00001"].population is None
-    assert rows["00001"].superficie_km2 == 2.5 and rows["00001"].densite_pop is None
-    assert len(rows) == communes.count() + 1
-    ids = {r.code_commune: r.id for r in communes.collect()}
-    assert rows["99999"].id == max(ids.values()) + 1 and all(rows[c].id == i for c, i in ids.items())
     sales = T.sales(spark, SF_SMALL)
     from parcelle.functions import derive as D
     lst = T.listings(spark, SF_SMALL).withColumn("prix_m2", D.listing_price_m2("prix_affiche", "surface_habitable"))
