@@ -101,7 +101,7 @@ def top_by_median(df: DataFrame, key: Sequence[str], measure: str, min_count: in
     return j.orderBy(F.desc_nulls_last("median"), *key).limit(n)
 
 
-def limit_per_group(df: DataFrame, group_col: str, n: int, order_cols: Sequence[str | Column]) -> DataFrame:
+def limit_per_group(df: DataFrame, group_col: str | Sequence[str], n: int, order_cols: Sequence[str | Column]) -> DataFrame:
     """At most ``n`` rows per group in a stated order (``n`` is the
     feature's cap).  The ``row_number() <= n`` filter lets Spark insert a
     partial per-group limit before the shuffle, so a skewed group sends at

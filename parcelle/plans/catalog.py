@@ -35,5 +35,5 @@ def register(name: str, ops: str, sql: str | None = None):
 
 def load_all() -> dict[str, Query]:
     # Importing the query modules fills REGISTRY.
-    from parcelle.plans import queries_core, queries_clean, queries_geo, queries_reports, queries_misc, queries_ml, queries_pipelines, queries_tables  # noqa: F401
+    from parcelle.plans import queries_core, queries_clean, queries_geo, queries_reports, queries_misc, queries_ml, queries_pages, queries_pipelines, queries_tables  # noqa: F401
     return REGISTRY

@@ -80,11 +80,12 @@ def feature_report(features: DataFrame, cols: list[str]) -> DataFrame:
     return R.coverage(features, cols)
 
 
-def listings_from_pages(pages: DataFrame, max_per_page: int = 100) -> DataFrame:
-    """Cards of every search page (capped per page, W2) merged with the
-    detail pages (H7), asking price per area (P14)."""
-    cards = R.limit_per_group(PG.listing_cards(pages), "page_id", max_per_page, ["card_index"])
-    merged = PG.merge_cards_details(cards, PG.page_details(pages))
+def listings_from_pages(search_pages: DataFrame, detail_pages: DataFrame, max_per_search: int = 100) -> DataFrame:
+    """The first listings of every search (capped per search over all its
+    result pages, W2, and tagged with it) with their detail pages (H7) and asking
+    price per area (P14)."""
+    cards = PG.search_listings(PG.cards_of(PG.scan_pages(search_pages)), max_per_search)
+    merged = PG.merge_cards_details(cards, PG.page_details(detail_pages))
     return merged.withColumn("prix_m2", D.listing_price_m2("prix_affiche", "surface_habitable"))
 
 

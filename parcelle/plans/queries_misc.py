@@ -179,42 +179,6 @@ def q_sale_file_scan(spark, sf):
                        P.parse_number("valeur_fonciere").alias("valeur_fonciere"))
 
 
-# ------------------------------------------------------------ S12, H -------
-from parcelle.sources import pages as PG  # noqa: E402
-
-
-@register("page_cards", "S12 H1 H2 H3 H4 E11")
-def q_page_cards(spark, sf):
-    cards = PG.listing_cards(T.read(spark, sf, "pages"))
-    from parcelle.operators.reports import limit_per_group
-    return limit_per_group(cards, "page_id", 100, ["card_index"])
-
-
-@register("page_details", "H5 H6")
-def q_page_details(spark, sf):
-    return PG.page_details(T.read(spark, sf, "pages"))
-
-
-@register("page_extract", "H1 H2 H3 H4 H5 H6 H7 E11")
-def q_page_extract(spark, sf):
-    pages = T.read(spark, sf, "pages")
-    return PG.merge_cards_details(PG.listing_cards(pages), PG.page_details(pages))
-
-
-@register("page_amenities", "H6", with_adapter("""
-SELECT page_id,
-       contains(lower(regexp_replace(html, '<[^>]*>', '', 'g')), 'parking')
-         OR contains(lower(regexp_replace(html, '<[^>]*>', '', 'g')), 'garage') AS parking,
-       contains(lower(regexp_replace(html, '<[^>]*>', '', 'g')), 'balcon') AS balcon,
-       contains(lower(regexp_replace(html, '<[^>]*>', '', 'g')), 'terrasse') AS terrasse,
-       contains(lower(regexp_replace(html, '<[^>]*>', '', 'g')), 'cave') AS cave,
-       contains(lower(regexp_replace(html, '<[^>]*>', '', 'g')), 'ascenseur') AS ascenseur
-FROM pages
-"""))
-def q_page_amenities(spark, sf):
-    return PG.page_amenities(T.read(spark, sf, "pages"))
-
-
 # Original headers of a sale file for the columns the raw adapter renders.
 _FILE_HEADERS = {"date_mutation": "Date mutation", "valeur_fonciere": "Valeur fonciere",
                  "code_departement": "Code departement", "code_commune": "Code commune",

@@ -1,249 +1,284 @@
-"""Listing pages -> listing rows (S12, H1-H7) as a Spark job over a table of
-pages ``(page_id, url, html)``.
-
-Only the DOM walk runs in Python (``mapInPandas``, Arrow batches capped by
-``spark.sql.execution.arrow.maxBytesPerBatch``, one page at a time inside the
-task, stdlib ``html.parser``); it emits raw text fields.
-Numbers, property types, the energy class and the amenity flags are then
-derived JVM-side with built-in functions.
+"""Listing pages -> listing rows (S12, H1-H7, E11) over a table of pages
+``(page_id, url, html)``.
+
+A table of rules says which elements matter; one pass over a page's tag stream
+keeps a stack of open elements (names and numbers only, no tree, no recursion) and
+notes, for each element that a rule hits, its number, where its descendants end and
+its stretch of the page's text.  Cards and fields are then chosen by rank and order.
+Only this pass runs in Python (``mapInArrow``, shipped by value); links, numbers,
+types, labels, flags, caps and joins are DataFrame operations.
+
+Script, style and template text is not page text.  An end tag without its start is
+ignored; elements left open end with the one around them.
 """
 
 from __future__ import annotations
 
+import sys
+from bisect import bisect_left, bisect_right
+from collections import defaultdict
 from html.parser import HTMLParser
-from urllib.parse import urlsplit
+from typing import NamedTuple
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Card class fallbacks in order, keyword lists.
-CARD_CLASSES = [("search-list-item", False), ("item-listing", False), ("annonce", True), ("ad-card", True)]
-CARD_LINK_PART = "/annonces/"
+from parcelle.operators.reports import limit_per_group
+
+
+class Rule(NamedTuple):
+    field: str
+    rank: int                       # lower ranks win
+    tags: tuple = ()                # any tag if empty
+    attr: str = ""                  # an attribute that must be there ...
+    words: tuple = ()               # ... and hold one of these ...
+    fold: bool = True               # ... in lower case
+    whole: bool = False             # ... as its whole value
+
+    def hits(self, tag: str, attrs: dict) -> bool:
+        if self.tags and tag not in self.tags or self.attr and self.attr not in attrs:
+            return False
+        if not self.words:
+            return True
+        value = attrs[self.attr].lower() if self.fold else attrs[self.attr]
+        return value in self.words if self.whole else any(w in value for w in self.words)
+
+
+# Which elements hold what, in order of preference.
+RULES = [
+    Rule("card", 0, ("div",), "class", ("search-list-item",), fold=False),
+    Rule("card", 1, ("div",), "class", ("item-listing",), fold=False),
+    Rule("card", 2, ("div",), "class", ("annonce",)),
+    Rule("card", 3, ("div",), "class", ("ad-card",)),
+    Rule("listing_link", 0, ("a",), "href", ("/annonces/",), fold=False),      # its parent is a card of rank 4
+    Rule("link", 0, ("a",), "href"),
+    Rule("titre", 0, ("h2", "h3", "a"), "class", ("title",)),
+    Rule("titre", 1, ("h2", "h3")),
+    Rule("price_text", 0, (), "class", ("price",)),
+    Rule("price_text", 1, (), "class", ("prix",)),
+    Rule("fact", 0, (), "class", ("detail", "tag", "item")),
+    Rule("localisation", 0, (), "class", ("location", "city", "lieu")),
+    Rule("description", 0, (), "class", ("description",)),
+    Rule("description", 1, ("div",), "itemprop", ("description",), fold=False, whole=True),
+    Rule("dpe_text", 0, (), "class", ("dpe",)),
+    Rule("photo", 0, ("img",), "class", ("photo",)),
+    Rule("photo", 1, ("img",), "data-src"),
+]
+AREA_WORDS, ROOM_WORDS = ("m²", "m2"), ("pièce", "piece")
 TYPE_KEYWORDS = [("appartement", "Appartement"), ("maison", "Maison"), ("terrain", "Terrain"),
                  ("studio", "Appartement")]
 AMENITIES = {"parking": ["parking", "garage"], "balcon": ["balcon"], "terrasse": ["terrasse"], "cave": ["cave"],
              "ascenseur": ["ascenseur"]}
 DESCRIPTION_MAX = 2000
-VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+SILENT = frozenset(("script", "style", "template"))
 
-CARD_SCHEMA = ("page_id long, card_index int, url string, titre string, price_text string, "
-               "surface_text string, pieces_text string, localisation string")
-DETAIL_SCHEMA = "page_id long, url string, description string, dpe_text string, nb_photos int, page_text string"
+CARD = "card_index:int,href:string,titre:string,price_text:string,surface_text:string,pieces_text:string,localisation:string"
+SCHEMA = (f"page_id long, url string, cards array<struct<{CARD}>>, description string, dpe_text string, nb_photos int, page_text string")
 
 
-class _Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
+class Hit(NamedTuple):
+    number: int      # of the element, by its start tag
+    text: int        # pieces of text before it
+    value: str       # its link
 
-    def __init__(self, tag, attrs, parent):
-        self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
 
-    def cls(self) -> str:
-        return self.attrs.get("class") or ""
+class Scanner(HTMLParser):
+    """The pass over one page."""
 
-    def iter(self):
-        for ch in self.children:
-            if isinstance(ch, _Node):
-                yield ch
-                yield from ch.iter()
-
-    def find_all(self, pred):
-        return [n for n in self.iter() if pred(n)]
-
-    def find(self, pred):
-        for n in self.iter():
-            if pred(n):
-                return n
-        return None
-
-    def strings(self):
-        for ch in self.children:
-            if isinstance(ch, _Node):
-                yield from ch.strings()
-            else:
-                yield ch
-
-    def text(self, strip: bool = True) -> str:
-        if strip:
-            return "".join(s.strip() for s in self.strings())
-        return "".join(self.strings())
-
-
-class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = _Node("[document]", {}, None)
-        self.cur = self.root
+        self.stack: list[tuple[str, int]] = []
+        self.open: dict[str, int] = defaultdict(int)
+        self.starts = self.silent = 0
+        self.ends: dict[int, tuple[int, int]] = {}           # element -> (elements, pieces) when it ended
+        self.text: list[str] = []
+        self.found: dict[tuple[str, int], list[Hit]] = defaultdict(list)
 
     def handle_starttag(self, tag, attrs):
-        node = _Node(tag, {k: (v or "") for k, v in attrs}, self.cur)
-        self.cur.children.append(node)
-        if tag not in VOID:
-            self.cur = node
+        values = {k: v or "" for k, v in attrs}
+        for rule in RULES:
+            if rule.hits(tag, values):
+                self.found[rule.field, rule.rank].append(Hit(self.starts, len(self.text), values.get("href", "")))
+                if rule.field == "listing_link" and self.stack:
+                    self.found["card", 4].append(Hit(self.stack[-1][1], 0, ""))
+        if tag in VOID:
+            self.ends[self.starts] = (self.starts + 1, len(self.text))
+        else:
+            self.stack.append((tag, self.starts))
+            self.open[tag] += 1
+            self.silent += tag in SILENT
+        self.starts += 1
 
     def handle_startendtag(self, tag, attrs):
-        self.cur.children.append(_Node(tag, {k: (v or "") for k, v in attrs}, self.cur))
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        n = self.cur
-        while n is not None and n.tag != tag:
-            n = n.parent
-        if n is not None and n.parent is not None:
-            self.cur = n.parent
+        if not self.open[tag]:
+            return
+        name = None
+        while name != tag:
+            name, number = self.stack.pop()
+            self.open[name] -= 1
+            self.silent -= name in SILENT
+            self.ends[number] = (self.starts, len(self.text))
 
     def handle_data(self, data):
-        self.cur.children.append(data)
-
-
-def parse_html(html: str) -> _Node:
-    b = _Builder()
-    try:
-        b.feed(html or "")
-        b.close()
-    except Exception:  # malformed markup: keep what was built
-        pass
-    return b.root
-
-
-def _has_class(part: str, fold: bool = True):
-    def pred(n: _Node) -> bool:
-        c = n.cls()
-        return bool(c) and (part in (c.lower() if fold else c))
-    return pred
-
-
-def find_cards(root: _Node) -> list[_Node]:
-    """H1: div cards by the class fallback list, else parents of listing links."""
-    for part, fold in CARD_CLASSES:
-        cards = root.find_all(lambda n, p=_has_class(part, fold): n.tag == "div" and p(n))
-        if cards:
-            return cards
-    links = root.find_all(lambda n: n.tag == "a" and CARD_LINK_PART in n.attrs.get("href", ""))
-    return [a.parent for a in links if a.parent is not None]
-
-
-def _absolute(href: str, page_url: str) -> str:
-    parts = urlsplit(page_url or "")
-    base = f"{parts.scheme}://{parts.netloc}" if parts.scheme else ""
-    if href.startswith("/"):
-        return base + href
-    if href.startswith("http"):
-        return href
-    return f"{base}/{href}"
-
-
-def card_fields(card: _Node, page_url: str) -> dict:
-    """H2 raw text fields of one card."""
-    out = {"url": None, "titre": None, "price_text": None, "surface_text": None, "pieces_text": None,
-           "localisation": None}
-    link = card.find(lambda n: n.tag == "a" and "href" in n.attrs)
-    if link is not None:
-        out["url"] = _absolute(link.attrs.get("href", ""), page_url)
-    title = card.find(lambda n: n.tag in ("h2", "h3", "a") and "title" in n.cls().lower()) \
-        or card.find(lambda n: n.tag in ("h2", "h3"))
-    if title is not None:
-        out["titre"] = title.text()
-    price = card.find(_has_class("price")) or card.find(_has_class("prix"))
-    if price is not None:
-        out["price_text"] = price.text()
-    for tag in card.find_all(lambda n: any(k in n.cls().lower() for k in ("detail", "tag", "item"))):
-        t = tag.text().lower()
-        if "m²" in t or "m2" in t:
-            out["surface_text"] = t
-        elif "pièce" in t or "piece" in t:
-            out["pieces_text"] = t
-    loc = card.find(lambda n: any(k in n.cls().lower() for k in ("location", "city", "lieu")))
-    if loc is not None:
-        out["localisation"] = loc.text()
-    return out
-
-
-def page_detail(root: _Node) -> dict:
-    """H5 raw fields: description, energy-label text, photo count, page text."""
-    desc = root.find(_has_class("description")) or \
-        root.find(lambda n: n.tag == "div" and n.attrs.get("itemprop") == "description")
-    dpe = root.find(_has_class("dpe"))
-    photos = root.find_all(lambda n: n.tag == "img" and "photo" in n.cls().lower()) or \
-        root.find_all(lambda n: n.tag == "img" and "data-src" in n.attrs)
-    return {"description": desc.text()[:DESCRIPTION_MAX] if desc is not None else None,
-            "dpe_text": dpe.text().upper() if dpe is not None else None,
-            "nb_photos": len(photos), "page_text": root.text(strip=False).lower()}
-
-
-def _cards_batches(batches):
-    import pandas as pd
-    for pdf in batches:
-        rows = []
-        for pid, url, html in zip(pdf["page_id"], pdf["url"], pdf["html"]):
-            root = parse_html(html)
-            for i, card in enumerate(find_cards(root)):
-                rows.append({"page_id": int(pid), "card_index": i, **card_fields(card, url)})
-        yield pd.DataFrame(rows, columns=[c.split()[0] for c in CARD_SCHEMA.split(", ")])
-
-
-def _detail_batches(batches):
-    import pandas as pd
-    for pdf in batches:
-        rows = [{"page_id": int(pid), "url": url, **page_detail(parse_html(html))}
-                for pid, url, html in zip(pdf["page_id"], pdf["url"], pdf["html"])]
-        yield pd.DataFrame(rows, columns=[c.split()[0] for c in DETAIL_SCHEMA.split(", ")])
+        if not self.silent:
+            self.text.append(data)
+
+    def finish(self, html: str) -> Scanner:
+        try:
+            self.feed(html)
+            self.close()
+        except AssertionError:        # a declaration the parser rejects ends the page there
+            pass
+        for _, number in self.stack:
+            self.ends[number] = (self.starts, len(self.text))
+        return self
+
+    def said(self, hit: Hit) -> str:
+        return "".join(t.strip() for t in self.text[hit.text:self.ends[hit.number][1]])
+
+    def inside(self, field: str, rank: int, lo: int, hi: int) -> list[Hit]:
+        hits = self.found.get((field, rank), [])
+        return hits[bisect_right(hits, lo, key=lambda h: h.number):bisect_left(hits, hi, key=lambda h: h.number)]
+
+    def first(self, field: str, lo: int = -1, hi: int = sys.maxsize) -> Hit | None:
+        """The first element of the lowest rank among the descendants (lo, hi)."""
+        return next((h[0] for rank in range(2) if (h := self.inside(field, rank, lo, hi))), None)
+
+    def first_text(self, field: str, lo: int = -1, hi: int = sys.maxsize) -> str | None:
+        hit = self.first(field, lo, hi)
+        return None if hit is None else self.said(hit)
+
+    def cards(self) -> list[dict]:
+        rank = next((r for r in range(5) if self.found.get(("card", r))), None)
+        out = []
+        for i, card in enumerate(self.found["card", rank] if rank is not None else ()):
+            span = (card.number, self.ends[card.number][0])
+            facts: dict[str, str] = {}
+            for hit in reversed(self.inside("fact", 0, *span)):          # the last one that says it counts
+                text = self.said(hit).lower()
+                kind = "surface_text" if any(w in text for w in AREA_WORDS) else "pieces_text" if any(w in text for w in ROOM_WORDS) else None
+                number = text.split("m")[0] if kind == "surface_text" else text
+                if kind and kind not in facts and any(c in "0123456789" for c in number):
+                    facts[kind] = text
+                if len(facts) == 2:
+                    break
+            link = self.first("link", *span)
+            out.append({"card_index": i, "href": link.value if link else None, "surface_text": facts.get("surface_text"),
+                        "pieces_text": facts.get("pieces_text"), **{f: self.first_text(f, *span) for f in ("titre", "price_text", "localisation")}})
+        return out
+
+    def row(self) -> dict:
+        description, dpe = self.first_text("description"), self.first_text("dpe_text")
+        return {"cards": self.cards(), "description": description and description[:DESCRIPTION_MAX] if description is not None else None,
+                "dpe_text": dpe, "nb_photos": len(self.found.get(("photo", 0)) or self.found.get(("photo", 1)) or ()), "page_text": "".join(self.text)}
+
+
+def _scan(batches):
+    import pyarrow as pa
+    fields = [tuple(f.split(":")) for f in CARD.split(",")]
+    card = pa.struct([(n, pa.int32() if t == "int" else pa.string()) for n, t in fields])
+    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("cards", pa.list_(card)), ("description", pa.string()),
+                        ("dpe_text", pa.string()), ("nb_photos", pa.int32()), ("page_text", pa.string())])
+    for b in batches:
+        for i in range(b.num_rows):                                       # one page at a time
+            html = b.column(2)[i].as_py() or ""
+            row = {"page_id": b.column(0)[i].as_py(), "url": b.column(1)[i].as_py(), **Scanner().finish(html).row()}
+            yield pa.RecordBatch.from_pylist([row], schema)
+
+
+def scan_pages(pages: DataFrame) -> DataFrame:
+    """One row a page with the raw text of its cards and details."""
+    return pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(_scan, SCHEMA)
 
 
 def _digits(c: Column) -> Column:
-    return F.regexp_replace(c, r"[^0-9]", "")
+    return F.nullif(F.regexp_replace(c, r"[^0-9]", ""), F.lit(""))
 
 
 def property_type(title: Column) -> Column:
     """H3: first keyword found in the lower-cased title, in the stated order."""
-    t = F.lower(title)
-    expr = None
+    t, expr = F.lower(title), F
     for kw, label in TYPE_KEYWORDS:
-        expr = F.when(t.contains(kw), F.lit(label)) if expr is None else expr.when(t.contains(kw), F.lit(label))
+        expr = expr.when(t.contains(kw), F.lit(label))
     return expr
 
 
-def listing_cards(pages: DataFrame) -> DataFrame:
-    """H1-H4: one row per listing card that has a price or a title."""
-    raw = pages.select("page_id", "url", "html").mapInPandas(_cards_batches, CARD_SCHEMA)
-    price = F.nullif(_digits(F.col("price_text")), F.lit("")).try_cast("long")
-    surface = F.nullif(F.regexp_replace(F.substring_index(F.col("surface_text"), "m", 1), r"[^0-9.]", ""),
-                       F.lit("")).try_cast("double")
-    pieces = F.nullif(_digits(F.col("pieces_text")), F.lit("")).try_cast("int")
-    out = raw.select("page_id", "card_index", "url", "titre", price.alias("prix_affiche"),
-                     surface.alias("surface_habitable"), pieces.alias("nb_pieces"), "localisation",
-                     property_type(F.coalesce(F.col("titre"), F.lit(""))).alias("type_bien"))
+def canonical_url(url: Column) -> Column:
+    """Without fragment and closing slash; the host in lower case."""
+    plain = F.regexp_replace(F.regexp_replace(url, "#.*$", ""), "/+$", "")
+    host = F.regexp_extract(plain, "^[A-Za-z]+://[^/?]*", 0)
+    return F.concat(F.lower(host), F.substring(plain, F.length(host) + 1, F.length(plain)))
+
+
+def cards_of(scanned: DataFrame) -> DataFrame:
+    """H1-H4: one row per card that has a price or a title."""
+    c = scanned.select("page_id", F.col("url").alias("page_url"), F.inline("cards"))
+    base = F.regexp_extract(F.coalesce("page_url", F.lit("")), "^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", 0)
+    href = F.col("href")
+    url = F.when(href.startswith("/"), F.concat(base, href)).when(href.startswith("http"), href).otherwise(F.concat(base, F.lit("/"), href))
+    surface = F.nullif(F.regexp_replace(F.substring_index(F.col("surface_text"), "m", 1), r"[^0-9.]", ""), F.lit("")).try_cast("double")
+    out = c.select("page_id", "page_url", "card_index", url.alias("url"), "titre", _digits(F.col("price_text")).try_cast("long").alias("prix_affiche"),
+                   surface.alias("surface_habitable"), _digits(F.col("pieces_text")).try_cast("int").alias("nb_pieces"), "localisation",
+                   property_type(F.coalesce(F.col("titre"), F.lit(""))).alias("type_bien"))
     return out.where(F.col("prix_affiche").isNotNull() | F.col("titre").isNotNull())
 
 
-def page_details(pages: DataFrame) -> DataFrame:
-    """H5/H6: description (cut), energy class (first standalone A-G letter of
-    the label), photo count, amenity flags from the page text."""
-    raw = pages.select("page_id", "url", "html").mapInPandas(_detail_batches, DETAIL_SCHEMA)
-    dpe = F.nullif(F.regexp_extract(F.col("dpe_text"), r"\b([A-G])\b", 1), F.lit(""))
-    text = F.col("page_text")
-    flags = {}
+def details_of(scanned: DataFrame) -> DataFrame:
+    """H5/H6: description (cut), energy class (first standalone A-G letter of the
+    label), photo count, amenity flags from the page's text."""
+    text = F.lower("page_text")
+    flags = []
     for name, words in AMENITIES.items():
-        cond = None
+        cond = F.lit(False)
         for w in words:
-            cond = text.contains(w) if cond is None else (cond | text.contains(w))
-        flags[name] = cond
-    return raw.select("page_id", "url", "description", dpe.alias("dpe_classe"), "nb_photos",
-                      *[v.alias(k) for k, v in flags.items()])
+            cond = cond | text.contains(w)
+        flags.append(cond.alias(name))
+    dpe = F.nullif(F.regexp_extract(F.upper("dpe_text"), r"\b([A-G])\b", 1), F.lit(""))
+    return scanned.select("page_id", "url", "description", dpe.alias("dpe_classe"), "nb_photos", *flags)
+
+
+def listing_cards(pages: DataFrame) -> DataFrame:
+    return cards_of(scan_pages(pages)).drop("page_url")
+
+
+def page_details(pages: DataFrame) -> DataFrame:
+    return details_of(scan_pages(pages))
 
 
 def merge_cards_details(cards: DataFrame, details: DataFrame) -> DataFrame:
-    """H7: card fields plus the detail fields of the page at the card's URL."""
-    d = details.drop("page_id").withColumnRenamed("url", "_durl")
-    return cards.join(d, cards.url == d._durl, "left").drop("_durl")
+    """H7: card fields plus the details of the page at the card's URL; a URL that
+    several pages claim gives its details once, from the page with the least id."""
+    d = limit_per_group(details.withColumn("_durl", canonical_url(F.col("url"))).where("_durl IS NOT NULL"), "_durl", 1, ["page_id"])
+    d = d.drop("page_id", "url")
+    return cards.join(d, canonical_url(cards.url) == d._durl, "left").drop("_durl")
 
 
-def page_amenities(pages: DataFrame) -> DataFrame:
-    """H6 without a parser: markup stripped by a regular expression, keywords
-    searched in the lower-cased text (JVM-side)."""
-    text = F.lower(F.regexp_replace(F.col("html"), r"<[^>]*>", ""))
-    cols = []
-    for name, words in AMENITIES.items():
-        cond = None
-        for w in words:
-            cond = text.contains(w) if cond is None else (cond | text.contains(w))
-        cols.append(cond.alias(name))
-    return pages.select("page_id", *cols)
+# Parts of a search page's address.
+SEARCH = r"/annonce/vente-([a-z]+)-([^/?#]+)(?:\?(?:.*&)?page=([0-9]+))?"
+
+
+def search_listings(cards: DataFrame, max_per_search: int) -> DataFrame:
+    """The first ``max_per_search`` listings of every search over all its
+    result pages, each URL once (its first place), tagged with the search.
+
+    Cards come with ``page_url``; cards of pages that are no search are left out.
+    Both limits are ranks cut before the shuffle, so no search is held whole."""
+    part = [F.regexp_extract("page_url", SEARCH, i) for i in (1, 2, 3)]
+    tagged = cards.withColumns({"property_type_search": part[0], "city_search": part[1],
+                                "page": F.coalesce(F.nullif(part[2], F.lit("")).try_cast("long"), F.lit(1)), "_url": canonical_url(F.col("url"))})
+    tagged = tagged.where("city_search <> ''")
+    search, place = ["property_type_search", "city_search"], ["page", "page_id", "card_index"]
+    key = F.coalesce("_url", F.concat_ws("/", F.lit("no url"), "page_id", "card_index"))      # a card without a link is one of its own
+    once = limit_per_group(tagged.withColumn("_key", key), [*search, "_key"], 1, place)
+    return limit_per_group(once, search, max_per_search, place).drop("_url", "_key")
+
+
+# Functions of this module travel with the task: executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -34,3 +34,49 @@ def test_cards_and_details(spark):
     assert det.parking and det.terrasse and not det.balcon
     merged = PG.merge_cards_details(PG.listing_cards(pages), PG.page_details(pages)).where("card_index = 0").first()
     assert merged.dpe_classe == "C"
+
+
+def scan(html):
+    return PG.Scanner().finish(html).row()
+
+
+def test_deep_and_broken_markup():
+    deep = "<p>" * 3000 + '<div class="ad-card"><h2>Maison</h2></div>' + "</p>" * 3000
+    assert [c["titre"] for c in scan(deep)["cards"]] == ["Maison"]
+    row = scan("</b><div class='ad-card'><h2 class=title>Un<br> &amp; <i>deux</h2> <b class=prix>5</div><h2>dehors</h2><![x[ bad")
+    assert row["cards"][0]["titre"] == "Un&deux" and row["cards"][0]["price_text"] == "5"
+    assert scan("")["cards"] == [] and scan("")["description"] is None and scan("<!-- <div class=price>1 -->")["page_text"] == ""
+
+
+def test_script_text_is_no_page_text():
+    row = scan("<script>var parking='<b class=dpe>A</b>'</script><style>.cave{}</style><template>balcon</template><p>rien</p>")
+    assert row["page_text"] == "rien" and row["dpe_text"] is None
+
+
+def test_preference_of_rules():
+    # the first selector that matches anything decides; descendants only; nested cards each give a row
+    html = ("<div class='annonce price'><div class='ANNONCE'><a href='/x' class='Title'>T</a><span class='prix'>7</span></div>"
+            "<h2>H</h2><em class=price>8</em><li class=item>12.5 M2</li><li class=item>m2</li><li class=tag>3 Pièces</li></div><div class='ad-card'>no</div>")
+    cards = scan(html)["cards"]
+    assert [(c["titre"], c["price_text"], c["surface_text"], c["pieces_text"], c["href"]) for c in cards] == [
+        ("T", "8", "12.5 m2", "3 pièces", "/x"), ("T", "7", None, None, "/x")]
+    # no container at all: parents of listing links, one row a link
+    html = "<section><h3>S</h3><a href='/annonces/1'>1</a><a href='/annonces/2'>2</a></section>"
+    assert [(c["titre"], c["href"]) for c in scan(html)["cards"]] == [("S", "/annonces/1")] * 2
+    row = scan("<div itemprop=description> a <b> b</b></div><img data-src=x><img data-src=y/><p class=DPE>Classe <b>d</b></p>")
+    assert row["description"] == "ab" and row["nb_photos"] == 2 and row["dpe_text"] == "Classed"
+
+
+def test_details_join_once_and_searches_are_capped(spark):
+    page = lambda *ids: "".join(f"<div class='ad-card'><h2>Maison {i}</h2><a href='/annonces/{i}{x}'>v</a></div>" for i, x in ids)
+    search = "https://X.example/annonce/vente-maison-lyon-69?page={}"
+    pages = spark.createDataFrame([(1, search.format(2), page((4, ""), (1, "/"))), (2, search.format(1), page((1, "#a"), (2, ""), (3, ""))),
+                                   (3, "https://x.example/annonce/vente-maison-lille-59", page((1, ""))), (4, "https://x.example/autre", page((9, "")))],
+                                  "page_id long, url string, html string")
+    cards = PG.search_listings(PG.cards_of(PG.scan_pages(pages)), 3)
+    assert sorted((r.city_search, r.property_type_search, r.page, r.titre) for r in cards.collect()) == [
+        ("lille-59", "maison", 1, "Maison 1"), ("lyon-69", "maison", 1, "Maison 1"), ("lyon-69", "maison", 1, "Maison 2"), ("lyon-69", "maison", 1, "Maison 3")]
+    details = spark.createDataFrame([(8, "https://x.example/annonces/1/", "<p class=dpe>A</p>"), (7, "https://x.EXAMPLE/annonces/1", "<p class=dpe>B</p>"), (9, None, "")],
+                                    "page_id long, url string, html string")
+    merged = PG.merge_cards_details(cards, PG.page_details(details)).collect()
+    assert len(merged) == 4 and [r.dpe_classe for r in merged if r.titre == "Maison 1"] == ["B", "B"]
