@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelle.functions.derive import trailing_months_start
-from parcelle.operators.quantiles import group_quantiles, groups_fit, join_groups, quantile_columns
+from parcelle.operators.quantiles import group_quantiles, join_groups
 from parcelle.plans.sizing import broadcast_if_small
 
 PRICE_STATS_KEYS = ["code_commune", "nom_commune", "departement", "region", "type_local"]
@@ -44,10 +44,7 @@ def price_stats(sales: DataFrame, communes: DataFrame, as_of: str, months: int =
         F.max("date_mutation").alias("derniere_vente"),
     ]
     probs = {"prix_m2_median": 0.5}
-    if groups_fit(j, PRICE_STATS_KEYS):
-        # Every group is small enough for the percentile aggregate: one pass.
-        return j.groupBy(*PRICE_STATS_KEYS).agg(*aggs, *quantile_columns(ratio_col, probs))
-    med = group_quantiles(j, PRICE_STATS_KEYS, ratio_col, probs, fits=False)
+    med = group_quantiles(j, PRICE_STATS_KEYS, ratio_col, probs)
     # Both sides are one row per group: a small join on the group keys.
     return join_groups(j.groupBy(*PRICE_STATS_KEYS).agg(*aggs), med, PRICE_STATS_KEYS)
 

@@ -1,51 +1,35 @@
-"""Exact quantiles that stay exact and bounded at any group size.
-
-Definition (as SQL ``PERCENTILE_CONT`` and Spark's ``percentile``): for ``n``
-values of a group and a fraction ``p``, ``pos = p * (n - 1)``; the result is
-the value of rank ``floor(pos)`` interpolated towards the value of rank
-``ceil(pos)``.
-
-Two physical strategies, chosen per call from one cheap aggregate
-(count/min/max per group):
-
-* every group holds at most ``map_limit`` values: Spark's ``percentile``
-  aggregate, which combines value -> count maps map-side; one pass.
-* some group is larger (a hot key may hold a third of all rows): distributed
-  selection.  Each pass buckets the values of every still-open rank window
-  into ``buckets`` equal-width buckets with a partial aggregate
-  (count/min/max per group, rank and bucket), keeps the one bucket that holds
-  the target rank, and narrows the window to that bucket's [min, max].
-  Windows shrink about ``buckets``-fold per pass (and at most ~6 passes
-  exhaust double precision); once a window holds at most ``band`` values they
-  are ranked with a window function over that bounded band.  No task ever
-  holds more than ``band`` values of one group, and nothing but the small
-  per-(group, rank) state reaches the driver.  The state is checkpointed to
-  the shared checkpoint folder after each pass, so lineage stays short and
-  survives executor loss.
+"""Exact quantiles, bounded at any group size, as one lazy plan.
+
+Definition (as SQL ``PERCENTILE_CONT``): for ``n`` values of a group and a fraction
+``p``, ``pos = p * (n - 1)``; the result is the value of rank ``floor(pos)``
+interpolated towards the value of rank ``ceil(pos)``.
+
+The values are reduced to (group, value, count) before and by one shuffle, which a
+hot group leaves spread over all tasks.  Ranks are then found in three steps, each a
+count and a prefix sum over ordered cells, and each only inside the cells that hold
+a wanted rank:
+
+1. cells of ``log2 |value|``, 2048 to a power of two (at most 2^23 cells a group),
+2. 2^21 cells of equal width inside a wanted cell,
+3. the different values inside such a cell: doubles of a cell of step 1 differ in
+   at most 41 bits, so these are at most 2^20.
+
+So no task holds more than these cells of one group, however many rows it has; one
+path serves every size, nothing runs while the plan is built and nothing reaches
+the driver.  Several measures go through the same steps together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelle.plans.sizing import broadcast_if_small
-
-MAP_LIMIT = 2_000_000
-BUCKETS = 4096
-BAND = 50_000
-MAX_PASSES = 12
-
-
-def exact_percentile(col: str | Column, p: float | Sequence[float]) -> Column:
-    """Spark's exact interpolated ``percentile`` aggregate (use for groups of
-    bounded size; ``group_quantiles`` picks it when that holds)."""
-    c = F.col(col) if isinstance(col, str) else col
-    if isinstance(p, (list, tuple)):
-        return F.percentile(c, F.array(*[F.lit(float(x)) for x in p]))
-    return F.percentile(c, F.lit(float(p)))
+#: Cells to a power of two in step 1, cells of a cell in step 2.
+LOG_CELLS = 2048
+CELLS = 1 << 21
 
 
 def finite_or_null(col: str | Column) -> Column:
@@ -54,140 +38,88 @@ def finite_or_null(col: str | Column) -> Column:
     return F.when(~F.isnan(v), v)
 
 
-def median(col: str | Column) -> Column:
-    return exact_percentile(col, 0.5)
+def _log_cell(v: Column) -> Column:
+    """A number that never falls as ``v`` grows."""
+    size = F.greatest(F.lit(-1100.0), F.least(F.lit(1100.0), F.log2(F.abs(v))))
+    cell = F.floor(size * LOG_CELLS) + F.lit(1101 * LOG_CELLS)
+    return F.when(v > 0, cell).when(v < 0, -cell).otherwise(F.lit(0)).cast("long")
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
-    from parcelle.session import cut_lineage
-    return cut_lineage(df)
+def _ranks(p: float) -> tuple[Column, Column, Column]:
+    pos = F.lit(float(p)) * (F.col("_n") - 1)
+    return pos, F.floor(pos), F.ceil(pos)
 
 
-def groups_fit(df: DataFrame, keys: Sequence[str], map_limit: int | None = None) -> bool:
-    """True when no group of ``keys`` has more than ``map_limit`` rows, i.e.
-    the percentile aggregate may hold any group's values.  One aggregate whose
-    result is a single number; reuse the answer for every quantile over the
-    same frame and keys."""
-    keys = list(keys)
-    map_limit = MAP_LIMIT if map_limit is None else map_limit
-    if keys:
-        largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    else:
-        largest = df.count()
-    return largest is None or largest <= map_limit
-
-
-def quantile_columns(value_col: str, probs: dict[str, float]) -> list[Column]:
-    """Aggregate expressions for the bounded-group path, to put in the same
-    ``agg`` as the other measures (one pass)."""
-    arr = exact_percentile(finite_or_null(value_col), [float(p) for p in probs.values()])
-    return [F.get(arr, i).alias(n) for i, n in enumerate(probs)]
-
-
-def group_quantiles(df: DataFrame, keys: Sequence[str], value_col: str, probs: dict[str, float],
-                    map_limit: int | None = None, buckets: int | None = None, band: int | None = None,
-                    fits: bool | None = None) -> DataFrame:
-    """Exact quantiles of ``value_col`` per group of ``keys`` (one row for the
-    whole frame when ``keys`` is empty), one output column per ``probs``
-    entry.  NULL and NaN values are ignored; groups without values are absent.
-    ``fits`` may pass a known answer of ``groups_fit`` to skip the check."""
+def _holds(rank: Column) -> Column:
+    return (rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_c"))
+
+
+def quantiles(df: DataFrame, keys: Sequence[str], wanted: dict[str, dict[str, float]]) -> DataFrame:
+    """Exact quantiles per group of ``keys`` (NULL is a group; one row for the whole
+    frame where ``keys`` is empty): ``wanted`` maps a column to {output name:
+    fraction}.  NULL and NaN values are ignored; a group without any is absent, a
+    group without values of one column has NULL there."""
     keys = list(keys)
-    gkeys = keys or ["_g"]
-    names = list(probs)
-    data = df.select(*[F.col(k) for k in keys], F.col(value_col).cast("double").alias("_v")) \
-             .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    if not keys:
-        data = data.withColumn("_g", F.lit(0))
-    stats = data.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"),
-                                     F.max("_v").alias("_hi"))
-    map_limit = MAP_LIMIT if map_limit is None else map_limit
-    buckets = BUCKETS if buckets is None else buckets
-    band = BAND if band is None else band
-    if fits is None:
-        largest = stats.agg(F.max("_n")).first()[0]
-        fits = largest is None or largest <= map_limit
-    if fits:
-        g = data.groupBy(*gkeys).agg(exact_percentile("_v", [float(probs[n]) for n in names]).alias("_q"))
-        out = g.select(*gkeys, *[F.get(F.col("_q"), i).alias(n) for i, n in enumerate(names)])
-        return out.drop("_g") if not keys else out
-    qs = F.array(*[F.struct(F.lit(n).alias("q"), F.lit(float(p)).alias("p")) for n, p in probs.items()])
-    t = stats.select(*gkeys, "_n", "_lo", "_hi", F.explode(qs).alias("_qp"))
-    t = t.select(*gkeys, "_n", "_lo", "_hi", F.col("_qp.q").alias("_q"),
-                 (F.col("_qp.p") * (F.col("_n") - 1)).alias("_pos"))
-    from pyspark import StorageLevel
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)  # several passes over the narrow projection
-    vals = _select_ranks(data, t, gkeys, buckets, band)
-    out = vals.groupBy(*gkeys).pivot("_q", names).agg(F.first("_value"))
-    return out.drop("_g") if not keys else out
-
-
-def _select_ranks(data: DataFrame, t: DataFrame, gkeys: list[str], buckets: int, band: int) -> DataFrame:
-    """Distributed selection.  ``t`` has (gkeys, _n, _lo, _hi, _q, _pos): group
-    size and value range, and the fractional rank ``_pos`` wanted for each
-    output ``_q``.  Returns (gkeys, _q, _value)."""
-    t = t.withColumns({"_klo": F.floor("_pos"), "_khi": F.ceil("_pos")})
-    # One state row per (group, quantile, side) rank to find.
-    side = F.explode(F.array(F.struct(F.lit(0).alias("w"), F.col("_klo").alias("k")),
-                             F.struct(F.lit(1).alias("w"), F.col("_khi").alias("k"))))
-    state = t.select(*gkeys, "_q", "_lo", "_hi", "_n", side.alias("_s")).select(
-        *gkeys, "_q", F.col("_s.w").alias("_w"), F.col("_s.k").alias("_k"), "_lo", "_hi",
-        F.lit(0).cast("long").alias("_below"), F.col("_n").alias("_cnt"),
-        F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).alias("_val"))
-    state = _checkpoint(state)
-    sk = [*gkeys, "_q", "_w"]
-    for _ in range(MAX_PASSES):
-        open_ = state.where(F.col("_val").isNull() & (F.col("_cnt") > band))
-        if open_.isEmpty():
-            break
-        width = (F.col("_hi") - F.col("_lo")) / buckets
-        j = data.join(broadcast_if_small(open_.select(*sk, "_lo", "_hi")), gkeys, "inner") \
-                .where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-        b = F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(buckets - 1)).cast("int")
-        h = j.groupBy(*sk, b.alias("_b")).agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"),
-                                              F.max("_v").alias("_bmax"))
-        w = Window.partitionBy(*sk).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        h = h.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
-        pick = (h.join(open_.select(*sk, "_k", "_below"), sk, "inner")
-                 .where((F.col("_k") - F.col("_below") >= F.col("_before"))
-                        & (F.col("_k") - F.col("_below") < F.col("_before") + F.col("_c"))))
-        moved = pick.select(*sk, "_k", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"),
-                            (F.col("_below") + F.col("_before")).alias("_below"), F.col("_c").alias("_cnt"),
-                            F.when(F.col("_bmin") == F.col("_bmax"), F.col("_bmin")).alias("_val"))
-        rest = state.join(open_.select(*sk), sk, "left_anti")
-        state = _checkpoint(rest.unionByName(moved))
-    # Rank the remaining bounded bands exactly.
-    open_ = state.where(F.col("_val").isNull())
-    j = data.join(broadcast_if_small(open_.select(*sk, "_k", "_lo", "_hi", "_below")), gkeys, "inner") \
-            .where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-    rn = F.row_number().over(Window.partitionBy(*sk).orderBy("_v")) - 1
-    picked = (j.withColumn("_r", rn).where(F.col("_r") == F.col("_k") - F.col("_below"))
-               .select(*sk, F.col("_v").alias("_val")))
-    done = state.where(F.col("_val").isNotNull()).select(*sk, "_val").unionByName(picked)
-    pos = t.select(*gkeys, "_q", "_pos", "_klo", "_khi")
-    lo = done.where(F.col("_w") == 0).select(*gkeys, "_q", F.col("_val").alias("_vlo"))
-    hi = done.where(F.col("_w") == 1).select(*gkeys, "_q", F.col("_val").alias("_vhi"))
-    m = pos.join(lo, [*gkeys, "_q"]).join(hi, [*gkeys, "_q"])
-    interp = (F.col("_khi") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_klo")) * F.col("_vhi")
-    value = F.when((F.col("_klo") == F.col("_khi")) | (F.col("_vlo") == F.col("_vhi")), F.col("_vlo")).otherwise(interp)
-    return m.select(*gkeys, "_q", value.alias("_value"))
-
-
-def order_statistics(df: DataFrame, value_col: str, ranks: Sequence[int], buckets: int | None = None,
-                     band: int | None = None) -> dict[int, float]:
-    """Exact values at 0-based ``ranks`` of the non-null values (ascending),
-    by the same distributed selection; only the answers reach the driver."""
-    buckets = BUCKETS if buckets is None else buckets
-    band = BAND if band is None else band
-    data = df.select(F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v")) \
-             .withColumn("_g", F.lit(0))
-    stats = data.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    want = F.array(*[F.struct(F.lit(f"r{k}").alias("q"), F.lit(float(k)).alias("pos")) for k in ranks])
-    t = stats.select("_g", "_n", "_lo", "_hi", F.explode(want).alias("_w")) \
-             .select("_g", "_n", "_lo", "_hi", F.col("_w.q").alias("_q"), F.col("_w.pos").alias("_pos")) \
-             .where(F.col("_pos") < F.col("_n"))
-    vals = _select_ranks(data, t, ["_g"], buckets, band).collect()
-    by_name = {row["_q"]: row["_value"] for row in vals}
-    return {k: by_name.get(f"r{k}") for k in ranks}
+    names = [f"_k{i}" for i in range(len(keys))]
+    group = [*names, "_m"]
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("_m"), finite_or_null(c).alias("_v")) for i, c in enumerate(wanted)]))
+    data = df.select(*[F.col(k).alias(x) for k, x in zip(keys, names)], each.alias("_e")).select(*names, "_e.*").where(F.col("_v").isNotNull())
+    data = data.withColumn("_v", F.when(F.col("_v") == 0, F.lit(0.0)).otherwise(F.col("_v")))
+    values = data.groupBy(*group, _log_cell(F.col("_v")).alias("_p1"), "_v").agg(F.count(F.lit(1)).alias("_c"))
+
+    def hit() -> Column:
+        """Does a cell hold a wanted rank of its measure?"""
+        each = [(F.col("_m") == i) & reduce(lambda a, b: a | b, [_holds(r) for p in set(probs.values()) for r in _ranks(p)[1:]])
+                for i, probs in enumerate(wanted.values())]
+        return reduce(lambda a, b: a | b, each)
+
+    def inside(cells: DataFrame, extra: list[str]) -> DataFrame:
+        """The values in wanted cells, with what is known of the cell."""
+        on = [*group, *extra]
+        c = cells.select(*[F.col(x).alias(f"{x}_") for x in on], "_n", "_start", *([] if "_p2" in extra else ["_lo", "_hi"]))
+        match = reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(f"{x}_")) for x in on])
+        return (values if "_p2" not in extra else second).join(c, match).drop(*[f"{x}_" for x in on])
+
+    # step 1: cells by magnitude
+    order = Window.partitionBy(*group).orderBy("_p1")
+    cells = values.groupBy(*group, "_p1").agg(F.sum("_c").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    cells = cells.withColumns({"_before": F.sum("_c").over(order) - F.col("_c"), "_n": F.sum("_c").over(Window.partitionBy(*group))})
+    first = cells.where(hit()).withColumn("_start", F.col("_before"))
+    # step 2: cells of equal width
+    width = F.col("_hi") - F.col("_lo")
+    spot = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width * CELLS), F.lit(CELLS - 1))).otherwise(F.lit(0)).cast("long")
+    second = inside(first, ["_p1"]).withColumn("_p2", spot).withColumnsRenamed({"_n": "_all", "_start": "_from"})
+    order = Window.partitionBy(*group, "_p1").orderBy("_p2")
+    cells = second.groupBy(*group, "_p1", "_p2").agg(F.sum("_c").alias("_c"), F.max("_all").alias("_n"), F.max("_from").alias("_from"))
+    cells = cells.withColumn("_before", F.col("_from") + F.sum("_c").over(order) - F.col("_c"))
+    third = cells.where(hit()).withColumn("_start", F.col("_before"))
+    # step 3: the values themselves
+    last = inside(third, ["_p1", "_p2"])
+    order = Window.partitionBy(*group, "_p1", "_p2").orderBy("_v")
+    last = last.withColumn("_before", F.col("_start") + F.sum("_c").over(order) - F.col("_c")).where(hit())
+    found, out = [], []
+    for i, (c, probs) in enumerate(wanted.items()):
+        for j, (name, p) in enumerate(probs.items()):
+            pos, lo, hi = _ranks(p)
+            mine = F.col("_m") == i
+            x, y, z = f"_lo{i}_{j}", f"_hi{i}_{j}", f"_pos{i}_{j}"
+            found += [F.max(F.when(mine & _holds(lo), F.col("_v"))).alias(x), F.max(F.when(mine & _holds(hi), F.col("_v"))).alias(y),
+                      F.max(F.when(mine, pos)).alias(z)]
+            whole = F.floor(z)
+            between = (F.ceil(z) - F.col(z)) * F.col(x) + (F.col(z) - whole) * F.col(y)
+            out.append(F.when((F.col(x) == F.col(y)) | (whole == F.col(z)), F.col(x)).otherwise(between).alias(name))
+    grouped = (last.groupBy(*names) if names else last).agg(*found)
+    return grouped.select(*[F.col(x).alias(k) for k, x in zip(keys, names)], *out)
+
+
+def group_quantiles(df: DataFrame, keys: Sequence[str], value_col: str, probs: dict[str, float]) -> DataFrame:
+    """``quantiles`` of one column."""
+    return quantiles(df, keys, {value_col: probs})
+
+
+def column_quantiles(df: DataFrame, cols: Sequence[str], p: float = 0.5) -> DataFrame:
+    """One-row frame with the exact ``p`` quantile of each column."""
+    return quantiles(df, [], {c: {c: p} for c in cols})
 
 
 def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -206,18 +138,3 @@ def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     cond = [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys]
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
-
-
-def column_quantiles(df: DataFrame, cols: Sequence[str], p: float = 0.5, map_limit: int | None = None) -> DataFrame:
-    """One-row frame with the exact ``p`` quantile of each column.  When the
-    frame is small enough for the percentile aggregate, all columns are done
-    in a single pass; otherwise each column goes through the selection path."""
-    map_limit = MAP_LIMIT if map_limit is None else map_limit
-    n = df.count()
-    if n <= map_limit:
-        return df.agg(*[exact_percentile(finite_or_null(c), p).alias(c) for c in cols])
-    out = None
-    for c in cols:
-        q = group_quantiles(df, [], c, {c: p}, map_limit=map_limit)
-        out = q if out is None else with_one_row(out, q)
-    return out

@@ -15,8 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelle.functions import derive as D
-from parcelle.operators.quantiles import (finite_or_null, group_quantiles, groups_fit, join_groups,
-                                          quantile_columns, with_one_row)
+from parcelle.operators.quantiles import group_quantiles, join_groups, quantiles, with_one_row
 
 
 def count_by(df: DataFrame, col: str, out: str = "nb") -> DataFrame:
@@ -71,12 +70,7 @@ def group_stats(df: DataFrame, keys: Sequence[str], measures: Sequence[str], med
     g = df.groupBy(*keys) if keys else df
     if not medians:
         return g.agg(*aggs)
-    if groups_fit(df, keys):
-        return g.agg(*aggs, *[c for m in measures for c in quantile_columns(m, {f"{m}_median": 0.5})])
-    out = g.agg(*aggs)
-    for m in measures:
-        out = join_groups(out, group_quantiles(df, keys, m, {f"{m}_median": 0.5}, fits=False), keys)
-    return out
+    return join_groups(g.agg(*aggs), quantiles(df, keys, {m: {f"{m}_median": 0.5} for m in measures}), keys)
 
 
 def ordered_groups(df: DataFrame, col: str, order: Sequence[str], measure: str) -> DataFrame:
@@ -94,10 +88,10 @@ def top_by_median(df: DataFrame, key: Sequence[str], measure: str, min_count: in
     highest median of ``measure`` first (groups without a value last);
     ``extra`` adds medians of other columns (name -> column)."""
     counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("nb"))
-    j = join_groups(counts.where(F.col("nb") >= min_count), group_quantiles(df, key, measure, {"median": 0.5}),
-                    key, "left")
+    wanted: dict[str, dict[str, float]] = {measure: {"median": 0.5}}
     for name, col in (extra or {}).items():
-        j = join_groups(j, group_quantiles(df, key, col, {name: 0.5}), key, "left")
+        wanted.setdefault(col, {})[name] = 0.5
+    j = join_groups(counts.where(F.col("nb") >= min_count), quantiles(df, key, wanted), key, "left")
     return j.orderBy(F.desc_nulls_last("median"), *key).limit(n)
 
 
@@ -120,17 +114,8 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                 F.min(c).cast("double").alias(f"{c}__min"), F.max(c).cast("double").alias(f"{c}__max")]
 
     names = ["count", "mean", "std", "min", "max", *probs]
-    if groups_fit(df, []):
-        # One pass for every column, then one row per column.
-        one = df.agg(*[x for c in cols for x in stats(c)],
-                     *[F.get(F.percentile(finite_or_null(c), [float(p) for p in probs.values()]), i)
-                       .alias(f"{c}__{n}") for c in cols for i, n in enumerate(probs)])
-    else:
-        one = None
-        for c in cols:
-            part = with_one_row(df.agg(*stats(c)),
-                                group_quantiles(df, [], c, {f"{c}__{n}": p for n, p in probs.items()}, fits=False))
-            one = part if one is None else with_one_row(one, part)
+    one = with_one_row(df.agg(*[x for c in cols for x in stats(c)]),
+                       quantiles(df, [], {c: {f"{c}__{n}": p for n, p in probs.items()} for c in cols}))
     rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), *[F.col(f"{c}__{n}").alias(n) for n in names])
                                for c in cols]))
     return one.select(rows.alias("_r")).select("_r.*")
