@@ -5,31 +5,24 @@ Definition (as SQL ``PERCENTILE_CONT``): for ``n`` values of a group and a fract
 interpolated towards the value of rank ``ceil(pos)``.
 
 The values are reduced to (group, value, count) before and by one shuffle, which a
-hot group leaves spread over all tasks.  Ranks are then found in three steps, each a
-count and a prefix sum over ordered cells, and each only inside the cells that hold
-a wanted rank:
-
-1. cells of ``log2 |value|``, 2048 to a power of two (at most 2^23 cells a group),
-2. 2^21 cells of equal width inside a wanted cell,
-3. the different values inside such a cell: doubles of a cell of step 1 differ in
-   at most 41 bits, so these are at most 2^20.
-
-So no task holds more than these cells of one group, however many rows it has; one
-path serves every size, nothing runs while the plan is built and nothing reaches
-the driver.  Several measures go through the same steps together.
+hot group leaves spread over all tasks.  Ranks are then found by two prefix sums:
+over ordered cells of ``log2 |value|`` (``CELLS`` to a power of two, so a group has
+some 100,000 of them however many rows it has), and over the different values inside
+those cells alone that hold a wanted rank (a cell is 0.002 % wide; money in cents has
+few values there, and values without end are sorted with spill).  One path serves
+every size, nothing runs while the plan is built and nothing reaches the driver.
+Several measures go through the same steps together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Cells to a power of two in step 1, cells of a cell in step 2.
-LOG_CELLS = 2048
-CELLS = 1 << 21
+#: Cells to a power of two.
+CELLS = 1 << 15
 
 
 def finite_or_null(col: str | Column) -> Column:
@@ -38,22 +31,6 @@ def finite_or_null(col: str | Column) -> Column:
     return F.when(~F.isnan(v), v)
 
 
-def _log_cell(v: Column) -> Column:
-    """A number that never falls as ``v`` grows."""
-    size = F.greatest(F.lit(-1100.0), F.least(F.lit(1100.0), F.log2(F.abs(v))))
-    cell = F.floor(size * LOG_CELLS) + F.lit(1101 * LOG_CELLS)
-    return F.when(v > 0, cell).when(v < 0, -cell).otherwise(F.lit(0)).cast("long")
-
-
-def _ranks(p: float) -> tuple[Column, Column, Column]:
-    pos = F.lit(float(p)) * (F.col("_n") - 1)
-    return pos, F.floor(pos), F.ceil(pos)
-
-
-def _holds(rank: Column) -> Column:
-    return (rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_c"))
-
-
 def quantiles(df: DataFrame, keys: Sequence[str], wanted: dict[str, dict[str, float]]) -> DataFrame:
     """Exact quantiles per group of ``keys`` (NULL is a group; one row for the whole
     frame where ``keys`` is empty): ``wanted`` maps a column to {output name:
@@ -62,52 +39,30 @@ def quantiles(df: DataFrame, keys: Sequence[str], wanted: dict[str, dict[str, fl
     keys = list(keys)
     names = [f"_k{i}" for i in range(len(keys))]
     group = [*names, "_m"]
+    listed = ", ".join(group)
     each = F.explode(F.array(*[F.struct(F.lit(i).alias("_m"), finite_or_null(c).alias("_v")) for i, c in enumerate(wanted)]))
-    data = df.select(*[F.col(k).alias(x) for k, x in zip(keys, names)], each.alias("_e")).select(*names, "_e.*").where(F.col("_v").isNotNull())
-    data = data.withColumn("_v", F.when(F.col("_v") == 0, F.lit(0.0)).otherwise(F.col("_v")))
-    values = data.groupBy(*group, _log_cell(F.col("_v")).alias("_p1"), "_v").agg(F.count(F.lit(1)).alias("_c"))
-
-    def hit() -> Column:
-        """Does a cell hold a wanted rank of its measure?"""
-        each = [(F.col("_m") == i) & reduce(lambda a, b: a | b, [_holds(r) for p in set(probs.values()) for r in _ranks(p)[1:]])
-                for i, probs in enumerate(wanted.values())]
-        return reduce(lambda a, b: a | b, each)
-
-    def inside(cells: DataFrame, extra: list[str]) -> DataFrame:
-        """The values in wanted cells, with what is known of the cell."""
-        on = [*group, *extra]
-        c = cells.select(*[F.col(x).alias(f"{x}_") for x in on], "_n", "_start", *([] if "_p2" in extra else ["_lo", "_hi"]))
-        match = reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(f"{x}_")) for x in on])
-        return (values if "_p2" not in extra else second).join(c, match).drop(*[f"{x}_" for x in on])
-
-    # step 1: cells by magnitude
-    order = Window.partitionBy(*group).orderBy("_p1")
-    cells = values.groupBy(*group, "_p1").agg(F.sum("_c").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    cells = cells.withColumns({"_before": F.sum("_c").over(order) - F.col("_c"), "_n": F.sum("_c").over(Window.partitionBy(*group))})
-    first = cells.where(hit()).withColumn("_start", F.col("_before"))
-    # step 2: cells of equal width
-    width = F.col("_hi") - F.col("_lo")
-    spot = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width * CELLS), F.lit(CELLS - 1))).otherwise(F.lit(0)).cast("long")
-    second = inside(first, ["_p1"]).withColumn("_p2", spot).withColumnsRenamed({"_n": "_all", "_start": "_from"})
-    order = Window.partitionBy(*group, "_p1").orderBy("_p2")
-    cells = second.groupBy(*group, "_p1", "_p2").agg(F.sum("_c").alias("_c"), F.max("_all").alias("_n"), F.max("_from").alias("_from"))
-    cells = cells.withColumn("_before", F.col("_from") + F.sum("_c").over(order) - F.col("_c"))
-    third = cells.where(hit()).withColumn("_start", F.col("_before"))
-    # step 3: the values themselves
-    last = inside(third, ["_p1", "_p2"])
-    order = Window.partitionBy(*group, "_p1", "_p2").orderBy("_v")
-    last = last.withColumn("_before", F.col("_start") + F.sum("_c").over(order) - F.col("_c")).where(hit())
+    data = df.select(*[F.col(k).alias(x) for k, x in zip(keys, names)], each.alias("_e"))
+    # 0.0 is also -0.0; the cell number never falls as the value grows
+    cell = (f"CAST(signum(_e._v) * (floor(greatest(-1100D, least(1100D, log2(abs(_e._v)))) * {CELLS}) + {1101 * CELLS}L) AS BIGINT)")
+    values = data.where("_e._v IS NOT NULL").groupBy(
+        *names, F.expr("_e._m").alias("_m"), F.expr(f"CASE WHEN _e._v = 0 THEN 0L ELSE {cell} END").alias("_p"),
+        F.expr("CASE WHEN _e._v = 0 THEN 0D ELSE _e._v END").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    probs = sorted({p for by_name in wanted.values() for p in by_name.values()})
+    # does a stretch of _c ranks from _b on hold a wanted one?
+    hit = " OR ".join(f"(floor({p}D * (_n - 1)) BETWEEN _b AND _b + _c - 1) OR (ceil({p}D * (_n - 1)) BETWEEN _b AND _b + _c - 1)" for p in probs)
+    cells = values.groupBy(*group, "_p").agg(F.sum("_c").alias("_c")).selectExpr(
+        *group, "_p", "_c", f"sum(_c) OVER (PARTITION BY {listed} ORDER BY _p) - _c AS _b", f"sum(_c) OVER (PARTITION BY {listed}) AS _n").where(hit)
+    cells = cells.selectExpr(*[f"{x} AS {x}_" for x in (*group, "_p")], "_n", "_b AS _from")
+    inside = values.join(cells, F.expr(" AND ".join(f"{x} <=> {x}_" for x in (*group, "_p"))))
+    last = inside.selectExpr(*group, "_v", "_c", "_n", f"_from + sum(_c) OVER (PARTITION BY {listed}, _p ORDER BY _v) - _c AS _b").where(hit)
     found, out = [], []
-    for i, (c, probs) in enumerate(wanted.items()):
-        for j, (name, p) in enumerate(probs.items()):
-            pos, lo, hi = _ranks(p)
-            mine = F.col("_m") == i
-            x, y, z = f"_lo{i}_{j}", f"_hi{i}_{j}", f"_pos{i}_{j}"
-            found += [F.max(F.when(mine & _holds(lo), F.col("_v"))).alias(x), F.max(F.when(mine & _holds(hi), F.col("_v"))).alias(y),
-                      F.max(F.when(mine, pos)).alias(z)]
-            whole = F.floor(z)
-            between = (F.ceil(z) - F.col(z)) * F.col(x) + (F.col(z) - whole) * F.col(y)
-            out.append(F.when((F.col(x) == F.col(y)) | (whole == F.col(z)), F.col(x)).otherwise(between).alias(name))
+    for i, (c, by_name) in enumerate(wanted.items()):
+        for j, (name, p) in enumerate(by_name.items()):
+            pos, x = f"({p}D * (_n - 1))", f"{i}_{j}"
+            found += [F.expr(f"max(CASE WHEN _m = {i} AND {f}{pos} BETWEEN _b AND _b + _c - 1 THEN _v END) AS _{f}{x}") for f in ("floor", "ceil")]
+            found.append(F.expr(f"max(CASE WHEN _m = {i} THEN {pos} END) AS _pos{x}"))
+            lo, hi, at = f"_floor{x}", f"_ceil{x}", f"_pos{x}"
+            out.append(F.expr(f"CASE WHEN {lo} = {hi} OR floor({at}) = {at} THEN {lo} ELSE (ceil({at}) - {at}) * {lo} + ({at} - floor({at})) * {hi} END").alias(name))
     grouped = (last.groupBy(*names) if names else last).agg(*found)
     return grouped.select(*[F.col(x).alias(k) for k, x in zip(keys, names)], *out)
 
