@@ -22,13 +22,16 @@ connected components of the links.
 4. Links are verified on whole sets; components are computed in Spark.
 
 The result is exact: cells and positions steer the order, never what links
-(64-bit shingle hashes and 128-bit set fingerprints stand for their values).
+(64-bit shingle hashes and 128-bit set fingerprints stand for their values; a class
+goes by the first half of its fingerprint, and where two classes share that half, by
+a number made of both).
 A list is as long as the number of different sets that hold a rare shingle;
 copies enter it at most once per input partition.
 
 Defined results: null or blank text is the empty set, linked with nothing;
 with fewer than 5 words the whole sequence is the one shingle; repeated rows
-link with each other; an empty table gives an empty result; further columns
+link with each other; rows that share an id but not their text are documents of
+their own in ``keep_one``; an empty table gives an empty result; further columns
 pass through in ``keep_one``.
 """
 
@@ -159,7 +162,17 @@ def _levels(counted: DataFrame) -> bytes:
     return bytes(out)
 
 
-def _index(docs: DataFrame, levels, buckets: int, words: int, t: int) -> DataFrame:
+def _labels(fa: np.ndarray, fb: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Labels of sets by their fingerprints; ``shared`` are the first halves that
+    several classes have (sorted)."""
+    if not len(shared):
+        return fa
+    at = np.searchsorted(shared, fa)
+    at[at == len(shared)] = 0
+    return np.where(shared[at] == fa, mix64(fa + fb * np.uint64(0x9E3779B97F4A7C15)), fa)
+
+
+def _index(docs: DataFrame, levels, buckets: int, words: int, t: int, shared: np.ndarray) -> DataFrame:
     """(bucket, token, label, n, pos): index entries, packed by task and bucket."""
 
     def run(batches):
@@ -185,7 +198,7 @@ def _index(docs: DataFrame, levels, buckets: int, words: int, t: int) -> DataFra
             texts = _texts(batch)
             for lo, hi in in_chunks(texts):
                 tokens, at = shingle_sets(texts[lo:hi], words)
-                labels, _ = _fingerprints(tokens, at)
+                labels = _labels(*_fingerprints(tokens, at), shared)
                 order = (rank[_cells(tokens)].astype(np.uint64) << np.uint64(56)) | (mix64(tokens) >> np.uint64(8))
                 for i in range(hi - lo):
                     a, b = at[i], at[i + 1]
@@ -365,7 +378,7 @@ def _bloom(ids: DataFrame):
     return ids.rdd.mapPartitions(bits).treeReduce(lambda a, b: a | b).tobytes() if ids.take(1) else b""
 
 
-def _contents(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
+def _contents(docs: DataFrame, classes: DataFrame, words: int, shared: np.ndarray) -> DataFrame:
     """(label, rep, n, tokens) of the given classes' first documents."""
     spark = docs.sparkSession
     held = _bloom(classes.select("rep"))
@@ -388,6 +401,7 @@ def _contents(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
             for lo, hi in in_chunks(texts):
                 tokens, at = shingle_sets(texts[lo:hi], words)
                 fa, fb = _fingerprints(tokens, at)
+                fa = _labels(fa, fb, shared)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[lo:hi]), pa.array(fa.view(np.int64)), pa.array(fb.view(np.int64)),
                      pa.array([tokens[at[i]:at[i + 1]].tobytes() for i in range(hi - lo)], pa.binary())],
@@ -434,10 +448,25 @@ def _components_of(docs: DataFrame, words: int, threshold: int, text: str) -> Da
     levels = spark.sparkContext.broadcast(_levels(table.where("chunk IS NOT NULL").select("chunk", "counts")))
     total = sets.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-total * (100 - threshold) // 100 // BUCKET_ROWS))
-    index = _index(rows, levels, buckets, words, threshold)
+    classes = sets.where("n > 0").groupBy("fa", "fb").agg(F.min("doc_id").alias("rep"))
+    # of 64-bit halves, equal ones are n * n / 2^65: a handful at 10^10 classes
+    twice = classes.groupBy("fa").agg(F.count("*").alias("c")).where("c > 1").select("fa").collect()
+    shared = np.sort(np.array([r[0] for r in twice], np.int64).view(np.uint64))
+    index = _index(rows, levels, buckets, words, threshold, shared)
     walked = spill(index.groupBy("bucket").applyInArrow(_walk_bucket(threshold), "a long, b long, list_id binary, members binary"), "lists")
     pairs = spill(walked.where("b IS NOT NULL").select("a", "b").distinct(), "pairs")
-    classes = sets.where("n > 0").groupBy("fa", "fb").agg(F.min("doc_id").alias("rep")).withColumnRenamed("fa", "label").where("rep IS NOT NULL")
+    label = F.col("fa")
+    if len(shared):
+        def relabel(batches):
+            for b in batches:
+                fa, fb = (b.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(_labels(fa, fb, shared).view(np.int64))], names=["fa", "fb", "label"])
+
+        several = sets.where(F.col("fa").isin([r[0] for r in twice])).select("fa", "fb").distinct()
+        named = several.mapInArrow(relabel, "fa long, fb long, label long")
+        classes = classes.join(named, ["fa", "fb"], "left")
+        label = F.coalesce("label", "fa")
+    classes = classes.where("rep IS NOT NULL").select(label.alias("label"), "fb", "rep", "fa")
     lists = walked.where("b IS NULL").select("list_id", "members").dropDuplicates(["list_id"])
 
     def unpack(batches):
@@ -449,8 +478,8 @@ def _components_of(docs: DataFrame, words: int, threshold: int, text: str) -> Da
 
     members = spill(lists.mapInArrow(unpack, "list_id binary, label long"), "members")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("label")).union(members.select("label")).distinct()
-    own = spill(classes.join(wanted, "label", "left_semi"), "classes")
-    contents = spill(_contents(rows, own, words), "contents")
+    own = spill(classes.drop("fa").join(wanted, "label", "left_semi"), "classes")
+    contents = spill(_contents(rows, own, words, shared), "contents")
     compared = spill(_compare(pairs, contents), "compared")
     link = F.expr(f"100 * both >= {threshold} * (na + nb - both)")
     ends = [F.col("ra").alias("u"), F.col("rb").alias("v")]
@@ -486,20 +515,23 @@ def _components_of(docs: DataFrame, words: int, threshold: int, text: str) -> Da
         asked = new if asked is None else asked.union(new)
         asked = spill(asked.join(going, "list_id", "left_semi").distinct(), "asked")
     degree = links.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    reps = sets.where("n > 0").join(classes.withColumnRenamed("label", "fa"), ["fa", "fb"], "left")
+    reps = sets.where("n > 0").join(classes.drop("label"), ["fa", "fb"], "left")
     reps = reps.join(final, reps["rep"] == final["node"], "left").drop("node").join(degree, reps["rep"] == degree["node"], "left")
     out = reps.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     alone = sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     return out.unionAll(alone)
 
 
-def keep_one(docs: DataFrame, **how) -> DataFrame:
-    """One document of each component stays (the one with the smallest id), columns
-    as they were; of rows with the same id one stays; rows without an id stay."""
-    found = spill(similar_components(docs, **how).where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("__k_n")), "kept")
-    found = found.withColumnRenamed("doc_id", "__k_id")
+def keep_one(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD, text: str = "text") -> DataFrame:
+    """One row of each component stays, columns as they were: the one with the
+    smallest id (rows without one last), ties by the content of all columns.  Every
+    row is a document of its own, whatever its id."""
+    rows = spill(docs.withColumn("__k_row", F.monotonically_increasing_id()), "keep")
+    found = similar_components(rows.select(F.col("__k_row").alias("doc_id"), F.col(f"`{text}`").alias("text")), words, threshold)
+    found = found.select(F.col("doc_id").alias("__k_id"), "component_id")
+    each = rows.select("__k_row", F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id").alias("id"),
+                                           F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("hash"), F.col("__k_row").alias("row")).alias("place"))
     # neither side has a proven bound: dealt out at every size, never broadcast
-    got = docs.join(found.hint("merge"), docs["doc_id"] == found["__k_id"])
-    once = got.where("__k_n = 1").drop("__k_id", "__k_n")
-    more = got.where("__k_n > 1").drop("__k_id", "__k_n").dropDuplicates(["doc_id"])
-    return once.unionAll(more).unionAll(docs.where("doc_id IS NULL"))
+    first = each.hint("merge").join(found.hint("merge"), F.col("__k_row") == F.col("__k_id")).groupBy("component_id").agg(F.min("place").alias("place"))
+    first = spill(first.select(F.col("place.row").alias("__k_row")), "kept")
+    return rows.join(first.hint("merge"), "__k_row", "left_semi").drop("__k_row")

@@ -11,9 +11,10 @@ block and a candidate block per task); a block returns at most k rows a query,
 and a final ranking joins the blocks.  No pair of rows is ever emitted.
 
 Defined results: vectors that are null, or hold null or non-finite components,
-and rows without an id take no part; of rows that share an id the smallest
-vector counts; vectors of different length do not meet; ties go to the smaller
-id; fewer than k candidates give all; scores beyond a long saturate.
+and rows without an id take no part; rows that share an id are rows of their own,
+as queries and as candidates (a row only never meets itself); vectors of different
+length do not meet; ties go to the smaller id; fewer than k candidates give all;
+scores beyond a long saturate; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,13 +36,14 @@ _LONG = (1 << 63) - 1
 
 
 def integer_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(vec_id, v array<long>, dim) of the rows that take part."""
+    """(row, vec_id, v array<long>, dim) of the rows that take part; ``row`` names a
+    row once the result is written."""
     x = F.transform(F.col(f"`{vector}`"), lambda c: c.cast("double"))
     good = rows.select(F.col(f"`{key}`").alias("vec_id"), x.alias("x")).where(
         F.col("vec_id").isNotNull() & F.col("x").isNotNull()).where(
         F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))))
     v = F.transform("x", lambda c: F.floor(c * F.lit(256.0)).cast("long"))
-    return good.select("vec_id", v.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
+    return good.select(F.monotonically_increasing_id().alias("row"), "vec_id", v.alias("v")).withColumn("dim", F.size("v"))
 
 
 def _matrix(col: pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -49,9 +51,9 @@ def _matrix(col: pa.ChunkedArray, dim: int) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
-def block_topk(qid, q, cid, c, lo, hi, k: int):
-    """Rows (query id, candidate id, score): the k best of one candidate block for
-    each query, ties to the smaller id, by bounds first and exact reads after."""
+def block_topk(qrow, q, crow, cid, c, lo, hi, k: int):
+    """(query row, candidate id, score): the k best of one candidate block for each
+    query, ties to the smaller id, by bounds first and exact reads after."""
     width = np.maximum(1, -(-(hi - lo + 1) // CELLS))
     cell = (c - lo) // width                      # the approximation: 4 bits a component
     low, high = lo + cell * width, np.minimum(lo + cell * width + width - 1, hi)
@@ -60,11 +62,11 @@ def block_topk(qid, q, cid, c, lo, hi, k: int):
     kind = np.float64 if most * mostq * max(1, c.shape[1]) < 2.0 ** 52 else object
     low, high, exact = low.astype(kind), high.astype(kind), c.astype(kind)
     out_q, out_c, out_s = [], [], []
-    for a in range(0, len(qid), _TILE):
-        ids, t = qid[a:a + _TILE], q[a:a + _TILE].astype(kind)
+    for a in range(0, len(qrow), _TILE):
+        ids, t = qrow[a:a + _TILE], q[a:a + _TILE].astype(kind)
         pos, neg = np.where(t > 0, t, 0), np.where(t < 0, t, 0)
         upper, lower = pos @ high.T + neg @ low.T, pos @ low.T + neg @ high.T
-        own = ids[:, None] == cid[None, :]
+        own = ids[:, None] == crow[None, :]
         for i in range(len(ids)):
             others = np.flatnonzero(~own[i])
             if not len(others):
@@ -100,21 +102,23 @@ def exact_topk(rows: DataFrame, k: int = 5, key: str = "vec_id", vector: str = "
     for dim in {r[0] for r in got}:
         own = sorted((r[1], r[2], r[3]) for r in got if r[0] == dim)
         marks[dim] = (np.array([r[1] for r in own], np.int64), np.array([r[2] for r in own], np.int64))
-    cand = v.withColumn("cb", F.pmod(F.xxhash64("vec_id"), F.lit(nc))).withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nqb - 1).cast("long"))))
-    query = v.where(is_query).withColumn("qb", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(nqb))).withColumn(
+    cand = v.withColumn("cb", F.pmod(F.xxhash64("row"), F.lit(nc))).withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nqb - 1).cast("long"))))
+    query = v.where(is_query).withColumn("qb", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(nqb))).withColumn(
         "cb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nc - 1).cast("long"))))
-    schema = "query_id long, vec_id long, score long"
+    schema = "row long, vec_id long, score long"
 
     def meet(c: pa.Table, q: pa.Table) -> pa.Table:
         got = ([], [], [])
         if c.num_rows and q.num_rows:
             dim = c.column("dim")[0].as_py()
             lo, hi = marks.get(dim, (np.zeros(dim, np.int64),) * 2)
-            got = block_topk(q.column("vec_id").to_numpy(), _matrix(q.column("v"), dim),
+            got = block_topk(q.column("row").to_numpy(), _matrix(q.column("v"), dim), c.column("row").to_numpy(),
                              c.column("vec_id").to_numpy(), _matrix(c.column("v"), dim), lo, hi, k)
-        return pa.table({n: pa.array(x, pa.int64()) for n, x in zip(("query_id", "vec_id", "score"), got)})
+        return pa.table({n: pa.array(x, pa.int64()) for n, x in zip(("row", "vec_id", "score"), got)})
 
     keys = ("dim", "cb", "qb")
     best = cand.groupBy(*keys).cogroup(query.groupBy(*keys)).applyInArrow(meet, schema)
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    rank = F.row_number().over(W.partitionBy("row").orderBy(F.desc("score"), "vec_id"))
+    best = best.withColumn("rank", rank).where(F.col("rank") <= k)
+    ids = v.where(is_query).select("row", F.col("vec_id").alias("query_id"))
+    return best.join(ids, "row").select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
