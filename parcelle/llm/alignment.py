@@ -116,7 +116,7 @@ def encode_blocks(docs: DataFrame, a: str = VOCABULARY_A, b: str = VOCABULARY_B,
     all B ids (compressed), and how many links hold each linked id pair."""
 
     def run(batches):
-        bytes_a, bytes_b, encode, sp = entry_bytes_a(a), entry_bytes_b(b), make_encoder(a, special=False), load_b(b)
+        bytes_a, bytes_b, encode, sp = entry_bytes_a(a), entry_bytes_b(b), make_encoder(a), load_b(b)
         size = Lengths(bytes_a, bytes_b)
         block = TaskContext.get().partitionId() << 33
         for whole in batches:

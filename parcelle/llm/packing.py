@@ -38,32 +38,41 @@ LONG_RUN = 2000
 BROADCAST_PLAN_ROWS = 500_000
 
 
-def make_encoder(vocabulary: str = VOCABULARY, special: bool = True):
+def special_tokens(vocabulary: str = VOCABULARY) -> list[str]:
+    """Strings of a vocabulary's special tokens."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    return [t.content for t in Tokenizer.from_file(public_tokenizers.path(vocabulary + ".json")).get_added_tokens_decoder().values()]
+
+
+def make_encoder(vocabulary: str = VOCABULARY, special: list[str] | None = None):
     """text -> ids, as ``tokenizers`` gives them without adding special tokens.
     Two libraries read the same public vocabulary and give the same ids (tests
-    compare them); the faster one takes ordinary text.  A text that holds the string
-    of a special token goes to ``tokenizers``, which gives that token's id where
-    ``special``; else such strings are ordinary text."""
+    compare them); the faster one takes ordinary text.  A text that holds one of the
+    ``special`` strings goes to ``tokenizers``, which gives that token's id; without
+    ``special``, such strings are ordinary text."""
     import base64
     import re
 
     import public_tokenizers
     import tiktoken
-    from tokenizers import Tokenizer
 
     with open(public_tokenizers.path(vocabulary + ".tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    whole = Tokenizer.from_file(public_tokenizers.path(vocabulary + ".json"))
-    whole.encode_special_tokens = not special
-    added = [t.content for t in whole.get_added_tokens_decoder().values()] if special else []
-    slow = re.compile("|".join([r"\S{%d}|\s{%d}" % (LONG_RUN, LONG_RUN), *map(re.escape, added)]))
-    short = re.compile("|".join(map(re.escape, added)) or "(?!)")
+    long_run = re.compile(r"\S{%d}|\s{%d}" % (LONG_RUN, LONG_RUN))
+    slow = []
 
     def encode(text: str) -> list[int]:
-        if not (short if len(text) < LONG_RUN else slow).search(text):
+        if not any(s in text for s in special or ()) and (len(text) < LONG_RUN or not long_run.search(text)):
             return fast.encode_ordinary(text)
-        return whole.encode(text, add_special_tokens=False).ids
+        if not slow:
+            from tokenizers import Tokenizer
+            t = Tokenizer.from_file(public_tokenizers.path(vocabulary + ".json"))
+            t.encode_special_tokens = special is None
+            slow.append(t)
+        return slow[0].encode(text, add_special_tokens=False).ids
 
     return encode
 
@@ -72,8 +81,10 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VO
     """(doc_id, piece, start, length, ids_crc32): every document's ids plus the
     end mark; only longer ones are cut, the first piece taking the remainder."""
 
+    special = special_tokens(vocabulary)
+
     def run(batches):
-        encode = make_encoder(vocabulary)
+        encode = make_encoder(vocabulary, special)
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1)
             cols: tuple[list, ...] = ([], [], [], [], [])
