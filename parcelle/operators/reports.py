@@ -164,8 +164,10 @@ def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, id_col: str, n: int = 5000, seed: int = 42) -> DataFrame:
-    """A repeatable sample of up to ``n`` rows (hash order, seed)."""
-    return df.orderBy(F.xxhash64(F.col(id_col), F.lit(seed)), F.col(id_col)).limit(n)
+    """A repeatable sample of up to ``n`` rows: those with the smallest MD5 of
+    seed and id, the same in any SQL engine."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")).cast("binary"))
+    return df.orderBy(digest, F.col(id_col)).limit(n)
 
 
 def band_stats(df: DataFrame, band_col: str, order_col: str, measures: dict[str, Column]) -> DataFrame:

@@ -369,11 +369,16 @@ def q_correlations(spark, sf):
     return out.withColumn("corr", rnd("corr"))
 
 
-@register("sample_rows", "D5 D6 F1 F5")
+@register("sample_rows", "D5 D6 F1 F5", with_feat(f"""
+, typed AS (SELECT *, {SQL_CANON.format(c=_sql_type_map('feat.type_local'))} AS type_p FROM feat)
+SELECT id, surface_reelle_bati, valeur_fonciere, {r('prix_m2', 4)} AS prix_m2, type_p AS type_prop FROM typed
+WHERE surface_reelle_bati IS NOT NULL AND valeur_fonciere IS NOT NULL AND type_p IN ('Appartement', 'Maison')
+ORDER BY md5('42:' || CAST(id AS VARCHAR)), id LIMIT 5000
+""".replace("\n, typed AS", ",\ntyped AS")))
 def q_sample_rows(spark, sf):
     f = features(spark, sf).dropna(subset=["surface_reelle_bati", "valeur_fonciere", "type_prop"])
     f = f.where(F.col("type_prop").isin("Appartement", "Maison"))
-    return R.sample_rows(f, "id", 5000).select("id", "surface_reelle_bati", "valeur_fonciere", "prix_m2", "type_prop")
+    return R.sample_rows(f, "id", 5000).select("id", "surface_reelle_bati", "valeur_fonciere", rnd("prix_m2", 4).alias("prix_m2"), "type_prop")
 
 
 @register("run_report", "A11 A27 D7 A26", with_feat(f"""
