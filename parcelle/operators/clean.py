@@ -9,6 +9,8 @@ instead of one count job per step.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,36 +20,37 @@ from parcelle.functions import derive as D
 DUP_KEY = ["date_mutation", "valeur_fonciere", "code_commune", "surface_reelle_bati", "type_local"]
 
 
-def _dup_key_cols(date_col="date_mutation", price_col="valeur_fonciere", code_col="code_commune",
-                  area_col="surface_reelle_bati", type_col="type_local") -> list[Column]:
-    return [F.col(date_col).alias("_k_date"), F.col(price_col).alias("_k_price"),
-            F.col(code_col).alias("_k_code"),
-            F.coalesce(F.col(area_col), F.lit(0)).cast("double").alias("_k_area"),
-            F.coalesce(F.col(type_col), F.lit("")).alias("_k_type")]
+DUP_KEY_NAMES = ["_k_date", "_k_price", "_k_code", "_k_area", "_k_type"]
 
 
-def _dedup_groups(df: DataFrame, id_col: str = "id", date_col="date_mutation", price_col="valeur_fonciere",
-                  code_col="code_commune", area_col="surface_reelle_bati", type_col="type_local") -> DataFrame:
-    """W1 as ONE aggregate: per duplicate key, the row with the lowest id
-    (``min`` of a struct led by the id) and the group size ``_gsize``.
+def _dup_key_values(date_col="date_mutation", price_col="valeur_fonciere", code_col="code_commune",
+                    area_col="surface_reelle_bati", type_col="type_local") -> list[Column]:
+    return [F.col(date_col), F.col(price_col), F.col(code_col),
+            F.coalesce(F.col(area_col), F.lit(0)).cast("double"), F.coalesce(F.col(type_col), F.lit(""))]
 
-    Rows whose date, price or commune is NULL can never be duplicates (SQL
-    equality never matches NULL), so their own id joins the grouping key and
-    each stays a group of one.  The aggregate is combined map-side, so a key
-    holding a third of all rows sends one row per partition to the shuffle,
-    and no second pass over the input (join back) is needed."""
-    keyed = F.col(date_col).isNotNull() & F.col(price_col).isNotNull() & F.col(code_col).isNotNull()
-    others = [c for c in df.columns if c != id_col]
-    g = df.groupBy(*_dup_key_cols(date_col, price_col, code_col, area_col, type_col),
-                   F.when(~keyed, F.col(id_col)).alias("_k_single"))
-    row = F.min(F.struct(F.col(id_col), *[F.col(c) for c in others])).alias("_row")
-    out = g.agg(row, F.count(F.lit(1)).alias("_gsize"))
-    return out.select(*[F.col(f"_row.{c}").alias(c) for c in df.columns], "_gsize")
+
+def _dup_key_cols(**names) -> list[Column]:
+    return [c.alias(k) for c, k in zip(_dup_key_values(**names), DUP_KEY_NAMES)]
+
+
+def _keyed(date_col="date_mutation", price_col="valeur_fonciere", code_col="code_commune", **_) -> Column:
+    """Rows that can be duplicates: SQL equality never matches a NULL date, price or commune."""
+    return F.col(date_col).isNotNull() & F.col(price_col).isNotNull() & F.col(code_col).isNotNull()
 
 
 def remove_duplicates(df: DataFrame, id_col: str = "id", **names) -> DataFrame:
-    """Keep the lowest id per (date, price, commune, area or 0, type or '')."""
-    return _dedup_groups(df, id_col, **names).drop("_gsize")
+    """Keep the lowest id per (date, price, commune, area or 0, type or '').
+
+    The least id and the row count of each key come from a hash aggregate over the key
+    and the id alone, combined map-side; only keys met more than once go on, and rows of
+    such a key with a larger id are left out by an anti-join.  With few repeated keys
+    that join is broadcast at run time and whole rows are neither sorted nor shuffled;
+    with many, AQE splits a hot key.  Rows that share the least id all stay, as in the
+    self-join (ids are unique)."""
+    g = df.where(_keyed(**names)).groupBy(*_dup_key_cols(**names))
+    again = g.agg(F.min(id_col).alias("_least"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n")
+    same = [c == F.col(k) for c, k in zip(_dup_key_values(**names), DUP_KEY_NAMES)]
+    return df.join(again, reduce(and_, [*same, F.col(id_col) > F.col("_least")]), "left_anti")
 
 
 def filter_price(df: DataFrame, col: str = "valeur_fonciere", lo: float = D.MIN_PRICE,
@@ -96,10 +99,16 @@ def clean(df: DataFrame, price=(D.MIN_PRICE, D.MAX_PRICE), area=(D.MIN_SURFACE,
 def audit_counts(df: DataFrame, price=(D.MIN_PRICE, D.MAX_PRICE), area=(D.MIN_SURFACE, D.MAX_SURFACE),
                  ratio=(D.MIN_PRICE_M2, D.MAX_PRICE_M2)) -> DataFrame:
     """rows removed by each cleaning step, in step order, from one aggregate."""
-    # Survivors of W1 carry their group size: the duplicates are the rest.
-    f = _dedup_groups(df)
-    p, a = F.col("valeur_fonciere"), F.col("surface_reelle_bati")
-    raw_ratio = F.when(a > 0, D.price_per_area("valeur_fonciere", "surface_reelle_bati"))
+    # One row a duplicate key with its size and, since price and area are part of the
+    # key, all that the later steps look at: the area is missing where the least id is
+    # one of those without an area.  Rows without a full key are groups of their own.
+    raw_area = F.col("surface_reelle_bati")
+    f = (df.groupBy(*_dup_key_cols(), F.when(~_keyed(), F.col("id")).alias("_k_single"))
+           .agg(F.min("id").alias("_least"), F.min(F.when(raw_area.isNull(), F.col("id"))).alias("_least_bare"),
+                F.count(F.lit(1)).alias("_gsize")))
+    p = F.col("_k_price")
+    a = F.when(~F.coalesce(F.col("_least") == F.col("_least_bare"), F.lit(False)), F.col("_k_area"))
+    raw_ratio = F.when(a > 0, D.price_per_area(p, a))
     low = F.coalesce(p < price[0], F.lit(False))
     high = F.coalesce(p > price[1], F.lit(False))
     small = a.isNotNull() & (a < area[0])

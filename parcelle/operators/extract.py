@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from parcelle.functions import derive as D
 from parcelle.operators.reports import limit_per_group
-from parcelle.plans.sizing import broadcast_if_small
+from parcelle.plans.sizing import lookup
 
 # Schema of a commune record as the commune API returns it.
 COMMUNE_JSON = T.ArrayType(T.StructType([
@@ -105,8 +105,8 @@ def flatten_communes(raw: DataFrame, json_col: str = "payload") -> DataFrame:
 
 
 def attach_dimension(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Attach dimension attributes (left join, dimension broadcast when small)."""
-    return fact.join(broadcast_if_small(dim), key, "left")
+    """Attach dimension attributes (left join behind a check of the dimension's size)."""
+    return lookup(fact, dim.withColumnRenamed(key, "_dim_key"), F.col(key), "_dim_key", "dimension").drop("_dim_key")
 
 
 # Defaults of the department extract.

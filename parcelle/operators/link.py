@@ -1,19 +1,22 @@
 """Linking sales to communes and attaching commune data.
 
-Dimensions (communes) are small and bounded by the number of places, so the
-joins against them are broadcast behind a size check; the sales fact is never
-shuffled for them.  Group statistics are aggregated first (map-side partial
+Dimensions (communes) are bounded by the number of places: the joins against them are
+broadcast behind a check of their size (``sizing.lookup``), and the sales fact is then not
+shuffled for them; a larger side is joined on (key, salt).  Group statistics are aggregated first (map-side partial
 aggregation) and joined back, instead of a correlated update per row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelle.functions import derive as D
 from parcelle.functions import geo as G
-from parcelle.plans.sizing import broadcast_if_small
+from parcelle.plans.sizing import lookup
 
 MATCH_METHODS = ["existing", "exact", "ltrim", "postal"]
 
@@ -22,7 +25,7 @@ def link_by_code(df: DataFrame, communes: DataFrame, code_col: str = "code_commu
                  out_col: str = "commune_id") -> DataFrame:
     """Dictionary lookup code -> id (left join; unknown codes get NULL)."""
     dim = communes.select(F.col("code_commune").alias("_lk_code"), F.col("id").alias("_lk_id"))
-    j = df.join(broadcast_if_small(dim), F.col(code_col) == F.col("_lk_code"), "left")
+    j = lookup(df, dim, F.col(code_col), "_lk_code", "communes")
     return j.withColumn(out_col, F.col("_lk_id")).drop("_lk_code", "_lk_id")
 
 
@@ -42,9 +45,9 @@ def link_cascade(sales: DataFrame, communes: DataFrame, code_col: str = "code_co
     ltrim = _one_per_key(communes, D.strip_leading_zeros("code_commune"), "lt")
     postal = _one_per_key(communes, F.col("code_postal"), "pc")
     s = sales
-    s = s.join(broadcast_if_small(exact), F.col(code_col) == F.col("_ex_k"), "left")
-    s = s.join(broadcast_if_small(ltrim), D.strip_leading_zeros(code_col) == F.col("_lt_k"), "left")
-    s = s.join(broadcast_if_small(postal), F.col(postal_col) == F.col("_pc_k"), "left")
+    s = lookup(s, exact, F.col(code_col), "_ex_k", "codes")
+    s = lookup(s, ltrim, D.strip_leading_zeros(code_col), "_lt_k", "bare-codes")
+    s = lookup(s, postal, F.col(postal_col), "_pc_k", "postal-codes")
     cur = F.col(id_col)
     method = (F.when(cur.isNotNull(), F.lit("existing"))
                .when(F.col("_ex_id").isNotNull(), F.lit("exact"))
@@ -60,7 +63,7 @@ def fill_coordinates(sales: DataFrame, communes: DataFrame, id_col: str = "commu
     commune has one; ``coord_source`` says where the coordinates come from."""
     dim = communes.select(F.col("id").alias("_fc_id"), F.col("latitude").alias("_fc_lat"),
                           F.col("longitude").alias("_fc_lon"))
-    j = sales.join(broadcast_if_small(dim), F.col(id_col) == F.col("_fc_id"), "left")
+    j = lookup(sales, dim, F.col(id_col), "_fc_id", "centres")
     take = F.col("latitude").isNull() & F.col("_fc_lat").isNotNull()
     return (j.withColumns({
         "coord_source": F.when(F.col("latitude").isNotNull(), F.lit("row")).when(take, F.lit("commune")),
@@ -78,7 +81,7 @@ def distance_to_commune(sales: DataFrame, communes: DataFrame, id_col: str = "co
     measures on the WGS84 ellipsoid (Vincenty)."""
     dim = communes.select(F.col("id").alias("_dc_id"), F.col("latitude").alias("_dc_lat"),
                           F.col("longitude").alias("_dc_lon"))
-    j = sales.join(broadcast_if_small(dim), F.col(id_col) == F.col("_dc_id"), "left")
+    j = lookup(sales, dim, F.col(id_col), "_dc_id", "centres")
     fn = {"cosine": G.cosine_law_km, "haversine": G.haversine_km, "geodesic": G.geodesic_km}[method]
     d = fn(F.col("latitude"), F.col("longitude"), F.col("_dc_lat"), F.col("_dc_lon"))
     if out_col in sales.columns:
@@ -103,14 +106,14 @@ def commune_features(sales: DataFrame, communes: DataFrame, id_col: str = "commu
     population and density, near-centre flag."""
     r = F.col(ratio_col)
     stats = (sales.where(F.col(id_col).isNotNull() & r.isNotNull())
-                  .groupBy(id_col).agg(F.avg(r).alias("commune_prix_m2_moyen"),
+                  .groupBy(F.col(id_col).alias("_cs_id")).agg(F.avg(r).alias("commune_prix_m2_moyen"),
                                        F.count(F.lit(1)).cast("int").alias("commune_nb_ventes")))
-    dim = communes.select(F.col("id").alias(id_col), F.col("population").alias("commune_population"),
+    dim = communes.select(F.col("id").alias("_ca_id"), F.col("population").alias("commune_population"),
                           F.col("densite_pop").alias("commune_densite"))
     # The attributes are (re)computed: earlier values are replaced, as an UPDATE would.
     base = sales.drop("commune_prix_m2_moyen", "commune_nb_ventes", "commune_population", "commune_densite")
-    out = (base.join(broadcast_if_small(stats), id_col, "left")
-               .join(broadcast_if_small(dim), id_col, "left"))
+    out = lookup(base, stats, F.col(id_col), "_cs_id", "commune-stats")
+    out = lookup(out, dim, F.col(id_col), "_ca_id", "commune-attributes").drop("_cs_id", "_ca_id")
     if "distance_centre_ville" in out.columns:
         out = out.withColumn("proche_centre", D.near_centre("distance_centre_ville", near_km))
     return out
@@ -118,12 +121,20 @@ def commune_features(sales: DataFrame, communes: DataFrame, id_col: str = "commu
 
 def insert_new(target: DataFrame, incoming: DataFrame, key: str | list[str], order_col: str) -> DataFrame:
     """Incoming rows whose key is not in the target, exactly one per key:
-    the first by ``order_col`` (nulls last), ties by all columns, ready to append.  Counting after the anti-join gives the true number
-    inserted (T16)."""
+    the first by ``order_col`` (nulls last), ties by all columns, ready to append.
+    Counting after the anti-join gives the true number inserted (T16).
+
+    Only keys counted more than once (a hash aggregate over the key columns) are
+    ranked; a rank limit inside each partition keeps one row of a common key before
+    the shuffle.  Rows with a key of their own go through as they are."""
     keys = [key] if isinstance(key, str) else list(key)
-    place = F.struct(F.col(order_col).isNull().alias("_late"), F.col(order_col).alias("_order"), *incoming.columns)
-    first = incoming.groupBy(*keys).agg(F.min(place).alias("_row"))
-    batch = first.select(*[F.col("_row")[c].alias(c) for c in incoming.columns])
+    again = (incoming.groupBy(*[F.col(c).alias(f"_a_{c}") for c in keys]).agg(F.count(F.lit(1)).alias("_n"))
+                     .where(F.col("_n") > 1).drop("_n"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_a_{c}")) for c in keys])
+    w = Window.partitionBy(*keys).orderBy(F.col(order_col).asc_nulls_last(), *incoming.columns)
+    first = (incoming.join(again, same, "left_semi").withColumn("_rank", F.row_number().over(w))
+                     .where(F.col("_rank") == 1).drop("_rank"))
+    batch = incoming.join(again, same, "left_anti").unionByName(first)
     return batch.join(target.select(*keys), keys, "left_anti")
 
 

@@ -214,12 +214,13 @@ def prediction_context(props: DataFrame, quartiers: DataFrame, sales: DataFrame,
     sale ratio of that district (J8 by district) and the transport places
     within ``radius_m`` (G3)."""
     from parcelle.operators import spatial
-    from parcelle.plans.sizing import broadcast_if_small
+    from parcelle.plans.sizing import lookup
     located = spatial.locate_in_polygons(props, quartiers)
     sold = spatial.locate_in_polygons(sales.select("id", "latitude", "longitude", ratio_col), quartiers)
     per_district = (sold.where(F.col("quartier_id").isNotNull() & F.col(ratio_col).isNotNull())
                         .groupBy("quartier_id").agg(F.avg(ratio_col).alias("prix_m2_moyen_quartier")))
-    out = located.join(broadcast_if_small(per_district), "quartier_id", "left")
+    out = lookup(located, per_district.withColumnRenamed("quartier_id", "_pd_id"), F.col("quartier_id"), "_pd_id",
+                 "district-means").drop("_pd_id")
     transports = places.where(F.col("type_poi") == transport_type)
     return spatial.count_within_radius(out, transports, radius_m, out_prefix="_tr_").withColumnRenamed(
         "_tr_total", f"nb_transports_{int(radius_m)}m")

@@ -4,9 +4,12 @@ A correlated "count places within N metres" or "polygon containing point"
 would plan as a nested-loop join.  Here both sides get grid-cell keys and meet
 in an equi-join, then the exact predicate filters the candidates:
 
-* radius: places are copied into the 3 x 3 cells around their own cell, each
-  point has exactly one cell; the cell is at least the radius wide in both
-  axes (valid up to ``max_abs_lat`` and away from the +-180 degree line);
+* radius: the globe is cut into latitude bands at least the radius high, each band
+  into equal longitude cells, as many as keep a cell at least as wide as the radius
+  reaches at the band's highest latitude (one cell where the circle holds a pole).
+  A place is copied into its own cell and the neighbours of its longitude in three
+  bands, counted round the globe, so places across +-180 degrees and near the poles
+  are found; each point has exactly one cell;
 * polygons: each polygon is copied into the cells its bounding box covers.
 
 When the place / polygon side passes the broadcast size check it is grouped
@@ -14,10 +17,12 @@ into one candidate list per cell and broadcast; each point looks up its own
 cell and filters the list with higher-order functions, so the (large) point
 side is neither shuffled nor re-aggregated: a map-only stage.
 
-Otherwise both sides are shuffled on the cell.  Hot cells (one cell may hold a
-third of all points) are then split by an optional salt: points get ``pmod(xxhash64(id), salt_buckets)``, the (smaller) place or
-polygon side is copied once per salt value.  After the join, rows of one point
-share (cell, salt), so the per-point aggregate reuses the join's hash
+Otherwise both sides are shuffled on (cell, salt).  The points of each cell are
+counted first; a cell with more than ``cell_rows`` points is cut into pieces of about
+that size by a hash of the point's id, and the places or polygons of that cell (no
+other) are copied once a piece.  Points without usable coordinates match nothing and
+are spread over ``NO_CELL_PIECES`` pieces by the same hash.  After the join, rows of one
+point share (cell, salt), so the per-point aggregate reuses the join's hash
 partitioning instead of shuffling again.
 """
 
@@ -30,9 +35,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelle.functions import geo as G
-from parcelle.plans.sizing import DEFAULT_MAX_BROADCAST_BYTES, estimated_bytes
+from parcelle.plans.sizing import DEFAULT_MAX_BROADCAST_BYTES, estimated_bytes, measured_side
 
-_NEIGHBOURS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
+#: Points of one cell that one task handles.
+CELL_ROWS = 1_000_000
+#: Pieces over which points without coordinates are spread.
+NO_CELL_PIECES = 4096
 
 
 def _fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
@@ -51,23 +59,74 @@ def _fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
     return m["n"] <= max_rows and (m["b"] or 0) <= max_bytes
 
 
-def radius_cells(radius_m: float, max_abs_lat: float = 75.0, margin: float = 1.02) -> tuple[float, float]:
-    """(lat_cell, lon_cell) in degrees, each at least the radius wide."""
-    lat_cell = radius_m / G.METRES_PER_DEGREE * margin
-    lon_cell = radius_m / (G.METRES_PER_DEGREE * math.cos(math.radians(max_abs_lat))) * margin
-    return lat_cell, lon_cell
+def _usable(lat: str, lon: str) -> Column:
+    """Both coordinates present and finite, the latitude within +-90 degrees."""
+    return F.coalesce(F.col(lat).between(-90, 90) & (F.abs(F.col(lon)) < F.lit(math.inf)), F.lit(False))
 
 
-def _salt(id_col: str, buckets: int) -> Column:
-    if buckets <= 1:
-        return F.lit(0)
-    return F.pmod(F.xxhash64(F.col(id_col)), F.lit(buckets)).cast("int")
+def _reach_degrees(radius_m: float, abs_lat: Column) -> Column:
+    """How far in longitude a circle around a point at ``abs_lat`` reaches; NULL where
+    it holds a pole."""
+    angle = radius_m / (G.EARTH_RADIUS_KM * 1000.0)
+    if angle >= math.pi / 2:
+        return F.lit(None).cast("double")
+    s, c = F.lit(math.sin(angle)), F.cos(F.radians(abs_lat))
+    return F.when((abs_lat < 90) & (c > s), F.degrees(F.asin(s / c)))
 
 
-def _copy_per_salt(df: DataFrame, buckets: int) -> DataFrame:
-    if buckets <= 1:
-        return df.withColumn("_salt", F.lit(0))
-    return df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+def _band_height(radius_m: float, margin: float = 1.02) -> float:
+    return radius_m / G.METRES_PER_DEGREE * margin
+
+
+def _cells_in_band(band: Column, radius_m: float, margin: float = 1.02) -> Column:
+    """Number of longitude cells of a latitude band."""
+    h = _band_height(radius_m, margin)
+    top = F.greatest(F.abs(band * h), F.abs((band + 1) * h))
+    return F.coalesce(F.greatest(F.lit(1).cast("long"), F.floor(360.0 / (_reach_degrees(radius_m, top) * margin))),
+                      F.lit(1).cast("long"))
+
+
+def _lon_cell(lon: Column, cells: Column) -> Column:
+    return F.least(F.floor(F.pmod(lon + 180.0, F.lit(360.0)) * cells / 360.0), cells - 1)
+
+
+def _point_cell(lat: str, lon: str, radius_m: float) -> dict[str, Column]:
+    """The radius join's cell of a point, NULL without usable coordinates."""
+    band = F.floor(F.col(lat) / _band_height(radius_m))
+    ok = _usable(lat, lon)
+    return {"_cx": F.when(ok, _lon_cell(F.col(lon), _cells_in_band(band, radius_m))), "_cy": F.when(ok, band)}
+
+
+def _place_cells(places: DataFrame, radius_m: float) -> DataFrame:
+    """One row per place (``_plat``, ``_plon``) and cell whose points it may be near."""
+    band = F.floor(F.col("_plat") / _band_height(radius_m))
+    c, n = F.col("_c0"), F.col("_n")
+    return (places.withColumn("_cy", F.explode(F.sequence(band - 1, band + 1)))
+                  .withColumn("_n", _cells_in_band(F.col("_cy"), radius_m))
+                  .withColumn("_c0", _lon_cell(F.col("_plon"), n))
+                  .withColumn("_cx", F.explode(F.array_distinct(F.array(F.pmod(c - 1, n), c, F.pmod(c + 1, n)))))
+                  .drop("_n", "_c0"))
+
+
+def _split_hot_cells(points: DataFrame, side: DataFrame, id_col: str, least: int,
+                     cell_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a cell join with a ``_salt``: points by the hash of their id over as
+    many pieces as their cell's count asks for (at least ``least``), the other side copied
+    to every piece of its cell.  The table of hot cells is written once (one count over the
+    points' cells); it has at most points / ``cell_rows`` rows and is broadcast behind a
+    check of its rows."""
+    hot = (points.where(F.col("_cx").isNotNull()).groupBy("_cx", "_cy").agg(F.count(F.lit(1)).alias("_k"))
+                 .where(F.col("_k") > cell_rows).withColumn("_k", F.ceil(F.col("_k") / cell_rows)))
+    hot, small = measured_side(hot, "hot-cells")
+    if small:
+        hot = F.broadcast(hot)
+    pieces = F.greatest(F.lit(max(1, least)).cast("long"), F.coalesce(F.col("_k"), F.lit(1)))
+    pieces_of_point = F.when(F.col("_cx").isNull(), F.lit(NO_CELL_PIECES).cast("long")).otherwise(pieces)
+    p = (points.join(hot, ["_cx", "_cy"], "left")
+               .withColumn("_salt", F.pmod(F.xxhash64(F.col(id_col)), pieces_of_point)).drop("_k"))
+    q = (side.join(hot, ["_cx", "_cy"], "left")
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1))).drop("_k"))
+    return p.select(*points.columns, "_salt"), q.select(*side.columns, "_salt")
 
 
 def _per_point(joined: DataFrame, point_cols: Sequence[str], id_col: str, aggs: list[Column]) -> DataFrame:
@@ -80,27 +139,21 @@ def count_within_radius(points: DataFrame, places: DataFrame, radius_m: float, *
                         lat: str = "latitude", lon: str = "longitude", place_lat: str = "latitude",
                         place_lon: str = "longitude", type_col: str | None = None,
                         types: Sequence[str] = (), out_prefix: str = "nb_", salt_buckets: int = 1,
-                        max_abs_lat: float = 75.0, mean_km_col: str | None = None,
+                        mean_km_col: str | None = None, cell_rows: int = CELL_ROWS,
                         max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """For every point, the number of places within ``radius_m``
     metres (haversine), in total and per listed type, in one join.
-    Points without coordinates or without places nearby get 0.  With
-    ``mean_km_col`` also the mean distance in km to those places (NULL if none)."""
-    lat_cell, lon_cell = radius_cells(radius_m, max_abs_lat)
+    Points without usable coordinates (missing, not finite, latitude beyond 90) or
+    without places nearby get 0; such places count nowhere.  ``salt_buckets`` is the least
+    number of pieces of a cell on the shuffled path.  With ``mean_km_col`` also the mean distance in km to those places (NULL if none)."""
     pcols = points.columns
-    p = points.withColumns({
-        "_cx": F.floor(F.col(lon) / lon_cell), "_cy": F.floor(F.col(lat) / lat_cell),
-        "_salt": _salt(id_col, salt_buckets)})
+    p = points.withColumns(_point_cell(lat, lon, radius_m))
     sel = [F.col(place_lat).alias("_plat"), F.col(place_lon).alias("_plon")]
     if type_col:
         sel.append(F.col(type_col).alias("_ptype"))
-    offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _NEIGHBOURS])
-    q = (places.where(F.col(place_lat).isNotNull() & F.col(place_lon).isNotNull()).select(*sel)
-               .withColumn("_o", F.explode(offs))
-               .withColumns({"_cx": F.floor(F.col("_plon") / lon_cell) + F.col("_o.dx"),
-                             "_cy": F.floor(F.col("_plat") / lat_cell) + F.col("_o.dy")})
-               .drop("_o"))
-    if _fits_broadcast(q, max_broadcast_bytes, row_bytes=F.lit(48)):
+    q = _place_cells(places.where(_usable(place_lat, place_lon)).select(*sel), radius_m)
+    width = F.lit(48) + (F.coalesce(F.octet_length("_ptype"), F.lit(0)) if type_col else 0)
+    if _fits_broadcast(q, max_broadcast_bytes, row_bytes=width):
         # Small place side: one row per cell holding that cell's candidates,
         # broadcast; each point reads its own cell.  Map-only: the points are
         # never shuffled and no per-point aggregate is needed.
@@ -108,8 +161,7 @@ def count_within_radius(points: DataFrame, places: DataFrame, radius_m: float, *
         if type_col:
             fields.append(F.col("_ptype").alias("t"))
         cells = q.groupBy("_cx", "_cy").agg(F.collect_list(F.struct(*fields)).alias("_cands"))
-        j = points.withColumns({"_cx": F.floor(F.col(lon) / lon_cell), "_cy": F.floor(F.col(lat) / lat_cell)}) \
-                  .join(F.broadcast(cells), ["_cx", "_cy"], "left")
+        j = p.join(F.broadcast(cells), ["_cx", "_cy"], "left")
         hits = F.filter(F.coalesce(F.col("_cands"), F.array().cast(cells.schema["_cands"].dataType)),
                         lambda c: G.haversine_km(F.col(lat), F.col(lon), c["lat"], c["lon"]) * 1000.0 <= radius_m)
         cols = {f"{out_prefix}total": F.size(hits).cast("long")}
@@ -122,7 +174,7 @@ def count_within_radius(points: DataFrame, places: DataFrame, radius_m: float, *
             d = F.transform(hits, lambda c: G.haversine_km(F.col(lat), F.col(lon), c["lat"], c["lon"]))
             cols[mean_km_col] = F.when(F.size(hits) > 0, F.aggregate(d, F.lit(0.0), lambda a, x: a + x) / F.size(hits))
         return j.withColumns(cols).drop("_cx", "_cy", "_cands")
-    q = _copy_per_salt(q, salt_buckets)
+    p, q = _split_hot_cells(p, q, id_col, salt_buckets, cell_rows)
     near = G.haversine_km(F.col(lat), F.col(lon), F.col("_plat"), F.col("_plon")) * 1000.0 <= radius_m
     cond = [p["_cx"] == q["_cx"], p["_cy"] == q["_cy"], p["_salt"] == q["_salt"], near]
     j = p.join(q, cond, "left").select(p["*"], q["_plat"], q["_plon"], *([q["_ptype"]] if type_col else []))
@@ -135,10 +187,15 @@ def count_within_radius(points: DataFrame, places: DataFrame, radius_m: float, *
     return _per_point(j, pcols, id_col, aggs)
 
 
-def polygon_cells(polygons: DataFrame, ring_col: str, cell_deg: float, pad_lat: float = 0.0,
-                  pad_lon: float = 0.0) -> DataFrame:
-    """One row per (polygon, grid cell touched by its padded bounding box)."""
+def polygon_cells(polygons: DataFrame, ring_col: str, cell_deg: float, pad_m: float = 0.0) -> DataFrame:
+    """One row per (polygon, grid cell touched by its bounding box, widened by ``pad_m``
+    metres: in longitude as far as that reaches at the box's highest latitude)."""
     bb = G.ring_bbox(ring_col)
+    pad_lat, pad_lon = F.lit(0.0), F.lit(0.0)
+    if pad_m > 0:
+        pad_lat = F.lit(_band_height(pad_m))
+        top = F.greatest(F.abs(bb["min_lat"] - pad_lat), F.abs(bb["max_lat"] + pad_lat))
+        pad_lon = F.coalesce(_reach_degrees(pad_m, top) * 1.02, F.lit(180.0))
     cx = F.sequence(F.floor((bb["min_lon"] - pad_lon) / cell_deg), F.floor((bb["max_lon"] + pad_lon) / cell_deg))
     cy = F.sequence(F.floor((bb["min_lat"] - pad_lat) / cell_deg), F.floor((bb["max_lat"] + pad_lat) / cell_deg))
     return (polygons.withColumn("_cx", F.explode(cx)).withColumn("_cy", F.explode(cy)))
@@ -147,25 +204,26 @@ def polygon_cells(polygons: DataFrame, ring_col: str, cell_deg: float, pad_lat:
 def locate_in_polygons(points: DataFrame, polygons: DataFrame, *, id_col: str = "id", lat: str = "latitude",
                        lon: str = "longitude", poly_id: str = "id", ring_col: str = "ring",
                        out_col: str = "quartier_id", cell_deg: float = 0.1, salt_buckets: int = 1,
-                       max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+                       cell_rows: int = CELL_ROWS, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Attach the least id of the polygons strictly containing each
-    point (NULL when none)."""
+    point (NULL when none, or without usable coordinates).  Rings are flat: one across
+    +-180 degrees is given as two.  ``salt_buckets`` as in ``count_within_radius``."""
     pcols = points.columns
-    p = points.withColumns({"_cx": F.floor(F.col(lon) / cell_deg), "_cy": F.floor(F.col(lat) / cell_deg),
-                            "_salt": _salt(id_col, salt_buckets)})
+    ok = _usable(lat, lon)
+    p = points.withColumns({"_cx": F.when(ok, F.floor(F.col(lon) / cell_deg)),
+                            "_cy": F.when(ok, F.floor(F.col(lat) / cell_deg))})
     q = polygon_cells(polygons.select(F.col(poly_id).alias("_qid"), F.col(ring_col).alias("_ring")),
                       "_ring", cell_deg)
     if _fits_broadcast(q, max_broadcast_bytes, row_bytes=F.size("_ring") * 16 + 32):
         # Small polygon side: per-cell candidate lists, broadcast, map-only probe.
         cells = q.groupBy("_cx", "_cy").agg(F.collect_list(F.struct(F.col("_qid").alias("id"),
                                                                      F.col("_ring").alias("ring"))).alias("_cands"))
-        j = points.withColumns({"_cx": F.floor(F.col(lon) / cell_deg), "_cy": F.floor(F.col(lat) / cell_deg)}) \
-                  .join(F.broadcast(cells), ["_cx", "_cy"], "left")
+        j = p.join(F.broadcast(cells), ["_cx", "_cy"], "left")
         inside = F.filter(F.coalesce(F.col("_cands"), F.array().cast(cells.schema["_cands"].dataType)),
                           lambda c: G.ring_contains(c["ring"], F.col(lon), F.col(lat)))
         return j.withColumn(out_col, F.array_min(F.transform(inside, lambda c: c["id"]))) \
                 .drop("_cx", "_cy", "_cands")
-    q = _copy_per_salt(q, salt_buckets)
+    p, q = _split_hot_cells(p, q, id_col, salt_buckets, cell_rows)
     cond = [p["_cx"] == q["_cx"], p["_cy"] == q["_cy"], p["_salt"] == q["_salt"],
             G.ring_contains(q["_ring"], p[lon], p[lat])]
     j = p.join(q, cond, "left").select(p["*"], q["_qid"])
@@ -175,14 +233,13 @@ def locate_in_polygons(points: DataFrame, polygons: DataFrame, *, id_col: str =
 def count_near_polygons(polygons: DataFrame, places: DataFrame, radius_m: float, *, poly_id: str = "id",
                         ring_col: str = "ring", place_lat: str = "latitude", place_lon: str = "longitude",
                         type_col: str = "type_poi", types: Sequence[str] = (), out_prefix: str = "nb_",
-                        cell_deg: float = 0.1, max_abs_lat: float = 75.0) -> DataFrame:
+                        cell_deg: float = 0.1) -> DataFrame:
     """G3 on areas: per polygon, places whose distance to the polygon (0 when
     inside) is at most ``radius_m``; one count column per type.  Polygons
     with no place nearby are returned with 0."""
-    lat_pad, lon_pad = radius_cells(radius_m, max_abs_lat)
     q = polygon_cells(polygons.select(F.col(poly_id).alias("_qid"), F.col(ring_col).alias("_ring")),
-                      "_ring", cell_deg, lat_pad, lon_pad)
-    p = (places.where(F.col(place_lat).isNotNull() & F.col(place_lon).isNotNull())
+                      "_ring", cell_deg, radius_m)
+    p = (places.where(_usable(place_lat, place_lon))
                .select(F.col(place_lat).alias("_plat"), F.col(place_lon).alias("_plon"),
                        F.col(type_col).alias("_ptype"))
                .withColumns({"_cx": F.floor(F.col("_plon") / cell_deg), "_cy": F.floor(F.col("_plat") / cell_deg)}))

@@ -85,3 +85,34 @@ def test_model_queries_use_the_reference_settings():
     from parcelle.operators import ml
     from parcelle.plans import queries_ml
     assert all(queries_ml.model_named(s.name) is s for s in ml.REFERENCE_MODELS)
+
+
+def test_lookup_sides_are_measured(spark, monkeypatch):
+    from parcelle.operators import link as L
+    from parcelle.plans import sizing
+    from parcelle.plans.queries_geo import unlinked_sales
+    from parcelle.functions import derive as D
+    c = T.communes(spark, SF_SMALL)
+    sales = D.derive_sales(T.sales(spark, SF_SMALL))
+    builds = {"stats": (lambda: L.commune_features(sales.withColumn("distance_centre_ville", F.lit(1.0)), c), ["_cs_id", "_ca_id"]),
+              "cascade": (lambda: L.link_cascade(unlinked_sales(spark, SF_SMALL), c), ["_ex_k", "_lt_k", "_pc_k"])}
+    want = {}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for bound in (sizing.DEFAULT_MAX_BROADCAST_BYTES, 0):
+            monkeypatch.setattr(sizing, "DEFAULT_MAX_BROADCAST_BYTES", bound)
+            for name, (build, keys) in builds.items():
+                df = build()
+                plan = _plan(df)
+                for k in keys:
+                    line = next(x for x in plan.splitlines() if "Join [" in x and f", [{k}#" in x or f"{k}#" in x and "Join [" in x)
+                    assert ("BroadcastHashJoin" in line) == (bound > 0) and ("_lookup_salt" in line) == (bound == 0)
+                rows = sorted(map(str, df.select(sorted(df.columns)).collect()))
+                assert want.setdefault(name, rows) == rows
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_duplicates_and_new_rows_without_sort_aggregates(spark):
+    for name in ("dedupe_sales", "audit_counts", "insert_new", "load_sales"):
+        assert "SortAggregate" not in _plan(load_all()[name].fn(spark, SF_SMALL)), name
