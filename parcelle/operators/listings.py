@@ -2,57 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelle.functions import derive as D
-from parcelle.plans.sizing import broadcast_if_small
-
-
-MAX_GROUP = 1_000_000
-
-
-def previous_value(df: DataFrame, key: str, ts_col: str, tie_col: str, value_col: str, out_col: str,
-                   max_group: int | None = None) -> DataFrame:
-    """``lag(value)`` over (key ordered by ts, tie) that never sorts a hot key
-    in one task.
-
-    Keys with more than ``max_group`` rows are cut into time chunks at
-    approximate percentiles of their timestamps (a small broadcast table of
-    boundaries); the window runs per (key, chunk), and the first row of a
-    chunk takes the last value of the previous non-empty chunk from a
-    per-(key, chunk) aggregate.  The answer is exact: chunks follow the time
-    order, only their sizes are approximate.  Without hot keys this is the
-    plain window."""
-    max_group = MAX_GROUP if max_group is None else max_group
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > max_group)
-    w_key = Window.partitionBy(key).orderBy(ts_col, tie_col)
-    if hot.isEmpty():
-        return df.withColumn(out_col, F.lag(value_col).over(w_key))
-    largest = hot.agg(F.max("_n")).first()[0]
-    k = -(-largest // max_group)
-    probs = [i / k for i in range(1, k)]
-    t = F.col(ts_col).cast("timestamp").cast("double")
-    bounds = (df.join(F.broadcast(hot.select(key)), key, "left_semi")
-                .groupBy(key).agg(F.percentile_approx(t, probs, 10000).alias("_bounds")))
-    chunked = df.join(broadcast_if_small(bounds), key, "left").withColumn(
-        "_chunk", F.coalesce(F.size(F.filter("_bounds", lambda b: b < t)), F.lit(0))).drop("_bounds")
-    w = Window.partitionBy(key, "_chunk").orderBy(ts_col, tie_col)
-    local = chunked.withColumns({"_prev": F.lag(value_col).over(w), "_rn": F.row_number().over(w)})
-    lasts = chunked.groupBy(key, "_chunk").agg(
-        F.max_by(value_col, F.struct(ts_col, tie_col)).alias("_last"))
-    lasts = lasts.withColumn("_carry", F.lag("_last").over(Window.partitionBy(key).orderBy("_chunk")))
-    out = local.join(lasts.select(key, "_chunk", "_carry"), [key, "_chunk"], "left")
-    return out.withColumn(out_col, F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_prev"))) \
-              .drop("_chunk", "_prev", "_rn", "_carry")
+
+def _month(ts_col: str) -> Column:
+    return F.date_trunc("month", F.col(ts_col).cast("timestamp"))
+
+
+def _carried(lasts: DataFrame, key: str, value: str, out_col: str) -> DataFrame:
+    """``lasts`` (a row a key and month) with the value of the key's month before."""
+    return lasts.withColumn(out_col, F.lag(value).over(Window.partitionBy(key).orderBy("_month")))
+
+
+def previous_value(df: DataFrame, key: str, ts_col: str, tie_col: str, value_col: str, out_col: str) -> DataFrame:
+    """``lag(value)`` over (key ordered by ts, tie) that never sorts a key in one task.
+
+    One path for every size: the window runs per key and calendar month, and the first
+    row of a month takes the last value of the key's month before from a table of one
+    row a key and month.  A row without a time comes first, as in the plain window; a
+    task holds at most one month of one key."""
+    w = Window.partitionBy(key, "_month").orderBy(ts_col, tie_col)
+    local = df.withColumn("_month", _month(ts_col)).withColumns({"_prev": F.lag(value_col).over(w), "_rn": F.row_number().over(w)})
+    lasts = local.groupBy(key, "_month").agg(F.max_by(value_col, F.col("_rn")).alias("_last"))
+    carry = _carried(lasts, key, "_last", "_carry").select(F.col(key).alias("_c_key"), F.col("_month").alias("_c_month"), "_carry")
+    same = F.col(key).eqNullSafe(F.col("_c_key")) & F.col("_month").eqNullSafe(F.col("_c_month"))
+    out = local.join(carry, same, "left")
+    return (out.withColumn(out_col, F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_prev")))
+               .select(*[c for c in df.columns if c != out_col], out_col))
 
 
 def price_variation(history: DataFrame, listing_col: str = "listing_id", ts_col: str = "date_observation",
-                    price_col: str = "prix", tie_col: str = "id", max_group: int | None = None) -> DataFrame:
+                    price_col: str = "prix", tie_col: str = "id") -> DataFrame:
     """Percent change from the previous observed price of the same listing
     (NULL for the first observation)."""
-    out = previous_value(history, listing_col, ts_col, tie_col, price_col, "prix_precedent", max_group)
+    out = previous_value(history, listing_col, ts_col, tie_col, price_col, "prix_precedent")
     return out.withColumn("variation_pct", D.percent_diff(F.col(price_col), F.col("prix_precedent")))
 
 
@@ -110,27 +95,27 @@ def with_photo_count(listings: DataFrame, urls_col: str = "photos_urls", out_col
 
 
 def price_history_pages(history: DataFrame, listing_col: str = "listing_id", ts_col: str = "date_observation",
-                        price_col: str = "prix", tie_col: str = "id", max_group: int | None = None) -> DataFrame:
-    """``evolution_prix`` in pages for listings whose history is too long for
-    one value: listings up to ``max_group`` observations get one page; longer
-    ones are cut into time chunks at approximate percentiles (as for the
-    price variation), one JSON array per (listing, page), pages in time order.
-    No page holds more than about ``max_group`` observations."""
-    max_group = MAX_GROUP if max_group is None else max_group
-    counts = history.groupBy(listing_col).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > max_group)
-    t = F.col(ts_col).cast("timestamp").cast("double")
-    if hot.isEmpty():
-        paged = history.withColumn("page", F.lit(0))
-    else:
-        k = -(-hot.agg(F.max("_n")).first()[0] // max_group)
-        bounds = (history.join(F.broadcast(hot.select(listing_col)), listing_col, "left_semi")
-                         .groupBy(listing_col).agg(F.percentile_approx(t, [i / k for i in range(1, k)], 10000)
-                                                   .alias("_bounds")))
-        paged = history.join(broadcast_if_small(bounds), listing_col, "left").withColumn(
-            "page", F.coalesce(F.size(F.filter("_bounds", lambda b: b < t)), F.lit(0))).drop("_bounds")
+                        price_col: str = "prix", tie_col: str = "id") -> DataFrame:
+    """``evolution_prix`` in pages, one per listing and calendar month with an observation,
+    for histories too long for one value.  A page has its number in the listing (from 0),
+    its month, the month's observations as a JSON array in time order, their count and,
+    carried over from the pages before, the number of earlier observations and the last
+    price before it.  Pages depend on the dates alone, never on how many rows there are."""
     obs = F.struct(F.col(ts_col).alias("date"), F.col(tie_col).alias("_tie"), F.col(price_col).alias("prix"))
-    g = paged.groupBy(listing_col, "page").agg(F.array_sort(F.collect_list(obs)).alias("_obs"))
+    g = (history.withColumn("_month", _month(ts_col)).groupBy(listing_col, "_month")
+                .agg(F.array_sort(F.collect_list(obs)).alias("_obs"),
+                     F.max_by(price_col, F.struct(ts_col, tie_col)).alias("_last")))
     out = F.transform("_obs", lambda o: F.struct(F.date_format(o["date"], "yyyy-MM-dd'T'HH:mm:ss").alias("date"),
                                                  o["prix"].alias("prix")))
-    return g.select(listing_col, "page", F.to_json(out).alias("evolution_prix"), F.size("_obs").alias("nb_observations"))
+    pages = g.select(listing_col, "_month", F.to_json(out).alias("evolution_prix"),
+                     F.size("_obs").alias("nb_observations"), "_last")
+    w = Window.partitionBy(listing_col).orderBy("_month")
+    earlier = F.sum("nb_observations").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    # The window holds a row a month of a listing; the JSON texts wait outside of it.
+    steps = _carried(pages.select(listing_col, "_month", "nb_observations", "_last"), listing_col, "_last", "prix_precedent")
+    steps = steps.withColumns({"page": F.row_number().over(w) - 1, "nb_avant": F.coalesce(earlier, F.lit(0))})
+    steps = steps.select(F.col(listing_col).alias("_s_key"), F.col("_month").alias("_s_month"), "page", "nb_avant", "prix_precedent")
+    same = F.col(listing_col).eqNullSafe(F.col("_s_key")) & F.col("_month").eqNullSafe(F.col("_s_month"))
+    return (pages.join(steps, same, "inner")
+                 .select(listing_col, "page", F.date_format("_month", "yyyy-MM").alias("mois"), "evolution_prix",
+                         "nb_observations", "nb_avant", "prix_precedent"))

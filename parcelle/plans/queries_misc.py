@@ -192,14 +192,14 @@ FROM raw_sales
 WHERE year({SQL_DATE.format(c='date_mutation')}) = (SELECT MAX(year(CAST(o_orderdate AS DATE))) FROM orders)
 """))
 def q_newest_sale_file(spark, sf):
-    """Write one pipe-delimited file per year with the original headers, pick
-    the newest file by name (S4), read it with an all-string schema, rename
-    the headers (P1) and resolve the id column among candidates (P2)."""
+    """Write pipe-delimited files with the original headers, a folder of several files a
+    year, pick the newest year by name (S4), read all its files with an all-string schema,
+    rename the headers (P1) and resolve the id column among candidates (P2)."""
     raw = T.raw_sales(spark, sf).withColumn("annee", F.year(P.parse_date("date_mutation")))
     raw = raw.withColumnsRenamed(_FILE_HEADERS).withColumnRenamed("id", "Identifiant")
     path = FS.scratch_path(spark, "year_files")
-    FS.write_by(raw.repartition("annee"), path, ["annee"], fmt="csv", sep="|", header=True)
-    newest = FS.newest_file(spark, [f"{path}/annee=*/*.zip", f"{path}/annee=*/*.csv"])
+    FS.write_by(raw, path, ["annee"], fmt="csv", sep="|", header=True)
+    newest = FS.newest_files(spark, [f"{path}/annee=*/*.zip", f"{path}/annee=*/*.csv"])
     df = P.standardize_columns(FS.read_delimited(spark, newest, sep="|"))
     id_col = P.resolve_column(df, ["id", "Identifiant", "identifiant"])
     return df.select(F.col(id_col).cast("long").alias("id"), P.parse_date("date_mutation").alias("date_mutation"),
@@ -207,13 +207,17 @@ def q_newest_sale_file(spark, sf):
 
 
 @register("price_history_pages", "§2.16 evolution_prix", with_adapter("""
-SELECT listing_id, 0 AS page,
-       '[' || string_agg('{"date":"' || strftime(date_observation, '%Y-%m-%dT%H:%M:%S') || '","prix":'
-                         || CAST(prix AS VARCHAR) || '}', ',' ORDER BY date_observation, id) || ']' AS evolution_prix,
-       COUNT(*) AS nb_observations
-FROM price_history GROUP BY listing_id
+SELECT listing_id, CAST(row_number() OVER w - 1 AS INTEGER) AS page, mois, evolution_prix, nb_observations,
+       CAST(COALESCE(SUM(nb_observations) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS nb_avant,
+       lag(dernier) OVER w AS prix_precedent
+FROM (SELECT listing_id, strftime(date_observation, '%Y-%m') AS mois,
+             '[' || string_agg('{"date":"' || strftime(date_observation, '%Y-%m-%dT%H:%M:%S') || '","prix":'
+                               || CAST(prix AS VARCHAR) || '}', ',' ORDER BY date_observation, id) || ']' AS evolution_prix,
+             COUNT(*) AS nb_observations, arg_max(prix, (date_observation, id)) AS dernier
+      FROM price_history GROUP BY 1, 2)
+WINDOW w AS (PARTITION BY listing_id ORDER BY mois)
 """))
 def q_price_history_pages(spark, sf):
-    """Paged price histories (one page per listing unless a listing exceeds the page bound)."""
+    """Price histories in pages of a calendar month, with what comes before each page."""
     out = LS.price_history_pages(T.price_history(spark, sf))
     return out.withColumn("nb_observations", F.col("nb_observations").cast("long"))

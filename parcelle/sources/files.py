@@ -43,20 +43,31 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], columns: Sequ
     return df
 
 
-def newest_file(spark: SparkSession, patterns: Sequence[str]) -> str | None:
-    """The file with the greatest name among the first pattern that
-    matches anything (reverse lexical order, fallback patterns after).  Only
-    file names are listed; no data goes through the driver."""
+def _matches(spark: SparkSession, pattern: str) -> list[str]:
+    """Files matching a pattern, greatest name first.  Only names are listed; no data
+    goes through the driver."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(pattern)
+    statuses = p.getFileSystem(conf).globStatus(p)
+    return sorted((s.getPath().toString() for s in statuses or [] if s.isFile()), reverse=True)
+
+
+def newest_file(spark: SparkSession, patterns: Sequence[str]) -> str | None:
+    """The file with the greatest name among the first pattern that
+    matches anything (reverse lexical order, fallback patterns after)."""
+    return next((names[0] for names in (_matches(spark, p) for p in patterns) if names), None)
+
+
+def newest_files(spark: SparkSession, patterns: Sequence[str]) -> list[str]:
+    """S4 for deliveries of several files: all files in the folder of ``newest_file``
+    that match the same pattern."""
     for pattern in patterns:
-        p = jvm.org.apache.hadoop.fs.Path(pattern)
-        statuses = p.getFileSystem(conf).globStatus(p)
-        if statuses:
-            names = sorted((s.getPath().toString() for s in statuses if s.isFile()), reverse=True)
-            if names:
-                return names[0]
-    return None
+        names = _matches(spark, pattern)
+        if names:
+            folder = names[0].rsplit("/", 1)[0]
+            return [n for n in names if n.rsplit("/", 1)[0] == folder]
+    return []
 
 
 def write_by(df: DataFrame, path: str, partition_cols: Sequence[str], fmt: str = "parquet",

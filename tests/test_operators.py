@@ -152,15 +152,18 @@ def test_upsert_keeps_other_columns_and_times(spark):
     assert out["b"].id == 8 and out["b"].updated_at > at and out["c"].id is None
 
 
-def test_price_variation_chunked_equals_window(spark):
+def test_price_variation_equals_window(spark):
+    from pyspark.sql import Window
     from parcelle.operators import listings as LS
-    h = spark.range(3000).select(F.col("id"), (F.col("id") % 3).alias("listing_id"),
-                                 F.timestamp_seconds((F.col("id") * 7919) % 100000).cast("timestamp_ntz").alias("date_observation"),
-                                 ((F.col("id") * 13) % 97 + 1).cast("double").alias("prix"))
-    a = {r.id: (r.prix_precedent, r.variation_pct) for r in LS.price_variation(h).collect()}
-    b = {r.id: (r.prix_precedent, r.variation_pct) for r in LS.price_variation(h, max_group=100).collect()}
-    assert a == b
-    assert sum(1 for v in a.values() if v[0] is None) == 3
+    # listing 0 holds half of the rows; months without a row, ties, missing times, prices and listings
+    k = F.col("id")
+    h = spark.range(3000).select(k, F.when(k % 2 == 0, 0).when(k % 41 != 0, k % 7).alias("listing_id"),
+                                 F.when(k % 97 != 0, F.timestamp_seconds((k * 7919) % 1009 * 90000).cast("timestamp_ntz")).alias("date_observation"),
+                                 F.when(k % 89 != 0, (k * 13) % 97).cast("double").alias("prix"))
+    want = h.withColumn("p", F.lag("prix").over(Window.partitionBy("listing_id").orderBy("date_observation", "id")))
+    got = {r.id: r.prix_precedent for r in LS.price_variation(h).collect()}
+    assert got == {r.id: r.p for r in want.collect()}
+    assert LS.price_variation(h.where("false")).count() == 0
 
 
 def test_listing_rules_and_photos(spark):
@@ -216,14 +219,18 @@ def test_price_history_pages_concatenate_to_whole(spark):
     import json
     from parcelle.operators import listings as LS
     h = spark.range(600).select(F.col("id"), (F.col("id") % 2).alias("listing_id"),
-                                F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz").alias("date_observation"),
+                                F.timestamp_seconds(F.col("id") * 100000).cast("timestamp_ntz").alias("date_observation"),
                                 (F.col("id") * 1.5).alias("prix"))
     whole = {r.listing_id: json.loads(r.evolution_prix) for r in LS.price_history_json(h).collect()}
-    pages = sorted(LS.price_history_pages(h, max_group=40).collect(), key=lambda r: (r.listing_id, r.page))
+    pages = sorted(LS.price_history_pages(h).collect(), key=lambda r: (r.listing_id, r.page))
     joined = {}
     for r in pages:
-        joined.setdefault(r.listing_id, []).extend(json.loads(r.evolution_prix))
-    assert joined == whole and max(r.nb_observations for r in pages) < 300
+        before = joined.setdefault(r.listing_id, [])
+        mine = json.loads(r.evolution_prix)
+        assert r.nb_avant == len(before) and r.prix_precedent == (before[-1]["prix"] if before else None)
+        assert {o["date"][:7] for o in mine} == {r.mois} and len(mine) == r.nb_observations
+        before.extend(mine)
+    assert joined == whole and [r.page for r in pages if r.listing_id == 0] == list(range(len(pages) // 2)) and len(pages) > 40
 
 
 def test_recent_departments(spark):
