@@ -31,22 +31,25 @@ def finite_or_null(col: str | Column) -> Column:
     return F.when(~F.isnan(v), v)
 
 
-def quantiles(df: DataFrame, keys: Sequence[str], wanted: dict[str, dict[str, float]]) -> DataFrame:
+def quantiles(df: DataFrame, keys: Sequence[str], wanted: dict[str, dict[str, float]],
+              weight: str | None = None) -> DataFrame:
     """Exact quantiles per group of ``keys`` (NULL is a group; one row for the whole
     frame where ``keys`` is empty): ``wanted`` maps a column to {output name:
     fraction}.  NULL and NaN values are ignored; a group without any is absent, a
-    group without values of one column has NULL there."""
+    group without values of one column has NULL there.  ``weight`` names a column that says
+    how often a row counts (a positive integer), for frames that are counted already."""
     keys = list(keys)
     names = [f"_k{i}" for i in range(len(keys))]
     group = [*names, "_m"]
     listed = ", ".join(group)
     each = F.explode(F.array(*[F.struct(F.lit(i).alias("_m"), finite_or_null(c).alias("_v")) for i, c in enumerate(wanted)]))
-    data = df.select(*[F.col(k).alias(x) for k, x in zip(keys, names)], each.alias("_e"))
+    times = F.lit(1) if weight is None else F.col(weight)
+    data = df.select(*[F.col(k).alias(x) for k, x in zip(keys, names)], each.alias("_e"), times.cast("long").alias("_w"))
     # 0.0 is also -0.0; the cell number never falls as the value grows
     cell = (f"CAST(signum(_e._v) * (floor(greatest(-1100D, least(1100D, log2(abs(_e._v)))) * {CELLS}) + {1101 * CELLS}L) AS BIGINT)")
     values = data.where("_e._v IS NOT NULL").groupBy(
         *names, F.expr("_e._m").alias("_m"), F.expr(f"CASE WHEN _e._v = 0 THEN 0L ELSE {cell} END").alias("_p"),
-        F.expr("CASE WHEN _e._v = 0 THEN 0D ELSE _e._v END").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+        F.expr("CASE WHEN _e._v = 0 THEN 0D ELSE _e._v END").alias("_v")).agg(F.sum("_w").alias("_c"))
     probs = sorted({p for by_name in wanted.values() for p in by_name.values()})
     # does a stretch of _c ranks from _b on hold a wanted one?
     hit = " OR ".join(f"(floor({p}D * (_n - 1)) BETWEEN _b AND _b + _c - 1) OR (ceil({p}D * (_n - 1)) BETWEEN _b AND _b + _c - 1)" for p in probs)

@@ -12,10 +12,12 @@ from parcelle.functions import rnd
 from parcelle.operators import clean as C
 from parcelle.operators import merge as MG
 from parcelle.operators import reports as R
+from parcelle.operators import view_store as VS
 from parcelle.operators.keys import Foreign, Unique, check_keys
 from parcelle.operators.link import distance_to_commune
-from parcelle.plans.catalog import register
+from parcelle.plans.catalog import REGISTRY, register
 from parcelle.plans.oracle import r, with_adapter
+from parcelle.plans.queries_core import AS_OF, round_cols
 from parcelle.plans.queries_misc import commune_payloads
 from parcelle.session import ensure_checkpoint_dir, write_once
 from parcelle.sources import tables as T
@@ -168,3 +170,31 @@ def q_near_centre_stats(spark, sf):
     s = s.withColumn("proche_centre", D.near_centre("distance_centre_ville", 300.0)).where("proche_centre IS NOT NULL")
     return s.groupBy("proche_centre").agg(F.count(F.lit(1)).alias("nb"), rnd(F.avg("valeur_fonciere")).alias("prix_moyen"),
                                           rnd(F.avg("prix_m2")).alias("prix_m2_moyen"))
+
+
+# ------------------------------------------------------------ S13 ----------
+def refreshed_view(spark, sf: str, table: str) -> str:
+    """A view's table stored before the last deliveries (a third of the sales since May
+    2001), then the sales appended to theirs and the touched months refreshed; the folder."""
+    sold, views = fresh_path(spark, "view-sales"), fresh_path(spark, "views")
+    sales = D.derive_sales(T.sales(spark, sf)).select("id", "annee", "date_mutation", "commune_id", "type_local", "valeur_fonciere", "prix_m2")
+    sales = write_once(sales, "all-sales")
+    late = F.coalesce((F.col("id") % 3 == 0) & (F.col("date_mutation") >= "2001-05-01"), F.lit(False))
+    sales.where(~late).repartition("annee").write.partitionBy("annee").parquet(sold)
+    VS.create(spark.read.parquet(sold), views, tables=[table])
+    delivery = sales.where(late)
+    delivery.write.mode("append").partitionBy("annee").parquet(sold)
+    VS.refresh(spark.read.parquet(sold), views, delivery, tables=[table])
+    return views
+
+
+@register("view_refresh", "S13 A1 A4 P37", REGISTRY["price_stats"].sql)
+def q_view_refresh(spark, sf):
+    out = VS.price_stats(spark, refreshed_view(spark, sf, "values"), T.communes(spark, sf), as_of=AS_OF)
+    return round_cols(out, ["prix_m2_moyen", "prix_m2_median", "prix_m2_min", "prix_m2_max", "prix_m2_stddev", "prix_moyen"])
+
+
+@register("trends_refresh", "S13 A2 P33", REGISTRY["monthly_trends"].sql)
+def q_trends_refresh(spark, sf):
+    out = VS.monthly_trends(spark, refreshed_view(spark, sf, "days"), T.communes(spark, sf))
+    return round_cols(out, ["prix_m2_moyen", "volume_total_euros"])
