@@ -14,8 +14,8 @@ An added span must also hold up as its kind (check digit, parts, digits), so
 clean text with numbers stays alone.
 
 Training takes at most ``SAMPLE_DOCS`` documents with spans and as many with
-digits but no span (smallest id hashes) and ``SAMPLE_REGIONS`` neighbourhoods of
-each; everything else covers all rows.
+digits but no span (smallest id hashes), and of each ``SAMPLE_REGIONS`` neighbourhoods,
+``SAMPLE_CHARS`` characters long; everything else covers all rows and whole texts.
 
 Defined results: null text counts as empty; positions are code points, end
 exclusive; repeated rows are judged alike; an empty table, or one without any
@@ -38,6 +38,7 @@ from parcelle.llm.common import hash_sample, spill
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 200
 SAMPLE_REGIONS = 4
+SAMPLE_CHARS = 256      # of a training neighbourhood, from its start
 CONTEXT = 24      # characters to either side of a digit or @
 WINDOW, STRIDE = 64, 32
 MIN_PROBABILITY = 0.8
@@ -505,7 +506,7 @@ def scan_base(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def _fit(scanned: DataFrame, docs: int) -> dict[str, np.ndarray] | None:
     few = scanned.where(F.size("regions") > 0).select("doc_id", "base", F.slice("regions", 1, SAMPLE_REGIONS).alias("regions"))
-    few = few.withColumn("regions", F.transform("regions", lambda r: F.struct(r["start"].alias("start"), F.substring(r["text"], 1, 4 * WINDOW).alias("text"))))
+    few = few.withColumn("regions", F.transform("regions", lambda r: F.struct(r["start"].alias("start"), F.substring(r["text"], 1, SAMPLE_CHARS).alias("text"))))
     few = few.withColumn("key", F.to_json("regions"))
     n, n1 = few.agg(F.count("*"), F.sum((F.size("base") > 0).cast("int"))).first()
     if not n1:

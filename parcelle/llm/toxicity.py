@@ -15,7 +15,8 @@ gives the ordered grades 0, 1 and 2; any other integer grades can be passed.
 
 Defined results: null or blank text has no features and gets the model's base
 score; labels that are null, or without a document, are ignored, of several
-labels of a document the highest counts; without both classes in the sample
+labels of a document the highest counts, of several texts under one labelled id the last
+in byte order trains (all are scored); without both classes in the sample
 every score is 0; repeated rows score alike; an empty table gives no rows.
 """
 
@@ -138,9 +139,11 @@ def _texts(batch, i: int) -> list[bytes]:
 
 
 def graded_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> tuple[list[np.ndarray], np.ndarray, float]:
-    """Word sets and classes of the bounded sample, and the share of toxic labels."""
+    """Word sets and classes of the bounded sample, and the share of toxic documents
+    among those with a label."""
     one = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
-    one = spill(one, "labels")
+    # labels of documents that are there, one a document id
+    one = spill(docs.select("doc_id").join(one, "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "labels")
     n, n1 = one.agg(F.count("*"), F.sum(F.col("toxic").cast("int"))).first()
     picked = [hash_sample(one.where(c), per_class, k, "doc_id") for c, k in (("toxic", n1 or 0), ("NOT toxic", n - (n1 or 0)))]
     few = F.broadcast(picked[0].union(picked[1]))       # at most 2 per_class ids
@@ -150,8 +153,8 @@ def graded_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PE
             f = _features(_texts(b, 0))
             yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in f], pa.binary()), b.column(1)], names=["words", "toxic"])
 
-    texts = docs.select(F.col("doc_id"), F.col("text")).join(few, "doc_id").select("text", "toxic")
-    got = texts.mapInArrow(run, "words binary, toxic boolean").limit(4 * per_class).toArrow()
+    texts = docs.select("doc_id", "text").join(few, "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
+    got = texts.select("text", "toxic").mapInArrow(run, "words binary, toxic boolean").toArrow()      # a row an id
     rows = [np.frombuffer(x.as_py(), np.uint64) for x in got.column("words")]
     order = sorted(range(len(rows)), key=lambda i: (rows[i].tobytes()))     # the fit doesn't depend on arrival
     toxic = np.array(got.column("toxic").to_pylist(), bool)

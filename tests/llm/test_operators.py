@@ -386,6 +386,64 @@ def test_toxicity_held_out(spark):
     assert c[True, True] / (c[True, True] + c[True, False]) > 0.85 and c[False, True] <= 0.005 * (c[False, True] + c[False, False])
 
 
+def test_toxicity_sample_counts_documents_once(spark):
+    rows = [(i, f"word{i % 7} common" + (" vile" if i < 10 else "")) for i in range(60)] + [(None, "no id"), (70, None)]
+    docs = spark.createDataFrame(rows * 5 + [(1, "another text"), (1, None)], "doc_id long, text string")
+    marked = [(i, int(i < 10)) for i in range(60)] + [(i, 1) for i in range(1000, 1100)] + [(3, 0), (3, None), (None, 1), (70, 0), (71, 1)]
+    labels = spark.createDataFrame(marked, "doc_id long, toxic int")
+    sets, toxic, share = toxicity.graded_sample(docs, labels, per_class=1000)
+    assert len(sets) == 61 and toxic.sum() == 10 and share == 10 / 61          # labels without a document don't count
+    again = toxicity.graded_sample(docs.repartition(7), labels.repartition(3), per_class=1000)
+    assert [x.tolist() for x in again[0]] == [x.tolist() for x in sets] and again[1].tolist() == toxic.tolist()
+    few, t, s = toxicity.graded_sample(docs, labels, per_class=4)
+    assert len(few) == 8 and t.sum() == 4 and s == share
+
+
+def test_toxicity_odd_rows(spark):
+    rows = [(i, ("vile " if i % 4 == 0 else "kind " if i % 4 == 1 else "") + f"w{i % 9} the end", "mine") for i in range(400)]
+    rows += [(None, "vile", "mine"), (401, None, "mine"), (402, " ", "mine"), (403, "the end " * 50_000 + "vile", "mine"), (4, rows[4][1], "mine")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, severity string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(0, 400, 2)] + [(999, 1)], "doc_id long, toxic int")
+    got = toxicity.toxicity_scores(docs, labels).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
+    of = {r.doc_id: r for r in got}
+    assert all(of[i].toxic == (i % 4 == 0) for i in range(400)) and of[None].toxic and of[403].toxic
+    assert of[401][1:] == of[402][1:] and not of[401].toxic
+    assert not any(r.toxic or r.severity for r in toxicity.toxicity_scores(docs, labels.where("toxic = 1")).collect())
+
+
+def test_ordinal_fit_against_a_plain_likelihood():
+    rng = np.random.default_rng(5)
+    rows = [np.flatnonzero(rng.random(12) < 0.4) for _ in range(300)]
+    true, scale = rng.normal(0, 1.5, 12), rng.choice([-1.0, 0.5, 2.0], 12)
+    grades = np.digitize([true[r].sum() + rng.logistic() for r in rows], [-0.5, 1.0, 2.5])
+    weight = np.where(grades > 0, 2.0, 0.5)
+
+    def loss(w, cut):           # weights of features as they are scored
+        total = 0.0
+        for r, g, x in zip(rows, grades, weight):
+            below = [0.0, *(1 / (1 + np.exp(-(c - w[r].sum()))) for c in cut), 1.0]
+            total -= x * np.log(max(below[g + 1] - below[g], 1e-9))
+        return total / weight.sum() + toxicity.L2 / 2 * ((w / scale) ** 2).sum()
+
+    w, cut = toxicity.fit_ordinal(rows, scale, grades, weight, iterations=600)
+    best = loss(w, cut)
+    assert len(cut) == 3 and (np.diff(cut) > 0).all()
+    step = 1e-4                 # the numeric gradient vanishes at the fit
+    for i in range(12):
+        e = np.eye(12)[i] * step * scale
+        assert abs(loss(w + e, cut) - loss(w - e, cut)) / (2 * step) < 5e-3
+    for k in range(3):
+        e = np.eye(3)[k] * step
+        assert abs(loss(w, cut + e) - loss(w, cut - e)) / (2 * step) < 5e-3
+    assert best < loss(np.zeros(12), cut)
+    model = {"words": np.arange(12, dtype=np.uint64), "weights": w, "cuts": cut}
+    severity, p = toxicity.score(model, [r.astype(np.uint64) for r in rows])
+    for r, sev, q in zip(rows, severity, p):
+        above = [1 - 1 / (1 + np.exp(-(c - w[r].sum()))) for c in cut]
+        assert abs(sev - sum(above)) < 1e-9 and abs(q - above[0]) < 1e-9
+
+
 def test_url_filters(spark):
     caps = spark.createDataFrame([(1, "http://a.x.org/p", 5), (2, "https://U@B.x.org:80/", 20), (3, "http://x.org", 9), (4, None, 5), (5, "not a url", 5),
                                   (6, "http://a.x.org/q", 200), (7, "http://a.x.org/q", None), (1, "http://a.x.org/p", 5)], "page_id long, url string, day int")
