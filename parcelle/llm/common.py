@@ -158,20 +158,81 @@ def slices(batch, column: int, limit: int = 1 << 22):
 # connected components, distributed
 
 
+#: Edges of a piece that one task contracts, about; larger inputs have more pieces.
+PIECE_EDGES = 50_000
+
+
+def smallest_reachable(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of the edges (u, v), ascending, and for each the smallest node it
+    can reach.  Every round hooks roots below their smallest neighbouring root and
+    then doubles the pointers until they end in roots."""
+    nodes, at = np.unique(np.concatenate((u, v)), return_inverse=True)
+    a, b = at[:len(u)], at[len(u):]
+    root = np.arange(len(nodes))
+    while True:
+        ra, rb = root[a], root[b]
+        open_ = ra != rb
+        if not open_.any():
+            return nodes, nodes[root]
+        a, b, ra, rb = a[open_], b[open_], ra[open_], rb[open_]
+        np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
+        while True:
+            up = root[root]
+            if (up == root).all():
+                break
+            root = up
+
+
+def _contract(edges: DataFrame, pieces: int) -> DataFrame:
+    """Each piece's nodes as stars (u, v): v the smallest node that u reaches in the
+    piece.  No shuffle: pieces are whole partitions of the written edges."""
+    import pyarrow as pa
+
+    def run(batches):
+        u, v = np.empty(0, np.int64), np.empty(0, np.int64)
+        held, size = [], 0
+
+        def stars():
+            cols = [np.concatenate(x) for x in zip((u, v), *held)]
+            return smallest_reachable(*cols)
+
+        for batch in batches:
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            size += batch.num_rows
+            if size > 4 * PIECE_EDGES + len(u):       # what is held stays near the piece's nodes
+                (u, v), held, size = stars(), [], 0
+        u, v = stars()
+        for lo in range(0, len(u), PIECE_EDGES):
+            yield pa.RecordBatch.from_arrays([pa.array(u[lo:lo + PIECE_EDGES]), pa.array(v[lo:lo + PIECE_EDGES])], names=["u", "v"])
+
+    return edges.coalesce(pieces).mapInArrow(run, "u long, v long")
+
+
 def _edge_state(e: DataFrame) -> tuple:
     r = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return r[0], r[1]
 
 
 def components(edges: DataFrame, label: str = "cc") -> DataFrame:
-    """(node, component) for every node of ``edges`` (u, v longs); component is
-    the smallest node that can be reached.
-
-    Alternates "large star" and "small star" steps: each is one shuffle over
-    the edges with map-side minima, and the edge list never grows.  Every round
-    is written to the shared folder; edges never come to the driver."""
-    e = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
-    e = spill(e, label)
+    """(node, component) for every node of ``edges`` (u, v longs), as a written table;
+    component is the smallest node that can be reached.
+
+    First each piece of some ``PIECE_EDGES`` written edges is contracted to stars by
+    its own task, again while that leaves far fewer pieces.  Where several stay, "large
+    star" and "small star" steps join them: each is one shuffle over the edges with
+    map-side minima, and the edge list never grows.  Every round is written to the
+    shared folder; edges never come to the driver."""
+    e = spill(edges.select("u", "v"), label)
+    count = e.count()
+    while True:
+        pieces = max(1, -(-count // PIECE_EDGES))
+        e = spill(_contract(e, pieces), label)
+        if pieces == 1:                 # one piece: its stars are the answer
+            return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        before, count = pieces, e.count()
+        if -(-count // PIECE_EDGES) * 4 > before * 3:
+            break                       # fewer pieces would not help much any more
+    nodes, e = e, e.where("u <> v")
     state = _edge_state(e)
     while state[0]:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -185,5 +246,5 @@ def components(edges: DataFrame, label: str = "cc") -> DataFrame:
         if now == state:
             break
         state = now
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-        e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    roots = nodes.select(F.col("v").alias("u")).distinct().join(e.select("u"), "u", "left_anti").select("u", F.col("u").alias("v"))
+    return spill(e.select("u", "v").union(roots).toDF("node", "component"), label)

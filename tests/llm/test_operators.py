@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from parcelle.llm import chat, mixing, ngram_join, packing, pii, quality, secret_scan, topk, toxicity, url_filters
+from parcelle.llm import chat, common, mixing, ngram_join, packing, pii, quality, secret_scan, topk, toxicity, url_filters
 from parcelle.llm.common import spill
 from tests.conftest import SF_SMALL
 
@@ -453,3 +453,26 @@ def test_url_filters(spark):
     got = sorted(((r.page_id, r.matched, r.action, r.blocked) for r in url_filters.apply_list(caps, log).collect()), key=repr)
     assert got == sorted([(1, "x.org", "block", True), (1, "x.org", "block", True), (2, "x.org", "allow", False), (3, "x.org", "block", True),
                           (4, None, None, False), (5, None, None, False), (6, "a.x.org", "allow", False), (7, None, None, False)], key=repr)
+
+
+def test_components_of_many_pieces(spark, monkeypatch):
+    """Pieces are contracted, then joined by star steps: as one search over all edges."""
+    rng = np.random.default_rng(11)
+    for piece, nodes, edges in ((50_000, 300, 250), (7, 300, 250), (40, 2_000, 1_500), (40, 60, 900), (5, 1, 3), (5, 9, 0)):
+        monkeypatch.setattr(common, "PIECE_EDGES", piece)
+        u, v = rng.integers(-nodes, nodes, (2, edges))
+        if edges > 1000:
+            u, v = np.concatenate((u, np.arange(400))), np.concatenate((v, np.arange(400) + 1))   # a long chain
+        par = {int(x): int(x) for x in np.concatenate((u, v))}
+
+        def top(x):
+            while par[x] != x:
+                x = par[x]
+            return x
+
+        for a, b in zip(u.tolist(), v.tolist()):
+            a, b = top(a), top(b)
+            par[max(a, b)] = min(a, b)
+        rows = spark.createDataFrame(list(zip(u.tolist(), v.tolist())), "u long, v long").repartition(23)
+        got = common.components(rows).collect()
+        assert Counter(map(tuple, got)) == Counter((x, top(x)) for x in par), (piece, nodes, edges)
