@@ -15,7 +15,7 @@ connected components of the links.
    The answers for the rest are derived from the pivots': members in one component
    are connected already and need no comparison; as Jaccard distance is a metric,
    members whose distances to a pivot differ by more than 1 - t cannot link.
-   Rounds go on with new pivots, twice as many each time, until what is left is
+   Rounds go on with new pivots, four times as many each time, until what is left is
    linear in the list and is compared pair by pair.  What a round holds of a list
    is linear in its members: distances to the pivots of the first ``_KEEP`` rounds
    and, of the later pivots, only that all their open pairs were asked for.
@@ -56,8 +56,9 @@ _CHUNK_BITS = 16
 BUCKET_ROWS = 400_000   # index entries a bucket, about
 _FLUSH = 800_000      # index entries a task holds before it deals them out
 _BLOCK = 64             # members of a list that are skipped together
-PIVOTS = 2              # new pivots of a list in the first round; they double
-_KEEP = 4               # rounds whose pivots' distances are kept
+PIVOTS = 8              # new pivots of a list in the first round
+_GROWTH = 2             # each round has 2^_GROWTH times the pivots of the one before
+_KEEP = 2               # rounds whose pivots' distances are kept
 _ROUND_PAIRS = 1 << 21  # pairs of a list in a round, about (16 a member in longer lists)
 _OPEN_EACH = 4          # open pairs a member that are compared one by one
 BLOOM_BITS = 23
@@ -346,8 +347,8 @@ def _next_pairs(t: int, turn: int):
                 # new pivots are members with open pairs, those of the best scores first,
                 # then the outsiders, so no list ends with pairs open
                 done, out, found, got = before, [], 0, 0
-                for x in np.concatenate((np.flatnonzero(~done)[:PIVOTS * 8], small)):
-                    if found == PIVOTS << min(turn, 30) or got > max(_ROUND_PAIRS, 16 * size):
+                for x in np.concatenate((np.flatnonzero(~done)[:PIVOTS * 2], small)):
+                    if found == PIVOTS << min(_GROWTH * turn, 30) or got > max(_ROUND_PAIRS, 16 * size):
                         break
                     if done[x]:
                         continue
@@ -434,8 +435,7 @@ def _compare(pairs: DataFrame, contents: DataFrame) -> DataFrame:
 
 
 def similar_components(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD, text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links) for every row of ``docs``;
-    ``n_links`` counts links of the row's class with other sets that were compared."""
+    """(doc_id, n_shingles, component_id) for every row of ``docs``."""
     with small_batches(docs.sparkSession):      # every job with Python ends inside
         return _components_of(docs, words, threshold, text)
 
@@ -484,7 +484,7 @@ def _components_of(docs: DataFrame, words: int, threshold: int, text: str) -> Da
     link = F.expr(f"100 * both >= {threshold} * (na + nb - both)")
     ends = [F.col("ra").alias("u"), F.col("rb").alias("v")]
     links = compared.where(link).select(*ends)
-    final = spill(components(links, "cc"), "comp")
+    final = components(links)
     score = members.groupBy("label").agg(F.count("*").alias("score"))
     size = spill(contents.select("label", "rep", (F.length("tokens") / 8).cast("long").alias("n")).join(score, "label"), "sizes")
     active, asked, done = members, None, compared
@@ -504,8 +504,7 @@ def _components_of(docs: DataFrame, words: int, threshold: int, text: str) -> Da
         # few sets are met again: only their contents are dealt out
         again = fresh.select(F.explode(F.array("a", "b")).alias("label")).distinct()
         got = spill(_compare(fresh, contents.join(again, "label", "left_semi")), "compared")
-        links = links.union(got.where(link).select(*ends))
-        final = spill(components(final.select(F.col("node").alias("u"), F.col("component").alias("v")).union(got.where(link).select(*ends)), "cc"), "comp")
+        final = components(final.select(F.col("node").alias("u"), F.col("component").alias("v")).union(got.where(link).select(*ends)))
         done = spill(done.union(got), "compared")
         going = new.where("more").select("list_id").distinct()
         if not going.take(1):
@@ -514,11 +513,10 @@ def _components_of(docs: DataFrame, words: int, threshold: int, text: str) -> Da
         new = (new if turn < _KEEP else new.where("b IS NULL")).select("list_id", "a", "b")
         asked = new if asked is None else asked.union(new)
         asked = spill(asked.join(going, "list_id", "left_semi").distinct(), "asked")
-    degree = links.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     reps = sets.where("n > 0").join(classes.drop("label"), ["fa", "fb"], "left")
-    reps = reps.join(final, reps["rep"] == final["node"], "left").drop("node").join(degree, reps["rep"] == degree["node"], "left")
-    out = reps.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    alone = sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+    reps = reps.join(final, reps["rep"] == final["node"], "left")
+    out = reps.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
+    alone = sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return out.unionAll(alone)
 
 
