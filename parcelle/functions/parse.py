@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelle.operators.ranks import running_totals
+
 # Raw sale-file headers and their column names.
 RENAME_MAP = {
     "Date mutation": "date_mutation",
@@ -165,13 +167,12 @@ def with_content_id(df: DataFrame, date: str, code: str, price: str, content: Se
     the load, so a re-delivered file in any order gives the same ids and a new
     sale never takes a known id.  Where rows share a content but differ in
     columns outside ``content``, the occurrence goes through these columns in
-    their order.
+    their order (``running_totals``: one write, a content of any size in many tasks).
 
     Identical rows become (row, count) in an aggregate combined map-side, so a row
     that makes up a third of the load never meets in one task; counts are cut
     into pieces of ``EXPAND_PIECE``, and the pieces of rows with more than one
     are dealt out before they are expanded."""
-    from pyspark.sql import Window
     cols = list(df.columns)
     content = cols if content is None else [c for c in content if c in cols]
     base = F.concat_ws("_", F.date_format(F.col(date), "yyyyMMdd"), F.col(code),
@@ -179,8 +180,7 @@ def with_content_id(df: DataFrame, date: str, code: str, price: str, content: Se
     d = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c")).withColumn("_key", base)
     rest = [c for c in cols if c not in content]
     if rest:
-        w = Window.partitionBy("_key").orderBy(*rest).rowsBetween(Window.unboundedPreceding, -1)
-        d = d.withColumn("_from", F.coalesce(F.sum("_c").over(w), F.lit(0)))
+        d = running_totals(d, "_key", rest, "_c", "_from")
     else:
         d = d.withColumn("_from", F.lit(0).cast("long"))
     few = d.where(F.col("_c") <= EXPAND_PIECE).withColumns({"_ps": F.col("_from"), "_pl": F.col("_c")})

@@ -1,4 +1,4 @@
-"""Exact row numbers over a table of any size.
+"""Exact row numbers and running totals over a table of any size.
 
 Rows are range-partitioned and sorted by a total order of their content and written
 once; a count per partition gives offsets, and a row's number is its partition's
@@ -33,3 +33,27 @@ def number_rows(df: DataFrame, *order: str, name: str = "row_number") -> tuple[D
     spot = F.col("_n_spot").bitwiseAND(F.lit((1 << 33) - 1))
     out = ranged.join(F.broadcast(offsets), part == F.col("_n_part"))
     return out.withColumn(name, (F.col("_n_before") + spot).cast("long")).select(*df.columns, name), int(total)
+
+
+def running_totals(df: DataFrame, key: str, order: list[str], value: str, name: str) -> DataFrame:
+    """``df`` with ``name`` = the sum of ``value`` over the key's rows before this one
+    in the order of the columns ``order`` (nulls first), 0 for the first.  ``key`` and
+    ``order`` together are unique.
+
+    Rows are range-partitioned by (key, order) and written once, so that a key of any
+    size lies in neighbouring partitions and is summed by many tasks.  Only the first
+    and the last key of a partition can go on in another: two sums a partition, carried
+    from one to the next, are all that is broadcast."""
+    ranged = df.repartitionByRange(key, *order).sortWithinPartitions(key, *order)
+    ranged = write_once(ranged.withColumn("_t_spot", F.monotonically_increasing_id()), "totals-sorted")
+    ranged = ranged.withColumn("_t_part", F.shiftright("_t_spot", 33))
+    ends = ranged.groupBy("_t_part").agg(F.min(key).alias("_t_low"), F.max(key).alias("_t_high"))
+    at_end = ranged.join(F.broadcast(ends), "_t_part").where(F.col(key).eqNullSafe(F.col("_t_low")) | F.col(key).eqNullSafe(F.col("_t_high")))
+    sums = at_end.groupBy(F.col(key).alias("_t_key"), F.col("_t_part").alias("_t_in")).agg(F.sum(value).alias("_t_sum"))
+    earlier = Window.partitionBy("_t_key").orderBy("_t_in").rowsBetween(Window.unboundedPreceding, -1)     # two rows a partition
+    carry = sums.select("_t_key", "_t_in", F.sum("_t_sum").over(earlier).alias("_t_carry")).where("_t_carry IS NOT NULL")
+    inside = Window.partitionBy("_t_part", key).orderBy("_t_spot").rowsBetween(Window.unboundedPreceding, -1)
+    out = ranged.withColumn("_t_own", F.sum(value).over(inside))
+    out = out.join(F.broadcast(carry), (F.col("_t_part") == F.col("_t_in")) & F.col(key).eqNullSafe(F.col("_t_key")), "left")
+    total = F.coalesce("_t_own", F.lit(0)) + F.coalesce("_t_carry", F.lit(0))
+    return out.withColumn(name, total.cast("long")).select(*df.columns, name)

@@ -89,6 +89,36 @@ def test_content_id_hot_identical_rows(spark, monkeypatch):
     assert sum(x.startswith("20210101_69123_5_") for x in a) == 2 and max(map(len, a)) <= 50
 
 
+def test_running_totals_of_a_hot_key_use_many_partitions(spark, monkeypatch):
+    """A key with most of the rows is summed over several partitions, as one pass would."""
+    import random
+    from parcelle.operators import ranks
+    rng = random.Random(4)
+    rows = [("hot", None if i == 0 else i % 50, i, rng.randrange(1, 9)) for i in range(900)]
+    rows += [(k, 1, i, 1 + i) for i, k in enumerate(["a", "b", "z", None]) for _ in (0,)] + [("a", 0, 7, 5), (None, 0, 9, 2)]
+    rng.shuffle(rows)
+    want, total = {}, {}
+    for k, a, b, c in sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1] is not None, r[1] or 0, r[2])):
+        want[k, a, b] = total.get(k, 0)
+        total[k] = total.get(k, 0) + c
+    written = []
+    real = ranks.write_once
+    monkeypatch.setattr(ranks, "write_once", lambda df, label: written.append(real(df, label)) or written[-1])
+    df = spark.createDataFrame(rows, "k string, a int, b int, c long")
+    name = "spark.sql.adaptive.coalescePartitions.enabled"     # small partitions would become one
+    held = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        got = ranks.running_totals(df, "k", ["a", "b"], "c", "before")
+    finally:
+        spark.conf.set(name, held)
+    assert got.columns == ["k", "a", "b", "c", "before"]
+    assert {(r.k, r.a, r.b): r.before for r in got.collect()} == want and got.count() == len(rows)
+    hot = written[0].where("k = 'hot'").select(F.shiftright("_t_spot", 33)).distinct().count()
+    assert hot > 1
+    assert ranks.running_totals(df.where("false"), "k", ["a", "b"], "c", "before").count() == 0
+
+
 def test_content_ids_survive_new_sales_and_order(spark):
     from parcelle.functions import parse as P
     schema = "d date, code string, price double, area double, note string"
