@@ -97,10 +97,19 @@ def estimator(spec: ModelSpec, label: str = LABEL):
     raise ValueError(spec.kind)
 
 
-def fit(train: DataFrame, features: Sequence[str], spec: ModelSpec, label: str = LABEL) -> PipelineModel:
-    """M5-M8: assemble the features and fit one estimator."""
+#: Bytes of tree places (a number a row and tree) up to which a forest keeps them between
+#: its passes instead of walking every tree from its root again; the trees are the same.
+NODE_ID_BYTES = 1024 * 1024 * 1024
+
+
+def fit(train: DataFrame, features: Sequence[str], spec: ModelSpec, label: str = LABEL,
+        rows: int | None = None) -> PipelineModel:
+    """M5-M8: assemble the features and fit one estimator (``rows``: about how many there are, if known)."""
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
-    return Pipeline(stages=[assembler, estimator(spec, label)]).fit(train)
+    est = estimator(spec, label)
+    if spec.kind == "forest" and rows is not None:
+        est.setCacheNodeIds(4 * rows * est.getNumTrees() <= NODE_ID_BYTES)
+    return Pipeline(stages=[assembler, est]).fit(train)
 
 
 def regression_metrics(pred: DataFrame, label: str = LABEL, prediction: str = "prediction",

@@ -26,8 +26,11 @@ from parcelle.operators import ml as M
 
 SCHEMA = ("fingerprint string, part string, model string, settings string, features array<string>, train_rows long, "
           "n long, r2 double, mae double, rmse double, medians map<string,double>, path string")
-#: Bytes of training data that one partition of a fit holds.
-PARTITION_BYTES = 64 * 1024 * 1024
+#: Bytes of training data that one partition of a fit holds.  A partition more costs one
+#: more histogram of every tree node, so partitions beyond the cores come late.
+PARTITION_BYTES = 256 * 1024 * 1024
+#: Rows that are worth a partition of their own as long as cores are free.
+PARTITION_ROWS = 5_000
 
 
 @dataclass
@@ -82,11 +85,12 @@ class ModelStore:
         if found:
             return found
         test = F.col("split") == "test" if test is None else test
-        parts = max(1, data.count * 8 * (len(data.features) + 2) // PARTITION_BYTES)
-        train = data.rows.where(~test).coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
+        parts = fit_partitions(data.count, len(data.features) + 2, self.spark.sparkContext.defaultParallelism)
+        # dealt and ordered by id: bootstraps do not depend on the files the rows lie in
+        train = data.rows.where(~test).repartition(parts, "id").sortWithinPartitions("id").persist(StorageLevel.MEMORY_AND_DISK)
         path = f"{self.root}/models/{uuid.uuid4().hex}"
         try:
-            model = M.fit(train, data.features, spec, data.label)
+            model = M.fit(train, data.features, spec, data.label, data.count)
             model.write().save(path)
             scores = M.regression_metrics(model.transform(data.rows.where(test)), data.label).first()
             medians = M.scoring_medians(data.rows, data.features).first().asDict()
@@ -108,6 +112,13 @@ class ModelStore:
         return M.with_one_row(out, M.fold_summary(out))
 
 
+def fit_partitions(rows: int, columns: int, cores: int) -> int:
+    """Partitions of a fit: all cores where there are rows for them, and whole rounds of
+    the cores where the rows fill more."""
+    by_bytes = rows * 8 * columns // PARTITION_BYTES
+    return max(1, min(cores, rows // PARTITION_ROWS), -(-by_bytes // cores) * cores)
+
+
 def _settings(spec: M.ModelSpec) -> str:
     return json.dumps({"kind": spec.kind, **spec.params}, sort_keys=True)
 

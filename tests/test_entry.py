@@ -71,3 +71,26 @@ def test_scale_conf_sizes_partitions():
     assert c["spark.sql.shuffle.partitions"] == str(100 * 1024 ** 4 // (256 * 1024 ** 2))
     assert c["spark.sql.files.maxPartitionBytes"] == "256m"
     assert scale_conf(1024)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_fit_uses_the_cores_and_repeats(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+    from parcelle.operators import ml as M
+    from parcelle.operators import model_store as S
+    assert S.fit_partitions(10, 15, 12) == 1 and S.fit_partitions(353_208, 15, 12) == 12
+    assert S.fit_partitions(20_000_000, 15, 12) == 12 and S.fit_partitions(40_000_000, 15, 12) == 24
+    monkeypatch.setattr(S, "PARTITION_ROWS", 100)
+    seen = []
+    real = M.fit
+    monkeypatch.setattr(M, "fit", lambda train, *a: seen.append(train.rdd.getNumPartitions()) or real(train, *a))
+    spec = M.ModelSpec("rf", "forest", {"numTrees": 4, "maxDepth": 5, "seed": 42, "featureSubsetStrategy": "all"})
+    df = spark.range(400).selectExpr("id", "cast(id * id as double) valeur_fonciere", "cast(id as double) x", "cast(id % 7 as double) z")
+    rows = []
+    for i, given in enumerate((df, df.orderBy(F.desc("id")).coalesce(1))):      # the same rows in other files
+        store = S.ModelStore(spark, str(tmp_path / str(i)))
+        rows.append(store.fitted(store.prepare(given, ["x", "z"]), spec).row)
+    assert seen == [4, 4]
+    assert all(abs(rows[0][c] - rows[1][c]) < 1e-6 * abs(rows[0][c]) for c in ("r2", "mae", "rmse"))
+    # kept tree places change no tree
+    kept, walked = (real(df, ["x", "z"], spec, M.LABEL, n).stages[-1] for n in (400, None))
+    assert kept.toDebugString.split("\n")[1:] == walked.toDebugString.split("\n")[1:]
