@@ -69,7 +69,9 @@ def search_pages(spark, sf: str) -> DataFrame:
 
 def detail_pages(spark, sf: str) -> DataFrame:
     """A page for every second listing; one in nine comes twice, the later one empty."""
-    x = T.listings(spark, sf).where("id % 2 = 0")
+    # dealt out while a row is an id only: a few row groups of a file must not be all the tasks that read pages
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    x = T.listings(spark, sf).where("id % 2 = 0").select("id").repartition(parts, "id")
     k = F.col("id")
     letter = F.get(F.array(*map(F.lit, "ABCDEFG")), (k % 7).cast("int"))
     words = _text(_if(k % 10 == 0, " avec Parking"), _if(k % 12 == 0, ", garage ferm&eacute;"), _if(k % 14 == 0, ", balcon"), _if(k % 16 == 0, ", TERRASSE"),

@@ -71,8 +71,16 @@ TYPE_KEYWORDS = [("appartement", "Appartement"), ("maison", "Maison"), ("terrain
 AMENITIES = {"parking": ["parking", "garage"], "balcon": ["balcon"], "terrasse": ["terrasse"], "cave": ["cave"],
              "ascenseur": ["ascenseur"]}
 DESCRIPTION_MAX = 2000
+# Rules that an element without attributes can meet.
+BARE_RULES = [rule for rule in RULES if not rule.attr]
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 SILENT = frozenset(("script", "style", "template"))
+# Elements that set the parser to another way of reading.
+RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript plaintext".split())
+#: Start tags kept with what the rules say of them, and their greatest length.
+KEPT_TAGS, KEPT_LENGTH = 20_000, 200
+#: Pages, and characters of their text, that go back to Spark at once.
+BATCH_PAGES, BATCH_CHARS = 1_000, 4_000_000
 
 CARD = "card_index:int,href:string,titre:string,price_text:string,surface_text:string,pieces_text:string,localisation:string"
 SCHEMA = (f"page_id long, url string, cards array<struct<{CARD}>>, description string, dpe_text string, nb_photos int, page_text string")
@@ -85,10 +93,12 @@ class Hit(NamedTuple):
 
 
 class Scanner(HTMLParser):
-    """The pass over one page."""
+    """The pass over one page.  Start tags written alike mean the same, so ``kept`` (shared
+    by the pages of a task, bounded) spares reading and matching them again."""
 
-    def __init__(self):
+    def __init__(self, kept: dict | None = None):
         super().__init__(convert_charrefs=True)
+        self.kept: dict[str, tuple] = {} if kept is None else kept
         self.stack: list[tuple[str, int]] = []
         self.open: dict[str, int] = defaultdict(int)
         self.starts = self.silent = 0
@@ -96,13 +106,36 @@ class Scanner(HTMLParser):
         self.text: list[str] = []
         self.found: dict[tuple[str, int], list[Hit]] = defaultdict(list)
 
+    def updatepos(self, i, j):           # nobody asks for line numbers
+        return j
+
+    def parse_starttag(self, i):
+        end = self.check_for_whole_start_tag(i)
+        known = self.kept.get(self.rawdata[i:end]) if 0 <= end <= i + KEPT_LENGTH else None
+        if known is None:
+            return super().parse_starttag(i)
+        self.begin(*known)
+        return end
+
     def handle_starttag(self, tag, attrs):
+        known = self.matched(tag, attrs)
+        text = self.get_starttag_text()
+        if tag not in RAW and len(text) <= KEPT_LENGTH:
+            if len(self.kept) >= KEPT_TAGS:
+                self.kept.clear()
+            self.kept[text] = known
+        self.begin(*known)
+
+    def matched(self, tag: str, attrs: list) -> tuple:
         values = {k: v or "" for k, v in attrs}
-        for rule in RULES:
-            if rule.hits(tag, values):
-                self.found[rule.field, rule.rank].append(Hit(self.starts, len(self.text), values.get("href", "")))
-                if rule.field == "listing_link" and self.stack:
-                    self.found["card", 4].append(Hit(self.stack[-1][1], 0, ""))
+        hits = [(rule.field, rule.rank) for rule in (RULES if values else BARE_RULES) if rule.hits(tag, values)]
+        return tag, values.get("href", ""), hits
+
+    def begin(self, tag: str, href: str, hits: list) -> None:
+        for key in hits:
+            self.found[key].append(Hit(self.starts, len(self.text), href))
+            if key[0] == "listing_link" and self.stack:
+                self.found["card", 4].append(Hit(self.stack[-1][1], 0, ""))
         if tag in VOID:
             self.ends[self.starts] = (self.starts + 1, len(self.text))
         else:
@@ -112,7 +145,7 @@ class Scanner(HTMLParser):
         self.starts += 1
 
     def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
+        self.begin(*self.matched(tag, attrs))
         if tag not in VOID:
             self.handle_endtag(tag)
 
@@ -186,11 +219,18 @@ def _scan(batches):
     card = pa.struct([(n, pa.int32() if t == "int" else pa.string()) for n, t in fields])
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("cards", pa.list_(card)), ("description", pa.string()),
                         ("dpe_text", pa.string()), ("nb_photos", pa.int32()), ("page_text", pa.string())])
+    kept: dict[str, tuple] = {}
+    rows, chars = [], 0
     for b in batches:
         for i in range(b.num_rows):                                       # one page at a time
             html = b.column(2)[i].as_py() or ""
-            row = {"page_id": b.column(0)[i].as_py(), "url": b.column(1)[i].as_py(), **Scanner().finish(html).row()}
-            yield pa.RecordBatch.from_pylist([row], schema)
+            rows.append({"page_id": b.column(0)[i].as_py(), "url": b.column(1)[i].as_py(), **Scanner(kept).finish(html).row()})
+            chars += len(html)
+            if len(rows) >= BATCH_PAGES or chars >= BATCH_CHARS:
+                yield pa.RecordBatch.from_pylist(rows, schema)
+                rows, chars = [], 0
+    if rows:
+        yield pa.RecordBatch.from_pylist(rows, schema)
 
 
 def scan_pages(pages: DataFrame) -> DataFrame:
@@ -257,7 +297,9 @@ def merge_cards_details(cards: DataFrame, details: DataFrame) -> DataFrame:
     several pages claim gives its details once, from the page with the least id."""
     d = limit_per_group(details.withColumn("_durl", canonical_url(F.col("url"))).where("_durl IS NOT NULL"), "_durl", 1, ["page_id"])
     d = d.drop("page_id", "url")
-    return cards.join(d, canonical_url(cards.url) == d._durl, "left").drop("_durl")
+    # a column of its own: a sort by the bare expression computes it again for every comparison
+    keyed = cards.withColumn("_curl", canonical_url(F.col("url")))
+    return keyed.join(d, F.col("_curl") == F.col("_durl"), "left").drop("_curl", "_durl")
 
 
 # Parts of a search page's address.

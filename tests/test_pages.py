@@ -80,3 +80,55 @@ def test_details_join_once_and_searches_are_capped(spark):
                                     "page_id long, url string, html string")
     merged = PG.merge_cards_details(cards, PG.page_details(details)).collect()
     assert len(merged) == 4 and [r.dpe_classe for r in merged if r.titre == "Maison 1"] == ["B", "B"]
+
+
+def test_pages_go_back_in_batches(monkeypatch):
+    import pyarrow as pa
+    odd = ["<p class=dpe>A</p>", "<script>var a='<p class=dpe>'</script><p class=dpe>B", None, "<p class=dpe/>C<div class='ad-card'/>", "<p class=dpe>" * 2, PAGE, DETAIL]
+    html = odd * 60
+    batch = pa.RecordBatch.from_pylist([{"page_id": i, "url": None, "html": h} for i, h in enumerate(html)])
+    want = [{"page_id": i, "url": None, **scan(h or "")} for i, h in enumerate(html)]
+    sizes = {}
+    for name, pages, chars in (("whole", 1_000, 10 ** 6), ("pages", 100, 10 ** 6), ("long", 1_000, 2_000)):
+        monkeypatch.setattr(PG, "BATCH_PAGES", pages)
+        monkeypatch.setattr(PG, "BATCH_CHARS", chars)
+        out = list(PG._scan(iter([batch])))
+        assert [r for b in out for r in b.to_pylist()] == want
+        sizes[name] = [b.num_rows for b in out]
+    assert sizes["whole"] == [420] and sizes["pages"] == [100] * 4 + [20] and max(sizes["long"]) <= 20
+    monkeypatch.setattr(PG, "KEPT_TAGS", 2)               # forgetting kept tags changes nothing
+    assert [r for b in PG._scan(iter([batch])) for r in b.to_pylist()] == want
+
+
+def test_kept_start_tags_are_not_read_again(monkeypatch):
+    read = []
+    real = PG.Scanner.matched
+    monkeypatch.setattr(PG.Scanner, "matched", lambda self, tag, attrs: read.append(tag) or real(self, tag, attrs))
+    kept = {}
+    rows = [PG.Scanner(kept).finish("<title><p></title><div class='ad-card'><h2 class=title>T</h2><textarea><p></textarea></div>").row() for _ in range(3)]
+    assert rows[0] == rows[1] == rows[2] and [c["titre"] for c in rows[0]["cards"]] == ["T"]
+    assert read.count("div") == read.count("h2") == 1 and read.count("title") == 3
+
+
+def test_pages_join_on_a_column(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cards = spark.createDataFrame([(1, "https://X.example/a/#t")], "page_id long, url string")
+        details = spark.createDataFrame([(7, "https://x.example/a", "A")], "page_id long, url string, dpe_classe string")
+        df = PG.merge_cards_details(cards, details)
+        sorts = [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Sort [" in x or "Exchange hash" in x]
+        assert sorts and not any("regexp" in x for x in sorts)
+        assert df.first().dpe_classe == "A"
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_detail_pages_are_dealt_to_all_cores(spark, tmp_path):
+    from parcelle.plans import queries_pages as Q
+    from parcelle.sources import tables as T
+    from tests.conftest import SF_SMALL
+    for name in ("orders", "lineitem", "customer"):              # one file with one row group each
+        T.read(spark, SF_SMALL, name).coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    pages = Q.detail_pages(spark, str(tmp_path)).where("page_id < 1000000000000")
+    sizes = [len(p) for p in pages.select("page_id").rdd.glom().collect()]
+    assert sum(sizes) == pages.count() > 100 and max(sizes) < sum(sizes) / 4
