@@ -19,6 +19,7 @@ from parcelle.operators import link as L
 from parcelle.operators import marts
 from parcelle.operators import reports as R
 from parcelle.operators import spatial
+from parcelle.session import write_once
 from parcelle.sources import files as FS
 from parcelle.sources import pages as PG
 
@@ -31,13 +32,14 @@ class LoadResult:
 
 def load_sales(raw: DataFrame, target: DataFrame, communes: DataFrame) -> LoadResult:
     """Normalize raw sale rows, link communes, check constraints and keep
-    only sales whose content id is not yet in ``target``."""
+    only sales whose content id is not yet in ``target``.  The valid rows are written
+    once: ``insert_new`` counts their ids and reads them again."""
     df = P.truncate_widths(P.clean_raw_sales(raw))
     df = P.with_content_id(df, "date_mutation", "code_commune", "valeur_fonciere", P.SALE_CONTENT)
     df = D.derive_sales(L.link_by_code(df, communes))
     land = "surface_terrain" if "surface_terrain" in df.columns else None
     ok, bad = C.split_valid(df, C.sales_rules(land=land, score=None))
-    return LoadResult(L.insert_new(target, ok, "dvf_id", order_col="dvf_id"), bad)
+    return LoadResult(L.insert_new(target, write_once(ok, "valid-sales"), "dvf_id", order_col="dvf_id"), bad)
 
 
 def load_sales_file(spark: SparkSession, path: str, target: DataFrame, communes: DataFrame,

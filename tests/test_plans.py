@@ -116,3 +116,14 @@ def test_lookup_sides_are_measured(spark, monkeypatch):
 def test_duplicates_and_new_rows_without_sort_aggregates(spark):
     for name in ("dedupe_sales", "audit_counts", "insert_new", "load_sales"):
         assert "SortAggregate" not in _plan(load_all()[name].fn(spark, SF_SMALL)), name
+
+
+def test_a_load_parses_and_hashes_its_rows_once(spark):
+    from parcelle.plans import pipelines as PL
+    from parcelle.plans import queries_clean as Q
+    from parcelle.sources import tables as T
+    one, two = Q.raw_files(spark, SF_SMALL)
+    for raw in (one, two):                                  # rows of a file, not rendered anew in the plan of the load
+        assert "Join" not in _plan(raw) and "regexp_replace" not in _plan(raw)
+    accepted = PL.load_sales(one, spark.createDataFrame([], "dvf_id string"), T.communes(spark, SF_SMALL)).accepted
+    assert "md5" not in _plan(accepted) and accepted.count() > 0
