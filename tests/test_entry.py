@@ -94,3 +94,16 @@ def test_fit_uses_the_cores_and_repeats(spark, tmp_path, monkeypatch):
     # kept tree places change no tree
     kept, walked = (real(df, ["x", "z"], spec, M.LABEL, n).stages[-1] for n in (400, None))
     assert kept.toDebugString.split("\n")[1:] == walked.toDebugString.split("\n")[1:]
+
+
+def test_boosting_fit_is_dealt_over_the_cores(spark, tmp_path, monkeypatch):
+    from parcelle.operators import ml as M
+    from parcelle.operators import model_store as S
+    monkeypatch.setattr(S, "PARTITION_ROWS", 100)
+    rows = {}
+    real = M.fit
+    monkeypatch.setattr(M, "fit", lambda train, *a: rows.update(n=[len(p) for p in train.select("id").rdd.glom().collect()]) or real(train, *a))
+    df = spark.range(400).coalesce(1).selectExpr("id", "cast(id * id as double) valeur_fonciere", "cast(id as double) x")
+    store = S.ModelStore(spark, str(tmp_path))
+    found = store.fitted(store.prepare(df, ["x"]), M.ModelSpec("gbt", "gbt", {"maxIter": 3, "maxDepth": 4, "stepSize": 0.1, "seed": 42})).row
+    assert len(rows["n"]) == 4 and min(rows["n"]) > 0 and sum(rows["n"]) == found["train_rows"]
