@@ -16,23 +16,30 @@ from parcelle.operators.quantiles import with_one_row
 from parcelle.plans.catalog import register
 from parcelle.plans.oracle import r
 from parcelle.plans.queries_reports import PRIORITY_TYPES, _sql_type_map, SQL_CANON, features, with_feat
-from parcelle.session import ensure_checkpoint_dir
+from parcelle.session import ensure_checkpoint_dir, write_once
 from parcelle.sources import tables as T
 
 
-def ml_table(spark: SparkSession, sf: str) -> DataFrame:
+def ml_table(spark: SparkSession, sf: str, columns: list[str] | None = None) -> DataFrame:
     """The feature file: sales features with property types, type codes,
-    distance to the commune centre and the commune attributes."""
+    distance to the commune centre and the commune attributes.  With ``columns``
+    (of the sale), only these, written once for the communes' means and all reads after."""
     f = features(spark, sf)
     f = f.withColumn("type_local", D.canonical_type(D.canonical_type("type_local", PRIORITY_TYPES)))
     f = f.withColumn("type_local_encoded", D.type_code("type_local"))
     c = T.communes(spark, sf)
     f = L.distance_to_commune(f, c)
+    if columns is not None:
+        f = write_once(f.select(*columns), "feature-rows")
     return L.commune_features(f, c)
 
 
+#: What a sale itself brings to a fit; the commune attributes are joined to it.
+SALE_COLUMNS = ["id", "commune_id", "type_local", "prix_m2", M.LABEL, *M.BASE_FEATURES, "distance_centre_ville", "grande_surface"]
+
+
 def prepared(spark: SparkSession, sf: str):
-    rows = M.training_rows(ml_table(spark, sf))
+    rows = M.training_rows(ml_table(spark, sf, SALE_COLUMNS))
     feats = M.select_features(rows)
     return M.model_frame(rows, feats), feats
 

@@ -107,3 +107,18 @@ def test_boosting_fit_is_dealt_over_the_cores(spark, tmp_path, monkeypatch):
     store = S.ModelStore(spark, str(tmp_path))
     found = store.fitted(store.prepare(df, ["x"]), M.ModelSpec("gbt", "gbt", {"maxIter": 3, "maxDepth": 4, "stepSize": 0.1, "seed": 42})).row
     assert len(rows["n"]) == 4 and min(rows["n"]) > 0 and sum(rows["n"]) == found["train_rows"]
+
+
+def test_a_fit_reads_the_sales_once(spark):
+    from pyspark.sql import functions as F
+    from parcelle.operators import ml as M
+    from parcelle.plans import queries_ml as Q
+    rows, feats = Q.prepared(spark, "/root/testdata/sf0.001")
+    assert not [f for f in rows.inputFiles() if "/orders.parquet" in f or "/lineitem.parquet" in f]
+    # the rows and features of the feature file that is not written
+    plain = M.training_rows(Q.ml_table(spark, "/root/testdata/sf0.001"))
+    assert feats == M.select_features(plain)
+    sums = [F.sum(F.col(c).cast("double") * (F.col("id") % 7 + 1)) for c in [M.LABEL, *feats]]
+    found, wanted = (df.agg(F.count("*"), *sums).first() for df in (rows, M.model_frame(plain, feats)))
+    assert found[0] == wanted[0] > 0
+    assert all(abs(a - b) <= 1e-9 * abs(b) for a, b in zip(found, wanted))
