@@ -7,11 +7,14 @@ prediction), and scoring is ``PipelineModel.transform``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+import zlib
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, replace
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import DenseVector
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +23,7 @@ from parcelle.functions import derive as D
 from parcelle.operators.quantiles import column_quantiles, group_quantiles, with_one_row
 from parcelle.operators.ranks import number_rows
 from parcelle.operators.reports import coverage
+from parcelle.session import write_once
 
 # Feature lists of the price model.
 BASE_FEATURES = ["surface_reelle_bati", "nb_pieces", "type_local_encoded", "mois", "trimestre", "jour_semaine"]
@@ -100,6 +104,9 @@ def estimator(spec: ModelSpec, label: str = LABEL):
 #: Bytes of tree places (a number a row and tree) up to which a forest keeps them between
 #: its passes instead of walking every tree from its root again; the trees are the same.
 NODE_ID_BYTES = 1024 * 1024 * 1024
+#: MB of histograms in a task of a forest's pass, as every node of the pass has a place in what
+#: the driver sends and gets; the trees are the same.
+PASS_MB = 64
 
 
 def fit(train: DataFrame, features: Sequence[str], spec: ModelSpec, label: str = LABEL,
@@ -107,11 +114,90 @@ def fit(train: DataFrame, features: Sequence[str], spec: ModelSpec, label: str =
     """M5-M8: assemble the features and fit one estimator (``rows``: about how many there are, if known)."""
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
     est = estimator(spec, label)
+    if spec.kind == "forest":
+        est.setMaxMemoryInMB(PASS_MB)
     if spec.kind == "forest" and rows is not None:
         est.setCacheNodeIds(4 * rows * est.getNumTrees() <= NODE_ID_BYTES)
     return Pipeline(stages=[assembler, est]).fit(train)
 
 
+#: Nodes of a forest's trees that the driver holds at a time: some 250 bytes each while they
+#: grow, some 2 KB for as long as their model is written or sent to the executors.
+FOREST_NODES = 192 * 1024
+
+
+def tree_nodes(spec: ModelSpec, rows: int) -> int:
+    """The most nodes that a tree of a forest over ``rows`` rows can have."""
+    return min(2 ** (estimator(spec).getMaxDepth() + 1), 2 * max(1, rows))
+
+
+def in_groups(spec: ModelSpec, rows: int) -> bool:
+    """Is this a forest of more nodes than the driver should hold?"""
+    return spec.kind == "forest" and estimator(spec).getNumTrees() * tree_nodes(spec, rows) > FOREST_NODES
+
+
+def grow_groups(train: DataFrame, features: Sequence[str], spec: ModelSpec, label: str, rows: int) -> Iterator[PipelineModel]:
+    """All trees of a forest, in groups of about ``FOREST_NODES`` nodes (or one tree), each a forest
+    with a seed of its own; groups after the first go by the size of the trees so far.  Drop a
+    group before the next is taken."""
+    est = estimator(spec)
+    left, nodes, seed = est.getNumTrees(), tree_nodes(spec, rows), est.getSeed()
+    # a group of one tree would take all features where a forest takes a third
+    subset = "onethird" if left > 1 and est.getFeatureSubsetStrategy() == "auto" else est.getFeatureSubsetStrategy()
+    first = left
+    while left:
+        trees = -(-left // -(-left // max(1, FOREST_NODES // nodes)))
+        own = seed if left == first else zlib.crc32(f"{seed}:{first - left}".encode())
+        model = fit(train, features, replace(spec, params={**spec.params, "numTrees": trees, "seed": own, "featureSubsetStrategy": subset}),
+                    label, rows)
+        sizes = [t.numNodes for t in model.stages[-1].trees]
+        left, nodes = left - trees, max(sizes if left == first else [nodes, *sizes])
+        yield model
+        del model
+
+
+@dataclass
+class Forest:
+    """A forest whose groups of trees are stored models; the driver holds one at a time."""
+    folders: list[str]
+    _importances: np.ndarray | None = None
+
+    def groups(self) -> Iterator[PipelineModel]:
+        return (PipelineModel.load(f) for f in self.folders)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """The mean over all trees as ``prediction``."""
+        for model in self.groups():
+            df = add_votes(model, df)
+        return mean_vote(df)
+
+    @property
+    def featureImportances(self) -> DenseVector:
+        """As of one forest: the mean over the trees that split at all."""
+        if self._importances is None:
+            self._importances = sum(split_importances(model) for model in self.groups())
+        return DenseVector(self._importances / (self._importances.sum() or 1.0))
+
+
+def add_votes(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """Add the predictions of a group's trees to their sum so far, and write it."""
+    trees = model.stages[-1].getNumTrees
+    if "_votes" not in df.columns:
+        df = df.withColumns({"_votes": F.lit(0.0), "_trees": F.lit(0)})
+    out = model.transform(df).withColumns({"_votes": F.col("_votes") + trees * F.col("prediction"), "_trees": F.col("_trees") + trees})
+    return write_once(out.drop("features", "prediction"), "forest-votes")
+
+
+def mean_vote(df: DataFrame) -> DataFrame:
+    return df.withColumn("prediction", F.col("_votes") / F.col("_trees")).drop("_votes", "_trees")
+
+
+def split_importances(model: PipelineModel) -> np.ndarray:
+    """Importances of a group's trees, summed over those that split at all."""
+    last = model.stages[-1]
+    return sum(t.depth > 0 for t in last.trees) * last.featureImportances.toArray()
+
+
 def regression_metrics(pred: DataFrame, label: str = LABEL, prediction: str = "prediction",
                        by: Sequence[str] = ()) -> DataFrame:
     """M9: R2, MAE, RMSE from one aggregate (sklearn definitions: R2 against
@@ -170,10 +256,10 @@ def fold_summary(scores: DataFrame) -> DataFrame:
                           "cv_r2_high": F.col("cv_r2_mean") + 2 * F.col("cv_r2_std")})
 
 
-def feature_importance(model: PipelineModel, features: Sequence[str], top: int = 10) -> DataFrame:
+def feature_importance(model: PipelineModel | Forest, features: Sequence[str], top: int = 10) -> DataFrame:
     """Importances of a tree model, largest first (one row per feature)."""
     spark = SparkSession.active()
-    last = model.stages[-1]
+    last = model if isinstance(model, Forest) else model.stages[-1]
     if not hasattr(last, "featureImportances"):
         return spark.createDataFrame([], "feature string, importance double")
     imp = last.featureImportances.toArray().tolist()
@@ -187,7 +273,7 @@ def scoring_medians(train: DataFrame, features: Sequence[str]) -> DataFrame:
     return column_quantiles(train, features, 0.5)
 
 
-def score(model: PipelineModel, props: DataFrame, features: Sequence[str], medians: DataFrame, rmse: float,
+def score(model: PipelineModel | Forest, props: DataFrame, features: Sequence[str], medians: DataFrame, rmse: float,
           area_col: str = "surface_reelle_bati") -> DataFrame:
     """Fill missing features (given > default month/quarter/day >
     training median > 0), predict, band +-1.96 * RMSE * 0.5 floored at 0,

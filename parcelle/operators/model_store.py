@@ -23,9 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelle.operators import ml as M
+from parcelle.session import free_driver_memory
 
 SCHEMA = ("fingerprint string, part string, model string, settings string, features array<string>, train_rows long, "
-          "n long, r2 double, mae double, rmse double, medians map<string,double>, path string")
+          "n long, r2 double, mae double, rmse double, medians map<string,double>, path string, groups int")
 #: Bytes of training data that one partition of a fit holds.  A partition more costs one
 #: more histogram of every tree node, so partitions beyond the cores come late.
 PARTITION_BYTES = 256 * 1024 * 1024
@@ -45,7 +46,7 @@ class Prepared:
 
 @dataclass
 class Stored:
-    model: PipelineModel
+    model: PipelineModel | M.Forest
     row: dict
 
 
@@ -76,7 +77,7 @@ class ModelStore:
                                      & (F.col("model") == spec.name) & (F.col("settings") == _settings(spec))
                                      & (F.col("features") == F.array(*map(F.lit, data.features))))
         row = known.orderBy("path").first()
-        return Stored(PipelineModel.load(row["path"]), row.asDict()) if row else None
+        return Stored(stored_model(row["path"], row["groups"]), row.asDict()) if row else None
 
     def fitted(self, data: Prepared, spec: M.ModelSpec, part: str = "split", test=None) -> Stored:
         """The stored model, or a fit on the rows where ``test`` (default: the test
@@ -90,18 +91,35 @@ class ModelStore:
         train = data.rows.where(~test).repartition(parts, "id").sortWithinPartitions("id").persist(StorageLevel.MEMORY_AND_DISK)
         path = f"{self.root}/models/{uuid.uuid4().hex}"
         try:
-            model = M.fit(train, data.features, spec, data.label, data.count)
-            model.write().save(path)
-            scores = M.regression_metrics(model.transform(data.rows.where(test)), data.label).first()
+            if M.in_groups(spec, data.count):
+                model, predicted = self._grow(train, data, spec, path, test)
+            else:
+                model = M.fit(train, data.features, spec, data.label, data.count)
+                model.write().save(path)
+                predicted = model.transform(data.rows.where(test))
+            scores = M.regression_metrics(predicted, data.label).first()
             medians = M.scoring_medians(data.rows, data.features).first().asDict()
             train_rows = train.count()
         finally:
             train.unpersist()
         row = (data.fingerprint, part, spec.name, _settings(spec), data.features, train_rows, scores["n"], scores["r2"], scores["mae"],
-               scores["rmse"], {k: float(v) for k, v in medians.items() if v is not None}, path)
+               scores["rmse"], {k: float(v) for k, v in medians.items() if v is not None}, path,
+               len(model.folders) if isinstance(model, M.Forest) else None)
         self.spark.createDataFrame([row], SCHEMA).write.mode("append").parquet(f"{self.root}/metrics")
         return Stored(model, dict(zip([f.name for f in self.metrics().schema], row)))
 
+    def _grow(self, train: DataFrame, data: Prepared, spec: M.ModelSpec, path: str, test) -> tuple[M.Forest, DataFrame]:
+        """Fit, store and apply a forest, one group of trees after the other."""
+        votes, importances, folders = data.rows.where(test), 0.0, []
+        for group in M.grow_groups(train, data.features, spec, data.label, data.count):
+            free_driver_memory(self.spark)
+            folders.append(f"{path}/group-{len(folders)}")
+            group.write().save(folders[-1])
+            votes, importances = M.add_votes(group, votes), importances + M.split_importances(group)
+            del group                       # else it lies in the driver beside the next
+            free_driver_memory(self.spark)
+        return M.Forest(folders, importances), M.mean_vote(votes)
+
     def folds(self, data: Prepared, spec: M.ModelSpec, k: int = 5) -> DataFrame:
         """R2 of each fold, their mean, population deviation and the mean less
         and plus two deviations.  The models of the folds are stored as well."""
@@ -112,6 +130,11 @@ class ModelStore:
         return M.with_one_row(out, M.fold_summary(out))
 
 
+def stored_model(path: str, groups: int | None) -> PipelineModel | M.Forest:
+    """The model below ``path``; ``groups`` is null unless it is a forest in groups."""
+    return PipelineModel.load(path) if groups is None else M.Forest([f"{path}/group-{i}" for i in range(groups)])
+
+
 def fit_partitions(rows: int, columns: int, cores: int) -> int:
     """Partitions of a fit: all cores where there are rows for them, and whole rounds of
     the cores where the rows fill more."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -79,6 +80,13 @@ def write_once(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_driver_memory(spark: SparkSession) -> None:
+    """Give back what dropped models left in the driver: Spark drops broadcasts, shuffle files
+    and their blocks only after a collection, which comes late while the heap can grow."""
+    gc.collect()                            # Python's hold on objects of the JVM
+    spark.sparkContext._jvm.System.gc()
+
+
 def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Settings sized from the input volume: about ``target_partition_bytes``
     per scan split and per shuffle partition before AQE coalescing, with the

@@ -122,3 +122,36 @@ def test_a_fit_reads_the_sales_once(spark):
     found, wanted = (df.agg(F.count("*"), *sums).first() for df in (rows, M.model_frame(plain, feats)))
     assert found[0] == wanted[0] > 0
     assert all(abs(a - b) <= 1e-9 * abs(b) for a, b in zip(found, wanted))
+
+
+def test_a_forest_grows_in_groups_of_trees(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+    from parcelle.operators import ml as M
+    from parcelle.operators import model_store as S
+    monkeypatch.setattr(M, "FOREST_NODES", 200, raising=False)
+    fits = []
+    real = M.fit
+    monkeypatch.setattr(M, "fit", lambda *a: fits.append(real(*a)) or fits[-1])
+    df = spark.range(400).selectExpr("id", "cast(id * id as double) valeur_fonciere", "cast(id as double) x", "cast(id % 7 as double) z")
+    spec = M.ModelSpec("rf", "forest", {"numTrees": 10, "maxDepth": 5, "seed": 42, "featureSubsetStrategy": "all"})
+    store = S.ModelStore(spark, str(tmp_path))
+    data = store.prepare(df, ["x", "z"])
+    found = store.fitted(data, spec)
+    forests = [m.stages[-1] for m in fits]
+    # the driver never holds the whole forest, and no tree is missing or there twice
+    assert len(forests) > 2 and all(f.totalNumNodes <= 200 for f in forests) and sum(f.getNumTrees for f in forests) == 10
+    trees = [t for f in forests for t in f.trees]
+    assert len({t.toDebugString.split("\n", 1)[1] for t in trees}) == 10
+    # metrics, predictions and importances are those of all trees, from the store as well
+    vectors = fits[0].stages[0].transform(df).select("id", "features").collect()
+    want = {r.id: sum(t.predict(r.features) for t in trees) / 10 for r in vectors}
+    again = store.fitted(data, spec)
+    assert again.row == found.row and len(fits) == len(forests)
+    for model in (found.model, again.model):
+        got = {r.id: r.prediction for r in model.transform(df).collect()}
+        assert got.keys() == want.keys() and all(abs(got[i] - want[i]) <= 1e-9 * max(1, abs(want[i])) for i in want)
+        mean = sum(t.featureImportances.toArray() for t in trees) / 10
+        assert [r.feature for r in M.feature_importance(model, data.features).collect()] == ["x", "z"]
+        assert abs(model.featureImportances.toArray() - mean).max() < 1e-12
+    test = [(r.id, r.valeur_fonciere) for r in data.rows.where(F.col("split") == "test").collect()]
+    assert abs(found.row["mae"] - sum(abs(y - want[i]) for i, y in test) / len(test)) < 1e-6 and found.row["n"] == len(test)
